@@ -22,27 +22,23 @@ def co_occurrence(
     interactions. The sum is divided by sqrt(n_a * n_b).
     """
     extra = {} if tile is None else {"tile": tile}
+    # 1/sqrt(n) rides on the short table, so the long pair table needs no join.
+    inverse = degrees(df, member).select(member, (F.lit(1.0) / F.sqrt(F.col("n").cast("double"))).alias("_inv"))
+    base = df.join(inverse, member)
+    scale = F.col("_inv_a") * F.col("_inv_b")
     if weight == "decay":
-        pairs = shared_pairs(df, group, member, [ts], **extra)
-        pairs = pairs.withColumn("_w", fx.time_closeness(F.col(f"{ts}_a"), F.col(f"{ts}_b")))
+        pairs = shared_pairs(base, group, member, [ts, "_inv"], **extra)
+        gain = fx.time_closeness(F.col(f"{ts}_a"), F.col(f"{ts}_b")) * scale
     elif weight == "damped":
         sizes = degrees(df, group, "_n").select(group, fx.activity_damping(F.col("_n")).alias("_w"))
-        pairs = shared_pairs(df.join(sizes, group), group, member, ["_w"], **extra)
-        pairs = pairs.withColumn("_w", F.col("_w_a"))
+        pairs = shared_pairs(base.join(sizes, group), group, member, ["_w", "_inv"], **extra)
+        gain = F.col("_w_a") * scale
     elif weight == "base":
-        pairs = shared_pairs(df, group, member, **extra).withColumn("_w", F.lit(1.0))
+        pairs = shared_pairs(base, group, member, ["_inv"], **extra)
+        gain = scale
     else:
         raise ValueError(f"unknown weight {weight}")
-    sums = pairs.groupBy("a", "b").agg(F.sum("_w").alias("_s"))
-    return _divide_by_activity(sums, degrees(df, member))
-
-
-def _divide_by_activity(sums: DataFrame, counts: DataFrame) -> DataFrame:
-    member = counts.columns[0]
-    na = counts.select(F.col(member).alias("a"), F.col("n").alias("_na"))
-    nb = counts.select(F.col(member).alias("b"), F.col("n").alias("_nb"))
-    score = F.col("_s") / F.sqrt(F.col("_na").cast("double") * F.col("_nb").cast("double"))
-    return sums.join(na, "a").join(nb, "b").select("a", "b", fx.tidy(score, DECIMALS).alias("score"))
+    return pairs.groupBy("a", "b").agg(fx.tidy(F.sum(gain), DECIMALS).alias("score"))
 
 
 def neighbours(sim: DataFrame, k: int) -> DataFrame:
@@ -192,12 +188,10 @@ def swing(df: DataFrame, alpha: float = 0.5, tile: int | None = None) -> DataFra
 def jaccard(df: DataFrame, group: str = "user_id", member: str = "item_id", tile: int | None = None) -> DataFrame:
     """Shared groups / groups of either, a < b (item similarity of I11)."""
     extra = {} if tile is None else {"tile": tile}
-    sums = pair_sums(df, group, member, {"_c": F.lit(1.0)}, **extra)
-    counts = degrees(df, member)
-    na = counts.select(F.col(member).alias("a"), F.col("n").alias("_na"))
-    nb = counts.select(F.col(member).alias("b"), F.col("n").alias("_nb"))
-    score = F.col("_c") / (F.col("_na") + F.col("_nb") - F.col("_c"))
-    return sums.join(na, "a").join(nb, "b").select("a", "b", score.alias("score"))
+    pairs = shared_pairs(df.join(degrees(df, member, "_n"), member), group, member, ["_n"], **extra)
+    both = F.count(F.lit(1))
+    either = F.max("_n_a") + F.max("_n_b") - both
+    return pairs.groupBy("a", "b").agg((both / either).alias("score"))
 
 
 def affinity(events: DataFrame, weight: Column, half_life_days: float = 30.0) -> DataFrame:
@@ -255,13 +249,12 @@ def sar(
 def rating_vector_neighbours(df: DataFrame, k: int = 6, tile: int | None = None) -> DataFrame:
     """k nearest items by cosine distance of rating vectors, the item itself included."""
     extra = {} if tile is None else {"tile": tile}
-    prod = F.col("rating_a") * F.col("rating_b")
-    dots = pair_sums(df, "user_id", "item_id", {"_d": prod}, ["rating"], **extra)
     norms = df.groupBy("item_id").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("_norm"))
-    na = norms.select(F.col("item_id").alias("a"), F.col("_norm").alias("_na"))
-    nb = norms.select(F.col("item_id").alias("b"), F.col("_norm").alias("_nb"))
-    dist = fx.tidy(F.lit(1.0) - F.try_divide(F.col("_d"), F.col("_na") * F.col("_nb")), DECIMALS)
-    near = dots.join(na, "a").join(nb, "b").select("a", "b", dist.alias("distance"))
+    scaled = df.join(norms, "item_id").select(
+        "user_id", "item_id", F.coalesce(F.try_divide(F.col("rating"), F.col("_norm")), F.lit(0.0)).alias("r")
+    )
+    dots = pair_sums(scaled, "user_id", "item_id", {"_d": F.col("r_a") * F.col("r_b")}, ["r"], **extra)
+    near = dots.select("a", "b", fx.tidy(F.lit(1.0) - F.col("_d"), DECIMALS).alias("distance"))
     own = norms.select(F.col("item_id").alias("a"), F.col("item_id").alias("b"), F.lit(0.0).alias("distance"))
     return top_k(mirrored(near).unionByName(own), ["a"], ["distance", "b"], k)
 
