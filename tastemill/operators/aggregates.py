@@ -51,8 +51,8 @@ def composed_pair_counts(df: DataFrame, left: Sequence[str], right: Sequence[str
 
 
 def with_latest(df: DataFrame, ts: str, name: str = "max_timestamp") -> DataFrame:
-    """The latest time on every row (E1, D10): a one-row aggregate, not a window over all rows."""
-    return df.crossJoin(F.broadcast(df.agg(F.max(ts).alias(name))))  # one row by construction
+    """The latest time on every row (E1, D10): a scalar subquery, not a window over all rows."""
+    return df.withColumn(name, df.agg(F.max(ts)).scalar())
 
 
 def trending(log: DataFrame) -> DataFrame:
@@ -68,10 +68,9 @@ def trending(log: DataFrame) -> DataFrame:
         fx.parse_epoch("time_stamp").alias("unix_timestamp"),
     )
     counted = rows.groupBy("client_id", "item_id", "title", "unix_timestamp").agg(F.count(F.lit(1)).alias("clicks"))
-    latest = rows.agg(F.max("unix_timestamp").alias("max_timestamp"))
     weight = fx.recency(F.col("max_timestamp"), F.col("unix_timestamp"), decimals=None)
     return (
-        counted.crossJoin(F.broadcast(latest))  # one row by construction
+        counted.withColumn("max_timestamp", rows.agg(F.max("unix_timestamp")).scalar())
         .groupBy("client_id", "item_id", "title")
         .agg(fx.tidy(F.sum(weight * F.col("clicks"))).alias("weighted_clicks"))
     )
@@ -102,9 +101,9 @@ def category_counts(items: DataFrame, bag: str = "categories") -> DataFrame:
 def centred_means(df: DataFrame, member: str, rating: str = "rating") -> DataFrame:
     """Mean per member next to the mean of all rows (D15); one shuffle of partial sums."""
     sums = df.groupBy(member).agg(F.sum(rating).alias("_s"), F.count(rating).alias("_n"))
-    overall = sums.agg((F.sum("_s") / F.sum("_n")).alias("_g"))
-    return sums.crossJoin(F.broadcast(overall)).select(  # one row by construction
-        member, fx.tidy(F.col("_s") / F.col("_n")).alias("mean"), fx.tidy(F.col("_g")).alias("global_mean")
+    overall = sums.agg(F.sum("_s") / F.sum("_n")).scalar()
+    return sums.select(
+        member, fx.tidy(F.col("_s") / F.col("_n")).alias("mean"), fx.tidy(overall).alias("global_mean")
     )
 
 

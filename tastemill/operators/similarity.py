@@ -196,11 +196,10 @@ def jaccard(df: DataFrame, group: str = "user_id", member: str = "item_id", tile
 
 def affinity(events: DataFrame, weight: Column, half_life_days: float = 30.0) -> DataFrame:
     """Sum per (user, item) of weight x 2^(-(latest - ts) / half life)."""
-    latest = events.agg(F.max("ts").alias("_latest"))
     age_days = (F.col("_latest") - F.col("ts")) / F.lit(float(fx.DAY_SECONDS))
     decayed = weight * F.pow(F.lit(2.0), -age_days / F.lit(half_life_days))
     return (
-        events.crossJoin(F.broadcast(latest))  # one row by construction
+        events.withColumn("_latest", events.agg(F.max("ts")).scalar())
         .groupBy("user_id", "item_id")
         .agg(F.sum(decayed).alias("affinity"))
     )
@@ -216,11 +215,9 @@ def sar(
     the user could get if every affinity were the smallest or the largest weight.
     """
     taken = affinity(events, weight, half_life_days)
-    scale = events.agg(
-        F.min(weight).cast("double").alias("_lo"),
-        F.max(weight).cast("double").alias("_hi"),
-        F.count_distinct("item_id").alias("_items"),
-    )
+    lo = events.agg(F.min(weight).cast("double")).scalar()
+    hi = events.agg(F.max(weight).cast("double")).scalar()
+    catalogue = events.agg(F.count_distinct("item_id")).scalar()
     own = taken.select(F.col("item_id").alias("a")).distinct()
     sims = mirrored(jaccard(taken)).unionByName(own.select("a", F.col("a").alias("b"), F.lit(1.0).alias("score")))
     raw = (
@@ -233,7 +230,7 @@ def sar(
         ends = raw.groupBy("user_id").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_unit").alias("_mn"), F.max("_unit").alias("_mx")
         )
-        ends = ends.crossJoin(F.broadcast(scale)).select(  # one row by construction
+        ends = ends.select("*", lo.alias("_lo"), hi.alias("_hi"), catalogue.alias("_items")).select(
             "user_id",
             "_lo",
             "_hi",
