@@ -163,8 +163,8 @@ def best_matches(
     q = queries.select(
         F.col(key).alias("key"), *payload, F.pmod(F.xxhash64(key), F.lit(nq)).cast("int").alias("_q"), every_c
     )
-    c = candidates.select(
-        F.col(key).alias("key"), *payload, F.pmod(F.xxhash64(key), F.lit(nc)).cast("int").alias("_c"), every_q
+    c = candidates.select(  # own names: both sides may come from one frame
+        F.col(key).alias("key"), *[F.col(p).alias(p) for p in payload], F.pmod(F.xxhash64(key), F.lit(nc)).cast("int").alias("_c"), every_q
     )
     fn = KERNELS[kernel]
     key_type = queries.schema[key].dataType

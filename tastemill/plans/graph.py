@@ -1 +1,74 @@
+"""Graph ranking over the click graph (K1-K4)."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tastemill.operators import graph as g
+from tastemill.plans import tables as t
+from tastemill.plans.registry import query
+
+EDGE_SQL = t.CLICKS_SQL + """,
+edge AS (SELECT 'u' || user_id AS src, 'i' || item_id AS dst FROM clicks
+  UNION ALL SELECT 'i' || item_id, 'u' || user_id FROM clicks),
+deg AS (SELECT src, count(*) AS d FROM edge GROUP BY 1)"""
+
+
+def _rounds_sql(rounds: int) -> str:
+    out = EDGE_SQL + ", e AS (SELECT src, dst, 1.0::DOUBLE / d AS w FROM edge JOIN deg USING (src)),\n"
+    out += "roots AS (SELECT DISTINCT user_id AS root, 'u' || user_id AS node FROM clicks),\n"
+    out += "r0 AS (SELECT root, node, 1.0::DOUBLE AS m FROM roots)"
+    for i in range(1, rounds + 1):
+        out += f""",
+r{i} AS (SELECT root, node, sum(m) AS m FROM (
+  SELECT root, dst AS node, 0.6::DOUBLE * m * w AS m FROM r{i - 1} JOIN e ON e.src = node
+  UNION ALL SELECT root, node, 0.4::DOUBLE FROM roots) GROUP BY 1, 2)"""
+    return out
+
+
+TAIL_SQL = """, sc AS (SELECT root AS user_id, CAST(substr(node, 2) AS BIGINT) AS item_id, round(m, 6) AS score
+  FROM {last} WHERE node LIKE 'i%')
+SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+FROM sc WHERE NOT EXISTS (SELECT 1 FROM clicks c WHERE c.user_id = sc.user_id AND c.item_id = sc.item_id)
+QUALIFY rank <= 10"""
+
+
+@query("K1_bipartite_graph", "WITH " + EDGE_SQL + " SELECT substr(src, 1, 1) AS kind, substr(src, 2)::BIGINT AS id, d AS degree FROM deg")
+def bipartite_graph(spark, sf):
+    """Nodes of the graph with their degree."""
+    e = g.bipartite_graph(t.click_events(spark, sf))
+    kind = F.substring("src.kind", 1, 1)
+    return e.groupBy(kind.alias("kind"), F.col("src.id").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+
+
+@query("K2_personal_rank", "WITH " + _rounds_sql(5) + TAIL_SQL.format(last="r5"))
+def personal_rank(spark, sf):
+    return g.personal_rank(t.clicks(spark, sf), alpha=0.6, rounds=5, k=10)
+
+
+def _series_sql(rounds: int) -> str:
+    out = EDGE_SQL + ", e AS (SELECT src, dst, round_even(1.0::DOUBLE / d, 3)::DOUBLE AS w FROM edge JOIN deg USING (src)),\n"
+    out += "p0 AS (SELECT DISTINCT user_id AS root, 'u' || user_id AS node, 1.0::DOUBLE AS m FROM clicks)"
+    for i in range(1, rounds + 1):
+        out += f""",
+p{i} AS (SELECT root, dst AS node, sum(0.6::DOUBLE * m * w) AS m FROM p{i - 1} JOIN e ON e.src = node GROUP BY 1, 2)"""
+    out += ",\ntot AS (SELECT root, node, sum(m) AS m FROM ("
+    out += " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(rounds + 1)) + ") GROUP BY 1, 2)"
+    return out
+
+
+@query("K3_rank_linear_system", "WITH " + _series_sql(12) + TAIL_SQL.format(last="tot"))
+def rank_linear_system(spark, sf):
+    """The first twelve terms of the series, as in the SQL."""
+    return g.rank_by_linear_system(t.clicks(spark, sf), alpha=0.6, k=10, tolerance=0.0, max_rounds=12)
+
+
+@query("K4_transition_weights", "WITH " + EDGE_SQL + """
+SELECT src, dst, round_even(1.0::DOUBLE / d, 3)::DOUBLE AS weight FROM edge JOIN deg USING (src)""")
+def transition_weights(spark, sf):
+    w = g.transition_weights(g.bipartite_graph(t.click_events(spark, sf)))
+
+    def name(node):
+        return F.concat(F.substring(f"{node}.kind", 1, 1), F.col(f"{node}.id").cast("string"))
+
+    return w.select(name("src").alias("src"), name("dst").alias("dst"), "weight")

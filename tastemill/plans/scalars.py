@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.functions import vector as vx
-from tastemill.operators.ordering import top_k
+from tastemill.operators.content import closest_titles
 from tastemill.plans import tables as t
 from tastemill.plans.registry import query
 
@@ -100,13 +100,11 @@ s AS (SELECT asked, typed, p_name AS closest,
 SELECT typed, closest, score, score = 100 AS exact FROM s
 QUALIFY row_number() OVER (PARTITION BY typed ORDER BY score DESC, closest) = 1""")
 def closest_title(spark, sf):
-    """Typed names (blank left out) matched to the nearest title of the same first letter or, failing that, any."""
+    """Names typed without the blank, matched to the nearest title."""
     titles = t.table(spark, sf, "part").select("p_name").distinct()
     asked = titles.filter(F.col("p_name").like("% ring")).select(
         F.replace(F.col("p_name"), F.lit(" "), F.lit("")).alias("typed")
     )
-    from tastemill.operators.content import closest_titles
-
     return closest_titles(asked, "typed", titles, "p_name")
 
 
