@@ -62,36 +62,36 @@ def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
         yield -np.maximum(aa[i : i + step, None] + bb[None, :] - 2.0 * (a[i : i + step] @ b.T), 0.0)
 
 
+def _flat(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bags as three flat arrays: row number, token, weight."""
+    sizes = np.array([len(x) for x in rows["tokens"]])
+    if sizes.sum() == 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=object), np.zeros(0)
+    return (
+        np.repeat(np.arange(len(rows)), sizes),
+        np.concatenate([np.asarray(x, dtype=object) for x in rows["tokens"]]),
+        np.concatenate([np.asarray(x, dtype=np.float64) for x in rows["weights"]]),
+    )
+
+
 def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
-    """Dot product of token bags; the columns are the tokens both blocks know."""
-    seen = set().union(*map(set, q["tokens"])) & set().union(*map(set, c["tokens"]))
-    place = {tok: i for i, tok in enumerate(sorted(seen))}
-    step = max(1, CELLS // max(1, len(c), len(place)))
-
-    def sparse(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        r, p, w = [], [], []
-        for i, (toks, ws) in enumerate(zip(rows["tokens"], rows["weights"])):
-            for tok, x in zip(toks, ws):
-                j = place.get(tok)
-                if j is not None:
-                    r.append(i)
-                    p.append(j)
-                    w.append(x)
-        return np.asarray(r, dtype=np.int64), np.asarray(p, dtype=np.int64), np.asarray(w, dtype=np.float64)
-
-    qr, qp, qw = sparse(q)
-    cr, cp, cw = sparse(c)
+    """Dot product of token bags: the postings of a query's tokens, summed per candidate."""
+    qr, qt, qw = _flat(q)
+    cr, ct, cw = _flat(c)
+    codes, _ = pd.factorize(np.concatenate([ct, qt]))
+    cp, qp = codes[: len(ct)], codes[len(ct) :]
     order = np.argsort(cp, kind="stable")
     cr, cw = cr[order], cw[order]
-    starts = np.searchsorted(cp[order], np.arange(len(place) + 1))
+    posted = np.searchsorted(cp[order], np.arange((codes.max() + 1 if len(codes) else 0) + 1))
     bounds = np.searchsorted(qr, np.arange(len(q) + 1))
+    step = max(1, CELLS // max(1, len(c)))
     for i in range(0, len(q), step):
-        rows = min(step, len(q) - i)
-        out = np.zeros((rows, len(c)))
-        for row in range(rows):
-            for x in range(bounds[i + row], bounds[i + row + 1]):
-                s, e = starts[qp[x]], starts[qp[x] + 1]
-                out[row, cr[s:e]] += qw[x] * cw[s:e]  # a text holds a token once
+        out = np.zeros((min(step, len(q) - i), len(c)))
+        for row in range(len(out)):
+            s, e = bounds[i + row], bounds[i + row + 1]
+            first, size = posted[qp[s:e]], posted[qp[s:e] + 1] - posted[qp[s:e]]
+            at = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+            out[row] = np.bincount(cr[at], weights=cw[at] * np.repeat(qw[s:e], size), minlength=len(c))
         yield out
 
 
