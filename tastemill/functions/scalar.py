@@ -103,10 +103,10 @@ def shuffle_key(*cols: Column | str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def seeded_bucket(buckets: int, *cols: Column | str, seed: int = 42) -> Column:
-    """Bucket 0..buckets-1 of a key under a seed (28 bits of the digest)."""
-    head = F.conv(F.substring(shuffle_key(*cols, seed=seed), 1, 7), 16, 10).cast("long")
-    return F.pmod(head, F.lit(buckets))
+def seeded_bucket(buckets: int | Column, *cols: Column | str, seed: int = 42) -> Column:
+    """Bucket 0..buckets-1 of a key under a seed (60 bits of the digest)."""
+    head = F.conv(F.substring(shuffle_key(*cols, seed=seed), 1, 15), 16, 10).cast("long")
+    return F.pmod(head, buckets if isinstance(buckets, Column) else F.lit(buckets))
 
 
 def hash_bucket(c: Column | str, buckets: int) -> Column:

@@ -152,6 +152,7 @@ def best_matches(
 
     Both frames hold ``key`` and the columns the kernel reads (``v``, or
     ``tokens`` and ``weights``). Scores have 6 decimals; ties go to the lower key.
+    The rows are counted first, so a costly input should come checkpointed.
     """
     spark = queries.sparkSession
     parallel = spark.sparkContext.defaultParallelism

@@ -1 +1,145 @@
+"""Models (M1-M10). Fitted models have no SQL twin; ridge with one input has."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tastemill.operators import learning as g
+from tastemill.operators import metrics as m
+from tastemill.operators import sequences as s
+from tastemill.operators.features import fit_encoder
+from tastemill.plans import tables as t
+from tastemill.plans.registry import query
+from tastemill.session import scratch_path
+
+NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+CATEGORICAL = ["l_linestatus", "o_orderpriority"]
+
+
+def rows(spark, sf):
+    """Order lines of all orders, label: the order is large; split by hash."""
+    li = t.table(spark, sf, "lineitem")
+    od = t.table(spark, sf, "orders")
+    out = li.join(od, li.l_orderkey == od.o_orderkey).select(
+        *NUMERIC,
+        *CATEGORICAL,
+        "l_returnflag",
+        "l_orderkey",
+        "l_linenumber",
+        "l_suppkey",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 30000).cast("double").alias("label"),
+    )
+    return s.random_split(out, 0.8, "l_orderkey", "l_linenumber", "l_suppkey")
+
+
+def _fit_report(spark, sf, pipeline):
+    data = rows(spark, sf)
+    model = pipeline.fit(data.filter("split = 'train'"))
+    return m.classification_report(g.probability(model.transform(data)), "split", "label", "p")
+
+
+@query("M1_boosted_trees")
+def boosted_trees(spark, sf):
+    """Report on train and test."""
+    return _fit_report(spark, sf, g.tree_pipeline(NUMERIC, CATEGORICAL, trees=5, depth=3))
+
+
+@query("M2_leaf_features")
+def leaf_features(spark, sf):
+    """Trees' leaves as indicators of a logistic regression, report on train and test."""
+    data = rows(spark, sf)
+    train = data.filter("split = 'train'")
+    enc = fit_encoder(train, NUMERIC, CATEGORICAL)
+    model = g.LeafFeatures(enc.transform(train), trees=5, depth=3)
+    scored = model.score(enc.transform(data)).withColumn("p", F.round("p", 6))
+    return m.classification_report(scored, "split", "label", "p")
+
+
+def _customers(spark, sf):
+    """Customers with order statistics; label: balance above 4500."""
+    n = t.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).cast("double").alias("orders"), F.avg("o_totalprice").alias("price")
+    )
+    c = t.table(spark, sf, "customer").join(n, "c_custkey", "left").fillna(0.0, ["orders", "price"])
+    c = c.withColumn("label", (F.col("c_acctbal") > 4500).cast("double"))
+    data = fit_encoder(c, ["orders", "price", "c_nationkey"], ["c_mktsegment"]).transform(c)
+    return s.folds(data.select("c_custkey", "features", "label"), 3, "c_custkey")
+
+
+@query("M3_grid_search")
+def grid_search(spark, sf):
+    """Four settings by 3-fold AUC."""
+    data = _customers(spark, sf).withColumn("fold", F.col("fold").cast("int"))
+    grid = {"maxDepth": [2, 3], "stepSize": [0.1, 0.3]}
+    cv = g.grid_search(data, g.boosted_trees(trees=3), grid, "fold", 3)
+    return g.settings_table(spark, cv.getEstimatorParamMaps(), cv.avgMetrics)
+
+
+@query("M4_random_search")
+def random_search(spark, sf):
+    """Five random settings on a held-out fifth."""
+    found = g.random_search(
+        _customers(spark, sf), g.boosted_trees(trees=3), {"maxDepth": (2, 4), "stepSize": (0.05, 0.4)}, trials=5
+    )
+    return g.settings_table(spark, found.getEstimatorParamMaps(), found.validationMetrics)
+
+
+@query("M5_wide_model")
+def wide_model(spark, sf):
+    """Hashed categories and a cross, report on train and test."""
+    data = g.with_crosses(rows(spark, sf), [("l_returnflag", "o_orderpriority")])
+    _, pipeline = g.wide_pipeline(["l_linestatus"], NUMERIC, [("l_returnflag", "o_orderpriority")])
+    model = pipeline.fit(data.filter("split = 'train'"))
+    return m.classification_report(g.probability(model.transform(data)), "split", "label", "p")
+
+
+@query("M6_deep_model")
+def deep_model(spark, sf):
+    """Perceptron on numbers and one-hot line status (two known values)."""
+    return _fit_report(spark, sf, g.deep_pipeline(NUMERIC, ["l_linestatus"], len(NUMERIC) + 2, rounds=15))
+
+
+@query("M7_crossed_linear")
+def crossed_linear(spark, sf):
+    """Net price from quantity, price and discount with their products: an exact product of two inputs."""
+    li = t.table(spark, sf, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    model = g.crossed_linear(["l_extendedprice", "l_discount"], "net").fit(li)
+    return m.rating_errors(model.transform(li), "net", "prediction").select(
+        F.round("rmse", 2).alias("rmse"), F.round("r2", 4).alias("r2")
+    )
+
+
+@query("M8_ridge", """
+WITH s AS (SELECT covar_pop(l_quantity, l_extendedprice) AS xy, var_pop(l_quantity) AS xx, avg(l_quantity) AS mx,
+  avg(l_extendedprice) AS my, var_samp(l_quantity) AS vx, stddev_samp(l_extendedprice) AS sy, count(*) AS n FROM lineitem),
+k AS (SELECT xy / (xx + 0.1::DOUBLE / sy * vx) AS b, mx, my FROM s)
+SELECT round(b, 1) AS slope, round(my - b * mx, 0) AS intercept FROM k""")
+def ridge(spark, sf):
+    """Price from quantity: slope and intercept."""
+    model = g.ridge(["l_quantity"], "l_extendedprice").fit(t.table(spark, sf, "lineitem")).stages[-1]
+    return t.table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n")).select(
+        F.round(F.lit(float(model.coefficients[0])), 1).alias("slope"),
+        F.round(F.lit(float(model.intercept)), 0).alias("intercept"),
+    )
+
+
+@query("M9_early_stopping")
+def early_stopping(spark, sf):
+    """Trees grown until the held-out part stops gaining; report with the number kept."""
+    data = rows(spark, sf).withColumn("held", F.col("split") == "test")
+    model = g.tree_pipeline(NUMERIC, CATEGORICAL, trees=8, depth=3, validation="held").fit(data)
+    report = m.classification_report(g.probability(model.transform(data)), "split", "label", "p")
+    return report.withColumn("trees", F.lit(int(model.stages[-1].getNumTrees)))
+
+
+@query("M10_save_and_reload")
+def save_and_reload(spark, sf):
+    """Sum of the probabilities of each part before and after a save and load."""
+    data = rows(spark, sf)
+    model = g.tree_pipeline(NUMERIC, CATEGORICAL, trees=3, depth=3).fit(data.filter("split = 'train'"))
+    again = g.saved_and_loaded(model, scratch_path(spark, "model"))
+    a = g.probability(model.transform(data)).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("before"))
+    b = g.probability(again.transform(data)).groupBy("split").agg(F.sum("p").alias("after"))
+    return a.join(b, "split").select(
+        "split", "n", F.round("before", 3).alias("before"), F.round("after", 3).alias("after")
+    )

@@ -148,4 +148,4 @@ def key_sql(*cols: str, seed: int = 42) -> str:
 
 def bucket_sql(buckets: int, *cols: str, seed: int = 42) -> str:
     """DuckDB text of ``seeded_bucket``."""
-    return f"(('0x' || substr({key_sql(*cols, seed=seed)}, 1, 7))::BIGINT % {buckets})"
+    return f"(('0x' || substr({key_sql(*cols, seed=seed)}, 1, 15))::BIGINT % {buckets})"
