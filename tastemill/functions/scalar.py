@@ -16,15 +16,18 @@ def col(c: Column | str) -> Column:
 
 # --- rounding ---------------------------------------------------------------
 
-def half_even(x: Column, decimals: int = 3) -> Column:
+def half_even(x: Column | str, decimals: int = 3) -> Column:
     """Round to ``decimals`` places, halves to the even digit."""
     scale = float(10**decimals)
-    return F.rint(x * F.lit(scale)) / F.lit(scale)
+    return F.rint(col(x) * F.lit(scale)) / F.lit(scale)
 
 
-def tidy(x: Column, decimals: int = 6) -> Column:
-    """Fixed number of decimals for results, so that the order of a sum cannot show."""
-    return F.round(x, decimals)
+def tidy(x: Column | str, decimals: int = 6) -> Column:
+    """Fixed number of decimals for results, so that the order of a sum cannot show.
+
+    ``rint`` stays in primitive doubles; ``F.round`` would build a BigDecimal per row.
+    """
+    return half_even(x, decimals)
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.operators.ordering import running, top_k
+from tastemill.session import cut_lineage
 
 KEYS = ["user_id", "item_id"]
 
@@ -24,8 +25,8 @@ def recall_precision(recs: DataFrame, truth: DataFrame) -> DataFrame:
     hits = asked.join(truth.select(*KEYS), KEYS, "left_semi").agg(F.count(F.lit(1)).alias("_h"))
     h = F.col("_h").cast("double") * 100
     return hits.select(
-        F.round(F.try_divide(h, _rows(truth)), 2).alias("recall"),
-        F.round(F.try_divide(h, _rows(asked)), 2).alias("precision"),
+        fx.tidy(F.try_divide(h, _rows(truth)), 2).alias("recall"),
+        fx.tidy(F.try_divide(h, _rows(asked)), 2).alias("precision"),
     )
 
 
@@ -34,7 +35,7 @@ def coverage(recs: DataFrame, train: DataFrame) -> DataFrame:
     users = recs.select("user_id").distinct()
     base = train.join(users, "user_id", "left_semi").agg(F.count_distinct("item_id")).scalar()
     return recs.agg(F.count_distinct("item_id").alias("_r")).select(
-        F.round(F.try_divide(F.col("_r").cast("double") * 100, base), 2).alias("coverage")
+        fx.tidy(F.try_divide(F.col("_r").cast("double") * 100, base), 2).alias("coverage")
     )
 
 
@@ -137,16 +138,21 @@ def accuracy(rows: DataFrame, label: str, probability: str, cut: float = 0.5) ->
 
 
 def classification_report(rows: DataFrame, by: str, label: str, probability: str, cut: float = 0.5) -> DataFrame:
-    """Accuracy, precision, recall, F1 and AUC per split, one row each."""
-    y, z = F.col(label) == 1, F.col(probability) >= cut
-    counts = rows.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(y & z).alias("tp"),
-        F.count_if(~y & z).alias("fp"),
-        F.count_if(y & ~z).alias("fn"),
-    )
+    """Accuracy, precision, recall, F1 and AUC per split, one row each.
+
+    Rows are counted per distinct probability first; everything else follows
+    from those counts.
+    """
     yy = F.col(label).cast("long")
     per = rows.groupBy(by, probability).agg(F.sum(yy).alias("_p"), F.sum(1 - yy).alias("_q"))
+    per = cut_lineage(per)  # the scores are computed once, then read several times
+    yes = F.col(probability) >= cut
+    counts = per.groupBy(by).agg(
+        F.sum(F.col("_p") + F.col("_q")).alias("n"),
+        F.sum(F.when(yes, F.col("_p")).otherwise(0)).alias("tp"),
+        F.sum(F.when(yes, F.col("_q")).otherwise(0)).alias("fp"),
+        F.sum(F.when(yes, 0).otherwise(F.col("_p"))).alias("fn"),
+    )
     below = running(per, [by], [probability], {"_below": F.col("_q")})
     wins = F.sum(F.col("_p").cast("double") * (F.col("_below") + F.col("_q") / 2.0))
     area = below.groupBy(by).agg(

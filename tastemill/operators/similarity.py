@@ -160,7 +160,7 @@ def _centred(best: DataFrame, means: DataFrame, key: str) -> DataFrame:
     sums = best.groupBy("user_id", "item_id").agg(
         F.sum(F.col("score") * F.col("_dev")).alias("_num"), F.sum("score").alias("_den")
     )
-    shift = F.try_divide(F.col("_num"), F.round("_den", DECIMALS))
+    shift = F.try_divide(F.col("_num"), fx.tidy("_den", DECIMALS))
     return sums.join(means, key).select(
         "user_id", "item_id", fx.tidy(F.col("mean") + shift, 5).alias("prediction")
     )

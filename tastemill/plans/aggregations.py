@@ -61,7 +61,7 @@ TRENDING_SQL = f"""WITH {t.LOG_SQL},
 cl AS (SELECT client_id, click_object_id AS item_id, click_details_caption AS title, sec, count(*) AS clicks
   FROM log WHERE {ACTIONS} GROUP BY 1, 2, 3, 4),
 trend AS (SELECT client_id, item_id, title,
-  round(sum((1.0::DOUBLE / (1 + (((SELECT max(sec) FROM cl) - sec) / 86400.0::DOUBLE / 100.0::DOUBLE))) * clicks), 6)
+  round_even(sum((1.0::DOUBLE / (1 + (((SELECT max(sec) FROM cl) - sec) / 86400.0::DOUBLE / 100.0::DOUBLE))) * clicks), 6)
     AS weighted_clicks
 FROM cl GROUP BY 1, 2, 3)"""
 
@@ -113,7 +113,7 @@ def category_counts(spark, sf):
 
 
 @query("D15_centred_means", "WITH " + t.RAW_SQL + """
-SELECT user_id, round(avg(rating), 6) AS mean, (SELECT round(avg(rating), 6) FROM raw) AS global_mean FROM raw GROUP BY 1""")
+SELECT user_id, round_even(avg(rating), 6) AS mean, (SELECT round_even(avg(rating), 6) FROM raw) AS global_mean FROM raw GROUP BY 1""")
 def centred_means(spark, sf):
     return a.centred_means(t.raw_interactions(spark, sf), "user_id")
 

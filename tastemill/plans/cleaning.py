@@ -152,7 +152,7 @@ def null_profile(spark, sf):
 
 @query("B19_dataset_profile", "WITH " + t.RAW_SQL + """
 SELECT count(*) AS n, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items, sum(rating) AS total,
-  round(1.0::DOUBLE - count(*) / (count(DISTINCT user_id)::DOUBLE * count(DISTINCT item_id)), 6) AS sparsity FROM raw""")
+  round_even(1.0::DOUBLE - count(*) / (count(DISTINCT user_id)::DOUBLE * count(DISTINCT item_id)), 6) AS sparsity FROM raw""")
 def dataset_profile(spark, sf):
     return c.interaction_profile(t.raw_interactions(spark, sf), "user_id", "item_id", "rating")
 

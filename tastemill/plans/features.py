@@ -77,15 +77,15 @@ def _gaps(spark, sf):
 
 
 @query("H5_impute", f"""WITH {GAPS_SQL}
-SELECT c_custkey, round(coalesce(bal, (SELECT avg(bal) FROM gaps)), 4) AS bal,
+SELECT c_custkey, round_even(coalesce(bal, (SELECT avg(bal) FROM gaps)), 4) AS bal,
   coalesce(seg, (SELECT seg FROM gaps WHERE seg IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, seg LIMIT 1)) AS seg FROM gaps""")
 def impute(spark, sf):
-    return f.impute(_gaps(spark, sf), ["bal"], ["seg"]).withColumn("bal", F.round("bal", 4))
+    return f.impute(_gaps(spark, sf), ["bal"], ["seg"]).withColumn("bal", fx.tidy("bal", 4))
 
 
 @query("H6_standardise", """
 WITH s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS d FROM customer WHERE c_custkey % 4 <> 0)
-SELECT c_custkey, round((c_acctbal - m) / d, 6) AS c_acctbal FROM customer, s""")
+SELECT c_custkey, round_even((c_acctbal - m) / d, 6) AS c_acctbal FROM customer, s""")
 def standardise(spark, sf):
     cu = t.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     out = f.standardise(cu, cu.filter("c_custkey % 4 <> 0"), ["c_acctbal"])
@@ -93,7 +93,7 @@ def standardise(spark, sf):
 
 
 @query("H7_min_max", """
-SELECT event_id, round((value - (SELECT min(value) FROM events)) / (SELECT max(value) - min(value) FROM events), 6) AS p FROM events""")
+SELECT event_id, round_even((value - (SELECT min(value) FROM events)) / (SELECT max(value) - min(value) FROM events), 6) AS p FROM events""")
 def min_max(spark, sf):
     out = f.min_max(t.table(spark, sf, "events").select("event_id", "value"), "value", "p")
     return out.select("event_id", fx.tidy(F.col("p")).alias("p"))
@@ -132,12 +132,12 @@ def _encoded(spark, sf):
     return f.sequential_encoding(e, "event_type", "y", ["ts", "event_id"])
 
 
-@query("H10_sequential_target", f"WITH {SEQ_SQL} SELECT event_id, round(sy::DOUBLE / nullif(c, 0), 6) AS target FROM enc")
+@query("H10_sequential_target", f"WITH {SEQ_SQL} SELECT event_id, round_even(sy::DOUBLE / nullif(c, 0), 6) AS target FROM enc")
 def sequential_target(spark, sf):
     return _encoded(spark, sf).select("event_id", fx.tidy(F.col("target")).alias("target"))
 
 
-@query("H11_sequential_count", f"WITH {SEQ_SQL} SELECT event_id, round(c::DOUBLE / nullif(i - 1, 0), 6) AS share FROM enc")
+@query("H11_sequential_count", f"WITH {SEQ_SQL} SELECT event_id, round_even(c::DOUBLE / nullif(i - 1, 0), 6) AS share FROM enc")
 def sequential_count(spark, sf):
     return _encoded(spark, sf).select("event_id", fx.tidy(F.col("share")).alias("share"))
 
@@ -154,7 +154,7 @@ def binary_code(spark, sf):
 
 @query("H13_tf_idf", "WITH " + TOKENS_SQL.format(key="doc_id", text="text", table="documents").replace(
     "WHERE length(token) >= 2", "WHERE length(token) >= 2 AND token NOT IN ('the', 'and', 'of', 'de', 'la')")
-    + " SELECT k AS doc_id, token, round(weight, 6) AS weight FROM wt")
+    + " SELECT k AS doc_id, token, round_even(weight, 6) AS weight FROM wt")
 def tf_idf(spark, sf):
     docs = t.table(spark, sf, "documents").select("doc_id", "text")
     tok = c.tokens(docs, "doc_id", "text", STOP_WORDS)
@@ -177,7 +177,7 @@ def text_vocabulary(spark, sf):
 vocab AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS vec_id FROM (SELECT DISTINCT token FROM tok)),
 vec AS (SELECT token, embedding::DOUBLE[] AS v FROM vocab JOIN embeddings USING (vec_id)),
 cells AS (SELECT k, tf, unnest(generate_series(0, 63)) AS dim, unnest(v) AS x FROM tok JOIN vec USING (token))
-SELECT k AS p_partkey, dim, round(sum(tf * x) / sum(tf), 6) AS x FROM cells GROUP BY 1, 2""")
+SELECT k AS p_partkey, dim, round_even(sum(tf * x) / sum(tf), 6) AS x FROM cells GROUP BY 1, 2""")
 def mean_token_vectors(spark, sf):
     """Words of the part names with the vectors of the embeddings table, in order of the words."""
     p = t.table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"))
@@ -191,7 +191,7 @@ def mean_token_vectors(spark, sf):
 h AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id) AS pos FROM ratings QUALIFY pos <= 10),
 vec AS (SELECT vec_id AS item_id, embedding::DOUBLE[] AS v FROM embeddings),
 cells AS (SELECT user_id, pos, unnest(generate_series(0, 63)) AS dim, unnest(v) AS x FROM h JOIN vec USING (item_id))
-SELECT user_id, dim, round(avg(x), 6) AS mean, round(arg_min(x, pos), 6) AS recent FROM cells GROUP BY 1, 2""")
+SELECT user_id, dim, round_even(avg(x), 6) AS mean, round_even(arg_min(x, pos), 6) AS recent FROM cells GROUP BY 1, 2""")
 def history_summary(spark, sf):
     """The 10 newest items of each user, those that have a vector."""
     vecs = r.vectors(t.table(spark, sf, "embeddings").withColumnRenamed("vec_id", "item_id"), "item_id", "embedding")
@@ -200,7 +200,7 @@ def history_summary(spark, sf):
 
 @query("H17_dense_and_sparse", f"""WITH {GAPS_SQL}, s AS (SELECT c_custkey, coalesce(bal, 0) AS b, coalesce(seg, '-1') AS seg FROM gaps),
 v AS (SELECT seg, row_number() OVER (ORDER BY seg) - 1 AS code FROM (SELECT DISTINCT seg FROM s))
-SELECT c_custkey, CASE WHEN b > -1 THEN round(ln(1.0::DOUBLE + b), 6) ELSE -1.0::DOUBLE END AS bal, seg,
+SELECT c_custkey, CASE WHEN b > -1 THEN round_even(ln(1.0::DOUBLE + b), 6) ELSE -1.0::DOUBLE END AS bal, seg,
   array_to_string([(code = g)::INT FOR g IN [0, 1, 2, 3, 4, 5]], '') AS hot FROM s JOIN v USING (seg)""")
 def dense_and_sparse(spark, sf):
     out = f.dense_and_sparse(_gaps(spark, sf), ["bal"], ["seg"])
@@ -221,8 +221,8 @@ def assemble(spark, sf):
 
 
 @query("H19_second_order", """
-SELECT l_orderkey, l_linenumber, l_suppkey, round(l_quantity, 6) AS x, round(l_quantity * l_quantity, 6) AS xx,
-  round(l_discount, 6) AS y, round(l_quantity * l_discount, 6) AS xy, round(l_discount * l_discount, 6) AS yy FROM lineitem""")
+SELECT l_orderkey, l_linenumber, l_suppkey, round_even(l_quantity, 6) AS x, round_even(l_quantity * l_quantity, 6) AS xx,
+  round_even(l_discount, 6) AS y, round_even(l_quantity * l_discount, 6) AS xy, round_even(l_discount * l_discount, 6) AS yy FROM lineitem""")
 def second_order(spark, sf):
     li = t.table(spark, sf, "lineitem")
     rows = VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="v").transform(li)

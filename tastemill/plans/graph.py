@@ -26,7 +26,7 @@ r{i} AS (SELECT root, node, sum(m) AS m FROM (
     return out
 
 
-TAIL_SQL = """, sc AS (SELECT root AS user_id, CAST(substr(node, 2) AS BIGINT) AS item_id, round(m, 6) AS score
+TAIL_SQL = """, sc AS (SELECT root AS user_id, CAST(substr(node, 2) AS BIGINT) AS item_id, round_even(m, 6) AS score
   FROM {last} WHERE node LIKE 'i%')
 SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
 FROM sc WHERE NOT EXISTS (SELECT 1 FROM clicks c WHERE c.user_id = sc.user_id AND c.item_id = sc.item_id)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastemill.functions import scalar as fx
 from tastemill.operators import joins as j
 from tastemill.operators.ordering import top_k
 from tastemill.operators.similarity import drop_seen
@@ -54,12 +55,12 @@ def shown_until_last_click(spark, sf):
 
 @query("C4_lookup_with_default", """
 WITH sc AS (SELECT l_partkey AS k, avg(l_quantity) AS s FROM lineitem GROUP BY 1 HAVING count(*) >= 30)
-SELECT p_partkey, coalesce(round(s, 6), 0.0) AS score FROM part LEFT JOIN sc ON k = p_partkey""")
+SELECT p_partkey, coalesce(round_even(s, 6), 0.0) AS score FROM part LEFT JOIN sc ON k = p_partkey""")
 def lookup_with_default(spark, sf):
     sc = (
         t.table(spark, sf, "lineitem")
         .groupBy(F.col("l_partkey").alias("p_partkey"))
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("l_quantity"), 6).alias("score"))
+        .agg(F.count(F.lit(1)).alias("n"), fx.tidy(F.avg("l_quantity"), 6).alias("score"))
         .filter(F.col("n") >= 30)
     )
     return j.lookup(t.table(spark, sf, "part").select("p_partkey"), sc, "p_partkey", "score", 0.0)
@@ -134,13 +135,13 @@ def nearest_centroid(spark, sf):
 @query("C11_scoring_grid", """
 WITH b AS (SELECT DISTINCT p_brand FROM part), y AS (SELECT DISTINCT p_type FROM part), s AS (SELECT DISTINCT p_size FROM part),
 st AS (SELECT p_brand, p_type, p_size, avg(p_retailprice) AS price FROM part GROUP BY 1, 2, 3)
-SELECT b.p_brand, y.p_type, s.p_size, coalesce(round(price, 2), 0.0) AS score FROM b, y, s
+SELECT b.p_brand, y.p_type, s.p_size, coalesce(round_even(price, 2), 0.0) AS score FROM b, y, s
 LEFT JOIN st ON st.p_brand = b.p_brand AND st.p_type = y.p_type AND st.p_size = s.p_size""")
 def scoring_grid(spark, sf):
     """Every combination of brand, type and size, scored by the mean price seen for it."""
     p = t.table(spark, sf, "part")
     cells = j.grid([p.select(x).distinct() for x in ("p_brand", "p_type", "p_size")])
-    price = p.groupBy("p_brand", "p_type", "p_size").agg(F.round(F.avg("p_retailprice"), 2).alias("score"))
+    price = p.groupBy("p_brand", "p_type", "p_size").agg(fx.tidy(F.avg("p_retailprice"), 2).alias("score"))
     return cells.join(price, ["p_brand", "p_type", "p_size"], "left").select(
         "p_brand", "p_type", "p_size", F.coalesce("score", F.lit(0.0)).alias("score")
     )

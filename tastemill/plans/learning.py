@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastemill.functions import scalar as fx
 from tastemill.operators import learning as g
 from tastemill.operators import metrics as m
 from tastemill.operators import sequences as s
@@ -51,7 +52,7 @@ def leaf_features(spark, sf):
     train = data.filter("split = 'train'")
     enc = fit_encoder(train, NUMERIC, CATEGORICAL)
     model = g.LeafFeatures(enc.transform(train), trees=5, depth=3)
-    scored = model.score(enc.transform(data)).withColumn("p", F.round("p", 6))
+    scored = model.score(enc.transform(data)).withColumn("p", fx.tidy("p", 6))
     return m.classification_report(scored, "split", "label", "p")
 
 
@@ -105,7 +106,7 @@ def crossed_linear(spark, sf):
     li = t.table(spark, sf, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
     model = g.crossed_linear(["l_extendedprice", "l_discount"], "net").fit(li)
     return m.rating_errors(model.transform(li), "net", "prediction").select(
-        F.round("rmse", 2).alias("rmse"), F.round("r2", 4).alias("r2")
+        fx.tidy("rmse", 2).alias("rmse"), fx.tidy("r2", 4).alias("r2")
     )
 
 
@@ -113,13 +114,13 @@ def crossed_linear(spark, sf):
 WITH s AS (SELECT covar_pop(l_quantity, l_extendedprice) AS xy, var_pop(l_quantity) AS xx, avg(l_quantity) AS mx,
   avg(l_extendedprice) AS my, var_samp(l_quantity) AS vx, stddev_samp(l_extendedprice) AS sy, count(*) AS n FROM lineitem),
 k AS (SELECT xy / (xx + 0.1::DOUBLE / sy * vx) AS b, mx, my FROM s)
-SELECT round(b, 1) AS slope, round(my - b * mx, 0) AS intercept FROM k""")
+SELECT round_even(b, 1) AS slope, round_even(my - b * mx, 0) AS intercept FROM k""")
 def ridge(spark, sf):
     """Price from quantity: slope and intercept."""
     model = g.ridge(["l_quantity"], "l_extendedprice").fit(t.table(spark, sf, "lineitem")).stages[-1]
     return t.table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n")).select(
-        F.round(F.lit(float(model.coefficients[0])), 1).alias("slope"),
-        F.round(F.lit(float(model.intercept)), 0).alias("intercept"),
+        fx.tidy(F.lit(float(model.coefficients[0])), 1).alias("slope"),
+        fx.tidy(F.lit(float(model.intercept)), 0).alias("intercept"),
     )
 
 
@@ -141,5 +142,5 @@ def save_and_reload(spark, sf):
     a = g.probability(model.transform(data)).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("before"))
     b = g.probability(again.transform(data)).groupBy("split").agg(F.sum("p").alias("after"))
     return a.join(b, "split").select(
-        "split", "n", F.round("before", 3).alias("before"), F.round("after", 3).alias("after")
+        "split", "n", fx.tidy("before", 3).alias("before"), fx.tidy("after", 3).alias("after")
     )

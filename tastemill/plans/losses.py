@@ -19,18 +19,18 @@ def _pairs(spark, sf):
 
 
 @query("O1_bpr", f"""WITH {PAIR_SQL}
-SELECT round(sum(ln(1.0::DOUBLE + exp(-(pos - neg)))), 4) AS bpr_sum, round(avg(ln(1.0::DOUBLE + exp(-(pos - neg)))), 6) AS bpr_mean FROM pr""")
+SELECT round_even(sum(ln(1.0::DOUBLE + exp(-(pos - neg)))), 4) AS bpr_sum, round_even(avg(ln(1.0::DOUBLE + exp(-(pos - neg)))), 6) AS bpr_mean FROM pr""")
 def bpr(spark, sf):
     return o.bpr(_pairs(spark, sf), "pos", "neg")
 
 
-@query("O2_pairwise_hinge", f"WITH {PAIR_SQL} SELECT round(sum(greatest(0.0::DOUBLE, 1.0::DOUBLE - (pos - neg))), 4) AS hinge FROM pr")
+@query("O2_pairwise_hinge", f"WITH {PAIR_SQL} SELECT round_even(sum(greatest(0.0::DOUBLE, 1.0::DOUBLE - (pos - neg))), 4) AS hinge FROM pr")
 def pairwise_hinge(spark, sf):
     return o.pairwise_hinge(_pairs(spark, sf), "pos", "neg")
 
 
 @query("O3_top1", f"""WITH {PAIR_SQL}
-SELECT round(avg(1.0::DOUBLE / (1.0::DOUBLE + exp(pos - neg)) + 1.0::DOUBLE / (1.0::DOUBLE + exp(-neg * neg))), 6) AS top1 FROM pr""")
+SELECT round_even(avg(1.0::DOUBLE / (1.0::DOUBLE + exp(pos - neg)) + 1.0::DOUBLE / (1.0::DOUBLE + exp(-neg * neg))), 6) AS top1 FROM pr""")
 def top1(spark, sf):
     return o.top1(_pairs(spark, sf), "pos", "neg")
 
@@ -41,7 +41,7 @@ w AS (SELECT *, fl / max(fl) OVER (PARTITION BY batch) AS weight, v[1:32] AS u,
 z AS (SELECT a.batch, a.vec_id, any_value(a.weight) AS weight, ln(sum(exp(list_dot_product(a.u, b.i)))) AS lse,
   sum(CASE WHEN a.vec_id = b.vec_id THEN list_dot_product(a.u, b.i) ELSE 0 END) AS own
   FROM w a JOIN w b USING (batch) GROUP BY 1, 2)
-SELECT batch, round(avg((lse - own) * weight), 6) AS loss FROM z GROUP BY 1""")
+SELECT batch, round_even(avg((lse - own) * weight), 6) AS loss FROM z GROUP BY 1""")
 def in_batch_softmax(spark, sf):
     """Halves of the vectors as user and item, batches of 128, weighted by the normalised value."""
     v = F.col("v")
@@ -63,13 +63,13 @@ def _real(spark, sf):
 
 
 @query("O5_listwise_softmax", REAL_SQL + """, s AS (SELECT l_orderkey, sum(label) * ln(sum(exp(z))) - sum(label * z) AS l FROM rl GROUP BY 1)
-SELECT round(avg(l), 6) AS softmax FROM s""")
+SELECT round_even(avg(l), 6) AS softmax FROM s""")
 def listwise_softmax(spark, sf):
     return o.listwise_softmax(_real(spark, sf), ["l_orderkey"], "label", "z")
 
 
 @query("O5_list_mle", REAL_SQL + """, s AS (SELECT l_orderkey, ln(sum(exp(z)) OVER (PARTITION BY l_orderkey
   ORDER BY label DESC, tie ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) - z AS l FROM rl),
-g AS (SELECT l_orderkey, sum(l) AS l FROM s GROUP BY 1) SELECT round(avg(l), 6) AS list_mle FROM g""")
+g AS (SELECT l_orderkey, sum(l) AS l FROM s GROUP BY 1) SELECT round_even(avg(l), 6) AS list_mle FROM g""")
 def list_mle(spark, sf):
     return o.list_mle(_real(spark, sf), ["l_orderkey"], "label", "z", "tie")

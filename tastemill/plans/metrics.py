@@ -44,15 +44,15 @@ def split_and_recs(spark, sf):
 @query("N1_recall_precision", "WITH " + REC_SQL + """,
 a AS (SELECT recs.* FROM recs WHERE user_id IN (SELECT user_id FROM truth)),
 h AS (SELECT count(*) AS h FROM a JOIN truth USING (user_id, item_id))
-SELECT round(h * 100.0::DOUBLE / (SELECT count(*) FROM truth), 2) AS recall,
-  round(h * 100.0::DOUBLE / (SELECT count(*) FROM a), 2) AS precision FROM h""")
+SELECT round_even(h * 100.0::DOUBLE / (SELECT count(*) FROM truth), 2) AS recall,
+  round_even(h * 100.0::DOUBLE / (SELECT count(*) FROM a), 2) AS precision FROM h""")
 def recall_precision(spark, sf):
     _, truth, recs = split_and_recs(spark, sf)
     return m.recall_precision(recs, truth)
 
 
 @query("N2_coverage", "WITH " + REC_SQL + """
-SELECT round(count(DISTINCT item_id) * 100.0::DOUBLE / (SELECT count(DISTINCT item_id) FROM train
+SELECT round_even(count(DISTINCT item_id) * 100.0::DOUBLE / (SELECT count(DISTINCT item_id) FROM train
   WHERE user_id IN (SELECT user_id FROM recs)), 2) AS coverage FROM recs""")
 def coverage(spark, sf):
     train, _, recs = split_and_recs(spark, sf)
@@ -60,14 +60,14 @@ def coverage(spark, sf):
 
 
 @query("N3_popularity", "WITH " + REC_SQL + """, c AS (SELECT item_id, count(*) AS n FROM train GROUP BY 1)
-SELECT round(avg(ln(1.0::DOUBLE + coalesce(n, 0))), 6) AS popularity FROM recs LEFT JOIN c USING (item_id)""")
+SELECT round_even(avg(ln(1.0::DOUBLE + coalesce(n, 0))), 6) AS popularity FROM recs LEFT JOIN c USING (item_id)""")
 def popularity(spark, sf):
     train, _, recs = split_and_recs(spark, sf)
     return m.mean_popularity(recs, train)
 
 
 @query("N4_hit_rate", "WITH " + REC_SQL + """
-SELECT round((SELECT count(*) FROM recs JOIN truth USING (user_id, item_id) WHERE rank <= 5)::DOUBLE
+SELECT round_even((SELECT count(*) FROM recs JOIN truth USING (user_id, item_id) WHERE rank <= 5)::DOUBLE
   / (SELECT count(*) FROM truth), 6) AS hit_rate""")
 def hit_rate(spark, sf):
     _, truth, recs = split_and_recs(spark, sf)
@@ -89,13 +89,13 @@ def _ranks(spark, sf):
     return w.competition_rank(scored, truth, ["user_id"], "item_id")
 
 
-@query("N5_mrr", RANK_SQL + " SELECT round(avg(1.0::DOUBLE / rank), 6) AS mrr FROM ranks")
+@query("N5_mrr", RANK_SQL + " SELECT round_even(avg(1.0::DOUBLE / rank), 6) AS mrr FROM ranks")
 def mrr(spark, sf):
     return m.mrr(_ranks(spark, sf))
 
 
 @query("N6_recall_at_cuts", RANK_SQL + " SELECT " + ", ".join(
-    f"round(avg((rank <= {k})::INT::DOUBLE), 6) AS recall_{k}" for k in (1, 5, 10, 50)) + " FROM ranks")
+    f"round_even(avg((rank <= {k})::INT::DOUBLE), 6) AS recall_{k}" for k in (1, 5, 10, 50)) + " FROM ranks")
 def recall_at_cuts(spark, sf):
     return m.recall_at(_ranks(spark, sf))
 
@@ -104,9 +104,9 @@ def recall_at_cuts(spark, sf):
 sz AS (SELECT user_id, count(*) AS rel FROM truth GROUP BY 1),
 h AS (SELECT user_id, rank, row_number() OVER (PARTITION BY user_id ORDER BY rank) AS i FROM recs JOIN truth USING (user_id, item_id)),
 p AS (SELECT user_id, count(*) AS h, sum(i::DOUBLE / rank) AS ap, sum(1.0::DOUBLE / log2(rank + 1.0::DOUBLE)) AS dcg FROM h GROUP BY 1)
-SELECT round(avg(coalesce(ap / least(rel, 10), 0)), 6) AS map,
-  round(avg(coalesce(dcg / list_sum([1.0::DOUBLE / log2(g + 1.0::DOUBLE) FOR g IN generate_series(1, least(rel, 10))]), 0)), 6) AS ndcg,
-  round(avg(coalesce(h / 10.0::DOUBLE, 0)), 6) AS precision, round(avg(coalesce(h::DOUBLE / rel, 0)), 6) AS recall
+SELECT round_even(avg(coalesce(ap / least(rel, 10), 0)), 6) AS map,
+  round_even(avg(coalesce(dcg / list_sum([1.0::DOUBLE / log2(g + 1.0::DOUBLE) FOR g IN generate_series(1, least(rel, 10))]), 0)), 6) AS ndcg,
+  round_even(avg(coalesce(h / 10.0::DOUBLE, 0)), 6) AS precision, round_even(avg(coalesce(h::DOUBLE / rel, 0)), 6) AS recall
 FROM sz LEFT JOIN p USING (user_id)""")
 def ranking_at_k(spark, sf):
     _, truth, recs = split_and_recs(spark, sf)
@@ -124,24 +124,24 @@ def _pairs(spark, sf):
 
 
 @query("N8_rating_errors", PAIR_SQL + """
-SELECT round(sqrt(avg((rating - prediction) * (rating - prediction))), 6) AS rmse, round(avg(abs(rating - prediction)), 6) AS mae,
- round(1.0::DOUBLE - avg((rating - prediction) * (rating - prediction)) / var_pop(rating), 6) AS r2,
- round(1.0::DOUBLE - var_pop(rating - prediction) / var_pop(rating), 6) AS explained_variance FROM pairs""")
+SELECT round_even(sqrt(avg((rating - prediction) * (rating - prediction))), 6) AS rmse, round_even(avg(abs(rating - prediction)), 6) AS mae,
+ round_even(1.0::DOUBLE - avg((rating - prediction) * (rating - prediction)) / var_pop(rating), 6) AS r2,
+ round_even(1.0::DOUBLE - var_pop(rating - prediction) / var_pop(rating), 6) AS explained_variance FROM pairs""")
 def rating_errors(spark, sf):
     return m.rating_errors(_pairs(spark, sf))
 
 
 @query("N9_log_loss", PAIR_SQL + """, b AS (SELECT min(prediction) AS lo, max(prediction) AS hi FROM pairs),
 q AS (SELECT (rating >= 25)::INT AS y, least(greatest((prediction - lo) / (hi - lo), 1e-15::DOUBLE), 1.0::DOUBLE - 1e-15::DOUBLE) AS p FROM pairs, b)
-SELECT round(-avg(y * ln(p) + (1 - y) * ln(1.0::DOUBLE - p)), 5) AS log_loss FROM q""")
+SELECT round_even(-avg(y * ln(p) + (1 - y) * ln(1.0::DOUBLE - p)), 5) AS log_loss FROM q""")
 def log_loss(spark, sf):
     """Predictions scaled to 0..1 first."""
     scaled = f.min_max(_pairs(spark, sf), "prediction", "p").withColumn("y", (F.col("rating") >= 25).cast("int"))
-    return m.log_loss(scaled, "y", "p").select(F.round("log_loss", 5).alias("log_loss"))
+    return m.log_loss(scaled, "y", "p").select(fx.tidy("log_loss", 5).alias("log_loss"))
 
 
 SCORE_SQL = f"""sc AS (SELECT event_id, (event_type IN ('click', 'purchase'))::INT AS y,
-  round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(value - 60) / 50)), 2) AS p,
+  round_even(1.0::DOUBLE / (1.0::DOUBLE + exp(-(value - 60) / 50)), 2) AS p,
   CASE WHEN {t.bucket_sql(10000, 'event_id')} < 8000 THEN 'train' ELSE 'test' END AS split FROM events)"""
 
 
@@ -154,30 +154,30 @@ def _scored(spark, sf):
 
 
 @query("N10_auc", f"""WITH {SCORE_SQL}, r AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS r FROM sc)
-SELECT round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y)::DOUBLE * sum(1 - y)), 6) AS auc FROM r""")
+SELECT round_even((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y)::DOUBLE * sum(1 - y)), 6) AS auc FROM r""")
 def auc(spark, sf):
     return m.auc(_scored(spark, sf), "y", "p")
 
 
-@query("N11_accuracy", f"WITH {SCORE_SQL} SELECT round(avg(((p >= 0.5)::INT = y)::INT::DOUBLE), 6) AS accuracy FROM sc")
+@query("N11_accuracy", f"WITH {SCORE_SQL} SELECT round_even(avg(((p >= 0.5)::INT = y)::INT::DOUBLE), 6) AS accuracy FROM sc")
 def accuracy(spark, sf):
     return m.accuracy(_scored(spark, sf), "y", "p")
 
 
 @query("N12_classification_report", f"""WITH {SCORE_SQL},
 r AS (SELECT *, rank() OVER (PARTITION BY split ORDER BY p) + (count(*) OVER (PARTITION BY split, p) - 1) / 2.0::DOUBLE AS r, p >= 0.5 AS z FROM sc)
-SELECT split, round(avg((z::INT = y)::INT::DOUBLE), 6) AS accuracy,
- round(count(*) FILTER (z AND y = 1)::DOUBLE / count(*) FILTER (z), 6) AS precision,
- round(count(*) FILTER (z AND y = 1)::DOUBLE / count(*) FILTER (y = 1), 6) AS recall,
- round(2.0::DOUBLE * count(*) FILTER (z AND y = 1) / (2 * count(*) FILTER (z AND y = 1) + count(*) FILTER (z AND y = 0)
+SELECT split, round_even(avg((z::INT = y)::INT::DOUBLE), 6) AS accuracy,
+ round_even(count(*) FILTER (z AND y = 1)::DOUBLE / count(*) FILTER (z), 6) AS precision,
+ round_even(count(*) FILTER (z AND y = 1)::DOUBLE / count(*) FILTER (y = 1), 6) AS recall,
+ round_even(2.0::DOUBLE * count(*) FILTER (z AND y = 1) / (2 * count(*) FILTER (z AND y = 1) + count(*) FILTER (z AND y = 0)
    + count(*) FILTER (NOT z AND y = 1)), 6) AS f1,
- round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y)::DOUBLE * sum(1 - y)), 6) AS auc
+ round_even((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y)::DOUBLE * sum(1 - y)), 6) AS auc
 FROM r GROUP BY 1""")
 def classification_report(spark, sf):
     return m.classification_report(_scored(spark, sf), "split", "y", "p")
 
 
-@query("N13_top_100_accuracy", RANK_SQL + " SELECT round(avg((rank <= 100)::INT::DOUBLE), 6) AS recall_100 FROM ranks")
+@query("N13_top_100_accuracy", RANK_SQL + " SELECT round_even(avg((rank <= 100)::INT::DOUBLE), 6) AS recall_100 FROM ranks")
 def top_100_accuracy(spark, sf):
     return m.recall_at(_ranks(spark, sf), (100,))
 
@@ -212,7 +212,7 @@ def _ndcg_sql() -> str:
         return f"""(SELECT l_orderkey, {cells} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}, tie) AS r
   FROM ls WHERE label >= 0) GROUP BY 1)"""
 
-    out = ", ".join(f"round(avg(d{k} / i{k}), 6) AS ndcg_{k}" for k in (1, 3, 5, 10))
+    out = ", ".join(f"round_even(avg(d{k} / i{k}), 6) AS ndcg_{k}" for k in (1, 3, 5, 10))
     return f"WITH {LIST_SQL} SELECT {out} FROM {part('score DESC', 'd')} a JOIN {part('label DESC', 'i')} b USING (l_orderkey) WHERE i10 > 0"
 
 

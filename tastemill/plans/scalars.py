@@ -12,7 +12,7 @@ from tastemill.plans.registry import query
 
 
 @query("G1_time_closeness", """
-SELECT l_orderkey, l_linenumber, l_suppkey, round(1.0::DOUBLE / (1.0::DOUBLE +
+SELECT l_orderkey, l_linenumber, l_suppkey, round_even(1.0::DOUBLE / (1.0::DOUBLE +
   abs(floor(epoch(o_orderdate)) - floor(epoch(l_shipdate))) / 86400.0::DOUBLE), 6) AS closeness
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def time_closeness(spark, sf):
@@ -32,7 +32,7 @@ def recency(spark, sf):
 
 
 @query("G3_activity_damping", """
-SELECT o_custkey, round(1.0::DOUBLE / log10(1.0::DOUBLE + count(*)), 6) AS damping FROM orders GROUP BY 1""")
+SELECT o_custkey, round_even(1.0::DOUBLE / log10(1.0::DOUBLE + count(*)), 6) AS damping FROM orders GROUP BY 1""")
 def activity_damping(spark, sf):
     n = t.table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     return n.select("o_custkey", fx.tidy(fx.activity_damping(F.col("n"))).alias("damping"))
@@ -85,7 +85,7 @@ def point_text(spark, sf):
 
 
 @query("G9_guarded_log1p", """
-SELECT c_custkey, CASE WHEN c_acctbal > -1 THEN round(ln(1.0::DOUBLE + c_acctbal), 6) ELSE -1.0::DOUBLE END AS v
+SELECT c_custkey, CASE WHEN c_acctbal > -1 THEN round_even(ln(1.0::DOUBLE + c_acctbal), 6) ELSE -1.0::DOUBLE END AS v
 FROM customer""")
 def guarded_log1p(spark, sf):
     return t.table(spark, sf, "customer").select("c_custkey", fx.tidy(fx.guarded_log1p(F.col("c_acctbal"))).alias("v"))
@@ -128,7 +128,7 @@ def hash_bucket(spark, sf):
 
 
 @query("G14_sigmoid", """
-SELECT l_orderkey, l_linenumber, l_suppkey, round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(l_quantity - 25) / 10)), 6) AS p
+SELECT l_orderkey, l_linenumber, l_suppkey, round_even(1.0::DOUBLE / (1.0::DOUBLE + exp(-(l_quantity - 25) / 10)), 6) AS p
 FROM lineitem""")
 def sigmoid(spark, sf):
     z = (F.col("l_quantity") - 25) / 10
@@ -139,8 +139,8 @@ def sigmoid(spark, sf):
 
 @query("G15_dot_norm_cosine", """
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
-SELECT a.vec_id, round(list_dot_product(a.v, b.v), 6) AS dot, round(sqrt(list_dot_product(a.v, a.v)), 6) AS norm,
-  round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM e a JOIN e b ON b.vec_id = a.vec_id + 1""")
+SELECT a.vec_id, round_even(list_dot_product(a.v, b.v), 6) AS dot, round_even(sqrt(list_dot_product(a.v, a.v)), 6) AS norm,
+  round_even(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM e a JOIN e b ON b.vec_id = a.vec_id + 1""")
 def dot_norm_cosine(spark, sf):
     """Each vector against the next one."""
     e = t.table(spark, sf, "embeddings").select("vec_id", vx.as_double("embedding").alias("v"))
@@ -156,8 +156,8 @@ def dot_norm_cosine(spark, sf):
 
 @query("G16_position_table", """
 WITH h AS (SELECT conv_id, turn, (max(turn) OVER (PARTITION BY conv_id) - turn) AS age FROM conversations)
-SELECT conv_id, turn, round(sin(age), 6) AS d0, round(cos(age / pow(10000.0::DOUBLE, 0.5::DOUBLE)), 6) AS d1,
-  round(sin(age / 10000.0::DOUBLE), 6) AS d2 FROM h""")
+SELECT conv_id, turn, round_even(sin(age), 6) AS d0, round_even(cos(age / pow(10000.0::DOUBLE, 0.5::DOUBLE)), 6) AS d1,
+  round_even(sin(age / 10000.0::DOUBLE), 6) AS d2 FROM h""")
 def position_table(spark, sf):
     """Encoding of each turn by its distance from the newest one."""
     c = t.table(spark, sf, "conversations")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastemill.functions import scalar as fx
 from tastemill.operators.ordering import list_parts
 from tastemill.plans import tables as t
 from tastemill.plans.registry import query
@@ -120,8 +121,8 @@ def csv_export(spark, sf):
 
 
 @query("A10_matrix_export", """
-SELECT l_returnflag AS label, count(*) AS n, round(sum(l_quantity), 2) AS quantity,
-       round(sum(l_discount), 2) AS discount, 3 AS num_features FROM lineitem GROUP BY 1""")
+SELECT l_returnflag AS label, count(*) AS n, round_even(sum(l_quantity), 2) AS quantity,
+       round_even(sum(l_discount), 2) AS discount, 3 AS num_features FROM lineitem GROUP BY 1""")
 def matrix_export(spark, sf):
     li = t.table(spark, sf, "lineitem").select(
         F.col("l_returnflag").alias("label"), F.array("l_quantity", "l_discount", "l_tax").alias("features")
@@ -129,8 +130,8 @@ def matrix_export(spark, sf):
     back = spark.read.parquet(w.write_matrix(li, scratch_path(spark, "matrix"), "features", 3))
     return back.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.sum(F.col("features")[0]), 2).alias("quantity"),
-        F.round(F.sum(F.col("features")[1]), 2).alias("discount"),
+        fx.tidy(F.sum(F.col("features")[0]), 2).alias("quantity"),
+        fx.tidy(F.sum(F.col("features")[1]), 2).alias("discount"),
         F.lit(w.matrix_width(back, "features")).alias("num_features"),
     )
 

@@ -22,11 +22,11 @@ def order_by_client_score(spark, sf):
 
 
 @query("S2_global_top_n", """
-SELECT l_partkey AS item_id, round(sum(l_quantity), 3) AS score FROM lineitem GROUP BY 1
-ORDER BY round(sum(l_quantity), 3) DESC, l_partkey LIMIT 20""")
+SELECT l_partkey AS item_id, round_even(sum(l_quantity), 3) AS score FROM lineitem GROUP BY 1
+ORDER BY round_even(sum(l_quantity), 3) DESC, l_partkey LIMIT 20""")
 def global_top_n(spark, sf):
     sc = t.table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("item_id")).agg(
-        F.round(F.sum("l_quantity"), 3).alias("score")
+        fx.tidy(F.sum("l_quantity"), 3).alias("score")
     )
     return s.top_overall(sc, 20, F.desc("score"), "item_id")
 

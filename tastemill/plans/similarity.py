@@ -25,7 +25,7 @@ sim0 AS (
   JOIN gsize g ON g.g = x.{group}
   GROUP BY 1, 2),
 sim AS (
-  SELECT a, b, round(s / sqrt(p.n::DOUBLE * q.n::DOUBLE), 6) AS score
+  SELECT a, b, round_even(s / sqrt(p.n::DOUBLE * q.n::DOUBLE), 6) AS score
   FROM sim0 JOIN msize p ON p.m = a JOIN msize q ON q.m = b),
 sims2 AS (SELECT a, b, score FROM sim UNION ALL SELECT b, a, score FROM sim)"""
 
@@ -96,7 +96,7 @@ def item_similarity_damped(spark, sf):
     + """, seed AS (
   SELECT user_id, item_id FROM ratings
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id) <= 3)
-SELECT s.user_id, n.b AS item_id, round(sum(n.score), 6) AS score
+SELECT s.user_id, n.b AS item_id, round_even(sum(n.score), 6) AS score
 FROM seed s JOIN near n ON n.a = s.item_id
 WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = s.user_id AND r.item_id = n.b)
 GROUP BY 1, 2""",
@@ -151,7 +151,7 @@ def user_based_recommend(spark, sf):
     + _cooc_sql("item_id", "user_id", "base")
     + _top_sql(20)
     + """, scored AS (
-  SELECT n.a AS user_id, r.item_id, round(sum(n.score), 6) AS score
+  SELECT n.a AS user_id, r.item_id, round_even(sum(n.score), 6) AS score
   FROM near n JOIN ratings r ON r.user_id = n.b
   WHERE NOT EXISTS (SELECT 1 FROM ratings s WHERE s.user_id = n.a AND s.item_id = r.item_id)
   GROUP BY 1, 2)
@@ -169,7 +169,7 @@ def user_cf_top_n(spark, sf):
     + _cooc_sql("user_id", "item_id", "base")
     + _top_sql(20)
     + """, scored AS (
-  SELECT r.user_id, n.b AS item_id, round(sum(n.score), 6) AS score
+  SELECT r.user_id, n.b AS item_id, round_even(sum(n.score), 6) AS score
   FROM ratings r JOIN near n ON n.a = r.item_id
   WHERE NOT EXISTS (SELECT 1 FROM ratings s WHERE s.user_id = r.user_id AND s.item_id = n.b)
   GROUP BY 1, 2)
@@ -201,7 +201,7 @@ def _pearson_sql(group: str, member: str) -> str:
          sum(x.rating * y.rating) AS xy, sum(x.rating * x.rating) AS xx, sum(y.rating * y.rating) AS yy
   FROM valued x JOIN valued y ON x.{group} = y.{group} AND x.{member} < y.{member} GROUP BY 1, 2),
 sim AS (
-  SELECT a, b, round((n * xy - x * y) / nullif(sqrt(greatest(n * xx - x * x, 0) * greatest(n * yy - y * y, 0)), 0), 6)
+  SELECT a, b, round_even((n * xy - x * y) / nullif(sqrt(greatest(n * xx - x * x, 0) * greatest(n * yy - y * y, 0)), 0), 6)
          AS score FROM s),
 sims2 AS (SELECT a, b, score FROM sim WHERE score IS NOT NULL
          UNION ALL SELECT b, a, score FROM sim WHERE score IS NOT NULL)"""
@@ -215,7 +215,7 @@ wanted AS (
   JOIN valued r ON r.{other} = t.{other} AND r.{member} = b.b JOIN means q ON q.m = b.b
   QUALIFY row_number() OVER (PARTITION BY t.user_id, t.item_id ORDER BY b.score DESC, b.b) <= 2)
 SELECT user_id, item_id,
-       round(any_value(mean) + sum(score * dev) / nullif(round(sum(score), 6), 0), 5) AS prediction
+       round_even(any_value(mean) + sum(score * dev) / nullif(round_even(sum(score), 6), 0), 5) AS prediction
 FROM wanted JOIN means ON m = {member} GROUP BY 1, 2"""
 
 
@@ -253,7 +253,7 @@ def item_pearson_predict(spark, sf):
 ov AS (SELECT u, v, count(*) AS c FROM up GROUP BY 1, 2 HAVING count(*) >= 2),
 cm AS (SELECT up.u, up.v, up.item_id, 1.0::DOUBLE / (0.5::DOUBLE + c) AS w FROM up JOIN ov ON up.u = ov.u AND up.v = ov.v),
 sim AS (
-  SELECT x.item_id AS a, y.item_id AS b, round(sum(x.w), 6) AS score
+  SELECT x.item_id AS a, y.item_id AS b, round_even(sum(x.w), 6) AS score
   FROM cm x JOIN cm y ON x.u = y.u AND x.v = y.v AND x.item_id < y.item_id GROUP BY 1, 2),
 sims2 AS (SELECT a, b, score FROM sim UNION ALL SELECT b, a, score FROM sim)"""
     + _top_sql(2)
@@ -289,7 +289,7 @@ ends AS (SELECT user_id,
    CASE WHEN count(*) < (SELECT count(DISTINCT item_id) FROM ev) THEN 0.0 ELSE min(unit) END * (SELECT min(w) FROM ev) AS lo,
    max(unit) * (SELECT max(w) FROM ev) AS hi FROM raw GROUP BY 1),
 scored AS (
-  SELECT r.user_id, r.item_id, round((SELECT min(w) FROM ev) + ((SELECT max(w) FROM ev) - (SELECT min(w) FROM ev))
+  SELECT r.user_id, r.item_id, round_even((SELECT min(w) FROM ev) + ((SELECT max(w) FROM ev) - (SELECT min(w) FROM ev))
       * ((raw - lo) / nullif(hi - lo, 0)), 6) AS score
   FROM raw r JOIN ends e ON e.user_id = r.user_id
   WHERE NOT EXISTS (SELECT 1 FROM taken k WHERE k.user_id = r.user_id AND k.item_id = r.item_id))
@@ -309,7 +309,7 @@ def sar_top_k(spark, sf):
     + """, nrm AS (SELECT item_id, sqrt(sum(rating * rating)) AS l FROM ratings GROUP BY 1),
 d AS (SELECT x.item_id AS a, y.item_id AS b, sum(x.rating * y.rating) AS d FROM ratings x
   JOIN ratings y ON x.user_id = y.user_id AND x.item_id <> y.item_id GROUP BY 1, 2),
-near AS (SELECT a, b, round(1.0::DOUBLE - d / (p.l * q.l), 6) AS distance
+near AS (SELECT a, b, round_even(1.0::DOUBLE - d / (p.l * q.l), 6) AS distance
   FROM d JOIN nrm p ON p.item_id = a JOIN nrm q ON q.item_id = b
   UNION ALL SELECT item_id, item_id, 0.0::DOUBLE FROM nrm)
 SELECT a AS item_id, b AS similar_id, distance, row_number() OVER (PARTITION BY a ORDER BY distance, b) AS rank

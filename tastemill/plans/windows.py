@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastemill.functions import scalar as fx
 from tastemill.operators import aggregates as a
 from tastemill.operators import windows as w
 from tastemill.operators.ordering import position, previous_rows, running, top_k
@@ -30,12 +31,12 @@ def last_user_agent(spark, sf):
 
 
 @query("E3_top_k_per_group", """
-WITH n AS (SELECT l_suppkey, l_partkey, count(*) AS n, round(sum(l_extendedprice), 2) AS revenue FROM lineitem GROUP BY 1, 2)
+WITH n AS (SELECT l_suppkey, l_partkey, count(*) AS n, round_even(sum(l_extendedprice), 2) AS revenue FROM lineitem GROUP BY 1, 2)
 SELECT l_suppkey, l_partkey, revenue, row_number() OVER (PARTITION BY l_suppkey ORDER BY revenue DESC, l_partkey) AS rank
 FROM n QUALIFY rank <= 10""")
 def top_k_per_group(spark, sf):
     n = t.table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(
-        F.round(F.sum("l_extendedprice"), 2).alias("revenue")
+        fx.tidy(F.sum("l_extendedprice"), 2).alias("revenue")
     )
     return top_k(n, ["l_suppkey"], [F.desc("revenue"), "l_partkey"], 10)
 
@@ -95,10 +96,10 @@ def first_rows_per_user(spark, sf):
 
 
 @query("E9_share_after_top_k", """
-WITH s AS (SELECT user_id, event_type, round(sum(value), 2) AS score FROM events GROUP BY 1, 2
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(sum(value), 2) DESC, event_type) <= 3)
+WITH s AS (SELECT user_id, event_type, round_even(sum(value), 2) AS score FROM events GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round_even(sum(value), 2) DESC, event_type) <= 3)
 SELECT user_id, event_type, score, round_even(CASE WHEN sum(score) OVER (PARTITION BY user_id) = 0 THEN 0
   ELSE score / sum(score) OVER (PARTITION BY user_id) END, 3)::DOUBLE AS share FROM s""")
 def share_after_top_k(spark, sf):
-    s = t.table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.round(F.sum("value"), 2).alias("score"))
+    s = t.table(spark, sf, "events").groupBy("user_id", "event_type").agg(fx.tidy(F.sum("value"), 2).alias("score"))
     return share_of_group(top_k(s, ["user_id"], [F.desc("score"), "event_type"], 3), "user_id", "score").drop("rank")
