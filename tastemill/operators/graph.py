@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
-from tastemill.operators.ordering import top_k
+from tastemill.operators.ordering import dense_index, top_k
 from tastemill.operators.sets import mirrored_edges
 from tastemill.session import cut_lineage
 
-#: Edges of one node that meet the rank rows of the node in one task.
+#: Edges of one node in one tile.
 FAN = 10_000
+#: Edges of one tile, on average.
+EDGES = 250_000
+#: Roots whose walks move together.
+ROOTS = 128
+#: Cells of a table a task may hold.
+DENSE = 8_000_000
 
 
 def bipartite_graph(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
@@ -31,54 +39,132 @@ def transition_weights(edges: DataFrame, decimals: int | None = 3) -> DataFrame:
     )
 
 
-def _fanned(weights: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges cut into fans of about FAN per source, and the number of fans of each source."""
-    fans = weights.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("_fans"))
-    edges = weights.join(fans, "src").withColumn("_fan", F.pmod(F.xxhash64("dst"), F.col("_fans")).cast("int"))
-    return edges.select("src", "dst", "weight", "_fan"), fans
+class WalkGraph:
+    """The weighted graph with numbered nodes, cut into tiles for the walks.
 
-
-def _step(rank: DataFrame, edges: DataFrame, fans: DataFrame) -> DataFrame:
-    """One step of every walk: (root, node, mass) moved along the weighted edges.
-
-    A node with many edges has its rank rows copied to each of its fans, so the
-    join key is never hotter than FAN edges.
+    Nodes carry dense numbers while the walks run. Sources are hashed into
+    blocks of about EDGES edges, and the edges of a source with more than FAN of
+    them are spread over several fans, so no tile holds a hot node whole. Roots
+    are hashed into blocks of about ROOTS. One task moves one block of walks
+    along one tile of edges and hands on the sums, not the single products.
     """
-    spread = rank.join(fans, rank["node"] == fans["src"]).select(
-        "root", "src", "mass", F.explode(F.sequence(F.lit(0), F.col("_fans") - 1)).alias("_fan")
-    )
-    moved = spread.join(edges, ["src", "_fan"]).select(
-        "root", F.col("dst").alias("node"), (F.col("mass") * F.col("weight")).alias("mass")
-    )
-    return moved.groupBy("root", "node").agg(F.sum("mass").alias("mass"))
-
-
-def _roots(df: DataFrame, user: str) -> DataFrame:
-    node = F.struct(F.lit("user").alias("kind"), F.col(user).alias("id"))
-    return df.select(user).distinct().select(F.col(user).alias("root"), node.alias("node"))
-
 
-def _prepared(df: DataFrame, user: str, item: str, decimals: int | None) -> tuple[DataFrame, DataFrame]:
-    edges, fans = _fanned(transition_weights(bipartite_graph(df, user, item), decimals))
-    return cut_lineage(edges), cut_lineage(fans)
+    def __init__(self, df: DataFrame, user: str, item: str, decimals: int | None, roots: DataFrame | None = None):
+        self.user, self.item = user, item
+        edges = bipartite_graph(df, user, item)
+        self.nodes = cut_lineage(dense_index(edges.select(F.col("src").alias("node")), "node", "nid", start=0))
+        number = self.nodes
+        numbered = (
+            transition_weights(edges, decimals)
+            .join(number.withColumnsRenamed({"node": "src", "nid": "sid"}), "src")
+            .join(number.withColumnsRenamed({"node": "dst", "nid": "did"}), "dst")
+            .select("sid", "did", "weight")
+        )
+        fans = numbered.groupBy("sid").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("_fans"))
+        self.fans = cut_lineage(fans)
+        wanted = number.filter(F.col("node.kind") == "user")
+        if roots is not None:
+            wanted = wanted.join(roots.select(F.col(user).alias("_u")).distinct(), F.col("node.id") == F.col("_u"), "left_semi")
+        self.roots = cut_lineage(wanted.select(F.col("nid").alias("root")))
+        self.root_blocks = max(1, -(-self.roots.count() // ROOTS))
+        tagged = numbered.join(self.fans, "sid").withColumn("_fan", F.pmod(F.xxhash64("did"), F.col("_fans")).cast("int"))
+        tagged = cut_lineage(tagged.drop("_fans"))
+        self.source_blocks = max(1, -(-tagged.count() // EDGES))
+        self.edges = tagged.withColumn("_sb", self._source_block()).select(
+            "sid", "did", "weight", "_fan", "_sb", F.explode(F.sequence(F.lit(0), F.lit(self.root_blocks - 1))).alias("_rb")
+        )
+
+    def _source_block(self) -> Column:
+        return F.pmod(F.xxhash64("sid"), F.lit(self.source_blocks)).cast("int")
+
+    def start(self) -> DataFrame:
+        """All mass of every root at the root itself."""
+        return self.roots.select("root", F.col("root").alias("nid"), F.lit(1.0).alias("mass"))
+
+    def step(self, rank: DataFrame) -> DataFrame:
+        """(root, nid, mass) rows after one step along the weighted edges, to be summed per root and node."""
+        spread = (
+            rank.select("root", F.col("nid").alias("sid"), "mass")
+            .join(self.fans, "sid")
+            .withColumn("_sb", self._source_block())
+            .select(
+                "root",
+                "sid",
+                "mass",
+                "_sb",
+                F.pmod(F.xxhash64("root"), F.lit(self.root_blocks)).cast("int").alias("_rb"),
+                F.explode(F.sequence(F.lit(0), F.col("_fans") - 1)).alias("_fan"),
+            )
+        )
+        tile = ["_rb", "_sb", "_fan"]
+        return (
+            spread.groupBy(*tile)
+            .cogroup(self.edges.groupBy(*tile))
+            .applyInPandas(_move, "root long, nid long, mass double")
+        )
+
+    def unseen_items(self, rank: DataFrame, df: DataFrame, k: int) -> DataFrame:
+        """Best k items of each root that the root has no edge to."""
+        items = self.nodes.filter(F.col("node.kind") == "item").select("nid", F.col("node.id").alias(self.item))
+        users = self.nodes.select(F.col("nid").alias("root"), F.col("node.id").alias(self.user))
+        named = rank.join(items, "nid").join(users, "root").select(
+            self.user, self.item, fx.tidy(F.col("mass")).alias("score")
+        )
+        fresh = named.join(df.select(self.user, self.item).distinct(), [self.user, self.item], "left_anti")
+        return top_k(fresh, [self.user], [F.desc("score"), self.item], k)
+
+
+def _move(walks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """Masses of one block of walks times one tile of edge weights."""
+    if walks.empty or edges.empty:
+        return pd.DataFrame({"root": [], "nid": [], "mass": []})
+    roots, r = np.unique(walks["root"].to_numpy(), return_inverse=True)
+    sources, s = np.unique(edges["sid"].to_numpy(), return_inverse=True)
+    targets, d = np.unique(edges["did"].to_numpy(), return_inverse=True)
+    at = np.searchsorted(sources, walks["sid"].to_numpy())
+    at_ok = np.minimum(at, len(sources) - 1)
+    known = sources[at_ok] == walks["sid"].to_numpy()
+    mass = np.zeros((len(roots), len(sources)))
+    mass[r[known], at_ok[known]] = walks["mass"].to_numpy()[known]
+    w = edges["weight"].to_numpy()
+    if len(sources) * len(targets) <= DENSE:
+        table = np.zeros((len(sources), len(targets)))
+        table[s, d] = w
+        out = mass @ table
+    else:
+        out = np.zeros((len(roots), len(targets)))
+        order = np.argsort(d, kind="stable")
+        s, d, w = s[order], d[order], w[order]
+        step = max(1, DENSE // len(roots))
+        for i in range(0, len(w), step):
+            cut = slice(i, i + step)
+            firsts = np.flatnonzero(np.r_[True, d[cut][1:] != d[cut][:-1]])
+            out[:, d[cut][firsts]] += np.add.reduceat(mass[:, s[cut]] * w[cut], firsts, axis=1)
+    a, b = np.nonzero(out)
+    return pd.DataFrame({"root": roots[a], "nid": targets[b], "mass": out[a, b]})
 
 
 def personal_rank(
-    df: DataFrame, alpha: float = 0.6, rounds: int = 10, k: int = 10, user: str = "user_id", item: str = "item_id"
+    df: DataFrame,
+    alpha: float = 0.6,
+    rounds: int = 10,
+    k: int = 10,
+    user: str = "user_id",
+    item: str = "item_id",
+    roots: DataFrame | None = None,
 ) -> DataFrame:
-    """Personalised PageRank from every user, best k unseen items (K2).
+    """Personalised PageRank from every user, or from ``roots``: best k unseen items (K2).
 
     rank' = alpha * (rank moved along the edges) + (1 - alpha) at the root, once
     per round; ``rounds`` rounds from all mass at the root.
     """
-    edges, fans = _prepared(df, user, item, None)
-    start = _roots(df, user).withColumn("mass", F.lit(1.0))
-    home = start.select("root", "node", F.lit(1.0 - alpha).alias("mass"))
-    rank = start
+    graph = WalkGraph(df, user, item, None, roots)
+    home = graph.start().withColumn("mass", F.lit(1.0 - alpha))
+    rank = graph.start()
     for _ in range(rounds):
-        moved = _step(rank, edges, fans).withColumn("mass", F.col("mass") * alpha)
-        rank = cut_lineage(moved.unionByName(home).groupBy("root", "node").agg(F.sum("mass").alias("mass")))
-    return _unseen_items(rank, df, k, user, item, 6)
+        moved = graph.step(rank).withColumn("mass", F.col("mass") * alpha)
+        rank = cut_lineage(_summed(moved.unionByName(home)))
+    return graph.unseen_items(rank, df, k)
 
 
 def rank_by_linear_system(
@@ -89,6 +175,7 @@ def rank_by_linear_system(
     max_rounds: int = 100,
     user: str = "user_id",
     item: str = "item_id",
+    roots: DataFrame | None = None,
 ) -> DataFrame:
     """The solution of (E - alpha M^T) r = r0 for every user as r0 (K3).
 
@@ -96,21 +183,17 @@ def rank_by_linear_system(
     largest new term is below ``tolerance``. M holds the rounded weights of K4.
     Scores lack the factor 1 - alpha, the order is that of K2.
     """
-    edges, fans = _prepared(df, user, item, 3)
-    term = _roots(df, user).withColumn("mass", F.lit(1.0))
+    graph = WalkGraph(df, user, item, 3, roots)
+    term = graph.start()
     total = term
     for _ in range(max_rounds):
-        term = cut_lineage(_step(term, edges, fans).withColumn("mass", F.col("mass") * alpha))
-        total = cut_lineage(total.unionByName(term).groupBy("root", "node").agg(F.sum("mass").alias("mass")))
+        term = cut_lineage(_summed(graph.step(term).withColumn("mass", F.col("mass") * alpha)))
+        total = total.unionByName(term)  # written terms, added up once at the end
         largest = term.agg(F.max("mass")).first()[0]
         if largest is None or largest < tolerance:
             break
-    return _unseen_items(total, df, k, user, item, 6)
+    return graph.unseen_items(_summed(total), df, k)
 
 
-def _unseen_items(rank: DataFrame, df: DataFrame, k: int, user: str, item: str, decimals: int) -> DataFrame:
-    items = rank.filter(F.col("node.kind") == "item").select(
-        F.col("root").alias(user), F.col("node.id").alias(item), fx.tidy(F.col("mass"), decimals).alias("score")
-    )
-    fresh = items.join(df.select(user, item).distinct(), [user, item], "left_anti")
-    return top_k(fresh, [user], [F.desc("score"), item], k)
+def _summed(rank: DataFrame) -> DataFrame:
+    return rank.groupBy("root", "nid").agg(F.sum("mass").alias("mass"))

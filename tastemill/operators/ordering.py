@@ -28,6 +28,16 @@ def order_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores when the input has fewer files than cores; otherwise unchanged.
+
+    For costly work per row on a small table. An input of many files has splits
+    enough and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of every group; ``order`` must be total."""
     w = Window.partitionBy(*group).orderBy(*order_cols(order))

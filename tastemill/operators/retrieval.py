@@ -13,7 +13,8 @@ from tastemill.functions import scalar as fx
 from tastemill.functions import vector as vx
 from tastemill.operators.ordering import top_k
 from tastemill.operators.similarity import drop_seen
-from tastemill.operators.tiles import best_matches
+from tastemill.operators.tiles import BLOCK, best_matches, match_schema, matcher
+from tastemill.session import cut_lineage
 
 
 def vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -58,21 +59,18 @@ class LeafIndex:
     """Candidates sorted into k-means leaves; a query looks into its nearest leaves only.
 
     The leaf centres are few by construction (``leaves``) and travel as constants
-    of an expression. A leaf that holds many candidates is cut into slices of
-    about ``slice_rows``, so the join key (leaf, slice) is never hot.
+    of an expression. Within a leaf, candidates and queries are both cut into
+    slices of about ``slice_rows``; one task compares one slice with one slice,
+    so a leaf that holds a third of everything is shared among many tasks.
     """
 
-    def __init__(self, candidates: DataFrame, key: str, leaves: int, seed: int = 42, slice_rows: int = 10_000):
+    def __init__(self, candidates: DataFrame, key: str, leaves: int, seed: int = 42, slice_rows: int = BLOCK):
         self.key = key
-        spread = candidates.withColumn("_vec", array_to_vector("v"))
+        self.slice_rows = slice_rows
+        spread = cut_lineage(candidates.withColumn("_vec", array_to_vector("v")))  # k-means reads it every round
         self.model = KMeans(k=leaves, seed=seed, maxIter=10, featuresCol="_vec", predictionCol="leaf").fit(spread)
         self.centres = [c.tolist() for c in self.model.clusterCenters()]
-        placed = self.model.transform(spread).drop("_vec")
-        slices = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("slices"))
-        self.slices = slices
-        self.placed = placed.join(slices, "leaf").withColumn(
-            "slice", F.pmod(F.xxhash64(key), F.col("slices")).cast("int")
-        )
+        self.placed = self.model.transform(spread).select(F.col(key).alias("key"), "v", "leaf")
 
     def probes(self, v: Column, n: int) -> Column:
         """The n leaves nearest to a vector."""
@@ -84,23 +82,33 @@ class LeafIndex:
         ]
         return F.transform(F.slice(F.array_sort(F.array(*cells)), 1, n), lambda c: c["leaf"])
 
+    def _slices(self, rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / self.slice_rows).cast("int").alias(name))
+
     def search(self, queries: DataFrame, k: int, leaves_to_search: int, drop_self: bool = False) -> DataFrame:
         """k best by exact inner product among the candidates of the probed leaves."""
         asked = queries.select(
-            F.col(self.key).alias("query_key"),
-            F.col("v").alias("qv"),
-            F.explode(self.probes(F.col("v"), leaves_to_search)).alias("leaf"),
-        )
-        asked = asked.join(self.slices, "leaf").select(
-            "query_key", "qv", "leaf", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+            F.col(self.key).alias("key"), "v", F.explode(self.probes(F.col("v"), leaves_to_search)).alias("leaf")
         )
-        found = asked.join(
-            self.placed.select(F.col(self.key).alias("match_key"), "v", "leaf", "slice"), ["leaf", "slice"]
+        sizes = self._slices(asked, "_nq").join(self._slices(self.placed, "_nc"), "leaf")
+
+        def sliced(rows: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+            return rows.join(sizes, "leaf").select(  # own names: both sides may come from one frame
+                F.col("key").alias("key"),
+                F.col("v").alias("v"),
+                F.col("leaf").alias("leaf"),
+                F.pmod(F.xxhash64("key"), F.col(own_n)).cast("int").alias(own),
+                F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)).alias(other),
+            )
+
+        tile = ["leaf", "_q", "_c"]
+        found = (
+            sliced(asked, "_q", "_nq", "_c", "_nc")
+            .groupBy(*tile)
+            .cogroup(sliced(self.placed, "_c", "_nc", "_q", "_nq").groupBy(*tile))
+            .applyInPandas(matcher("dot", k, drop_self), match_schema(queries.schema[self.key].dataType))
         )
-        if drop_self:
-            found = found.filter(F.col("query_key") != F.col("match_key"))
-        scored = found.select("query_key", "match_key", fx.tidy(vx.dot(F.col("qv"), F.col("v"))).alias("score"))
-        return top_k(scored, ["query_key"], [F.desc("score"), "match_key"], k)
+        return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)
 
 
 def recall_against(exact: DataFrame, approximate: DataFrame, k: int) -> DataFrame:

@@ -24,100 +24,107 @@ BLOCK = 8192
 CELLS = 4_000_000
 DECIMALS = 6
 
-Kernel = Callable[[pd.DataFrame, pd.DataFrame], Iterator[np.ndarray]]
+#: Keys of the queries, sorted keys of the candidates, and the score rows a few queries at a time.
+Scored = tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]
+Kernel = Callable[[pd.DataFrame, pd.DataFrame], Scored]
 
 
 def _stack(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _row_steps(rows: int, width: int) -> range:
-    return range(0, rows, max(1, CELLS // max(1, width)))
+def _by_rows(q: pd.DataFrame, c: pd.DataFrame, scores: Callable[..., np.ndarray], prepare=lambda m: m) -> Scored:
+    """Kernel of one vector per row."""
+    c = c.sort_values("key", kind="stable")
+    a, b = prepare(_stack(q["v"])), prepare(_stack(c["v"]))
+    step = max(1, CELLS // max(1, len(b)))
+    return q["key"].to_numpy(), c["key"].to_numpy(), (scores(a[i : i + step], b) for i in range(0, len(a), step))
 
 
-def _norms(m: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.einsum("ij,ij->i", m, m))
+def _unit(m: np.ndarray) -> np.ndarray:
+    n = np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
 
-def _dot(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
-    a, b = _stack(q["v"]), _stack(c["v"])
-    for i in _row_steps(len(a), len(b)):
-        yield a[i : i + max(1, CELLS // max(1, len(b)))] @ b.T
+def _dot(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    return _by_rows(q, c, lambda a, b: a @ b.T)
 
 
-def _cosine(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
-    a, b = _stack(q["v"]), _stack(c["v"])
-    na, nb = _norms(a), _norms(b)
-    a = np.divide(a, na[:, None], out=np.zeros_like(a), where=na[:, None] > 0)
-    b = np.divide(b, nb[:, None], out=np.zeros_like(b), where=nb[:, None] > 0)
-    for i in _row_steps(len(a), len(b)):
-        yield a[i : i + max(1, CELLS // max(1, len(b)))] @ b.T
+def _cosine(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    return _by_rows(q, c, lambda a, b: a @ b.T, _unit)
 
 
-def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
-    a, b = _stack(q["v"]), _stack(c["v"])
-    aa, bb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    step = max(1, CELLS // max(1, len(b)))
-    for i in _row_steps(len(a), len(b)):
-        yield -np.maximum(aa[i : i + step, None] + bb[None, :] - 2.0 * (a[i : i + step] @ b.T), 0.0)
-
-
-def _flat(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bags as three flat arrays: row number, token, weight."""
-    sizes = np.array([len(x) for x in rows["tokens"]])
-    if sizes.sum() == 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=object), np.zeros(0)
-    return (
-        np.repeat(np.arange(len(rows)), sizes),
-        np.concatenate([np.asarray(x, dtype=object) for x in rows["tokens"]]),
-        np.concatenate([np.asarray(x, dtype=np.float64) for x in rows["weights"]]),
-    )
+def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        aa, bb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+        return -np.maximum(aa[:, None] + bb[None, :] - 2.0 * (a @ b.T), 0.0)
+
+    return _by_rows(q, c, scores)
 
 
-def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
-    """Dot product of token bags: the postings of a query's tokens, summed per candidate."""
-    qr, qt, qw = _flat(q)
-    cr, ct, cw = _flat(c)
-    codes, _ = pd.factorize(np.concatenate([ct, qt]))
-    cp, qp = codes[: len(ct)], codes[len(ct) :]
+def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    """Cosine of token bags given as (key, token, weight) rows.
+
+    The postings of a query's tokens are summed per candidate; nothing is
+    computed for pairs without a common token.
+    """
+    lk, qr = np.unique(q["key"].to_numpy(), return_inverse=True)
+    rk, cr = np.unique(c["key"].to_numpy(), return_inverse=True)
+    qw, cw = q["weight"].to_numpy(), c["weight"].to_numpy()
+    qw = qw / np.sqrt(np.bincount(qr, weights=qw * qw))[qr]
+    cw = cw / np.sqrt(np.bincount(cr, weights=cw * cw))[cr]
+    known, cp = np.unique(c["token"].to_numpy(), return_inverse=True)
     order = np.argsort(cp, kind="stable")
     cr, cw = cr[order], cw[order]
-    posted = np.searchsorted(cp[order], np.arange((codes.max() + 1 if len(codes) else 0) + 1))
-    bounds = np.searchsorted(qr, np.arange(len(q) + 1))
-    step = max(1, CELLS // max(1, len(c)))
-    for i in range(0, len(q), step):
-        out = np.zeros((min(step, len(q) - i), len(c)))
-        for row in range(len(out)):
-            s, e = bounds[i + row], bounds[i + row + 1]
-            first, size = posted[qp[s:e]], posted[qp[s:e] + 1] - posted[qp[s:e]]
-            at = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-            out[row] = np.bincount(cr[at], weights=cw[at] * np.repeat(qw[s:e], size), minlength=len(c))
-        yield out
-
-
-def _edit(q: pd.DataFrame, c: pd.DataFrame) -> Iterator[np.ndarray]:
+    posted = np.searchsorted(cp[order], np.arange(len(known) + 1))
+    at = np.minimum(np.searchsorted(known, q["token"].to_numpy()), len(known) - 1)
+    shared = known[at] == q["token"].to_numpy()
+    qr, qp, qw = qr[shared], at[shared], qw[shared]
+    order = np.argsort(qr, kind="stable")
+    qr, qp, qw = qr[order], qp[order], qw[order]
+    bounds = np.searchsorted(qr, np.arange(len(lk) + 1))
+
+    def rows() -> Iterator[np.ndarray]:
+        step = max(1, CELLS // len(rk))
+        for i in range(0, len(lk), step):
+            out = np.zeros((min(step, len(lk) - i), len(rk)))
+            for row in range(len(out)):
+                s, e = bounds[i + row], bounds[i + row + 1]
+                first, size = posted[qp[s:e]], posted[qp[s:e] + 1] - posted[qp[s:e]]
+                to = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+                out[row] = np.bincount(cr[to], weights=cw[to] * np.repeat(qw[s:e], size), minlength=len(rk))
+            yield out
+
+    return lk, rk, rows()
+
+
+def _edit(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     """0..100 edit similarity; one row of the distance table at a time, for all candidates at once."""
+    c = c.sort_values("key", kind="stable")
     names = [s.lower() for s in c["key"]]
-    width = max((len(s) for s in names), default=0)
+    width = max(len(s) for s in names)
     length = np.array([len(s) for s in names])
     chars = np.zeros((len(names), width), dtype=np.int64)
     for i, s in enumerate(names):
         chars[i, : len(s)] = [ord(ch) for ch in s]
-    for text in q["key"]:
-        low = text.lower()
-        prev = np.tile(np.arange(width + 1), (len(names), 1))
-        for i, ch in enumerate(low):
-            cur = np.empty_like(prev)
-            cur[:, 0] = i + 1
-            change = prev[:, :-1] + (chars != ord(ch))
-            best = np.minimum(change, prev[:, 1:] + 1)
-            for j in range(width):
-                cur[:, j + 1] = np.minimum(best[:, j], cur[:, j] + 1)
-            prev = cur
-        dist = prev[np.arange(len(names)), length]
-        longest = np.maximum(length, len(low))
-        ratio = 1.0 - np.divide(dist, longest, out=np.zeros(len(names)), where=longest > 0)
-        yield np.rint(ratio * 100)[None, :]
+
+    def rows() -> Iterator[np.ndarray]:
+        for text in q["key"]:
+            low = text.lower()
+            prev = np.tile(np.arange(width + 1), (len(names), 1))
+            for i, ch in enumerate(low):
+                cur = np.empty_like(prev)
+                cur[:, 0] = i + 1
+                best = np.minimum(prev[:, :-1] + (chars != ord(ch)), prev[:, 1:] + 1)
+                for j in range(width):
+                    cur[:, j + 1] = np.minimum(best[:, j], cur[:, j] + 1)
+                prev = cur
+            dist = prev[np.arange(len(names)), length]
+            longest = np.maximum(length, len(low))
+            ratio = 1.0 - np.divide(dist, longest, out=np.zeros(len(names)), where=longest > 0)
+            yield np.rint(ratio * 100)[None, :]
+
+    return q["key"].to_numpy(), c["key"].to_numpy(), rows()
 
 
 KERNELS: dict[str, Kernel] = {"dot": _dot, "cosine": _cosine, "l2": _negative_l2, "bag": _bag, "edit": _edit}
@@ -139,6 +146,46 @@ def _blocks(rows: int, parallel: int) -> int:
     return max(1, -(-rows // BLOCK), min(parallel, rows // 256))
 
 
+def matcher(
+    kernel: str, k: int, drop_self: bool = False, positive_only: bool = False
+) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Function of one tile: queries and candidates (``key`` and payload) to the k best of each query."""
+    fn = KERNELS[kernel]
+
+    def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"query_key": [], "match_key": [], "score": []})
+        lk, rk, blocks = fn(left, right)
+        out_q, out_m, out_s = [], [], []
+        done = 0
+        for block in blocks:
+            block = np.round(block, DECIMALS) + 0.0
+            if drop_self:
+                block[lk[done : done + len(block), None] == rk[None, :]] = -np.inf
+            for row, ix in enumerate(_k_best(block, k)):
+                s = block[row, ix]
+                ok = s > (0.0 if positive_only else -np.inf)
+                out_q.append(np.repeat(lk[done + row], ok.sum()))
+                out_m.append(rk[ix[ok]])
+                out_s.append(s[ok])
+            done += len(block)
+        return pd.DataFrame(
+            {"query_key": np.concatenate(out_q), "match_key": np.concatenate(out_m), "score": np.concatenate(out_s)}
+        )
+
+    return tile
+
+
+def match_schema(key_type: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("query_key", key_type),
+            T.StructField("match_key", key_type),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+
 def best_matches(
     queries: DataFrame,
     candidates: DataFrame,
@@ -147,17 +194,19 @@ def best_matches(
     kernel: str,
     drop_self: bool = False,
     positive_only: bool = False,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(query_key, match_key, score, rank): the k best candidates of every query.
 
-    Both frames hold ``key`` and the columns the kernel reads (``v``, or
-    ``tokens`` and ``weights``). Scores have 6 decimals; ties go to the lower key.
-    The rows are counted first, so a costly input should come checkpointed.
+    Both frames hold ``key`` and the columns the kernel reads: ``v``, or for
+    ``bag`` one row per ``token`` with its ``weight``. Scores have 6 decimals;
+    ties go to the lower key. ``sizes`` are the numbers of queries and
+    candidates; without them the rows are counted first.
     """
     spark = queries.sparkSession
     parallel = spark.sparkContext.defaultParallelism
-    nq = _blocks(queries.count(), parallel)
-    nc = max(1, -(-candidates.count() // BLOCK))
+    asked, offered = sizes or (queries.count(), candidates.count())
+    nq, nc = _blocks(asked, parallel), max(1, -(-offered // BLOCK))
     every_c = F.explode(F.sequence(F.lit(0), F.lit(nc - 1))).alias("_c")
     every_q = F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("_q")
     payload = [c for c in queries.columns if c != key]
@@ -165,40 +214,14 @@ def best_matches(
         F.col(key).alias("key"), *payload, F.pmod(F.xxhash64(key), F.lit(nq)).cast("int").alias("_q"), every_c
     )
     c = candidates.select(  # own names: both sides may come from one frame
-        F.col(key).alias("key"), *[F.col(p).alias(p) for p in payload], F.pmod(F.xxhash64(key), F.lit(nc)).cast("int").alias("_c"), every_q
+        F.col(key).alias("key"),
+        *[F.col(p).alias(p) for p in payload],
+        F.pmod(F.xxhash64(key), F.lit(nc)).cast("int").alias("_c"),
+        every_q,
     )
-    fn = KERNELS[kernel]
-    key_type = queries.schema[key].dataType
-    schema = T.StructType(
-        [
-            T.StructField("query_key", key_type),
-            T.StructField("match_key", candidates.schema[key].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
+    found = (
+        q.groupBy("_q", "_c")
+        .cogroup(c.groupBy("_q", "_c"))
+        .applyInPandas(matcher(kernel, k, drop_self, positive_only), match_schema(queries.schema[key].dataType))
     )
-
-    def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_key": [], "match_key": [], "score": []})
-        right = right.sort_values("key", kind="stable").reset_index(drop=True)
-        left = left.reset_index(drop=True)
-        lk, rk = left["key"].to_numpy(), right["key"].to_numpy()
-        out_q, out_m, out_s = [], [], []
-        done = 0
-        for block in fn(left, right):
-            block = np.round(block, DECIMALS) + 0.0
-            if drop_self:
-                block[lk[done : done + len(block), None] == rk[None, :]] = -np.inf
-            for row, ix in enumerate(_k_best(block, k)):
-                s = block[row, ix]
-                ok = s > (0.0 if positive_only else -np.inf)
-                out_q.append(np.repeat(lk[done + row], ok.sum()))
-                out_m.append(rk[ix[ok]])
-                out_s.append(s[ok])
-            done += len(block)
-        return pd.DataFrame(
-            {"query_key": np.concatenate(out_q), "match_key": np.concatenate(out_m), "score": np.concatenate(out_s)}
-        )
-
-    found = q.groupBy("_q", "_c").cogroup(c.groupBy("_q", "_c")).applyInPandas(tile, schema)
     return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)

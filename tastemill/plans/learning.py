@@ -11,7 +11,7 @@ from tastemill.operators import sequences as s
 from tastemill.operators.features import fit_encoder
 from tastemill.plans import tables as t
 from tastemill.plans.registry import query
-from tastemill.session import scratch_path
+from tastemill.session import cut_lineage, scratch_path
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CATEGORICAL = ["l_linestatus", "o_orderpriority"]
@@ -49,10 +49,10 @@ def boosted_trees(spark, sf):
 def leaf_features(spark, sf):
     """Trees' leaves as indicators of a logistic regression, report on train and test."""
     data = rows(spark, sf)
-    train = data.filter("split = 'train'")
-    enc = fit_encoder(train, NUMERIC, CATEGORICAL)
-    model = g.LeafFeatures(enc.transform(train), trees=5, depth=3)
-    scored = model.score(enc.transform(data)).withColumn("p", fx.tidy("p", 6))
+    enc = fit_encoder(data.filter("split = 'train'"), NUMERIC, CATEGORICAL)
+    encoded = cut_lineage(enc.transform(data).select("split", "label", "features"))  # fitting reads it many times
+    model = g.LeafFeatures(encoded.filter("split = 'train'"), trees=5, depth=3)
+    scored = model.score(encoded).withColumn("p", fx.tidy("p", 6))
     return m.classification_report(scored, "split", "label", "p")
 
 
