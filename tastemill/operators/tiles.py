@@ -8,6 +8,7 @@ memory of a task is bounded by the block sizes. The kernels run on numpy.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ from tastemill.operators.ordering import top_k
 BLOCK = 8192
 #: Cells of the score table a kernel holds at a time.
 CELLS = 4_000_000
+#: A token held by more than one in DENSE_SHARE candidates of a tile is common.
+DENSE_SHARE = 8
 DECIMALS = 6
 
 #: Keys of the queries, sorted keys of the candidates, and the score rows a few queries at a time.
@@ -65,8 +68,9 @@ def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
 def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     """Cosine of token bags given as (key, token, weight) rows.
 
-    The postings of a query's tokens are summed per candidate; nothing is
-    computed for pairs without a common token.
+    Tokens that more than one in DENSE_SHARE candidates holds are multiplied as a
+    dense table; for the others the postings of a query's tokens are summed per
+    candidate, so nothing is computed for pairs without a common token.
     """
     lk, qr = np.unique(q["key"].to_numpy(), return_inverse=True)
     rk, cr = np.unique(c["key"].to_numpy(), return_inverse=True)
@@ -74,12 +78,23 @@ def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     qw = qw / np.sqrt(np.bincount(qr, weights=qw * qw))[qr]
     cw = cw / np.sqrt(np.bincount(cr, weights=cw * cw))[cr]
     known, cp = np.unique(c["token"].to_numpy(), return_inverse=True)
-    order = np.argsort(cp, kind="stable")
-    cr, cw = cr[order], cw[order]
-    posted = np.searchsorted(cp[order], np.arange(len(known) + 1))
     at = np.minimum(np.searchsorted(known, q["token"].to_numpy()), len(known) - 1)
     shared = known[at] == q["token"].to_numpy()
     qr, qp, qw = qr[shared], at[shared], qw[shared]
+
+    common = np.bincount(cp, minlength=len(known)) > len(rk) / DENSE_SHARE
+    column = np.cumsum(common) - 1
+    table_q, table_c = np.zeros((len(lk), common.sum())), np.zeros((common.sum(), len(rk)))
+    hot = common[qp]
+    table_q[qr[hot], column[qp[hot]]] = qw[hot]
+    qr, qp, qw = qr[~hot], qp[~hot], qw[~hot]
+    hot = common[cp]
+    table_c[column[cp[hot]], cr[hot]] = cw[hot]
+    cr, cp, cw = cr[~hot], cp[~hot], cw[~hot]
+
+    order = np.argsort(cp, kind="stable")
+    cr, cw = cr[order], cw[order]
+    posted = np.searchsorted(cp[order], np.arange(len(known) + 1))
     order = np.argsort(qr, kind="stable")
     qr, qp, qw = qr[order], qp[order], qw[order]
     bounds = np.searchsorted(qr, np.arange(len(lk) + 1))
@@ -87,12 +102,12 @@ def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     def rows() -> Iterator[np.ndarray]:
         step = max(1, CELLS // len(rk))
         for i in range(0, len(lk), step):
-            out = np.zeros((min(step, len(lk) - i), len(rk)))
+            out = table_q[i : i + step] @ table_c
             for row in range(len(out)):
                 s, e = bounds[i + row], bounds[i + row + 1]
                 first, size = posted[qp[s:e]], posted[qp[s:e] + 1] - posted[qp[s:e]]
                 to = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-                out[row] = np.bincount(cr[to], weights=cw[to] * np.repeat(qw[s:e], size), minlength=len(rk))
+                out[row] += np.bincount(cr[to], weights=cw[to] * np.repeat(qw[s:e], size), minlength=len(rk))
             yield out
 
     return lk, rk, rows()
@@ -142,8 +157,8 @@ def _k_best(scores: np.ndarray, k: int) -> list[np.ndarray]:
 
 
 def _blocks(rows: int, parallel: int) -> int:
-    """Number of blocks: bounded size, and enough of them to use the cores on small tables."""
-    return max(1, -(-rows // BLOCK), min(parallel, rows // 256))
+    """Number of blocks of one side: bounded size, and on small tables tiles enough for the cores."""
+    return max(1, -(-rows // BLOCK), min(math.ceil(math.sqrt(parallel)), rows // 256))
 
 
 def matcher(
@@ -206,7 +221,7 @@ def best_matches(
     spark = queries.sparkSession
     parallel = spark.sparkContext.defaultParallelism
     asked, offered = sizes or (queries.count(), candidates.count())
-    nq, nc = _blocks(asked, parallel), max(1, -(-offered // BLOCK))
+    nq, nc = _blocks(asked, parallel), _blocks(offered, parallel)
     every_c = F.explode(F.sequence(F.lit(0), F.lit(nc - 1))).alias("_c")
     every_q = F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("_q")
     payload = [c for c in queries.columns if c != key]
