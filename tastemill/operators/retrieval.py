@@ -102,11 +102,12 @@ class LeafIndex:
             )
 
         tile = ["leaf", "_q", "_c"]
+        schema = match_schema(queries.schema[self.key].dataType, self.placed.schema["key"].dataType)
         found = (
             sliced(asked, "_q", "_nq", "_c", "_nc")
             .groupBy(*tile)
             .cogroup(sliced(self.placed, "_c", "_nc", "_q", "_nq").groupBy(*tile))
-            .applyInPandas(matcher("dot", k, drop_self), match_schema(queries.schema[self.key].dataType))
+            .applyInPandas(matcher("dot", k, drop_self), schema)
         )
         return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)
 

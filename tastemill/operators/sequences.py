@@ -137,7 +137,7 @@ def unseen_negatives(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 def borrowed_negatives(df: DataFrame, key: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """k rows of other users re-assigned to each user (X9); same walk, over the rows."""
-    ring = hash_index(df.select("user_id", "item_id", *key).withColumnRenamed("user_id", "_owner"), key, seed=seed)
+    ring = hash_index(df, key, seed=seed).select(F.col("user_id").alias("_owner"), "item_id", "idx")
     n = df.count()
     own = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_own"))
     walk = count_up(own, F.least(F.col("_own") + k, F.lit(n)), "_step")

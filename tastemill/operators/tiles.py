@@ -191,11 +191,11 @@ def matcher(
     return tile
 
 
-def match_schema(key_type: T.DataType) -> T.StructType:
+def match_schema(query_key: T.DataType, match_key: T.DataType) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("query_key", key_type),
-            T.StructField("match_key", key_type),
+            T.StructField("query_key", query_key),
+            T.StructField("match_key", match_key),
             T.StructField("score", T.DoubleType()),
         ]
     )
@@ -234,9 +234,10 @@ def best_matches(
         F.pmod(F.xxhash64(key), F.lit(nc)).cast("int").alias("_c"),
         every_q,
     )
+    schema = match_schema(queries.schema[key].dataType, candidates.schema[key].dataType)
     found = (
         q.groupBy("_q", "_c")
         .cogroup(c.groupBy("_q", "_c"))
-        .applyInPandas(matcher(kernel, k, drop_self, positive_only), match_schema(queries.schema[key].dataType))
+        .applyInPandas(matcher(kernel, k, drop_self, positive_only), schema)
     )
     return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)
