@@ -78,10 +78,8 @@ def sigmoid(x: Column) -> Column:
 
 def bucket_index(x: Column, bounds: Sequence[float]) -> Column:
     """Number of boundaries that are <= x: 0 below the first one."""
-    out = F.lit(0)
-    for b in bounds:
-        out = out + F.when(x >= F.lit(b), 1).otherwise(0)
-    return out
+    edges = F.array(*[F.lit(float(b)) for b in bounds])
+    return F.size(F.filter(edges, lambda b: b <= x.cast("double")))
 
 
 def coerce_int(x: Column | str, default: int | None = 0) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
-from tastemill.operators.ordering import order_cols
+from tastemill.operators.ordering import order_cols, running
 
 
 def at_least(df: DataFrame, threshold: float, rating: str = "rating") -> DataFrame:
@@ -80,26 +80,30 @@ def interaction_profile(df: DataFrame, user: str, item: str, weight: str) -> Dat
     return out.withColumn("sparsity", fx.tidy(F.lit(1.0) - fx.safe_ratio(F.col("n"), cells)))
 
 
-def five_numbers(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """min, quartiles, max and count.
+def five_numbers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Count, min, quartiles with linear interpolation, max.
 
-    The exact quartiles keep one counter per distinct value of a group;
-    ``exact=False`` uses a bounded sketch for continuous values at scale.
+    Rows are counted per distinct value; running counts over the values tell
+    which value stands at a rank. Exact, and no task holds the values of a group.
     """
-    quart = [0.25, 0.5, 0.75]
-    q = F.percentile(value, quart) if exact else F.percentile_approx(value, quart, 100000)
-    out = df.groupBy(*by).agg(
-        F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), q.alias("_q")
-    )
-    return out.select(
-        *by,
-        "n",
-        "low",
-        F.col("_q")[0].alias("q1"),
-        F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"),
-        "high",
+    keys = list(by) or ["_all"]
+    rows = df if by else df.withColumn("_all", F.lit(0))
+    per = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    below = running(per, keys, [value], {"_below": F.col("_n")})
+    sizes = per.groupBy(*keys).agg(F.sum("_n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+
+    def at(rank: Column) -> Column:
+        here = (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n"))
+        return F.max(F.when(here, F.col(value)))
+
+    def quantile(q: float) -> Column:
+        rank = F.lit(q) * (F.col("n") - 1)
+        return at(F.floor(rank)) + (F.max(rank) - F.floor(F.max(rank))) * (at(F.ceil(rank)) - at(F.floor(rank)))
+
+    out = below.join(sizes, keys).groupBy(*keys, "n", "low", "high").agg(
+        quantile(0.25).alias("q1"), quantile(0.5).alias("median"), quantile(0.75).alias("q3")
     )
+    return out.select(*by, "n", "low", "q1", "median", "q3", "high")
 
 
 def histogram(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
@@ -108,8 +112,3 @@ def histogram(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
     inside = df.filter((F.col(value) >= edges[0]) & (F.col(value) <= edges[-1]))
     bin_no = F.least(fx.bucket_index(F.col(value), edges) - 1, F.lit(last))
     return inside.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def rows_per_key(df: DataFrame, key: str, name: str = "n") -> DataFrame:
-    """Each row with the size of its group by a window; for groups known to be bounded."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(key)))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
+from tastemill.operators.ordering import running
 
 
 def _log_sigmoid(x: Column) -> Column:
@@ -69,12 +70,11 @@ def listwise_softmax(rows: DataFrame, group: Sequence[str], label: str, score: s
 def list_mle(rows: DataFrame, group: Sequence[str], label: str, score: str, tie: str) -> DataFrame:
     """Mean over lists of -ln P(order by label | scores) (O5): sum of ln(sum of exp of the rest) - score.
 
-    For ranking lists of bounded length.
+    The rest of a list is a running sum from its end, so a long list is summed
+    in chunks like any other group.
     """
-    order = Window.partitionBy(*group).orderBy(F.desc(label), tie)
-    rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    top = F.max(score).over(rest)
-    rows = rows.withColumn("_z", F.collect_list(score).over(rest)).withColumn("_m", top)
-    tail = F.aggregate("_z", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_m")))
-    per = rows.select(*group, (F.log(tail) + F.col("_m") - F.col(score)).alias("_l"))
-    return per.groupBy(*group).agg(F.sum("_l").alias("_l")).agg(fx.tidy(F.avg("_l")).alias("list_mle"))
+    top = rows.groupBy(*group).agg(F.max(score).alias("_m"))
+    shifted = rows.join(top, list(group)).withColumn("_e", F.exp(F.col(score) - F.col("_m")))
+    from_end = running(shifted, group, [F.asc(label), F.desc(tie)], {"_after": F.col("_e")})
+    loss = F.log(F.col("_after") + F.col("_e")) + F.col("_m") - F.col(score)
+    return from_end.groupBy(*group).agg(F.sum(loss).alias("_l")).agg(fx.tidy(F.avg("_l")).alias("list_mle"))

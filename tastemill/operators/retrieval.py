@@ -58,10 +58,10 @@ def nearest_unseen(users: DataFrame, items: DataFrame, seen: DataFrame, k: int,
 class LeafIndex:
     """Candidates sorted into k-means leaves; a query looks into its nearest leaves only.
 
-    The leaf centres are few by construction (``leaves``) and travel as constants
-    of an expression. Within a leaf, candidates and queries are both cut into
-    slices of about ``slice_rows``; one task compares one slice with one slice,
-    so a leaf that holds a third of everything is shared among many tasks.
+    The leaf centres are a table of ``leaves`` rows. Within a leaf, candidates
+    and queries are both cut into slices of about ``slice_rows``; one task
+    compares one slice with one slice, so a leaf that holds a third of
+    everything is shared among many tasks.
     """
 
     def __init__(self, candidates: DataFrame, key: str, leaves: int, seed: int = 42, slice_rows: int = BLOCK):
@@ -69,27 +69,21 @@ class LeafIndex:
         self.slice_rows = slice_rows
         spread = cut_lineage(candidates.withColumn("_vec", array_to_vector("v")))  # k-means reads it every round
         self.model = KMeans(k=leaves, seed=seed, maxIter=10, featuresCol="_vec", predictionCol="leaf").fit(spread)
-        self.centres = [c.tolist() for c in self.model.clusterCenters()]
+        centres = [(i, [float(x) for x in c]) for i, c in enumerate(self.model.clusterCenters())]
+        self.centres = candidates.sparkSession.createDataFrame(centres, f"{key} int, v array<double>")
         self.placed = self.model.transform(spread).select(F.col(key).alias("key"), "v", "leaf")
 
-    def probes(self, v: Column, n: int) -> Column:
-        """The n leaves nearest to a vector."""
-        cells = [
-            F.struct(
-                vx.squared_distance(v, F.array(*[F.lit(x) for x in centre])).alias("d"), F.lit(i).alias("leaf")
-            )
-            for i, centre in enumerate(self.centres)
-        ]
-        return F.transform(F.slice(F.array_sort(F.array(*cells)), 1, n), lambda c: c["leaf"])
+    def probes(self, queries: DataFrame, n: int) -> DataFrame:
+        """(query_key, leaf): the n leaves nearest to each query."""
+        return nearest(queries, self.centres, self.key, n, "l2").select("query_key", F.col("match_key").alias("leaf"))
 
     def _slices(self, rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / self.slice_rows).cast("int").alias(name))
 
     def search(self, queries: DataFrame, k: int, leaves_to_search: int, drop_self: bool = False) -> DataFrame:
         """k best by exact inner product among the candidates of the probed leaves."""
-        asked = queries.select(
-            F.col(self.key).alias("key"), "v", F.explode(self.probes(F.col("v"), leaves_to_search)).alias("leaf")
-        )
+        probed = self.probes(queries, leaves_to_search).withColumnRenamed("query_key", "key")
+        asked = queries.select(F.col(self.key).alias("key"), "v").join(probed, "key")
         sizes = self._slices(asked, "_nq").join(self._slices(self.placed, "_nc"), "leaf")
 
         def sliced(rows: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:

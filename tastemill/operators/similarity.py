@@ -215,9 +215,12 @@ def sar(
     the user could get if every affinity were the smallest or the largest weight.
     """
     taken = affinity(events, weight, half_life_days)
-    lo = events.agg(F.min(weight).cast("double")).scalar()
-    hi = events.agg(F.max(weight).cast("double")).scalar()
-    catalogue = events.agg(F.count_distinct("item_id")).scalar()
+    scale = events.groupBy("item_id").agg(F.min(weight).alias("lo"), F.max(weight).alias("hi"))
+    scale = scale.agg(
+        F.struct(
+            F.min("lo").cast("double").alias("lo"), F.max("hi").cast("double").alias("hi"), F.count(F.lit(1)).alias("n")
+        )
+    ).scalar()
     own = taken.select(F.col("item_id").alias("a")).distinct()
     sims = mirrored(jaccard(taken)).unionByName(own.select("a", F.col("a").alias("b"), F.lit(1.0).alias("score")))
     raw = (
@@ -230,7 +233,10 @@ def sar(
         ends = raw.groupBy("user_id").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_unit").alias("_mn"), F.max("_unit").alias("_mx")
         )
-        ends = ends.select("*", lo.alias("_lo"), hi.alias("_hi"), catalogue.alias("_items")).select(
+        ends = ends.withColumn("_s", scale).withColumns(
+            {"_lo": F.col("_s.lo"), "_hi": F.col("_s.hi"), "_items": F.col("_s.n")}
+        )
+        ends = ends.select(
             "user_id",
             "_lo",
             "_hi",
