@@ -100,10 +100,10 @@ def sentinel_removal(spark, sf):
 
 @query("B13_pair_dedup", "WITH " + t.RAW_SQL + """
 SELECT user_id, item_id, rating, ts FROM raw
-QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY ts, order_id, line_no, supp_id) = 1""")
+QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY ts, order_id, line_no, supp_id, rating) = 1""")
 def pair_dedup(spark, sf):
     raw = t.raw_interactions(spark, sf)
-    return c.keep_one(raw, ["user_id", "item_id"], ["ts", "order_id", "line_no", "supp_id"]).select(
+    return c.keep_one(raw, ["user_id", "item_id"], ["ts", "order_id", "line_no", "supp_id", "rating"]).select(
         "user_id", "item_id", "rating", "ts"
     )
 

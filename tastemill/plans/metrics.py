@@ -182,7 +182,7 @@ def top_100_accuracy(spark, sf):
     return m.recall_at(_ranks(spark, sf), (100,))
 
 
-LIST_SQL = """ls AS (SELECT l_orderkey, l_linenumber || '-' || l_suppkey || '-' || l_partkey AS tie, l_extendedprice AS score,
+LIST_SQL = """ls AS (SELECT l_orderkey, l_linenumber || '-' || l_suppkey || '-' || l_partkey || '-' || l_quantity::INT AS tie, l_extendedprice AS score,
   CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN -1.0 WHEN l_quantity >= 40 THEN 2.0 WHEN l_quantity >= 20 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
   FROM lineitem)"""
 
@@ -197,7 +197,7 @@ def lists(spark, sf):
     )
     return t.table(spark, sf, "lineitem").select(
         "l_orderkey",
-        F.concat_ws("-", "l_linenumber", "l_suppkey", "l_partkey").alias("tie"),
+        F.concat_ws("-", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_quantity").cast("int")).alias("tie"),
         F.col("l_extendedprice").alias("score"),
         grade.alias("label"),
     )

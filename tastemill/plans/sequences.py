@@ -100,8 +100,8 @@ def lists_of_100(spark, sf):
 
 
 @query("X7_padded_lists", """
-WITH l AS (SELECT l_orderkey, list(l_partkey::VARCHAR ORDER BY l_linenumber, l_partkey, l_suppkey) AS i,
-  list(CAST(l_quantity AS INT)::VARCHAR ORDER BY l_linenumber, l_partkey, l_suppkey) AS q, count(*) AS n FROM lineitem GROUP BY 1)
+WITH l AS (SELECT l_orderkey, list(l_partkey::VARCHAR ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS i,
+  list(CAST(l_quantity AS INT)::VARCHAR ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT l_orderkey, array_to_string((i || ['0','0','0','0','0','0'])[1:6], ',') AS items,
   array_to_string((q || ['-1','-1','-1','-1','-1','-1'])[1:6], ',') AS labels,
   array_to_string([(g <= n)::INT FOR g IN [1,2,3,4,5,6]], ',') AS mask FROM l""")
@@ -111,7 +111,7 @@ def padded_lists(spark, sf):
     lists = list_parts(
         li,
         ["l_orderkey"],
-        ["l_linenumber", "l_partkey", "l_suppkey"],
+        ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"],
         {"items": F.col("l_partkey"), "labels": F.col("l_quantity")},
     )
     out = s.padded_lists(lists, 6)
