@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.operators.ordering import top_k
 from tastemill.operators.pairs import degrees, mirrored, pair_sums, shared_pairs
+from tastemill.operators.tiles import best_matches, block_count
 
 DECIMALS = 6
 
@@ -46,6 +49,53 @@ def neighbours(sim: DataFrame, k: int) -> DataFrame:
     return top_k(mirrored(sim), ["a"], [F.desc("score"), "b"], k)
 
 
+#: Rows a block of members may hold in one tile.
+BLOCK_ROWS = 2_000_000
+
+
+def most_similar(
+    df: DataFrame, group: str, member: str, k: int, weight: str = "base", ts: str = "ts", rating: str | None = None
+) -> DataFrame:
+    """The k most similar members of each member: a, b, score, rank.
+
+    Two exact ways, chosen by their cost:
+
+    * tiles - blocks of members against blocks of members; a tile holds all rows
+      of its members, so its sums are final and only k rows per member leave it.
+      Every row is copied once per block of the other side.
+    * pairs - ``co_occurrence``: one row per pair of members of a group, summed.
+      Cheaper when groups are small and members are many, and the way for a
+      member with more rows than a tile may hold.
+
+    ``weight`` is one of ``co_occurrence``; with ``rating`` the similarity is the
+    cosine of the rating vectors.
+    """
+    per_group = df.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    rows, pairs = per_group.agg(F.sum("_n"), F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first()
+    members, largest = degrees(df, member, "_n").agg(F.count(F.lit(1)), F.max("_n")).first()
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    blocks = max(block_count(members, parallel), math.ceil((rows or 0) / BLOCK_ROWS))
+    if (largest or 0) > BLOCK_ROWS or (pairs or 0) < 2 * blocks * (rows or 0):
+        if rating is None:
+            return neighbours(co_occurrence(df, group, member, weight, ts), k)
+        return neighbours(_rating_cosines(df, group, member, rating), k)
+    size = F.sqrt(F.col("_n").cast("double"))
+    if rating is not None:
+        kernel, value = "bag", F.col(rating)
+        table = df.select(F.col(member).alias("key"), F.col(group).alias("token"), value.alias("weight"))
+    else:
+        base = df.join(degrees(df, member, "_n"), member)
+        value = F.lit(1.0) / size
+        if weight == "damped":
+            busy = degrees(df, group, "_g").select(group, F.sqrt(fx.activity_damping(F.col("_g"))).alias("_w"))
+            base, value = base.join(busy, group), value * F.col("_w")
+        kernel = "closeness" if weight == "decay" else "overlap"
+        more = [F.coalesce(ts, F.lit(0)).alias("t")] if weight == "decay" else []
+        table = base.select(F.col(member).alias("key"), F.col(group).alias("token"), value.alias("weight"), *more)
+    near = best_matches(table, table, "key", k, kernel, drop_self=True, positive_only=True, blocks=(blocks, blocks))
+    return near.withColumnsRenamed({"query_key": "a", "match_key": "b"})
+
+
 def item_based(
     df: DataFrame, sim_top: DataFrame, seeds: int, order: list[Column], remove_seen: bool = True
 ) -> DataFrame:
@@ -87,7 +137,7 @@ def user_based(
 
 def user_top_n(df: DataFrame, k: int, n: int) -> DataFrame:
     """User CF: sum of the similarities of the k nearest users who took the item, unseen only."""
-    near = neighbours(co_occurrence(df, "item_id", "user_id"), k)
+    near = most_similar(df, "item_id", "user_id", k)
     scored = (
         near.select(F.col("a").alias("user_id"), F.col("b").alias("_v"), "score")
         .join(df.select(F.col("user_id").alias("_v"), "item_id"), "_v")
@@ -99,7 +149,7 @@ def user_top_n(df: DataFrame, k: int, n: int) -> DataFrame:
 
 def item_top_n(df: DataFrame, k: int, n: int) -> DataFrame:
     """Item CF: sum over the user's items of the similarity to their k nearest items."""
-    near = neighbours(co_occurrence(df, "user_id", "item_id"), k)
+    near = most_similar(df, "user_id", "item_id", k)
     scored = (
         df.select("user_id", F.col("item_id").alias("a"))
         .join(near.select("a", F.col("b").alias("item_id"), "score"), "a")
@@ -249,17 +299,23 @@ def sar(
     return top_k(scored, ["user_id"], [F.desc("score"), "item_id"], k)
 
 
-def rating_vector_neighbours(df: DataFrame, k: int = 6, tile: int | None = None) -> DataFrame:
-    """k nearest items by cosine distance of rating vectors, the item itself included."""
-    extra = {} if tile is None else {"tile": tile}
-    norms = df.groupBy("item_id").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("_norm"))
-    scaled = df.join(norms, "item_id").select(
-        "user_id", "item_id", F.coalesce(F.try_divide(F.col("rating"), F.col("_norm")), F.lit(0.0)).alias("r")
+def _rating_cosines(df: DataFrame, group: str, member: str, rating: str) -> DataFrame:
+    """Cosine of the rating vectors of members that share a group, a < b."""
+    norms = df.groupBy(member).agg(F.sqrt(F.sum(F.col(rating) * F.col(rating))).alias("_norm"))
+    scaled = df.join(norms, member).select(
+        group, member, F.coalesce(F.try_divide(F.col(rating), F.col("_norm")), F.lit(0.0)).alias("r")
     )
-    dots = pair_sums(scaled, "user_id", "item_id", {"_d": F.col("r_a") * F.col("r_b")}, ["r"], **extra)
-    near = dots.select("a", "b", fx.tidy(F.lit(1.0) - F.col("_d"), DECIMALS).alias("distance"))
-    own = norms.select(F.col("item_id").alias("a"), F.col("item_id").alias("b"), F.lit(0.0).alias("distance"))
-    return top_k(mirrored(near).unionByName(own), ["a"], ["distance", "b"], k)
+    dots = pair_sums(scaled, group, member, {"_d": F.col("r_a") * F.col("r_b")}, ["r"])
+    return dots.select("a", "b", fx.tidy("_d", DECIMALS).alias("score"))
+
+
+def rating_vector_neighbours(df: DataFrame, k: int = 6) -> DataFrame:
+    """k nearest items by cosine distance of rating vectors, the item itself included."""
+    near = most_similar(df, "user_id", "item_id", k, rating="rating")
+    near = near.select("a", "b", fx.tidy(F.lit(1.0) - F.col("score"), DECIMALS).alias("distance"))
+    ids = df.select("item_id").distinct()
+    own = ids.select(F.col("item_id").alias("a"), F.col("item_id").alias("b"), F.lit(0.0).alias("distance"))
+    return top_k(near.unionByName(own), ["a"], ["distance", "b"], k)
 
 
 def share_of_group(df: DataFrame, group: str, value: str, name: str = "share") -> DataFrame:

@@ -65,52 +65,86 @@ def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     return _by_rows(q, c, scores)
 
 
-def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
-    """Cosine of token bags given as (key, token, weight) rows.
-
-    Tokens that more than one in DENSE_SHARE candidates holds are multiplied as a
-    dense table; for the others the postings of a query's tokens are summed per
-    candidate, so nothing is computed for pairs without a common token.
+def _postings(
+    q: pd.DataFrame,
+    c: pd.DataFrame,
+    normalise: bool = False,
+    separable: bool = True,
+    term: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> Scored:
+    """Sum over the shared tokens of weight x weight (x ``term`` of the two ``t``), bags as long rows.
+
+    The postings of the queries' tokens are looked up and summed per candidate,
+    so nothing is computed for pairs without a common token. If the sum is a
+    plain product, tokens that more than one in DENSE_SHARE candidates hold are
+    multiplied as a dense table instead.
     """
-    lk, qr = np.unique(q["key"].to_numpy(), return_inverse=True)
-    rk, cr = np.unique(c["key"].to_numpy(), return_inverse=True)
-    qw, cw = q["weight"].to_numpy(), c["weight"].to_numpy()
-    qw = qw / np.sqrt(np.bincount(qr, weights=qw * qw))[qr]
-    cw = cw / np.sqrt(np.bincount(cr, weights=cw * cw))[cr]
-    known, cp = np.unique(c["token"].to_numpy(), return_inverse=True)
-    at = np.minimum(np.searchsorted(known, q["token"].to_numpy()), len(known) - 1)
-    shared = known[at] == q["token"].to_numpy()
-    qr, qp, qw = qr[shared], at[shared], qw[shared]
-
-    common = np.bincount(cp, minlength=len(known)) > len(rk) / DENSE_SHARE
+    qr, lk = pd.factorize(q["key"], sort=True)
+    cr, rk = pd.factorize(c["key"], sort=True)
+    codes, known = pd.factorize(np.concatenate([c["token"].to_numpy(), q["token"].to_numpy()]))
+    cp, qp = codes[: len(c)], codes[len(c) :]
+    qw, cw = q["weight"].to_numpy(dtype=np.float64), c["weight"].to_numpy(dtype=np.float64)
+    if normalise:
+        qw = qw / np.sqrt(np.bincount(qr, weights=qw * qw))[qr]
+        cw = cw / np.sqrt(np.bincount(cr, weights=cw * cw))[cr]
+    qt = q["t"].to_numpy() if term else None
+    ct = c["t"].to_numpy() if term else None
+    held = np.bincount(cp, minlength=len(known))
+    common = held > (len(rk) / DENSE_SHARE if separable else len(c))
     column = np.cumsum(common) - 1
     table_q, table_c = np.zeros((len(lk), common.sum())), np.zeros((common.sum(), len(rk)))
     hot = common[qp]
     table_q[qr[hot], column[qp[hot]]] = qw[hot]
-    qr, qp, qw = qr[~hot], qp[~hot], qw[~hot]
+    order = np.flatnonzero(~hot)
+    order = order[np.argsort(qr[order], kind="stable")]
+    qr, qp, qw, qt = qr[order], qp[order], qw[order], (qt[order] if term else None)
     hot = common[cp]
     table_c[column[cp[hot]], cr[hot]] = cw[hot]
-    cr, cp, cw = cr[~hot], cp[~hot], cw[~hot]
+    order = np.flatnonzero(~hot)
+    order = order[np.argsort(cp[order], kind="stable")]
+    cr, cp, cw, ct = cr[order], cp[order], cw[order], (ct[order] if term else None)
+
+    first = np.searchsorted(cp, np.arange(len(known) + 1))
+    size = (first[1:] - first[:-1])[qp]
+    first = first[qp]
+    rows = np.searchsorted(qr, np.arange(len(lk) + 1))
+    work = np.concatenate([[0], np.cumsum(size)])[rows]  # postings before each query
+
+    def blocks() -> Iterator[np.ndarray]:
+        widest = max(1, CELLS // len(rk))
+        i = 0
+        while i < len(lk):
+            j = int(np.searchsorted(work, work[i] + CELLS, side="right")) - 1
+            j = min(max(j, i + 1), i + widest, len(lk))
+            out = table_q[i:j] @ table_c
+            x = np.arange(rows[i], rows[j])
+            n = size[x]
+            to = np.arange(n.sum()) + np.repeat(first[x] - (np.cumsum(n) - n), n)
+            x = np.repeat(x, n)
+            gain = qw[x] * cw[to]
+            if term:
+                gain = gain * term(qt[x], ct[to])
+            cell = (qr[x] - i) * len(rk) + cr[to]
+            out += np.bincount(cell, weights=gain, minlength=out.size).reshape(out.shape)
+            yield out
+            i = j
 
-    order = np.argsort(cp, kind="stable")
-    cr, cw = cr[order], cw[order]
-    posted = np.searchsorted(cp[order], np.arange(len(known) + 1))
-    order = np.argsort(qr, kind="stable")
-    qr, qp, qw = qr[order], qp[order], qw[order]
-    bounds = np.searchsorted(qr, np.arange(len(lk) + 1))
+    return np.asarray(lk), np.asarray(rk), blocks()
 
-    def rows() -> Iterator[np.ndarray]:
-        step = max(1, CELLS // len(rk))
-        for i in range(0, len(lk), step):
-            out = table_q[i : i + step] @ table_c
-            for row in range(len(out)):
-                s, e = bounds[i + row], bounds[i + row + 1]
-                first, size = posted[qp[s:e]], posted[qp[s:e] + 1] - posted[qp[s:e]]
-                to = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-                out[row] += np.bincount(cr[to], weights=cw[to] * np.repeat(qw[s:e], size), minlength=len(rk))
-            yield out
 
-    return lk, rk, rows()
+def _bag(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    """Cosine of token bags given as (key, token, weight) rows."""
+    return _postings(q, c, normalise=True)
+
+
+def _overlap(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    """Sum of weight x weight over shared tokens."""
+    return _postings(q, c)
+
+
+def _closeness(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    """Sum of weight x weight / (1 + days between the two times) over shared tokens."""
+    return _postings(q, c, separable=False, term=lambda x, y: 1.0 / (1.0 + np.abs(x - y) / 86400.0))
 
 
 def _edit(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
@@ -142,7 +176,8 @@ def _edit(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     return q["key"].to_numpy(), c["key"].to_numpy(), rows()
 
 
-KERNELS: dict[str, Kernel] = {"dot": _dot, "cosine": _cosine, "l2": _negative_l2, "bag": _bag, "edit": _edit}
+KERNELS: dict[str, Kernel] = {"dot": _dot, "cosine": _cosine, "l2": _negative_l2, "edit": _edit}
+KERNELS |= {"bag": _bag, "overlap": _overlap, "closeness": _closeness}
 
 
 def _k_best(scores: np.ndarray, k: int) -> list[np.ndarray]:
@@ -156,7 +191,7 @@ def _k_best(scores: np.ndarray, k: int) -> list[np.ndarray]:
     return [ix[np.argsort(-row[ix], kind="stable")][:k] for row, ix in zip(scores, keep)]
 
 
-def _blocks(rows: int, parallel: int) -> int:
+def block_count(rows: int, parallel: int) -> int:
     """Number of blocks of one side: bounded size, and on small tables tiles enough for the cores."""
     return max(1, -(-rows // BLOCK), min(math.ceil(math.sqrt(parallel)), rows // 256))
 
@@ -164,8 +199,12 @@ def _blocks(rows: int, parallel: int) -> int:
 def matcher(
     kernel: str, k: int, drop_self: bool = False, positive_only: bool = False
 ) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """Function of one tile: queries and candidates (``key`` and payload) to the k best of each query."""
+    """Function of one tile: queries and candidates (``key`` and payload) to the k best of each query.
+
+    ``positive_only`` keeps only pairs whose score is above 0 before rounding.
+    """
     fn = KERNELS[kernel]
+    floor = -np.inf
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -174,12 +213,12 @@ def matcher(
         out_q, out_m, out_s = [], [], []
         done = 0
         for block in blocks:
-            block = np.round(block, DECIMALS) + 0.0
+            block = np.where(block > 0, np.round(block, DECIMALS), floor) if positive_only else np.round(block, DECIMALS) + 0.0
             if drop_self:
                 block[lk[done : done + len(block), None] == rk[None, :]] = -np.inf
             for row, ix in enumerate(_k_best(block, k)):
                 s = block[row, ix]
-                ok = s > (0.0 if positive_only else -np.inf)
+                ok = s > -np.inf
                 out_q.append(np.repeat(lk[done + row], ok.sum()))
                 out_m.append(rk[ix[ok]])
                 out_s.append(s[ok])
@@ -210,18 +249,21 @@ def best_matches(
     drop_self: bool = False,
     positive_only: bool = False,
     sizes: tuple[int, int] | None = None,
+    blocks: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(query_key, match_key, score, rank): the k best candidates of every query.
 
     Both frames hold ``key`` and the columns the kernel reads: ``v``, or for
-    ``bag`` one row per ``token`` with its ``weight``. Scores have 6 decimals;
+    bags one row per ``token`` with its ``weight`` (and ``t``). Scores have 6 decimals;
     ties go to the lower key. ``sizes`` are the numbers of queries and
-    candidates; without them the rows are counted first.
+    candidates; without them the rows are counted first. ``blocks`` sets the
+    number of blocks of either side itself.
     """
-    spark = queries.sparkSession
-    parallel = spark.sparkContext.defaultParallelism
-    asked, offered = sizes or (queries.count(), candidates.count())
-    nq, nc = _blocks(asked, parallel), _blocks(offered, parallel)
+    if blocks is None:
+        parallel = queries.sparkSession.sparkContext.defaultParallelism
+        asked, offered = sizes or (queries.count(), candidates.count())
+        blocks = block_count(asked, parallel), block_count(offered, parallel)
+    nq, nc = blocks
     every_c = F.explode(F.sequence(F.lit(0), F.lit(nc - 1))).alias("_c")
     every_q = F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("_q")
     payload = [c for c in queries.columns if c != key]

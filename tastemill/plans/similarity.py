@@ -63,12 +63,12 @@ def item_pairs(spark, sf):
 
 
 def _item_sim(spark, sf, weight):
-    near = sim.neighbours(sim.co_occurrence(t.ratings(spark, sf), "user_id", "item_id", weight), 10)
+    near = sim.most_similar(t.ratings(spark, sf), "user_id", "item_id", 10, weight)
     return near.withColumnsRenamed({"a": "item_id", "b": "similar_id"})
 
 
 def _user_sim(spark, sf, weight):
-    near = sim.neighbours(sim.co_occurrence(t.ratings(spark, sf), "item_id", "user_id", weight), 10)
+    near = sim.most_similar(t.ratings(spark, sf), "item_id", "user_id", 10, weight)
     return near.withColumnsRenamed({"a": "user_id", "b": "similar_id"})
 
 
@@ -104,7 +104,7 @@ GROUP BY 1, 2""",
 def item_based_recommend(spark, sf):
     """3 latest items of each user, 5 neighbours each, unseen only."""
     r = t.ratings(spark, sf)
-    near = sim.neighbours(sim.co_occurrence(r, "user_id", "item_id", "decay"), 5)
+    near = sim.most_similar(r, "user_id", "item_id", 5, "decay")
     return sim.item_based(r, near, 3, [F.desc("ts"), F.col("item_id")])
 
 
@@ -140,7 +140,7 @@ GROUP BY 1, 2""",
 def user_based_recommend(spark, sf):
     """3 nearest users, their 5 latest items, best score kept, unseen only."""
     r = t.ratings(spark, sf)
-    near = sim.neighbours(sim.co_occurrence(r, "item_id", "user_id", "decay"), 3)
+    near = sim.most_similar(r, "item_id", "user_id", 3, "decay")
     return sim.user_based(r, near, 5, [F.desc("ts"), F.col("item_id")])
 
 
