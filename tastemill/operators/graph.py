@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tastemill.functions import scalar as fx
 from tastemill.operators.ordering import dense_index, top_k
 from tastemill.operators.sets import mirrored_edges
+from tastemill.operators.tiles import by_tile
 from tastemill.session import cut_lineage
 
 #: Edges of one node in one tile.
@@ -97,9 +98,11 @@ class WalkGraph:
             )
         )
         tile = ["_rb", "_sb", "_fan"]
+        tiles = self.root_blocks * self.source_blocks
         return (
-            spread.groupBy(*tile)
-            .cogroup(self.edges.groupBy(*tile))
+            by_tile(spread, tile, tiles)
+            .groupBy(*tile)
+            .cogroup(by_tile(self.edges, tile, tiles).groupBy(*tile))
             .applyInPandas(_move, "root long, nid long, mass double")
         )
 

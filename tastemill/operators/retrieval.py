@@ -13,7 +13,7 @@ from tastemill.functions import scalar as fx
 from tastemill.functions import vector as vx
 from tastemill.operators.ordering import top_k
 from tastemill.operators.similarity import drop_seen
-from tastemill.operators.tiles import BLOCK, best_matches, match_schema, matcher
+from tastemill.operators.tiles import BLOCK, best_matches, by_tile, match_schema, matcher
 from tastemill.session import cut_lineage
 
 
@@ -97,10 +97,11 @@ class LeafIndex:
 
         tile = ["leaf", "_q", "_c"]
         schema = match_schema(queries.schema[self.key].dataType, self.placed.schema["key"].dataType)
+        leaves = self.model.getK()  # tiles, at least
         found = (
-            sliced(asked, "_q", "_nq", "_c", "_nc")
+            by_tile(sliced(asked, "_q", "_nq", "_c", "_nc"), tile, leaves)
             .groupBy(*tile)
-            .cogroup(sliced(self.placed, "_c", "_nc", "_q", "_nq").groupBy(*tile))
+            .cogroup(by_tile(sliced(self.placed, "_c", "_nc", "_q", "_nq"), tile, leaves).groupBy(*tile))
             .applyInPandas(matcher("dot", k, drop_self), schema)
         )
         return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)

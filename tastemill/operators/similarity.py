@@ -11,6 +11,7 @@ from tastemill.functions import scalar as fx
 from tastemill.operators.ordering import top_k
 from tastemill.operators.pairs import degrees, mirrored, pair_sums, shared_pairs
 from tastemill.operators.tiles import best_matches, block_count
+from tastemill.session import cut_lineage
 
 DECIMALS = 6
 
@@ -70,6 +71,8 @@ def most_similar(
     ``weight`` is one of ``co_occurrence``; with ``rating`` the similarity is the
     cosine of the rating vectors.
     """
+    used = [group, member, *([ts] if weight == "decay" else []), *([rating] if rating else [])]
+    df = cut_lineage(df.select(*used))  # counted and read from both sides: computed once
     per_group = df.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
     rows, pairs = per_group.agg(F.sum("_n"), F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first()
     members, largest = degrees(df, member, "_n").agg(F.count(F.lit(1)), F.max("_n")).first()

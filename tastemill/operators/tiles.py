@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 from tastemill.operators.ordering import top_k
 
+#: Most tasks of one tile stage; beyond it a task takes several tiles.
+MOST_TASKS = 20_000
 #: Rows of a block, on either side.
 BLOCK = 8192
 #: Cells of the score table a kernel holds at a time.
@@ -116,7 +118,6 @@ def _postings(
         while i < len(lk):
             j = int(np.searchsorted(work, work[i] + CELLS, side="right")) - 1
             j = min(max(j, i + 1), i + widest, len(lk))
-            out = table_q[i:j] @ table_c
             x = np.arange(rows[i], rows[j])
             n = size[x]
             to = np.arange(n.sum()) + np.repeat(first[x] - (np.cumsum(n) - n), n)
@@ -125,8 +126,8 @@ def _postings(
             if term:
                 gain = gain * term(qt[x], ct[to])
             cell = (qr[x] - i) * len(rk) + cr[to]
-            out += np.bincount(cell, weights=gain, minlength=out.size).reshape(out.shape)
-            yield out
+            out = np.bincount(cell, weights=gain, minlength=(j - i) * len(rk)).reshape(j - i, len(rk))
+            yield out + table_q[i:j] @ table_c if len(table_c) else out
             i = j
 
     return np.asarray(lk), np.asarray(rk), blocks()
@@ -180,15 +181,41 @@ KERNELS: dict[str, Kernel] = {"dot": _dot, "cosine": _cosine, "l2": _negative_l2
 KERNELS |= {"bag": _bag, "overlap": _overlap, "closeness": _closeness}
 
 
-def _k_best(scores: np.ndarray, k: int) -> list[np.ndarray]:
-    """Places of the k greatest of each row; equal scores in order of place."""
+Picked = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _best_of_all(scores: np.ndarray, k: int, same: tuple | None) -> Picked:
+    """Row, column and score of the k greatest of each row; equal scores in order of the columns."""
+    scores = np.round(scores, DECIMALS) + 0.0
+    if same is not None:
+        scores[same] = -np.inf
     n = scores.shape[1]
     if n > k:
-        floor = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-        keep = [np.flatnonzero(row >= f) for row, f in zip(scores, floor)]
+        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
+        keep = [np.flatnonzero(row >= x) for row, x in zip(scores, least)]
     else:
         keep = [np.arange(n)] * len(scores)
-    return [ix[np.argsort(-row[ix], kind="stable")][:k] for row, ix in zip(scores, keep)]
+    picked = [ix[np.argsort(-row[ix], kind="stable")][:k] for row, ix in zip(scores, keep)]
+    rows = np.repeat(np.arange(len(scores)), [len(ix) for ix in picked])
+    cols = np.concatenate(picked)
+    best = scores[rows, cols]
+    real = best > -np.inf
+    return rows[real], cols[real], best[real]
+
+
+def _best_of_positive(scores: np.ndarray, k: int, same: tuple | None) -> Picked:
+    """The same for scores above 0 before rounding; works on those cells only."""
+    if same is not None:
+        scores[same] = 0.0
+    at = np.flatnonzero(scores.ravel() > 0)
+    rows, cols = np.divmod(at, scores.shape[1])
+    values = np.round(scores.ravel()[at], DECIMALS)
+    ends = np.searchsorted(rows, np.arange(len(scores) + 1))
+    picked = [
+        s + np.argsort(-values[s:e], kind="stable")[:k] for s, e in zip(ends[:-1], ends[1:]) if e > s
+    ]
+    ix = np.concatenate(picked) if picked else np.zeros(0, dtype=np.int64)
+    return rows[ix], cols[ix], values[ix]
 
 
 def block_count(rows: int, parallel: int) -> int:
@@ -196,6 +223,17 @@ def block_count(rows: int, parallel: int) -> int:
     return max(1, -(-rows // BLOCK), min(math.ceil(math.sqrt(parallel)), rows // 256))
 
 
+def by_tile(df: DataFrame, keys: list[str], tiles: int) -> DataFrame:
+    """Rows brought together per tile, few tiles to a task.
+
+    Hashing few keys into as few partitions would put several tiles on one core
+    and none on another, and the partitions are small in bytes though long in
+    work, so their number is set here and not left to be merged.
+    """
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(max(4 * tiles, default), MOST_TASKS), *keys)
+
+
 def matcher(
     kernel: str, k: int, drop_self: bool = False, positive_only: bool = False
 ) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
@@ -204,24 +242,24 @@ def matcher(
     ``positive_only`` keeps only pairs whose score is above 0 before rounding.
     """
     fn = KERNELS[kernel]
-    floor = -np.inf
+    best = _best_of_positive if positive_only else _best_of_all
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_key": [], "match_key": [], "score": []})
         lk, rk, blocks = fn(left, right)
+        twin = pd.Index(rk).get_indexer(lk) if drop_self else None
         out_q, out_m, out_s = [], [], []
         done = 0
         for block in blocks:
-            block = np.where(block > 0, np.round(block, DECIMALS), floor) if positive_only else np.round(block, DECIMALS) + 0.0
-            if drop_self:
-                block[lk[done : done + len(block), None] == rk[None, :]] = -np.inf
-            for row, ix in enumerate(_k_best(block, k)):
-                s = block[row, ix]
-                ok = s > -np.inf
-                out_q.append(np.repeat(lk[done + row], ok.sum()))
-                out_m.append(rk[ix[ok]])
-                out_s.append(s[ok])
+            same = None
+            if twin is not None:
+                mine = twin[done : done + len(block)]
+                same = np.flatnonzero(mine >= 0), mine[mine >= 0]
+            rows, cols, scores = best(block, k, same)
+            out_q.append(lk[done + rows])
+            out_m.append(rk[cols])
+            out_s.append(scores)
             done += len(block)
         return pd.DataFrame(
             {"query_key": np.concatenate(out_q), "match_key": np.concatenate(out_m), "score": np.concatenate(out_s)}
@@ -277,9 +315,11 @@ def best_matches(
         every_q,
     )
     schema = match_schema(queries.schema[key].dataType, candidates.schema[key].dataType)
+    tile = ["_q", "_c"]
     found = (
-        q.groupBy("_q", "_c")
-        .cogroup(c.groupBy("_q", "_c"))
+        by_tile(q, tile, nq * nc)
+        .groupBy(*tile)
+        .cogroup(by_tile(c, tile, nq * nc).groupBy(*tile))
         .applyInPandas(matcher(kernel, k, drop_self, positive_only), schema)
     )
     return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)
