@@ -16,24 +16,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.session import cut_lineage
+
 #: Members of one group per block.
 TILE = 2000
 
 
-def _blocks(df: DataFrame, group: str, member: str, tile: int) -> DataFrame:
-    sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_nb"))
-    return df.join(sizes, group).withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")))
+def _blocks(df: DataFrame, group: str, member: str, tile: int, size: str | None = None) -> DataFrame:
+    if size is None:
+        sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_nb"))
+        df = df.join(sizes, group)
+    else:
+        df = df.withColumn("_nb", F.ceil(F.col(size) / tile).cast("int"))
+    return df.withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")))
 
 
 def shared_pairs(
-    df: DataFrame, group: str, member: str, values: Sequence[str] = (), tile: int = TILE
+    df: DataFrame, group: str, member: str, values: Sequence[str] = (), tile: int = TILE, size: str | None = None
 ) -> DataFrame:
     """Every unordered pair (``a`` < ``b``) of members of a group, once per group.
 
     ``df`` has one row per (group, member). Output: group, a, b and, for each
-    value column v, ``v_a`` and ``v_b``.
+    value column v, ``v_a`` and ``v_b``. ``size`` names a column that already
+    holds the number of rows of the group. The input is written once, for both
+    sides of the join read it.
     """
-    base = _blocks(df.select(group, member, *values), group, member, tile)
+    wanted = [group, member, *values]
+    if size is not None and size not in wanted:
+        wanted.append(size)
+    base = cut_lineage(_blocks(df.select(*wanted), group, member, tile, size))
     all_blocks = F.sequence(F.lit(0).cast("long"), F.col("_nb").cast("long") - 1)
     left = base.select(
         group,
@@ -49,8 +60,12 @@ def shared_pairs(
         F.explode(all_blocks).alias("_x"),
         F.col("_b").alias("_y"),
     )
-    joined = left.join(right, [group, "_x", "_y"]).filter(F.col("a") < F.col("b"))
-    return joined.drop("_x", "_y")
+    key = [group, "_x", "_y"]
+    # Little data may be a lot of pairs: the number of tasks is not left to the bytes.
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    joined = left.repartition(tasks, *key).join(right.repartition(tasks, *key), key)
+    return joined.filter(F.col("a") < F.col("b")).drop("_x", "_y")
 
 
 def pair_sums(
@@ -60,9 +75,10 @@ def pair_sums(
     sums: dict[str, Column],
     values: Sequence[str] = (),
     tile: int = TILE,
+    size: str | None = None,
 ) -> DataFrame:
     """Aggregate over the groups two members share; columns a < b and ``sums``."""
-    pairs = shared_pairs(df, group, member, values, tile)
+    pairs = shared_pairs(df, group, member, values, tile, size)
     return pairs.groupBy("a", "b").agg(*[F.sum(v).alias(n) for n, v in sums.items()])
 
 

@@ -232,9 +232,9 @@ def swing(df: DataFrame, alpha: float = 0.5, tile: int | None = None) -> DataFra
     )
     overlap = user_pairs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= 2)
     common = user_pairs.join(overlap, ["u", "v"]).select(
-        F.struct("u", "v").alias("_uv"), "item_id", (F.lit(1.0) / (F.lit(alpha) + F.col("_c"))).alias("_w")
+        F.struct("u", "v").alias("_uv"), "item_id", "_c", (F.lit(1.0) / (F.lit(alpha) + F.col("_c"))).alias("_w")
     )
-    sums = pair_sums(common, "_uv", "item_id", {"_s": F.col("_w_a")}, ["_w"], **extra)
+    sums = pair_sums(common, "_uv", "item_id", {"_s": F.col("_w_a")}, ["_w"], size="_c", **extra)
     return sums.select("a", "b", fx.tidy(F.col("_s"), DECIMALS).alias("score"))
 
 
