@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.operators.features import encoder
+from tastemill.session import for_training
 
 
 def boosted_trees(features: str = "features", label: str = "label", trees: int = 10, depth: int = 4,
@@ -50,7 +51,7 @@ class LeafFeatures:
             featuresCol="_leaf_features", labelCol=label, regParam=reg, maxIter=30,
             predictionCol="_lr_prediction", rawPredictionCol="_lr_raw", probabilityCol="_lr_probability",
         )
-        self.model = Pipeline(stages=[encode, gather, linear]).fit(self._leaves(train))
+        self.model = Pipeline(stages=[encode, gather, linear]).fit(for_training(self._leaves(train).select(label, *self.names)))
 
     def _leaves(self, df: DataFrame) -> DataFrame:
         out = self.trees.transform(df).withColumn("_l", vector_to_array("_leaves"))

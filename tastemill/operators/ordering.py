@@ -55,7 +55,7 @@ def running(
     group: Sequence[str],
     order: Sequence[Column | str],
     sums: dict[str, Column],
-    limit: int = GROUP_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Sums over the rows strictly before each row of its group.
 
@@ -63,7 +63,7 @@ def running(
     gets 0. ``order`` must be total.
     """
     by = order_cols(order)
-    if group and largest_group(df, group) <= limit:
+    if group and largest_group(df, group) <= (limit or GROUP_LIMIT):
         w = Window.partitionBy(*group).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
         return df.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(n) for n, v in sums.items()])
     return _running_chunked(df, list(group), by, sums)
@@ -92,11 +92,11 @@ def _running_chunked(df: DataFrame, group: list[str], by: list[Column], sums: di
 
 
 def position(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "pos", limit: int = GROUP_LIMIT
+    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "pos", limit: int | None = None
 ) -> DataFrame:
     """1-based place of each row in its group; with no group, in the whole table."""
     by = order_cols(order)
-    if group and largest_group(df, group) <= limit:
+    if group and largest_group(df, group) <= (limit or GROUP_LIMIT):
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*by)).cast("long"))
     out = _running_chunked(df, list(group), by, {name: F.lit(1)})
     return out.withColumn(name, F.col(name) + F.lit(1).cast("long"))
@@ -125,13 +125,14 @@ def previous_rows(
     n: int,
     fields: dict[str, Column],
     place: str = "pos",
-    limit: int = GROUP_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """The up to ``n`` rows before each row of its group, oldest first, one list per field.
 
     Long groups are framed chunk by chunk; the last ``n`` rows of a chunk are
     copied into the next one, so no frame is cut.
     """
+    limit = limit or GROUP_LIMIT
     tagged = df.select("*", *[v.alias(f"_f_{f}") for f, v in fields.items()])
     placed = position(tagged, group, order, place, limit)
     chunk = F.floor((F.col(place) - 1) / limit)

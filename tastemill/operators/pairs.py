@@ -32,7 +32,7 @@ def _blocks(df: DataFrame, group: str, member: str, tile: int, size: str | None
 
 
 def shared_pairs(
-    df: DataFrame, group: str, member: str, values: Sequence[str] = (), tile: int = TILE, size: str | None = None
+    df: DataFrame, group: str, member: str, values: Sequence[str] = (), tile: int | None = None, size: str | None = None
 ) -> DataFrame:
     """Every unordered pair (``a`` < ``b``) of members of a group, once per group.
 
@@ -44,7 +44,7 @@ def shared_pairs(
     wanted = [group, member, *values]
     if size is not None and size not in wanted:
         wanted.append(size)
-    base = cut_lineage(_blocks(df.select(*wanted), group, member, tile, size))
+    base = cut_lineage(_blocks(df.select(*wanted), group, member, tile or TILE, size))
     all_blocks = F.sequence(F.lit(0).cast("long"), F.col("_nb").cast("long") - 1)
     left = base.select(
         group,
@@ -74,7 +74,7 @@ def pair_sums(
     member: str,
     sums: dict[str, Column],
     values: Sequence[str] = (),
-    tile: int = TILE,
+    tile: int | None = None,
     size: str | None = None,
 ) -> DataFrame:
     """Aggregate over the groups two members share; columns a < b and ``sums``."""

@@ -25,20 +25,19 @@ def co_occurrence(
     1/log10(1 + size of the group), ``decay`` the closeness in time of the two
     interactions. The sum is divided by sqrt(n_a * n_b).
     """
-    extra = {} if tile is None else {"tile": tile}
     # 1/sqrt(n) rides on the short table, so the long pair table needs no join.
     inverse = degrees(df, member).select(member, (F.lit(1.0) / F.sqrt(F.col("n").cast("double"))).alias("_inv"))
     base = df.join(inverse, member)
     scale = F.col("_inv_a") * F.col("_inv_b")
     if weight == "decay":
-        pairs = shared_pairs(base, group, member, [ts, "_inv"], **extra)
+        pairs = shared_pairs(base, group, member, [ts, "_inv"], tile=tile)
         gain = fx.time_closeness(F.col(f"{ts}_a"), F.col(f"{ts}_b")) * scale
     elif weight == "damped":
         sizes = degrees(df, group, "_n").select(group, fx.activity_damping(F.col("_n")).alias("_w"))
-        pairs = shared_pairs(base.join(sizes, group), group, member, ["_w", "_inv"], **extra)
+        pairs = shared_pairs(base.join(sizes, group), group, member, ["_w", "_inv"], tile=tile)
         gain = F.col("_w_a") * scale
     elif weight == "base":
-        pairs = shared_pairs(base, group, member, ["_inv"], **extra)
+        pairs = shared_pairs(base, group, member, ["_inv"], tile=tile)
         gain = scale
     else:
         raise ValueError(f"unknown weight {weight}")
@@ -167,7 +166,6 @@ def pearson(df: DataFrame, group: str, member: str, rating: str = "rating", tile
 
     Built from sums, so that constant ratings give no similarity and no error.
     """
-    extra = {} if tile is None else {"tile": tile}
     x, y = F.col(f"{rating}_a"), F.col(f"{rating}_b")
     sums = pair_sums(
         df,
@@ -175,7 +173,7 @@ def pearson(df: DataFrame, group: str, member: str, rating: str = "rating", tile
         member,
         {"_n": F.lit(1.0), "_x": x, "_y": y, "_xy": x * y, "_xx": x * x, "_yy": y * y},
         [rating],
-        **extra,
+        tile=tile,
     )
     c = {k: F.col(k) for k in ("_n", "_x", "_y", "_xy", "_xx", "_yy")}
     cov = c["_n"] * c["_xy"] - c["_x"] * c["_y"]
@@ -226,22 +224,20 @@ def swing(df: DataFrame, alpha: float = 0.5, tile: int | None = None) -> DataFra
     Users are paired through their common items first; a pair with one common
     item holds no item pair and leaves before the second join.
     """
-    extra = {} if tile is None else {"tile": tile}
-    user_pairs = shared_pairs(df, "item_id", "user_id", **extra).select(
+    user_pairs = shared_pairs(df, "item_id", "user_id", tile=tile).select(
         F.col("a").alias("u"), F.col("b").alias("v"), "item_id"
     )
     overlap = user_pairs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= 2)
     common = user_pairs.join(overlap, ["u", "v"]).select(
         F.struct("u", "v").alias("_uv"), "item_id", "_c", (F.lit(1.0) / (F.lit(alpha) + F.col("_c"))).alias("_w")
     )
-    sums = pair_sums(common, "_uv", "item_id", {"_s": F.col("_w_a")}, ["_w"], size="_c", **extra)
+    sums = pair_sums(common, "_uv", "item_id", {"_s": F.col("_w_a")}, ["_w"], size="_c", tile=tile)
     return sums.select("a", "b", fx.tidy(F.col("_s"), DECIMALS).alias("score"))
 
 
 def jaccard(df: DataFrame, group: str = "user_id", member: str = "item_id", tile: int | None = None) -> DataFrame:
     """Shared groups / groups of either, a < b (item similarity of I11)."""
-    extra = {} if tile is None else {"tile": tile}
-    pairs = shared_pairs(df.join(degrees(df, member, "_n"), member), group, member, ["_n"], **extra)
+    pairs = shared_pairs(df.join(degrees(df, member, "_n"), member), group, member, ["_n"], tile=tile)
     both = F.count(F.lit(1))
     either = F.max("_n_a") + F.max("_n_b") - both
     return pairs.groupBy("a", "b").agg((both / either).alias("score"))

@@ -11,7 +11,7 @@ from tastemill.operators import sequences as s
 from tastemill.operators.features import fit_encoder
 from tastemill.plans import tables as t
 from tastemill.plans.registry import query
-from tastemill.session import cut_lineage, scratch_path
+from tastemill.session import for_training, scratch_path
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CATEGORICAL = ["l_linestatus", "o_orderpriority"]
@@ -30,7 +30,7 @@ def rows(spark, sf):
         "l_suppkey",
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 30000).cast("double").alias("label"),
     )
-    return s.random_split(out, 0.8, "l_orderkey", "l_linenumber", "l_suppkey")
+    return for_training(s.random_split(out, 0.8, "l_orderkey", "l_linenumber", "l_suppkey"))
 
 
 def _fit_report(spark, sf, pipeline):
@@ -50,7 +50,7 @@ def leaf_features(spark, sf):
     """Trees' leaves as indicators of a logistic regression, report on train and test."""
     data = rows(spark, sf)
     enc = fit_encoder(data.filter("split = 'train'"), NUMERIC, CATEGORICAL)
-    encoded = cut_lineage(enc.transform(data).select("split", "label", "features"))  # fitting reads it many times
+    encoded = for_training(enc.transform(data).select("split", "label", "features"))
     model = g.LeafFeatures(encoded.filter("split = 'train'"), trees=5, depth=3)
     scored = model.score(encoded).withColumn("p", fx.tidy("p", 6))
     return m.classification_report(scored, "split", "label", "p")
@@ -102,7 +102,7 @@ def deep_model(spark, sf):
 
 @query("M7_crossed_linear")
 def crossed_linear(spark, sf):
-    """Net price from quantity, price and discount with their products: an exact product of two inputs."""
+    """Net price from price, discount and their products."""
     li = t.table(spark, sf, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
     model = g.crossed_linear(["l_extendedprice", "l_discount"], "net").fit(li)
     return m.rating_errors(model.transform(li), "net", "prediction").select(

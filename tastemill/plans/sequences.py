@@ -74,7 +74,7 @@ def train_windows(spark, sf):
 
 
 @query("X4_test_windows", WINDOW_SQL + """
-SELECT user_id, array_to_string(l[greatest(n - 7, 1):n - 3], ',') AS seq, array_to_string(l[greatest(n - 2, 1):n], ',') AS target FROM l""")
+SELECT user_id, array_to_string(l[greatest(n - 7, 1):greatest(n - 3, 0)], ',') AS seq, array_to_string(l[greatest(n - 2, 1):n], ',') AS target FROM l""")
 def test_windows(spark, sf):
     _, test = s.sequence_windows(t.ratings(spark, sf), ORDER, 5, 2, 3)
     return test.select("user_id", _text("seq"), _text("target"))

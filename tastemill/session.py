@@ -66,3 +66,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def for_training(df: DataFrame) -> DataFrame:
+    """Checkpointed rows for a fit that reads them many times, in no fewer parts than cores.
+
+    Counts of parts come from the checkpoint; a large table has enough and is
+    not shuffled.
+    """
+    out = cut_lineage(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return out if out.rdd.getNumPartitions() >= cores else cut_lineage(out.repartition(cores))
