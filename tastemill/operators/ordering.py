@@ -41,7 +41,8 @@ def spread(df: DataFrame) -> DataFrame:
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of every group; ``order`` must be total."""
     w = Window.partitionBy(*group).orderBy(*order_cols(order))
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+    kept = df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+    return kept.withColumn(rank, F.col(rank).cast("long"))
 
 
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:

@@ -87,7 +87,7 @@ def latest_timestamp(spark, sf):
 
 
 @query("D11_items_per_user", "WITH " + t.RATINGS_SQL + """
-SELECT user_id, 0 AS part, string_agg(item_id, ',' ORDER BY item_id) AS items FROM ratings GROUP BY 1""")
+SELECT user_id, 0::BIGINT AS part, string_agg(item_id, ',' ORDER BY item_id) AS items FROM ratings GROUP BY 1""")
 def items_per_user(spark, sf):
     """Ordered item lists, at most 1000 items to a row."""
     lists = list_parts(t.ratings(spark, sf), ["user_id"], ["item_id"], {"items": F.col("item_id")})
@@ -95,7 +95,7 @@ def items_per_user(spark, sf):
 
 
 @query("D12_users_per_item", "WITH " + t.RATINGS_SQL + """
-SELECT item_id, 0 AS part, string_agg(user_id, ',' ORDER BY user_id) AS users FROM ratings GROUP BY 1""")
+SELECT item_id, 0::BIGINT AS part, string_agg(user_id, ',' ORDER BY user_id) AS users FROM ratings GROUP BY 1""")
 def users_per_item(spark, sf):
     lists = list_parts(t.ratings(spark, sf), ["item_id"], ["user_id"], {"users": F.col("user_id")})
     return lists.withColumn("users", F.concat_ws(",", F.col("users").cast("array<string>")))

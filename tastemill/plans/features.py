@@ -177,7 +177,7 @@ def text_vocabulary(spark, sf):
 vocab AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS vec_id FROM (SELECT DISTINCT token FROM tok)),
 vec AS (SELECT token, embedding::DOUBLE[] AS v FROM vocab JOIN embeddings USING (vec_id)),
 cells AS (SELECT k, tf, unnest(generate_series(0, 63)) AS dim, unnest(v) AS x FROM tok JOIN vec USING (token))
-SELECT k AS p_partkey, dim, round_even(sum(tf * x) / sum(tf), 6) AS x FROM cells GROUP BY 1, 2""")
+SELECT k AS p_partkey, dim::INT AS dim, round_even(sum(tf * x) / sum(tf), 6) AS x FROM cells GROUP BY 1, 2""")
 def mean_token_vectors(spark, sf):
     """Words of the part names with the vectors of the embeddings table, in order of the words."""
     p = t.table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"))
@@ -191,7 +191,7 @@ def mean_token_vectors(spark, sf):
 h AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id) AS pos FROM ratings QUALIFY pos <= 10),
 vec AS (SELECT vec_id AS item_id, embedding::DOUBLE[] AS v FROM embeddings),
 cells AS (SELECT user_id, pos, unnest(generate_series(0, 63)) AS dim, unnest(v) AS x FROM h JOIN vec USING (item_id))
-SELECT user_id, dim, round_even(avg(x), 6) AS mean, round_even(arg_min(x, pos), 6) AS recent FROM cells GROUP BY 1, 2""")
+SELECT user_id, dim::INT AS dim, round_even(avg(x), 6) AS mean, round_even(arg_min(x, pos), 6) AS recent FROM cells GROUP BY 1, 2""")
 def history_summary(spark, sf):
     """The 10 newest items of each user, those that have a vector."""
     vecs = r.vectors(t.table(spark, sf, "embeddings").withColumnRenamed("vec_id", "item_id"), "item_id", "embedding")

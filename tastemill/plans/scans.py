@@ -78,7 +78,7 @@ def latin1_drop_malformed(spark, sf):
 
 
 @query("A6_question_mark_rows", """
-SELECT l_returnflag AS flag, count(*) AS n, sum(l_linenumber) AS lines FROM lineitem
+SELECT l_returnflag AS flag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem
 WHERE l_linestatus <> 'F' GROUP BY 1""")
 def question_mark_rows(spark, sf):
     li = t.table(spark, sf, "lineitem").select(
@@ -93,7 +93,7 @@ def question_mark_rows(spark, sf):
 
 @query("A7_lines_with_defaults", """
 SELECT coalesce(l_returnflag, 'none') AS flag,
-       sum(CASE WHEN l_quantity < 10 THEN 0 ELSE l_linenumber END) AS lines, count(*) AS n
+       CAST(sum(CASE WHEN l_quantity < 10 THEN 0 ELSE l_linenumber END) AS BIGINT) AS lines, count(*) AS n
 FROM lineitem WHERE l_linestatus <> 'F' GROUP BY 1""")
 def lines_with_defaults(spark, sf):
     """Small quantities leave the first field empty: it is read as its default 0."""

@@ -17,7 +17,7 @@ def _text(c):
 
 
 @query("X1_user_timelines", "WITH " + t.RATINGS_SQL + """, n AS (SELECT item_id, count(*) AS n FROM ratings GROUP BY 1)
-SELECT user_id, 0 AS part, string_agg(item_id, ',' ORDER BY ts, item_id) AS items,
+SELECT user_id, 0::BIGINT AS part, string_agg(item_id, ',' ORDER BY ts, item_id) AS items,
   string_agg(n, ',' ORDER BY ts, item_id) AS item_counts FROM ratings JOIN n USING (item_id) GROUP BY 1""")
 def user_timelines(spark, sf):
     out = s.timelines(t.ratings(spark, sf), ORDER)
@@ -83,7 +83,7 @@ def test_windows(spark, sf):
 @query("X5_listwise_sampling", "WITH " + t.CLICKS_SQL + f""",
 e AS (SELECT user_id FROM clicks GROUP BY 1 HAVING count(*) >= 5),
 r AS (SELECT user_id, item_id, list_no FROM clicks JOIN e USING (user_id), generate_series(1, 20) g(list_no))
-SELECT user_id, list_no, item_id, row_number() OVER (PARTITION BY user_id, list_no
+SELECT user_id, list_no::INT AS list_no, item_id, row_number() OVER (PARTITION BY user_id, list_no
   ORDER BY {t.key_sql('user_id', 'item_id', 'list_no')}, item_id) AS place FROM r QUALIFY place <= 5""")
 def listwise_sampling(spark, sf):
     """20 lists of 5 items per user."""
