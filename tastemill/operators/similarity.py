@@ -16,6 +16,51 @@ from tastemill.session import cut_lineage
 DECIMALS = 6
 
 
+def _weighted(
+    df: DataFrame, group: str, member: str, weight: str, ts: str | None, rating: str | None
+) -> DataFrame:
+    """(key, token, weight[, t]): what a member brings to a shared group.
+
+    The product of two weights (times the closeness of the two ``t``, if there
+    is one) is the gain of a pair, divisor included, so sums need no later join.
+    """
+    cols = [F.col(member).alias("key"), F.col(group).alias("token")]
+    if rating is not None:
+        norms = df.groupBy(member).agg(F.sqrt(F.sum(F.col(rating) * F.col(rating))).alias("_norm"))
+        share = F.coalesce(F.try_divide(F.col(rating), F.col("_norm")), F.lit(0.0))
+        return df.join(norms, member).select(*cols, share.alias("weight"))
+    base = df.join(degrees(df, member, "_n"), member)
+    value = F.lit(1.0) / F.sqrt(F.col("_n").cast("double"))
+    if weight == "damped":
+        busy = degrees(df, group, "_g").select(group, F.sqrt(fx.activity_damping(F.col("_g"))).alias("_w"))
+        base, value = base.join(busy, group), value * F.col("_w")
+    elif weight == "decay":
+        cols.append(F.coalesce(ts, F.lit(0)).alias("t"))
+    elif weight != "base":
+        raise ValueError(f"unknown weight {weight}")
+    return base.select(*cols, value.alias("weight"))
+
+
+def _values(table: DataFrame) -> list[str]:
+    return [c for c in table.columns if c not in ("key", "token")]
+
+
+def _gain(table: DataFrame) -> Column:
+    product = F.col("weight_a") * F.col("weight_b")
+    return product * fx.time_closeness(F.col("t_a"), F.col("t_b")) if "t" in table.columns else product
+
+
+def _positive_sums(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Summed gain per pair, where above 0 (a rating of 0 brings nothing)."""
+    sums = pairs.groupBy("a", "b").agg(F.sum(_gain(table)).alias("score")).filter(F.col("score") > 0)
+    return sums.withColumn("score", fx.tidy("score", DECIMALS))
+
+
+def _pair_scores(table: DataFrame, tile: int | None = None) -> DataFrame:
+    pairs = shared_pairs(table, "token", "key", _values(table), tile)
+    return _positive_sums(pairs, table)
+
+
 def co_occurrence(
     df: DataFrame, group: str, member: str, weight: str = "base", ts: str = "ts", tile: int | None = None
 ) -> DataFrame:
@@ -25,23 +70,7 @@ def co_occurrence(
     1/log10(1 + size of the group), ``decay`` the closeness in time of the two
     interactions. The sum is divided by sqrt(n_a * n_b).
     """
-    # 1/sqrt(n) rides on the short table, so the long pair table needs no join.
-    inverse = degrees(df, member).select(member, (F.lit(1.0) / F.sqrt(F.col("n").cast("double"))).alias("_inv"))
-    base = df.join(inverse, member)
-    scale = F.col("_inv_a") * F.col("_inv_b")
-    if weight == "decay":
-        pairs = shared_pairs(base, group, member, [ts, "_inv"], tile=tile)
-        gain = fx.time_closeness(F.col(f"{ts}_a"), F.col(f"{ts}_b")) * scale
-    elif weight == "damped":
-        sizes = degrees(df, group, "_n").select(group, fx.activity_damping(F.col("_n")).alias("_w"))
-        pairs = shared_pairs(base.join(sizes, group), group, member, ["_w", "_inv"], tile=tile)
-        gain = F.col("_w_a") * scale
-    elif weight == "base":
-        pairs = shared_pairs(base, group, member, ["_inv"], tile=tile)
-        gain = scale
-    else:
-        raise ValueError(f"unknown weight {weight}")
-    return pairs.groupBy("a", "b").agg(fx.tidy(F.sum(gain), DECIMALS).alias("score"))
+    return _pair_scores(_weighted(df, group, member, weight, ts, None), tile)
 
 
 def neighbours(sim: DataFrame, k: int) -> DataFrame:
@@ -49,8 +78,12 @@ def neighbours(sim: DataFrame, k: int) -> DataFrame:
     return top_k(mirrored(sim), ["a"], [F.desc("score"), "b"], k)
 
 
-#: Rows a block of members may hold in one tile.
+#: Rows of a group in one block when a few members meet it.
+BIG_GROUP = 100_000
+#: Rows the members of a block bring to a tile, on average.
 BLOCK_ROWS = 2_000_000
+#: Rows of one member that fit a tile; members with more are matched by themselves.
+MEMBER_ROWS = 2_000_000
 
 
 def most_similar(
@@ -62,10 +95,10 @@ def most_similar(
 
     * tiles - blocks of members against blocks of members; a tile holds all rows
       of its members, so its sums are final and only k rows per member leave it.
-      Every row is copied once per block of the other side.
+      Every row is copied once per block of the other side. Members with too
+      many rows for a tile are few; their pairs are summed by a join.
     * pairs - ``co_occurrence``: one row per pair of members of a group, summed.
-      Cheaper when groups are small and members are many, and the way for a
-      member with more rows than a tile may hold.
+      Cheaper when groups are small and members are many.
 
     ``weight`` is one of ``co_occurrence``; with ``rating`` the similarity is the
     cosine of the rating vectors.
@@ -73,29 +106,51 @@ def most_similar(
     used = [group, member, *([ts] if weight == "decay" else []), *([rating] if rating else [])]
     df = cut_lineage(df.select(*used))  # counted and read from both sides: computed once
     per_group = df.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    rows, pairs = per_group.agg(F.sum("_n"), F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first()
-    members, largest = degrees(df, member, "_n").agg(F.count(F.lit(1)), F.max("_n")).first()
+    rows, pairs = (x or 0 for x in per_group.agg(F.sum("_n"), F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first())
+    sizes = degrees(df, member, "_n")
+    members, largest = (x or 0 for x in sizes.agg(F.count(F.lit(1)), F.max("_n")).first())
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    blocks = max(block_count(members, parallel), math.ceil((rows or 0) / BLOCK_ROWS))
-    if (largest or 0) > BLOCK_ROWS or (pairs or 0) < 2 * blocks * (rows or 0):
-        if rating is None:
-            return neighbours(co_occurrence(df, group, member, weight, ts), k)
-        return neighbours(_rating_cosines(df, group, member, rating), k)
-    size = F.sqrt(F.col("_n").cast("double"))
-    if rating is not None:
-        kernel, value = "bag", F.col(rating)
-        table = df.select(F.col(member).alias("key"), F.col(group).alias("token"), value.alias("weight"))
-    else:
-        base = df.join(degrees(df, member, "_n"), member)
-        value = F.lit(1.0) / size
-        if weight == "damped":
-            busy = degrees(df, group, "_g").select(group, F.sqrt(fx.activity_damping(F.col("_g"))).alias("_w"))
-            base, value = base.join(busy, group), value * F.col("_w")
-        kernel = "closeness" if weight == "decay" else "overlap"
-        more = [F.coalesce(ts, F.lit(0)).alias("t")] if weight == "decay" else []
-        table = base.select(F.col(member).alias("key"), F.col(group).alias("token"), value.alias("weight"), *more)
+    blocks = max(block_count(members, parallel), math.ceil(rows / BLOCK_ROWS))
+    table = _weighted(df, group, member, weight, ts, rating)
+    if pairs < 2 * blocks * rows:
+        return neighbours(_pair_scores(table), k)
+    hot = None
+    if largest > MEMBER_ROWS:
+        table = cut_lineage(table)
+        big = sizes.filter(F.col("_n") > MEMBER_ROWS).select(F.col(member).alias("key"))
+        hot = _pairs_of(table.join(big, "key", "left_semi"), table)
+        table = table.join(big, "key", "left_anti")
+    kernel = "closeness" if "t" in table.columns else "overlap"
     near = best_matches(table, table, "key", k, kernel, drop_self=True, positive_only=True, blocks=(blocks, blocks))
-    return near.withColumnsRenamed({"query_key": "a", "match_key": "b"})
+    near = near.select(F.col("query_key").alias("a"), F.col("match_key").alias("b"), "score", "rank")
+    if hot is None:
+        return near
+    hot = cut_lineage(hot)
+    mirror = hot.join(big.withColumnRenamed("key", "b"), "b", "left_anti")  # pairs of two big ones stand both ways
+    every = near.drop("rank").unionByName(hot).unionByName(mirror.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+    return top_k(every, ["a"], [F.desc("score"), "b"], k)
+
+
+def _pairs_of(few: DataFrame, table: DataFrame) -> DataFrame:
+    """(a, b, score) of each of a few members with every member it shares a group with.
+
+    A group of many rows is cut into blocks, and the rows of the few members go to each.
+    """
+    counts = table.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BIG_GROUP).cast("int").alias("_nb"))
+    left = few.join(counts, "token").select(
+        F.col("key").alias("a"),
+        "token",
+        *[F.col(v).alias(f"{v}_a") for v in _values(table)],
+        F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_x"),
+    )
+    right = table.join(counts, "token").select(
+        F.col("key").alias("b"),
+        "token",
+        *[F.col(v).alias(f"{v}_b") for v in _values(table)],
+        F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int").alias("_x"),
+    )
+    pairs = left.join(right, ["token", "_x"]).filter(F.col("a") != F.col("b"))
+    return _positive_sums(pairs, table)
 
 
 def item_based(
@@ -298,16 +353,6 @@ def sar(
     return top_k(scored, ["user_id"], [F.desc("score"), "item_id"], k)
 
 
-def _rating_cosines(df: DataFrame, group: str, member: str, rating: str) -> DataFrame:
-    """Cosine of the rating vectors of members that share a group, a < b."""
-    norms = df.groupBy(member).agg(F.sqrt(F.sum(F.col(rating) * F.col(rating))).alias("_norm"))
-    scaled = df.join(norms, member).select(
-        group, member, F.coalesce(F.try_divide(F.col(rating), F.col("_norm")), F.lit(0.0)).alias("r")
-    )
-    dots = pair_sums(scaled, group, member, {"_d": F.col("r_a") * F.col("r_b")}, ["r"])
-    return dots.select("a", "b", fx.tidy("_d", DECIMALS).alias("score"))
-
-
 def rating_vector_neighbours(df: DataFrame, k: int = 6) -> DataFrame:
     """k nearest items by cosine distance of rating vectors, the item itself included."""
     near = most_similar(df, "user_id", "item_id", k, rating="rating")

@@ -61,11 +61,14 @@ def test_skewed(spark, skewed, duck, small_limits, name):
     assert ok, message
 
 
-@pytest.mark.parametrize("way", ["pairs", "tiles"])
+@pytest.mark.parametrize("way", ["pairs", "tiles", "hot members"])
 @pytest.mark.parametrize("name", ["I1_item_similarity_decay", "I2_item_similarity_damped", "I12_rating_vector_knn"])
-def test_both_ways_of_similarity_agree(spark, skewed, duck, monkeypatch, way, name):
+def test_all_ways_of_similarity_agree(spark, skewed, duck, monkeypatch, way, name):
     monkeypatch.setattr(similarity, "BLOCK_ROWS", 1 if way == "pairs" else 10**9)
-    if way == "tiles":
+    if way != "pairs":
         monkeypatch.setattr(similarity, "block_count", lambda rows, parallel: 1)
+    if way == "hot members":
+        monkeypatch.setattr(similarity, "MEMBER_ROWS", 40)
+        monkeypatch.setattr(similarity, "BIG_GROUP", 25)
     ok, message, _, _ = compare(spark, duck, name, skewed)
     assert ok, message
