@@ -114,9 +114,9 @@ def most_similar(
     table = _weighted(df, group, member, weight, ts, rating)
     if pairs < 2 * blocks * rows:
         return neighbours(_pair_scores(table), k)
+    table = cut_lineage(table)  # both sides of the tiles read it
     hot = None
     if largest > MEMBER_ROWS:
-        table = cut_lineage(table)
         big = sizes.filter(F.col("_n") > MEMBER_ROWS).select(F.col(member).alias("key"))
         hot = _pairs_of(table.join(big, "key", "left_semi"), table)
         table = table.join(big, "key", "left_anti")
