@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: SQL settings every plan assumes; all can be changed at run time.
@@ -13,14 +16,37 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+#: Contexts (by application id) whose executors have been given the package.
+_shipped: set[str] = set()
+
+
+def ship_package(context: SparkContext) -> None:
+    """Give the executors this package as a zip, once per context; workers import it from there."""
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # made on the driver, which hands the file to every executor
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "tastemill.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to an existing session."""
+    """Apply the run-time settings to an existing session and give its executors the package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark.sparkContext)
     return spark
 
 
@@ -37,18 +63,20 @@ def local_session(cores: str = "8", app: str = "tastemill", memory: str = "8g")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a temporary folder is made.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session on one machine (tests, a laptop)
+    gets a temporary folder; on a cluster that would be another disk on every executor, so it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tastemill-")
     spark.conf.set("spark.checkpoint.dir", local)
     return local
