@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding, url_filter
+from . import byte_bpe, mixing, sharding, simhash, token_files, url_filter
 
 QUERIES = {
+    "op3_token_files": token_files.query,
     "op4_source_mix": mixing.query,
     "op5_url_filter": url_filter.query,
+    "op6_byte_bpe": byte_bpe.query,
     "op8_best_fit_shards": sharding.query,
+    "op9_simhash_golay": simhash.query,
 }
 
 ORACLE_SQL = {
