@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, mixing, sharding, simhash, token_files, url_filter
+from . import byte_bpe, html_text, mixing, quality_rules, sharding, simhash, token_files, url_filter
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.query,
+    "op2_html_text": html_text.query,
     "op3_token_files": token_files.query,
     "op4_source_mix": mixing.query,
     "op5_url_filter": url_filter.query,
