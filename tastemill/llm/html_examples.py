@@ -88,6 +88,14 @@ PAGES = [
     ("<body><article><h1>[7]</h1><p>[7]</p></article></body>", "1 1"),
     ("<body><article><p>[1]</p><p>{3}</p><p>[6]</p></article><div>[3]</div><div>{5}</div></body>", "1 1 1 0 0"),
     ("<body><div><a>[1]</a></div><div class='entry'><p>{8}</p><p>[2]</p><pre>[4]</pre></div><div>[4]</div></body>", "0 1 1 1 0"),
+    # marked articles that start or end the page, some of them broken off
+    ("<body><nav><a>[1]</a></nav><article><h1>[4]</h1><p>{30}</p><p>[12]", "0 1 1 1"),
+    ("<body><main><p>[3]</p><p>{50}</p><p>[7]</p></main></body>", "1 1 1"),
+    ("<article><p>[4]</p><p>{60}</p><p>[2]</p>", "1 1 1"),
+    ("<body><main><div>[5]</div><p>{33}</p><ul><li>[2]</li><li>[3]</li><li>[8]</li></ul></main></body>", "1 1 1 1 1"),
+    ("<article><p>[9]", "1"),
+    ("<body><article><p>[2]</p><p>{25}</p><p>[5]", "1 1 1"),
+    ("<body><article><p>[1]</p><p>[6]</p><p>[3]</p></article></body>", "1 1 1"),
     # short unmarked pages, and long blocks without a full stop
     ("<body><div>[2]</div><p>[45]</p><p>{30}</p><p>[38]</p><div>[5]</div></body>", "0 1 1 1 0"),
     ("<body><div>[3]</div><h1>[4]</h1><p>[60]</p><p>[25]</p><p>{40}</p><div>[7]</div></body>", "0 1 1 1 1 0"),

@@ -182,7 +182,7 @@ def blocks(page: str) -> list[Block]:
 
 #: What the tree sees of a block.
 FEATURES = (
-    "words", "link_density", "place", "heading", "page_has_place", "words_before", "link_density_before", "words_after",
+    "words", "link_density", "place", "heading", "words_before", "link_density_before", "words_after",
     "link_density_after", "sentence_end", "words_of_longest_near",
 )
 
@@ -191,12 +191,15 @@ def features(found: list[Block]) -> np.ndarray:
     n = len(found)
     words = np.array([b.words for b in found], float)
     density = np.array([min(1.0, b.linked / b.words) for b in found])
+    # outside, beside a marked article, on a page that marks none, in the article
     place = np.array([b.place for b in found], float)
+    if not (place == 1).any():
+        place[place == 0] = 0.5
     plain = np.pad(words * (density < 0.5) * (place >= 0), 3)
     near = np.max([plain[k : k + n] for k in range(7)], axis=0) if n else words
     return np.column_stack(
         [
-            words, density, place, [b.heading for b in found], np.full(n, float((place == 1).any())),
+            words, density, place, [b.heading for b in found],
             np.append(0.0, words[:-1]), np.append(0.0, density[:-1]), np.append(words[1:], 0.0), np.append(density[1:], 0.0),
             [b.text[-1] in ".!?:;\"'”»…)" for b in found], near,
         ]
