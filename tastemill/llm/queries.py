@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, html_text, mixing, quality_rules, sharding, simhash, token_files, url_filter
+from . import byte_bpe, embedding_dedup, html_text, mixing, quality_rules, sharding, simhash, token_files, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_source_mix": mixing.query,
     "op5_url_filter": url_filter.query,
     "op6_byte_bpe": byte_bpe.query,
+    "op7_embedding_dedup": embedding_dedup.query,
     "op8_best_fit_shards": sharding.query,
     "op9_simhash_golay": simhash.query,
 }
@@ -18,4 +19,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op4_source_mix": mixing.ORACLE,
     "op5_url_filter": url_filter.ORACLE,
+    "op7_embedding_dedup": embedding_dedup.ORACLE,
 }
