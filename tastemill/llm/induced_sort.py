@@ -42,6 +42,7 @@ class Folder:
             self.held.cleanup()
 
 
+NEVER = 1 << 62
 TUPLE = np.dtype([("key", "<i8"), ("at", "<i8"), ("common", "<u2")])
 
 
@@ -51,7 +52,8 @@ class Queue:
     def __init__(self, folder: Folder, in_memory: int):
         self.folder, self.in_memory = folder, in_memory
         self.runs: list[np.ndarray] = []
-        self.ask = 256
+        #: Whether the last call of ``least`` returned all that the queue holds.
+        self.complete = True
 
     def push(self, key: np.ndarray, at: np.ndarray, common: np.ndarray) -> None:
         if not len(key):
@@ -64,7 +66,7 @@ class Queue:
             pair = self.runs[-2:]
             if sum(map(len, pair)) > 4 * self.in_memory:
                 break
-            both = np.concatenate(pair)
+            both = np.concatenate(pair, dtype=TUPLE)
             self.runs[-2:] = [both[np.argsort(both["key"], kind="stable")]]
         if len(self.runs[-1]) > self.in_memory:
             self.runs[-1] = self.folder.put(self.runs[-1])
@@ -74,7 +76,8 @@ class Queue:
         heads = [r[:want] for r in self.runs]
         # where a run goes on, tuples behind its last one here aren't certain yet
         ends = [(int(h["key"][-1]), k) for k, (h, r) in enumerate(zip(heads, self.runs, strict=True)) if len(h) < len(r)]
-        found = np.concatenate(heads)
+        self.complete = not ends
+        found = np.concatenate(heads, dtype=TUPLE)
         source = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
         order = np.argsort(found["key"], kind="stable")
         found, source = found[order], source[order]
@@ -107,7 +110,7 @@ class Sequence:
 
     def _pack(self) -> None:
         if self.small:
-            joined = np.concatenate(self.small)
+            joined = np.concatenate(self.small, dtype=self.small[0].dtype)
             self.parts.append(self.folder.put(joined) if len(joined) > self.in_memory else joined)
             self.small, self.size = [], 0
 
@@ -218,65 +221,67 @@ def _induce(
     gaps = _Gaps(int(text.max()) + 1, most) if most else None
     parts = iter(given)
     head = next(parts, None)
-    last = -1  # place of the suffix processed last
-    last_out = -1
+    ask = 256
+    last_at, last_key, last_given = -1, NEVER, False
+    nothing = np.zeros(0, TUPLE)
 
-    def process(at: np.ndarray, common: np.ndarray) -> None:
-        nonlocal last
-        if most:
-            between = common.copy()
-            # the first of a run meets a suffix of the other origin: compare these two
-            if last >= 0:
-                between[0] = common_prefix(text, np.array([last]), at[:1], most)[0]
-            else:
-                between[0] = 0
-        last = int(at[-1])
+    while queue.runs or head is not None:
+        queued, source = queue.least(ask) if queue.runs else (nothing, np.zeros(0, np.int64))
+        if head is not None:
+            ready = np.array(head[:ask])
+            ready["key"] = turn * text[ready["at"]].astype(np.int64)
+            if len(head) > ask or not queue.complete:
+                # behind the end of either stream here the other's tuples aren't certain
+                queued_end = int(queued["key"][-1]) if len(queued) and not queue.complete else NEVER
+                ready = ready[ready["key"] < queued_end]
+                if len(head) > ask and len(ready):
+                    sure = queued["key"] <= int(ready["key"][-1])
+                    queued, source = queued[sure], source[sure]
+            elif len(queued):
+                # the next part of the given suffixes may start with the last symbol of this one, never before it
+                sure = queued["key"] <= int(ready["key"][-1])
+                queued, source = queued[sure], source[sure]
+        else:
+            ready = nothing
+        both = np.concatenate([queued, ready], dtype=TUPLE)
+        is_given = np.arange(len(both)) >= len(queued)
+        order = np.argsort(2 * both["key"] + is_given, kind="stable")
+        both, is_given = both[order], is_given[order]
+        key, at = both["key"], both["at"]
         before = at - 1
         ok = before >= 0
         ok[ok] = is_s[before[ok]] == down
+        induced = np.full(len(at), NEVER)
+        induced[ok] = turn * text[before[ok]].astype(np.int64)
+        # what is induced goes behind queued tuples of its symbol and before given ones
+        bound = np.minimum.accumulate(induced)
+        safe = np.ones(len(at), bool)
+        safe[1:] = key[1:] + is_given[1:] <= bound[:-1]
+        n = len(at) if safe.all() else int(np.argmin(safe))
+        key, at, before, ok, is_given, common = key[:n], at[:n], before[:n], ok[:n], is_given[:n], both["common"][:n].copy()
+        n_given = int(is_given.sum())
+        queue.drop(source[: n - n_given])
+        if n_given:
+            head = head[n_given:] if n_given < len(head) else next(parts, None)
+        ask = max(256, min(in_memory, 2 * n))
+        if most:
+            same = np.append(last_key, key[:-1]) == key
+            was_given = np.append(last_given, is_given[:-1])
+            common[~same] = 0
+            meet = np.nonzero(same & (was_given != is_given))[0]
+            if len(meet):
+                common[meet] = common_prefix(text, np.append(last_at, at[:-1])[meet], at[meet], most)
+        last_at, last_key, last_given = int(at[-1]), int(key[-1]), bool(is_given[-1])
+        row = np.empty(n - n_given, TUPLE)
+        row["key"], row["at"], row["common"] = key[~is_given], at[~is_given], common[~is_given]
+        out.add(row)
         place = np.nonzero(ok)[0]
         symbol = text[before[place]].astype(np.int64)
-        carried = (
-            np.minimum(gaps.of(symbol, place, between) + 1, most).astype(np.uint16) if most else np.zeros(len(place), np.uint16)
-        )
+        if most:
+            carried = np.minimum(gaps.of(symbol, place, common) + 1, most).astype(np.uint16)
+        else:
+            carried = np.zeros(len(place), np.uint16)
         queue.push(turn * symbol, before[place], carried)
-
-    while queue.runs or head is not None:
-        limit = turn * int(text[head["at"][0]]) if head is not None else None
-        if queue.runs:
-            found, source = queue.least(queue.ask)
-            key, at = found["key"], found["at"]
-            before = at - 1
-            ok = before >= 0
-            ok[ok] = is_s[before[ok]] == down
-            induced = np.full(len(at), np.iinfo(np.int64).max)
-            induced[ok] = turn * text[before[ok]].astype(np.int64)
-            bound = np.minimum.accumulate(induced)
-            safe = np.ones(len(at), bool)
-            safe[1:] = key[1:] <= bound[:-1]
-            if limit is not None:
-                safe &= key <= limit
-            n = len(at) if safe.all() else int(np.argmin(safe))
-            if n:
-                same = key[:n]
-                common = found["common"][:n].copy()
-                first = np.ones(n, bool)
-                first[1:] = same[1:] != same[:-1]
-                first[0] = last_out < 0 or turn * int(text[last_out]) != int(same[0])
-                common[first] = 0
-                queue.drop(source[:n])
-                queue.ask = max(256, min(in_memory, 2 * n))
-                row = np.empty(n, TUPLE)
-                row["key"], row["at"], row["common"] = same, at[:n], common
-                out.add(row)
-                last_out = int(at[n - 1])
-                process(at[:n], common)
-                continue
-        # nothing induced is left up to the given suffixes' symbol: take those of that symbol
-        symbols = text[head["at"]]
-        n = int(np.argmax(symbols != symbols[0])) if (symbols != symbols[0]).any() else len(symbols)
-        process(head["at"][:n], head["common"][:n])
-        head = head[n:] if n < len(head) else next(parts, None)
     return out
 
 
@@ -305,8 +310,9 @@ def suffix_order(text: np.ndarray, folder: Folder, in_memory: int = IN_MEMORY, m
             part = places[lo : lo + in_memory]
             row = np.zeros(len(part), TUPLE)
             row["at"] = part
-            if most and len(part) > 1:
-                row["common"][1:] = common_prefix(text, part[:-1], part[1:], most)
+            if most:
+                first = max(1, lo)
+                row["common"][first - lo :] = common_prefix(text, places[first - 1 : lo + len(part) - 1], places[first : lo + len(part)], most)
             yield row
 
     rising = _induce(text, is_s, with_common(seeds), False, folder, in_memory, most)
@@ -329,31 +335,27 @@ def suffix_order(text: np.ndarray, folder: Folder, in_memory: int = IN_MEMORY, m
 
 def _merged(text: np.ndarray, s_part: Sequence, l_parts: Iterator[np.ndarray], most: int) -> Iterator[np.ndarray]:
     """All suffixes in falling order: of each symbol those of type S, then those of type L."""
-    s_parts = s_part.read()
-    s_head, l_head = next(s_parts, None), next(l_parts, None)
-    last = -1
-
-    def joined(row: np.ndarray) -> np.ndarray:
-        nonlocal last
-        row = np.array(row)
+    streams = [iter(s_part.read()), l_parts]
+    heads = [next(x, None) for x in streams]
+    last_at, last_key = -1, NEVER
+
+    while any(h is not None for h in heads):
+        keys = [None if h is None else 2 * -text[h["at"]].astype(np.int64) + k for k, h in enumerate(heads)]
+        # up to the end of the head that ends first, nothing that comes later belongs before
+        end = min(int(k[-1]) for k in keys if k is not None)
+        counts = [0 if k is None else int(np.searchsorted(k, end, side="right")) for k in keys]
+        rows = np.concatenate([h[:n] for h, n in zip(heads, counts, strict=True) if n], dtype=TUPLE)
+        key = np.concatenate([k[:n] for k, n in zip(keys, counts, strict=True) if n])
+        order = np.argsort(key, kind="stable")
+        rows, key = rows[order], key[order]
         if most:
-            row["common"][0] = common_prefix(text, np.array([last]), row["at"][:1], most)[0] if last >= 0 else 0
-        last = int(row["at"][-1])
-        return row
-
-    while s_head is not None or l_head is not None:
-        s_symbol = int(text[s_head["at"][0]]) if s_head is not None else -1
-        l_symbol = int(text[l_head["at"][0]]) if l_head is not None else -1
-        take_s = s_symbol >= l_symbol and s_head is not None
-        head = s_head if take_s else l_head
-        # S tuples go before L ones of the same symbol, larger symbols first
-        other = l_symbol if take_s else s_symbol
-        symbols = text[head["at"]].astype(np.int64)
-        goes = symbols >= other if take_s else symbols > other
-        n = len(symbols) if goes.all() else int(np.argmin(goes))
-        yield joined(head[:n])
-        rest = head[n:] if n < len(head) else next(s_parts if take_s else l_parts, None)
-        if take_s:
-            s_head = rest
-        else:
-            l_head = rest
+            before_at, before_key = np.append(last_at, rows["at"][:-1]), np.append(last_key, key[:-1])
+            rows["common"][before_key >> 1 != key >> 1] = 0
+            meet = np.nonzero((before_key >> 1 == key >> 1) & (before_key != key))[0]
+            rows["common"][meet] = common_prefix(text, before_at[meet], rows["at"][meet], most)
+        last_at, last_key = int(rows["at"][-1]), int(key[-1])
+        yield rows
+        heads = [
+            None if h is None else h[n:] if n < len(h) else next(x, None)
+            for h, n, x in zip(heads, counts, streams, strict=True)
+        ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embedding_dedup, html_text, mixing, quality_rules, sharding, simhash, token_files, url_filter
+from . import byte_bpe, embedding_dedup, html_text, mixing, quality_rules, sharding, simhash, suffix_dedup, token_files, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_embedding_dedup": embedding_dedup.query,
     "op8_best_fit_shards": sharding.query,
     "op9_simhash_golay": simhash.query,
+    "op10_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLE_SQL = {

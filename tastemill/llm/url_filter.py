@@ -87,6 +87,21 @@ def bloom_table(listed: DataFrame, key: str, bits_per_key: int = 16) -> tuple[Da
     return merged, blocks
 
 
+def maybe_listed(rows: DataFrame, key: Column, listed: DataFrame, listed_key: str) -> DataFrame:
+    """The rows whose key may be among ``listed`` (distinct, written): none that is goes missing, few others stay.
+
+    With more keys than a filter of ``BROADCAST_BYTES`` serves, all rows are returned; an exact join has to follow.
+    """
+    bloom, blocks = bloom_table(listed, listed_key)
+    if blocks * BYTES_PER_BLOCK > BROADCAST_BYTES:
+        return rows
+    block, bits = _place(key, blocks)
+    possible = F.lit(True)
+    for j, bit in enumerate(bits):
+        possible = possible & (F.col(f"bf_{j}").bitwiseAND(bit) != 0)
+    return rows.join(F.broadcast(bloom), block == F.col("bf_block")).where(possible).select(*[rows[c] for c in rows.columns])
+
+
 def judge(
     pages: DataFrame, listed_urls: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url"
 ) -> DataFrame:
