@@ -235,6 +235,28 @@ def mixed_documents(docs: DataFrame, seed: int = 42, max_repeats: int = 3) -> tu
     return mix(measured, quotas, seed, max_repeats, also=("source",)), sizes, targets
 
 
+def repeated_documents(docs: DataFrame, seed: int = 42, max_repeats: int = 3) -> DataFrame:
+    """The rows, each as often as the mix takes it; columns stay as they are.
+
+    Rows of one id have one answer of the mix for each size, so an id that stands for several texts is mixed by the
+    copies of its rows of that size.
+    """
+    mixed, _, _ = mixed_documents(docs, seed, max_repeats)
+    answers = written(
+        mixed.where("copies > 0").select(F.col("doc_id").alias("m_id"), F.col("size").alias("m_size"), F.col("source").alias("m_source"), "copies").distinct(),
+        "mix-answers",
+    )
+    names = docs.columns
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row_")
+    rows = docs.select(row, F.col("doc_id").alias("id_"), F.col("source").alias("source_"), word_count(F.col("text")).alias("size_"))
+    taken = rows.join(
+        answers,
+        F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("size_") == F.col("m_size")) & F.col("source_").eqNullSafe(F.col("m_source")),
+    )
+    each = taken.select("row_", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return each.select(*[F.col("row_")[f"c{i}"].alias(c) for i, c in enumerate(names)])
+
+
 def query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     mixed, sizes, targets = mixed_documents(docs)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
+from .url_filter import maybe_listed
 
 SEED = 42
 #: Flips that keys of nearest codewords on one side are sure to find.
@@ -134,7 +135,10 @@ def _signed(x: int) -> int:
 def fingerprints(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (SEED,)
 ) -> DataFrame:
-    """doc_id, fp_0, fp_1, ... as signed longs, a row per row; null and blank texts have fingerprint 0."""
+    """doc_id, digest (of the text, null for null), fp_0, fp_1, ... as signed longs, a row per row.
+
+    Null and blank texts have fingerprint 0.
+    """
     kind = docs.schema[key].dataType.simpleString()
     names = [f"fp_{i}" for i in range(len(seeds))]
 
@@ -142,10 +146,13 @@ def fingerprints(
         for batch in batches:
             found = [fingerprint(t.as_py() or b"", shingle, seeds) for t in batch.column(1)]
             columns = [pa.array([_signed(f[i]) for f in found], pa.int64()) for i in range(len(seeds))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["doc_id", "digest", *names])
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(compute, ", ".join([f"doc_id {kind}", *(f"{n} long" for n in names)]))
+    body = F.col(f"`{text}`")
+    rows = docs.select(
+        F.col(f"`{key}`").alias("doc_id"), body.cast("binary").alias("text"), F.unhex(F.md5(body)).alias("digest")
+    )
+    return rows.mapInArrow(compute, ", ".join([f"doc_id {kind}", "digest binary", *(f"{n} long" for n in names)]))
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +175,31 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[moved]], nodes[moved]
 
 
-def _linked(words: int, most: int):
+def closest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges of a spanning forest of least weights: every part takes its lightest way out until none is left."""
+    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = where[: len(a)], where[len(a) :]
+    order = weight.astype(np.int64) * len(a) + np.arange(len(a))  # no two alike
+    label, taken = np.arange(len(nodes)), []
+    while True:
+        la, lb = label[i], label[j]
+        out = np.nonzero(la != lb)[0]
+        if not len(out):
+            break
+        best = np.full(len(nodes), np.iinfo(np.int64).max)
+        np.minimum.at(best, la[out], order[out])
+        np.minimum.at(best, lb[out], order[out])
+        edge = np.unique(best[best < np.iinfo(np.int64).max]) % len(a)
+        taken.append(edge)
+        u, v = forest(la[edge], lb[edge])
+        to = np.arange(len(nodes))
+        to[v] = u
+        label = to[label]
+    edge = np.concatenate(taken) if taken else np.zeros(0, np.int64)
+    return a[edge], b[edge]
+
+
+def _linked(words: int, most: int, closest: bool):
     """Kernel over rows sorted by (key, deal, side): L rows (side 1, 3) of a key against its R rows (3, 2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +232,8 @@ def _linked(words: int, most: int):
                     differ += np.bitwise_count(p[l_] ^ p[r_])
                 ok = (differ <= most) & (prints[0][l_] != prints[0][r_])
                 if ok.any():
-                    a, b = forest(cols[3][l_[ok]], cols[3][r_[ok]])
+                    a, b = cols[3][l_[ok]], cols[3][r_[ok]]
+                    a, b = closest_forest(a, b, differ[ok]) if closest else forest(a, b)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 at = to
             last = np.nonzero((group == group[-1]) & (side != 2))[0]
@@ -214,10 +246,11 @@ def _linked(words: int, most: int):
     return run
 
 
-def links(prints: DataFrame, tables: int = 1, most: int = 3) -> DataFrame:
+def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = False) -> DataFrame:
     """Distinct (fp_0, ...) rows -> edges (a, b) of fp_0 that connect all found fingerprints ``most`` flips apart.
 
-    With ``most`` <= 3 and one table every link is found; flips are counted over all tables.
+    With ``most`` <= 3 and one table every link is found; flips are counted over all tables. With ``closest`` the
+    edges are those of fewest flips that connect, so that they can be verified afterwards.
     """
     spark = prints.sparkSession
     one_sided = most <= SURE_ONE_SIDED and tables == 1
@@ -269,33 +302,98 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3) -> DataFrame:
     placed = dealt.select("key", "deal", "side", *names).repartition(parts, "key", "deal").sortWithinPartitions(
         "key", "deal", order
     )
-    return placed.mapInArrow(_linked(tables, most), "a long, b long")
+    return placed.mapInArrow(_linked(tables, most, closest), "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (SEED,), most: int = 3
-) -> DataFrame:
-    """doc_id, fp_0, ..., component_id: the least doc_id among the documents that links of fingerprints reach.
+def resemblance(a: str, b: str, shingle: int) -> float:
+    """Jaccard similarity of the word shingles of two texts, A-Z lower-cased."""
 
-    A row per row. Null and blank texts have fingerprint 0 and link like any other; null ids are members but never
-    name a component unless all its ids are null; an empty table gives an empty result.
-    """
+    def shingles(text: str) -> set[bytes]:
+        found = text.encode().lower().split()
+        return {b" ".join(found[i : i + shingle]) for i in range(max(1, len(found) - shingle + 1))} if found else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _verified(edges: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, shingle: int, least: float) -> DataFrame:
+    """The edges (of nodes' fp_0) whose texts resemble each other; ``nodes`` has the digest of a text of each."""
+    digest = nodes.select(F.col("fp_0").alias("f"), "digest")
+    both = edges.distinct().join(digest, F.col("a") == F.col("f")).select("a", "b", F.col("digest").alias("da"))
+    both = written(
+        both.join(digest, F.col("b") == F.col("f")).select("a", "b", "da", F.col("digest").alias("db")), "simhash-candidates"
+    )
+    wanted = written(both.select(F.explode(F.array("da", "db")).alias("k")).distinct(), "simhash-wanted")
+    body = docs.select(F.unhex(F.md5(F.col(text))).alias("d"), F.col(text).alias("body")).where("d is not null")
+    texts = maybe_listed(body, F.col("d"), wanted, "k").join(wanted, F.col("d") == F.col("k"), "left_semi")
+    texts = written(texts.dropDuplicates(["d"]), "simhash-texts")
+    left = both.join(texts, F.col("da") == F.col("d")).select("a", "b", "db", F.col("body").alias("left"))
+    pairs = left.join(texts, F.col("db") == F.col("d")).select("a", "b", "left", "body")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [resemblance(x.as_py(), y.as_py(), shingle) >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.mapInArrow(check, "a long, b long")
+
+
+def classes(
+    docs: DataFrame, key: str, text: str, shingle: int, seeds: tuple[int, ...], most: int, resembling: float | None
+) -> DataFrame:
+    """doc_id, digest (of the text, null for null), fp_0, ..., part: rows of one part are near-duplicates."""
     names = [f"fp_{i}" for i in range(len(seeds))]
     printed = written(fingerprints(docs, key, text, shingle, seeds), "simhash-prints")
     firsts = written(
-        printed.groupBy("fp_0").agg(F.min("doc_id").alias("first"), *[F.min(n).alias(n) for n in names[1:]]), "simhash-distinct"
+        printed.groupBy("fp_0").agg(F.min("digest").alias("digest"), *[F.min(n).alias(n) for n in names[1:]]), "simhash-distinct"
     )
-    reach = components(written(links(firsts.select(*names), len(seeds), most), "simhash-links"))
+    edges = written(links(firsts.select(*names), len(seeds), most, resembling is not None), "simhash-links")
+    if resembling is not None:
+        edges = written(_verified(edges, firsts.select("fp_0", "digest"), docs, text, shingle, resembling), "simhash-verified")
+    reach = components(edges)
     part = firsts.join(reach, F.col("fp_0") == F.col("node"), "left").select(
-        "fp_0", "first", F.coalesce("component", "fp_0").alias("part")
+        F.col("fp_0").alias("f"), F.coalesce("component", "fp_0").alias("part")
     )
-    part = written(part, "simhash-parts")
-    least = part.groupBy(F.col("part").alias("p")).agg(F.min("first").alias("component_id"))
-    of_print = written(
-        part.join(written(least, "simhash-least"), F.col("part") == F.col("p")).select(F.col("fp_0").alias("f"), "component_id"),
-        "simhash-classes",
+    return printed.join(written(part, "simhash-parts"), F.col("fp_0") == F.col("f")).drop("f")
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (SEED,), most: int = 3,
+    resembling: float | None = None,
+) -> DataFrame:
+    """doc_id, fp_0, ..., component_id: the least doc_id among the documents that links of fingerprints reach.
+
+    A row per row. Fingerprints link at ``most`` differing bits, over all seeds; with ``resembling`` links also need
+    that share of common shingles. Null and blank texts have fingerprint 0 and link like any other; null ids are
+    members but never name a component unless all its ids are null; an empty table gives an empty result.
+    """
+    member = written(classes(docs, key, text, shingle, seeds, most, resembling), "simhash-members")
+    least = written(member.groupBy(F.col("part").alias("p")).agg(F.min("doc_id").alias("component_id")), "simhash-least")
+    names = [f"fp_{i}" for i in range(len(seeds))]
+    return member.join(least, F.col("part") == F.col("p")).select("doc_id", *names, "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, seeds: tuple[int, ...] = (SEED, SEED + 1),
+    most: int = 30, resembling: float = 0.8,
+) -> DataFrame:
+    """The rows without near-duplicates: of each group the one with the least id (then digest of the text) stays.
+
+    Two fingerprints of 64 bits by default: documents that share a key and differ in ``most`` bits of 128 are
+    compared by their shingles. Other columns stay as they are; rows equal in id and text are one row.
+    """
+    member = classes(docs, key, text, shingle, seeds, most, resembling).select("doc_id", "digest", "part")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.coalesce("digest", F.lit(b"")).alias("digest"))
+    kept = written(member.groupBy("part").agg(F.min(order).alias("k")).select("k.doc_id", "k.digest"), "simhash-kept")
+    kept = kept.select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))
+    names = docs.columns
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row_")
+    rows = docs.select(
+        row, F.col(f"`{key}`").alias("id_"), F.coalesce(F.unhex(F.md5(F.col(f"`{text}`"))), F.lit(b"")).alias("digest_")
     )
-    return printed.join(of_print, F.col("fp_0") == F.col("f")).drop("f")
+    left = rows.join(kept, (F.col("digest_") == F.col("k_digest")) & F.col("id_").eqNullSafe(F.col("k_id")), "left_semi")
+    once = left.dropDuplicates(["digest_", "id_"])
+    return once.select(*[F.col("row_")[f"c{i}"].alias(c) for i, c in enumerate(names)])
 
 
 def query(spark, sf_dir):
