@@ -78,11 +78,12 @@ class FreeTree:
                 side = t.right or t.left
                 while (side.left if t.right else side.right) is not None:
                     side = side.left if t.right else side.right
+                key = side.key  # the removal below may move keys
                 if t.right:
-                    t.right = cut(t.right, side.key)
+                    t.right = cut(t.right, key)
                 else:
-                    t.left = cut(t.left, side.key)
-                t.key = side.key
+                    t.left = cut(t.left, key)
+                t.key = key
             low = min(t.left.level if t.left else 0, t.right.level if t.right else 0) + 1
             if low < t.level:
                 t.level = low
