@@ -21,4 +21,5 @@ ORACLE_SQL = {
     "op4_source_mix": mixing.ORACLE,
     "op5_url_filter": url_filter.ORACLE,
     "op7_embedding_dedup": embedding_dedup.ORACLE,
+    "op10_suffix_dedup": suffix_dedup.ORACLE,
 }

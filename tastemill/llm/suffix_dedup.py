@@ -394,3 +394,32 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def query(spark, sf_dir):
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+ORACLE = r"""
+with d as (
+  select row_number() over () as r, doc_id, encode(coalesce(text, '')) as b from documents
+), w as (
+  select r, s, md5(hex(array_slice(b, s + 1, s + 200))) as k
+  from (select r, b, unnest(range(0, octet_length(b) - 199)) as s from d where octet_length(b) >= 200)
+), m as (
+  select r, s from w where k in (select k from w group by k having count(*) > 1)
+), g as (
+  select r, s, lag(s) over (partition by r order by s) as before, lead(s) over (partition by r order by s) as after from m
+), n as (
+  select r, cast(sum(least(200, coalesce(after - s, 200))) as bigint) as n_removed,
+         cast(sum(case when before is null or s - before > 200 then 1 else 0 end) as bigint) as n_spans from g group by r
+), starts as (
+  select r, s, row_number() over (partition by r order by s) as k from g where before is null or s - before > 200
+), ends as (
+  select r, s + 200 as e, row_number() over (partition by r order by s) as k from g where after is null or after - s > 200
+), holes as (
+  select r, e as lo, k from ends union all select distinct r, 0 as lo, 0 as k from starts
+), kept as (
+  select h.r, string_agg(hex(array_slice(d.b, h.lo + 1, coalesce(x.s, octet_length(d.b)))), '' order by h.k) as rest
+  from holes h join d on d.r = h.r left join starts x on x.r = h.r and x.k = h.k + 1 group by h.r
+)
+select d.doc_id, octet_length(d.b) as n_bytes, coalesce(n.n_removed, 0) as n_removed, coalesce(n.n_spans, 0) as n_spans,
+       case when n.r is null then sha256(d.b) else sha256(unhex(kept.rest)) end as kept_sha256
+from d left join n on n.r = d.r left join kept on kept.r = d.r
+"""
