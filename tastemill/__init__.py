@@ -1 +1 @@
-"""tastemill: recommendation and ranking data engine written as Spark DataFrame plans."""
+"""tastemill: top-n and ranking data engine written as Spark DataFrame plans."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.operators.cleaning import log_actions
+from tastemill.operators.ordering import list_parts
 
 USER = "_token_associate_id"
 ITEM = "click_object_id"
@@ -29,10 +30,10 @@ def item_catalogue(log: DataFrame) -> DataFrame:
 
 
 def item_category_bag(log: DataFrame, category: str = "client_id") -> DataFrame:
-    """Distinct categories of an item joined by bars, in sorted order."""
+    """Distinct categories of an item joined by bars, in sorted order (D4); long bags go on in the next part."""
     rows = log_actions(log).select(F.col(ITEM).alias("item_id"), F.col(TITLE).alias("title"), category).distinct()
-    bag = F.concat_ws("|", F.sort_array(F.collect_set(category)))
-    return rows.groupBy("item_id", "title").agg(bag.alias("categories"))
+    bags = list_parts(rows, ["item_id", "title"], [F.col(category).asc_nulls_first()], {"categories": F.col(category)})
+    return bags.withColumn("categories", F.concat_ws("|", "categories"))
 
 
 def deepest_click(log: DataFrame, trace: str = "traceId", pos: str = "resPos") -> DataFrame:

@@ -28,9 +28,16 @@ def frequency_index(df: DataFrame, value: str, name: str = "idx", start: int = 0
     return placed.withColumn(name, F.col(name) - 1 + start)
 
 
-def one_hot(code: Column, width: int) -> Column:
-    """0/1 array of ``width``; an unknown code (null or out of range) gives all zeros (H4)."""
-    return F.array(*[F.coalesce((code == i).cast("int"), F.lit(0)) for i in range(width)])
+def one_hot(code: Column, width: Column | int) -> Column:
+    """0/1 array of ``width``, the size of the fitted vocabulary; an unknown code (null or out of range) is all zeros (H4)."""
+    places = F.sequence(F.lit(0).cast("long"), F.lit(width).cast("long") - 1)
+    hot = F.transform(places, lambda i: F.coalesce((code == i).cast("int"), F.lit(0)))
+    return F.when(F.lit(width) > 0, hot).otherwise(F.array().cast("array<int>"))
+
+
+def vocabulary_size(codes: DataFrame) -> Column:
+    """Number of rows of a fitted index table, as a scalar subquery."""
+    return codes.agg(F.count(F.lit(1))).scalar()
 
 
 def impute(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = ()) -> DataFrame:
@@ -89,9 +96,12 @@ def sequential_encoding(df: DataFrame, column: str, label: str, order: Sequence[
     ).drop("_y", "_c", "_i")
 
 
-def binary_code(code: Column, bits: int) -> list[Column]:
-    """The bits of a code, lowest first."""
-    return [F.shiftright(code, i).bitwiseAND(F.lit(1)).cast("int").alias(f"bit{i}") for i in range(bits)]
+def binary_code(code: Column, highest: Column) -> Column:
+    """The bits of a code, lowest first, as many as the ``highest`` code needs."""
+    bits = F.length(F.bin(highest))
+    return F.transform(
+        F.sequence(F.lit(0), bits - 1), lambda i: F.call_function("shiftright", code, i).bitwiseAND(F.lit(1)).cast("int")
+    )
 
 
 def mean_token_vectors(tok: DataFrame, key: str, vectors: DataFrame) -> DataFrame:

@@ -150,16 +150,18 @@ def with_crosses(df: DataFrame, crosses: Sequence[tuple[str, str]], buckets: int
     return df.withColumns({f"{a}_x_{b}": fx.hashed_cross(a, b, buckets) for a, b in crosses})
 
 
-def deep_pipeline(
-    numeric: Sequence[str], categorical: Sequence[str], width: int, hidden: Sequence[int] = (16, 8),
+def deep_model(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], hidden: Sequence[int] = (16, 8),
     label: str = "label", rounds: int = 30, seed: int = 42,
-) -> Pipeline:
-    """Multilayer perceptron on assembled, scaled features of the given width (M6)."""
+) -> PipelineModel:
+    """Multilayer perceptron on assembled, scaled features (M6); the first layer has as many nodes as the encoder gives."""
     scale = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+    encode = Pipeline(stages=[*encoder(numeric, categorical).getStages(), scale]).fit(train)
+    width = encode.stages[-1].mean.size
     net = MultilayerPerceptronClassifier(
         featuresCol="scaled", labelCol=label, layers=[width, *hidden, 2], maxIter=rounds, seed=seed
     )
-    return Pipeline(stages=[*encoder(numeric, categorical).getStages(), scale, net])
+    return PipelineModel(stages=[*encode.stages, net.fit(encode.transform(train))])
 
 
 def crossed_linear(inputs: Sequence[str], label: str, reg: float = 0.0) -> Pipeline:

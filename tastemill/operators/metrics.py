@@ -1,4 +1,4 @@
-"""Metrics of recommendation lists, ratings and classifiers (N1-N14); each returns one row unless said otherwise."""
+"""Metrics of top-n lists, ratings and classifiers (N1-N14); each returns one row unless said otherwise."""
 
 from __future__ import annotations
 
@@ -47,7 +47,7 @@ def mean_popularity(recs: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def hit_rate(recs: DataFrame, truth: DataFrame, n: int) -> DataFrame:
-    """Truth rows found among the first n recommendations over all truth rows."""
+    """Truth rows found among the first n suggestions over all truth rows."""
     hits = truth.select(*KEYS).join(recs.filter(F.col("rank") <= n).select(*KEYS), KEYS, "left_semi")
     return hits.agg(F.count(F.lit(1)).alias("_h")).select(
         fx.tidy(F.try_divide(F.col("_h").cast("double"), _rows(truth))).alias("hit_rate")
@@ -67,7 +67,7 @@ def recall_at(ranks: DataFrame, cuts: Sequence[int] = (1, 5, 10, 50), rank: str
 def ranking_at_k(recs: DataFrame, truth: DataFrame, k: int) -> DataFrame:
     """MAP, NDCG, precision and recall at k, averaged over the truth users.
 
-    A hit is a recommended item of the truth; a user without recommendations counts 0.
+    A hit is a recommended item of the truth; a user without suggestions counts 0.
     """
     sizes = truth.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rel"))
     hits = (

@@ -108,10 +108,14 @@ def list_parts(
     group: Sequence[str],
     order: Sequence[Column | str],
     fields: dict[str, Column],
-    size: int = LIST_LIMIT,
+    size: int | None = None,
     part: str = "part",
 ) -> DataFrame:
-    """Ordered lists per group, at most ``size`` long: longer groups give parts 0, 1, 2 ...."""
+    """Ordered lists per group, at most ``size`` (LIST_LIMIT) long: longer groups give parts 0, 1, 2 ....
+
+    Rows of a group lie in ``part`` order; callers keep ``part``, so a list can be put together again.
+    """
+    size = size or LIST_LIMIT
     placed = position(df.select("*", *[v.alias(f"_f_{n}") for n, v in fields.items()]), group, order, "_pos")
     placed = placed.withColumn(part, F.floor((F.col("_pos") - 1) / size))
     row = F.struct("_pos", *[F.col(f"_f_{n}").alias(n) for n in fields])

@@ -204,12 +204,17 @@ def history_summary(history: DataFrame, items: DataFrame, user: str = "user_id")
     """Most recent item vector and mean of the history vectors.
 
     ``history`` (user, pos, item_id) with pos 1 the newest, ``items`` (item_id, v).
-    One row per user and dimension: dim, mean, recent.
+    One row per user and dimension: dim, mean over the items that have a vector,
+    recent (null where the newest item has none), missing (items without one).
+    A user without any vector has one row with null dim.
     """
-    cells = history.join(items, "item_id").select(user, "pos", F.posexplode("v").alias("dim", "x"))
-    return cells.groupBy(user, "dim").agg(
-        fx.tidy(F.avg("x")).alias("mean"), fx.tidy(F.min_by("x", "pos")).alias("recent")
+    rows = history.join(items, "item_id", "left")
+    missing = rows.groupBy(user).agg(F.sum(F.col("v").isNull().cast("long")).alias("missing"))
+    cells = rows.select(user, "pos", F.posexplode("v").alias("dim", "x"))
+    summary = cells.groupBy(user, "dim").agg(
+        fx.tidy(F.avg("x")).alias("mean"), fx.tidy(F.max(F.when(F.col("pos") == 1, F.col("x")))).alias("recent")
     )
+    return missing.join(summary, user, "left").select(user, "dim", "mean", "recent", "missing")
 
 
 def batch_recommend(model_rows: DataFrame, fallback: DataFrame) -> DataFrame:

@@ -89,6 +89,14 @@ def sampled_lists(df: DataFrame, lists: int, size: int, seed: int = 42) -> DataF
     return top_k(rows, ["user_id", "list_no"], [key, "item_id"], size, "place")
 
 
+def first_of_each(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int, fields: dict[str, Column]) -> DataFrame:
+    """Lists of the first ``n`` rows of each group, one row per group."""
+    rows = top_k(df.select(*group, *order, *[v.alias(f"_f_{k}") for k, v in fields.items()]), group, order, n, "_place")
+    row = F.struct("_place", *[F.col(f"_f_{k}").alias(k) for k in fields])
+    lists = rows.groupBy(*group).agg(F.sort_array(F.collect_list(row)).alias("_rows"))  # n rows
+    return lists.select(*group, *[F.col("_rows")[k].alias(k) for k in fields])
+
+
 def padded_lists(lists: DataFrame, length: int, items: str = "items", labels: str = "labels") -> DataFrame:
     """Lists of one length with a mask; padded places have label -1."""
     item_type = lists.schema[items].dataType.elementType

@@ -148,36 +148,55 @@ def _closeness(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
     return _postings(q, c, separable=False, term=lambda x, y: 1.0 / (1.0 + np.abs(x - y) / 86400.0))
 
 
-def _edit(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
-    """0..100 edit similarity; one row of the distance table at a time, for all candidates at once."""
+def _distances(text: str, chars: np.ndarray, length: np.ndarray, replace: int) -> np.ndarray:
+    """Edit distances of a text to all candidates; a replaced letter costs ``replace``."""
+    column = np.arange(chars.shape[1] + 1)
+    prev = np.tile(column, (len(chars), 1))
+    for i, ch in enumerate(text):
+        cur = np.empty_like(prev)
+        cur[:, 0] = i + 1
+        cur[:, 1:] = np.minimum(prev[:, :-1] + replace * (chars != ord(ch)), prev[:, 1:] + 1)
+        prev = np.minimum.accumulate(cur - column, axis=1) + column  # insertions run to the right
+    return prev[np.arange(len(chars)), length]
+
+
+def _titles(c: pd.DataFrame, fold: bool) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     c = c.sort_values("key", kind="stable")
-    names = [s.lower() for s in c["key"]]
-    width = max(len(s) for s in names)
+    names = [s.lower() if fold else s for s in c["key"]]
     length = np.array([len(s) for s in names])
-    chars = np.zeros((len(names), width), dtype=np.int64)
+    chars = np.zeros((len(names), int(length.max())), dtype=np.int64)
     for i, s in enumerate(names):
         chars[i, : len(s)] = [ord(ch) for ch in s]
+    return c, chars, length
+
+
+def _share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return 100 * (1.0 - np.divide(part, whole, out=np.zeros(len(whole)), where=whole > 0))
+
+
+def _edit(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    """0..100: 1 - edit distance / longer length, case ignored."""
+    c, chars, length = _titles(c, True)
+
+    def rows() -> Iterator[np.ndarray]:
+        for text in (x.lower() for x in q["key"]):
+            yield np.rint(_share(_distances(text, chars, length, 1), np.maximum(length, len(text))))[None, :]
+
+    return q["key"].to_numpy(), c["key"].to_numpy(), rows()
+
+
+def _ratio(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
+    """0..100: twice the letters two texts have in common, in order, over their summed length; case counts."""
+    c, chars, length = _titles(c, False)
 
     def rows() -> Iterator[np.ndarray]:
         for text in q["key"]:
-            low = text.lower()
-            prev = np.tile(np.arange(width + 1), (len(names), 1))
-            for i, ch in enumerate(low):
-                cur = np.empty_like(prev)
-                cur[:, 0] = i + 1
-                best = np.minimum(prev[:, :-1] + (chars != ord(ch)), prev[:, 1:] + 1)
-                for j in range(width):
-                    cur[:, j + 1] = np.minimum(best[:, j], cur[:, j] + 1)
-                prev = cur
-            dist = prev[np.arange(len(names)), length]
-            longest = np.maximum(length, len(low))
-            ratio = 1.0 - np.divide(dist, longest, out=np.zeros(len(names)), where=longest > 0)
-            yield np.rint(ratio * 100)[None, :]
+            yield np.rint(_share(_distances(text, chars, length, 2), length + len(text)))[None, :]
 
     return q["key"].to_numpy(), c["key"].to_numpy(), rows()
 
 
-KERNELS: dict[str, Kernel] = {"dot": _dot, "cosine": _cosine, "l2": _negative_l2, "edit": _edit}
+KERNELS: dict[str, Kernel] = {"dot": _dot, "cosine": _cosine, "l2": _negative_l2, "edit": _edit, "ratio": _ratio}
 KERNELS |= {"bag": _bag, "overlap": _overlap, "closeness": _closeness}
 
 

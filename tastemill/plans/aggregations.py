@@ -34,8 +34,10 @@ def item_catalogue(spark, sf):
 
 
 @query("D4_item_category_bag", f"""WITH {t.LOG_SQL}
-SELECT click_object_id AS item_id, click_details_caption AS title,
-       string_agg(DISTINCT user_agent, '|' ORDER BY user_agent) AS categories FROM log WHERE {ACTIONS} GROUP BY 1, 2""")
+SELECT item_id, title, (rn - 1) // 1000 AS part, string_agg(user_agent, '|' ORDER BY rn) AS categories FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, title ORDER BY user_agent NULLS FIRST) AS rn FROM (
+    SELECT DISTINCT click_object_id AS item_id, click_details_caption AS title, user_agent FROM log WHERE {ACTIONS}))
+GROUP BY 1, 2, 3""")
 def item_category_bag(spark, sf):
     return a.item_category_bag(t.click_log(spark, sf), "user_agent")
 
@@ -87,15 +89,17 @@ def latest_timestamp(spark, sf):
 
 
 @query("D11_items_per_user", "WITH " + t.RATINGS_SQL + """
-SELECT user_id, 0::BIGINT AS part, string_agg(item_id, ',' ORDER BY item_id) AS items FROM ratings GROUP BY 1""")
+SELECT user_id, (rn - 1) // 1000 AS part, string_agg(item_id, ',' ORDER BY rn) AS items
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS rn FROM ratings) GROUP BY 1, 2""")
 def items_per_user(spark, sf):
-    """Ordered item lists, at most 1000 items to a row."""
+    """Ordered item lists, 1000 items to a row; longer lists go on in the next part."""
     lists = list_parts(t.ratings(spark, sf), ["user_id"], ["item_id"], {"items": F.col("item_id")})
     return lists.withColumn("items", F.concat_ws(",", F.col("items").cast("array<string>")))
 
 
 @query("D12_users_per_item", "WITH " + t.RATINGS_SQL + """
-SELECT item_id, 0::BIGINT AS part, string_agg(user_id, ',' ORDER BY user_id) AS users FROM ratings GROUP BY 1""")
+SELECT item_id, (rn - 1) // 1000 AS part, string_agg(user_id, ',' ORDER BY rn) AS users
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY user_id) AS rn FROM ratings) GROUP BY 1, 2""")
 def users_per_item(spark, sf):
     lists = list_parts(t.ratings(spark, sf), ["item_id"], ["user_id"], {"users": F.col("user_id")})
     return lists.withColumn("users", F.concat_ws(",", F.col("users").cast("array<string>")))

@@ -11,6 +11,7 @@ from tastemill.functions import vector as vx
 from tastemill.operators import content as c
 from tastemill.operators import features as f
 from tastemill.operators import retrieval as r
+from tastemill.operators import sequences as s
 from tastemill.operators.ordering import dense_index, position
 from tastemill.plans import tables as t
 from tastemill.plans.content import TOKENS_SQL
@@ -53,14 +54,16 @@ FREQ_SQL = """codes AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC
 
 
 @query("H4_one_hot", f"""WITH {FREQ_SQL}
-SELECT p_partkey, array_to_string([(coalesce(idx, -1) = g)::INT FOR g IN [0, 1, 2, 3, 4, 5]], '') AS hot
-FROM part LEFT JOIN codes USING (p_type)""")
+SELECT p_partkey, array_to_string([(coalesce(idx, -1) = g)::INT FOR g IN range(n)], '') AS hot
+FROM part LEFT JOIN codes USING (p_type), (SELECT count(*) AS n FROM codes)""")
 def one_hot(spark, sf):
     """Codes by falling frequency among parts up to size 40, applied to all parts."""
     p = t.table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
     codes = f.frequency_index(p.filter("p_size <= 40"), "p_type")
     out = p.join(codes, "p_type", "left")
-    return out.select("p_partkey", F.concat_ws("", f.one_hot(F.col("idx"), 6).cast("array<string>")).alias("hot"))
+    out = out.withColumn("width", f.vocabulary_size(codes))
+    hot = f.one_hot(F.col("idx"), F.col("width"))
+    return out.select("p_partkey", F.concat_ws("", hot.cast("array<string>")).alias("hot"))
 
 
 GAPS_SQL = """gaps AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS bal,
@@ -99,13 +102,14 @@ def min_max(spark, sf):
     return out.select("event_id", fx.tidy(F.col("p")).alias("p"))
 
 
-@query("H8_ordinal_encode", """
-WITH v AS (SELECT p_name, row_number() OVER (ORDER BY p_name) AS idx FROM (SELECT DISTINCT p_name FROM part WHERE p_partkey % 10 < 1))
+@query("H8_ordinal_encode", f"""
+WITH v AS (SELECT p_name, row_number() OVER (ORDER BY p_name) AS idx FROM (SELECT DISTINCT p_name FROM part
+  WHERE {t.bucket_sql(10000, 'p_partkey')} < 8000))
 SELECT p_partkey, coalesce(idx, -1) AS code FROM part LEFT JOIN v USING (p_name)""")
 def ordinal_encode(spark, sf):
-    """Codes from the training part (a tenth), unseen names -1."""
-    p = t.table(spark, sf, "part").select("p_partkey", "p_name")
-    codes = dense_index(p.filter("p_partkey % 10 < 1"), "p_name")
+    """Codes from the training part, unseen names -1."""
+    p = s.random_split(t.table(spark, sf, "part").select("p_partkey", "p_name"), 0.8, "p_partkey")
+    codes = dense_index(p.filter("split = 'train'"), "p_name")
     return f.index_column(p, codes, "p_name", "code", -1).select("p_partkey", "code")
 
 
@@ -144,12 +148,15 @@ def sequential_count(spark, sf):
 
 @query("H12_binary_code", """
 WITH v AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS idx FROM (SELECT DISTINCT p_brand FROM part))
-SELECT p_partkey, CAST(idx & 1 AS INT) AS bit0, CAST((idx >> 1) & 1 AS INT) AS bit1, CAST((idx >> 2) & 1 AS INT) AS bit2,
-  CAST((idx >> 3) & 1 AS INT) AS bit3, CAST((idx >> 4) & 1 AS INT) AS bit4 FROM part JOIN v USING (p_brand)""")
+SELECT p_partkey, array_to_string([(idx >> g) & 1 FOR g IN range(n)], '') AS bits
+FROM part JOIN v USING (p_brand), (SELECT length(bin(count(*))) AS n FROM v)""")
 def binary_code(spark, sf):
     p = t.table(spark, sf, "part").select("p_partkey", "p_brand")
-    coded = f.index_column(p, dense_index(p, "p_brand"), "p_brand", "code")
-    return coded.select("p_partkey", *f.binary_code(F.col("code"), 5))
+    codes = dense_index(p, "p_brand")
+    coded = f.index_column(p, codes, "p_brand", "code")
+    coded = coded.withColumn("highest", f.vocabulary_size(codes))
+    bits = f.binary_code(F.col("code"), F.col("highest"))
+    return coded.select("p_partkey", F.concat_ws("", bits.cast("array<string>")).alias("bits"))
 
 
 @query("H13_tf_idf", "WITH " + TOKENS_SQL.format(key="doc_id", text="text", table="documents").replace(
@@ -190,10 +197,12 @@ def mean_token_vectors(spark, sf):
 @query("H16_history_summary", "WITH " + t.RATINGS_SQL + """,
 h AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id) AS pos FROM ratings QUALIFY pos <= 10),
 vec AS (SELECT vec_id AS item_id, embedding::DOUBLE[] AS v FROM embeddings),
+known AS (SELECT user_id, count(*) - count(v) AS missing FROM h LEFT JOIN vec USING (item_id) GROUP BY 1),
 cells AS (SELECT user_id, pos, unnest(generate_series(0, 63)) AS dim, unnest(v) AS x FROM h JOIN vec USING (item_id))
-SELECT user_id, dim::INT AS dim, round_even(avg(x), 6) AS mean, round_even(arg_min(x, pos), 6) AS recent FROM cells GROUP BY 1, 2""")
+SELECT user_id, dim::INT AS dim, round_even(avg(x), 6) AS mean, round_even(max(CASE WHEN pos = 1 THEN x END), 6) AS recent, missing
+FROM known LEFT JOIN cells USING (user_id) GROUP BY 1, 2, missing""")
 def history_summary(spark, sf):
-    """The 10 newest items of each user, those that have a vector."""
+    """The 10 newest items of each user; ``recent`` is null where the newest has no vector, ``missing`` counts those."""
     vecs = r.vectors(t.table(spark, sf, "embeddings").withColumnRenamed("vec_id", "item_id"), "item_id", "embedding")
     return r.history_summary(f.newest_items(t.ratings(spark, sf), 10), vecs)
 
@@ -201,11 +210,12 @@ def history_summary(spark, sf):
 @query("H17_dense_and_sparse", f"""WITH {GAPS_SQL}, s AS (SELECT c_custkey, coalesce(bal, 0) AS b, coalesce(seg, '-1') AS seg FROM gaps),
 v AS (SELECT seg, row_number() OVER (ORDER BY seg) - 1 AS code FROM (SELECT DISTINCT seg FROM s))
 SELECT c_custkey, CASE WHEN b > -1 THEN round_even(ln(1.0::DOUBLE + b), 6) ELSE -1.0::DOUBLE END AS bal, seg,
-  array_to_string([(code = g)::INT FOR g IN [0, 1, 2, 3, 4, 5]], '') AS hot FROM s JOIN v USING (seg)""")
+  array_to_string([(code = g)::INT FOR g IN range(n)], '') AS hot FROM s JOIN v USING (seg), (SELECT count(*) AS n FROM v)""")
 def dense_and_sparse(spark, sf):
     out = f.dense_and_sparse(_gaps(spark, sf), ["bal"], ["seg"])
-    coded = out.join(dense_index(out, "seg", start=0), "seg")
-    hot = F.concat_ws("", f.one_hot(F.col("idx"), 6).cast("array<string>"))
+    codes = dense_index(out, "seg", start=0)
+    coded = out.join(codes, "seg").withColumn("width", f.vocabulary_size(codes))
+    hot = F.concat_ws("", f.one_hot(F.col("idx"), F.col("width")).cast("array<string>"))
     return coded.select("c_custkey", fx.tidy(F.col("bal")).alias("bal"), "seg", hot.alias("hot"))
 
 

@@ -96,8 +96,10 @@ def wide_model(spark, sf):
 
 @query("M6_deep_model")
 def deep_model(spark, sf):
-    """Perceptron on numbers and one-hot line status (two known values)."""
-    return _fit_report(spark, sf, g.deep_pipeline(NUMERIC, ["l_linestatus"], len(NUMERIC) + 2, rounds=15))
+    """Perceptron on numbers and one-hot line status; its width is that of the fitted features."""
+    data = rows(spark, sf)
+    model = g.deep_model(data.filter("split = 'train'"), NUMERIC, ["l_linestatus"], rounds=30)
+    return m.classification_report(g.probability(model.transform(data)), "split", "label", "p")
 
 
 @query("M7_crossed_linear")

@@ -14,7 +14,7 @@ from tastemill.operators.similarity import drop_seen
 from tastemill.plans import tables as t
 from tastemill.plans.registry import query
 
-# Train: three quarters of the pairs by hash. Recommendations: the ten most taken
+# Train: three quarters of the pairs by hash. Suggestions: the ten most taken
 # unseen items of the customer's nation. Truth: the other pairs.
 REC_SQL = (
     t.RATINGS_SQL

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tastemill.functions import scalar as fx
 from tastemill.operators.ordering import list_parts
 from tastemill.plans import tables as t
 from tastemill.plans.registry import query
@@ -40,15 +39,11 @@ def csv_title_with_commas(spark, sf):
 
 
 @query("A3_double_colon_ratings", "WITH " + t.RAW_SQL + """
-SELECT user_id AS "UserID", count(*) AS n, sum("rating") AS total, max(ts) AS latest
-FROM raw WHERE rating >= 30 GROUP BY 1""")
+SELECT user_id AS "UserID", item_id AS "MovieID", rating AS "Rating", ts AS "Timestamp" FROM raw WHERE rating >= 30""")
 def double_colon_ratings(spark, sf):
     raw = t.raw_interactions(spark, sf)
     line = raw.select(F.concat_ws("::", "user_id", "item_id", "rating", "ts"))
-    rows = r.read_ratings_1m(spark, w.write_lines(line, scratch_path(spark, "ratings-1m")), min_rating=30.0)
-    return rows.groupBy("UserID").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("Rating").alias("total"), F.max("Timestamp").alias("latest")
-    )
+    return r.read_ratings_1m(spark, w.write_lines(line, scratch_path(spark, "ratings-1m")), min_rating=30.0)
 
 
 @query("A4_tab_ratings_counts", "WITH " + t.RAW_SQL + """
@@ -78,8 +73,7 @@ def latin1_drop_malformed(spark, sf):
 
 
 @query("A6_question_mark_rows", """
-SELECT l_returnflag AS flag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem
-WHERE l_linestatus <> 'F' GROUP BY 1""")
+SELECT CAST(l_linenumber AS INT) AS line, l_returnflag AS flag FROM lineitem WHERE l_linestatus <> 'F'""")
 def question_mark_rows(spark, sf):
     li = t.table(spark, sf, "lineitem").select(
         F.when(F.col("l_linestatus") != "F", F.col("l_linenumber").cast("string")).otherwise("?"),
@@ -87,30 +81,28 @@ def question_mark_rows(spark, sf):
         "l_suppkey",
     )
     path = w.write_csv(li, scratch_path(spark, "income"), sep=",", header=False)
-    rows = r.read_complete_rows(spark, path, "line int, flag string, supp long", drop=["supp"])
-    return rows.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), F.sum("line").alias("lines"))
+    return r.read_complete_rows(spark, path, "line int, flag string, supp long", drop=["supp"])
 
 
 @query("A7_lines_with_defaults", """
-SELECT coalesce(l_returnflag, 'none') AS flag,
-       CAST(sum(CASE WHEN l_quantity < 10 THEN 0 ELSE l_linenumber END) AS BIGINT) AS lines, count(*) AS n
-FROM lineitem WHERE l_linestatus <> 'F' GROUP BY 1""")
+SELECT CAST(CASE WHEN l_quantity < 10 THEN 0 ELSE l_linenumber END AS INT) AS line, coalesce(l_returnflag, 'none') AS flag,
+       'x' AS mark
+FROM lineitem WHERE l_linestatus <> 'F'""")
 def lines_with_defaults(spark, sf):
     """Small quantities leave the first field empty: it is read as its default 0."""
     li = t.table(spark, sf, "lineitem")
     first = F.when(F.col("l_quantity") < 10, "").otherwise(F.col("l_linenumber").cast("string"))
     mark = F.when(F.col("l_linestatus") == "F", "?").otherwise("x")
     path = w.write_lines(li.select(F.concat_ws(", ", first, "l_returnflag", mark)), scratch_path(spark, "adult"))
-    rows = r.read_lines_with_defaults(
+    return r.read_lines_with_defaults(
         spark, path, "line int, flag string, mark string", {"line": 0, "flag": "none", "mark": ""}
     )
-    return rows.groupBy("flag").agg(F.sum("line").alias("lines"), F.count(F.lit(1)).alias("n"))
 
 
 @query("A8_sql_table_scan", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def sql_table_scan(spark, sf):
-    t.table(spark, sf, "events").createOrReplaceTempView("ml_search_with_click")
-    return r.read_table(spark, "SELECT event_type, count(*) AS n FROM ml_search_with_click GROUP BY event_type")
+    t.table(spark, sf, "events").createOrReplaceTempView("event_log")
+    return r.read_table(spark, "SELECT event_type, count(*) AS n FROM event_log GROUP BY event_type")
 
 
 @query("A9_csv_export", "WITH " + t.RATINGS_SQL + """
@@ -121,24 +113,22 @@ def csv_export(spark, sf):
 
 
 @query("A10_matrix_export", """
-SELECT l_returnflag AS label, count(*) AS n, round_even(sum(l_quantity), 2) AS quantity,
-       round_even(sum(l_discount), 2) AS discount, 3 AS num_features FROM lineitem GROUP BY 1""")
+SELECT l_returnflag AS label, l_quantity AS quantity, l_discount AS discount, l_tax AS tax, 3 AS num_features FROM lineitem""")
 def matrix_export(spark, sf):
     li = t.table(spark, sf, "lineitem").select(
         F.col("l_returnflag").alias("label"), F.array("l_quantity", "l_discount", "l_tax").alias("features")
     )
     back = spark.read.parquet(w.write_matrix(li, scratch_path(spark, "matrix"), "features", 3))
-    return back.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"),
-        fx.tidy(F.sum(F.col("features")[0]), 2).alias("quantity"),
-        fx.tidy(F.sum(F.col("features")[1]), 2).alias("discount"),
+    return back.select(
+        "label",
+        *[F.col("features")[i].alias(n) for i, n in enumerate(("quantity", "discount", "tax"))],
         F.lit(w.matrix_width(back, "features")).alias("num_features"),
     )
 
 
 @query("A11_sequence_examples", "WITH " + t.RATINGS_SQL + """
-SELECT user_id, string_agg(item_id, ',' ORDER BY ts, item_id) AS item_ids, count(*) AS n, 'UNK' AS genre
-FROM ratings GROUP BY 1""")
+SELECT user_id, (rn - 1) // 1000 AS part, string_agg(item_id, ',' ORDER BY rn) AS item_ids, count(*) AS n, 'UNK' AS genre
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id) AS rn FROM ratings) GROUP BY 1, 2""")
 def sequence_examples(spark, sf):
     """Per-user sequences written as lists and read back, a missing list gets its default."""
     lists = list_parts(t.ratings(spark, sf), ["user_id"], ["ts", "item_id"], {"items": F.col("item_id")})
@@ -147,6 +137,7 @@ def sequence_examples(spark, sf):
     full = r.with_defaults(back, {"genres": F.array(F.lit("UNK"))})
     return full.select(
         "user_id",
+        "part",
         F.concat_ws(",", F.col("items").cast("array<string>")).alias("item_ids"),
         F.size("items").cast("long").alias("n"),
         F.col("genres")[0].alias("genre"),
@@ -154,9 +145,9 @@ def sequence_examples(spark, sf):
 
 
 @query("A12_list_with_context", """
-SELECT o_orderkey, o_custkey, count(*) AS n,
-       string_agg(l_partkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS parts
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""")
+SELECT o_orderkey, o_custkey, (rn - 1) // 1000 AS part, count(*) AS n, string_agg(l_partkey, ',' ORDER BY rn) AS parts
+FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey, o_custkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey) GROUP BY 1, 2, 3""")
 def list_with_context(spark, sf):
     """An order is the context, its lines are the examples."""
     od = t.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
@@ -165,7 +156,7 @@ def list_with_context(spark, sf):
     nested = w.list_with_context(rows, ["o_orderkey", "o_custkey"], "l_linenumber", ["l_partkey", "l_suppkey"])
     parts = F.transform("examples", lambda e: e["l_partkey"].cast("string"))
     return nested.select(
-        "o_orderkey", "o_custkey", F.size("examples").cast("long").alias("n"), F.concat_ws(",", parts).alias("parts")
+        "o_orderkey", "o_custkey", "part", F.size("examples").cast("long").alias("n"), F.concat_ws(",", parts).alias("parts")
     )
 
 

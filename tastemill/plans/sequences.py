@@ -17,8 +17,8 @@ def _text(c):
 
 
 @query("X1_user_timelines", "WITH " + t.RATINGS_SQL + """, n AS (SELECT item_id, count(*) AS n FROM ratings GROUP BY 1)
-SELECT user_id, 0::BIGINT AS part, string_agg(item_id, ',' ORDER BY ts, item_id) AS items,
-  string_agg(n, ',' ORDER BY ts, item_id) AS item_counts FROM ratings JOIN n USING (item_id) GROUP BY 1""")
+SELECT user_id, (rn - 1) // 1000 AS part, string_agg(item_id, ',' ORDER BY rn) AS items, string_agg(n, ',' ORDER BY rn) AS item_counts
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id) AS rn FROM ratings JOIN n USING (item_id)) GROUP BY 1, 2""")
 def user_timelines(spark, sf):
     out = s.timelines(t.ratings(spark, sf), ORDER)
     return out.select("user_id", "part", _text("items"), _text("item_counts"))
@@ -108,12 +108,8 @@ SELECT l_orderkey, array_to_string((i || ['0','0','0','0','0','0'])[1:6], ',') A
 def padded_lists(spark, sf):
     """Order lines as lists of 6."""
     li = t.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    lists = list_parts(
-        li,
-        ["l_orderkey"],
-        ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"],
-        {"items": F.col("l_partkey"), "labels": F.col("l_quantity")},
-    )
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    lists = s.first_of_each(li, ["l_orderkey"], order, 6, {"items": F.col("l_partkey"), "labels": F.col("l_quantity")})
     out = s.padded_lists(lists, 6)
     return out.select(
         "l_orderkey", _text("items"), F.concat_ws(",", F.col("labels").cast("array<int>").cast("array<string>")).alias("labels"), _text("mask")

@@ -1,4 +1,4 @@
-"""Item, user and rating similarities and the recommendations built on them."""
+"""Item, user and rating similarities and the suggestions built on them."""
 
 from __future__ import annotations
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.operators.ordering import list_parts
+
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> str:
     """Folder of headed CSV files."""
@@ -42,14 +44,13 @@ def vocabulary(df: DataFrame, value: str, name: str = "n") -> DataFrame:
     return df.groupBy(value).agg(F.count(F.lit(1)).alias(name))
 
 
-def list_with_context(df: DataFrame, context: Sequence[str], order: str, example: Sequence[str]) -> DataFrame:
-    """One nested record per context with its ordered examples.
-
-    For contexts of bounded size, such as a query's candidate list; lists that
-    may grow without bound are first cut with ``operators.ordering.list_parts``.
-    """
-    row = F.struct(order, *[c for c in example if c != order])
-    return df.groupBy(*context).agg(F.sort_array(F.collect_list(row)).alias("examples"))
+def list_with_context(
+    df: DataFrame, context: Sequence[str], order: str, example: Sequence[str], size: int | None = None
+) -> DataFrame:
+    """One nested record per context with its ordered examples (A12); long lists go on in the next ``part``."""
+    names = [order, *[c for c in example if c != order]]
+    lists = list_parts(df, context, names, {"examples": F.struct(*names)}, size)
+    return lists.select(*context, "part", "examples")
 
 
 def examples_of(nested: DataFrame, context: Sequence[str]) -> DataFrame:

@@ -40,7 +40,7 @@ def test_wide_and_deep_parts(rows):
     data = g.with_crosses(rows.withColumn("d", F.floor(F.col("x") * 4).cast("string")), [("c", "d")])
     _, wide = g.wide_pipeline(["c"], ["x", "y"], [("c", "d")], size=256)
     assert area(g.probability(wide.fit(data).transform(data))) > 0.9
-    deep = g.deep_pipeline(["x", "y"], ["c"], 5, rounds=60).fit(rows)
+    deep = g.deep_model(rows, ["x", "y"], ["c"], rounds=60)
     assert area(g.probability(deep.transform(rows))) > 0.9
 
 

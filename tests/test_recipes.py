@@ -119,7 +119,7 @@ def test_null_part_makes_the_key_unknown(spark):
 # --- content ------------------------------------------------------------------------
 
 
-def test_profile_and_recommendation(spark):
+def test_profile_and_its_list(spark):
     items = spark.createDataFrame([("a", "x|y"), ("b", "x"), ("c", "y"), ("d", None)], "item_id string, categories string")
     ev = spark.createDataFrame(
         [("u", "a", 4.0, 0), ("u", "b", 2.0, 0), ("v", "b", 5.0, 0)], "user_id string, item_id string, rating double, ts long"
@@ -240,7 +240,7 @@ def test_impute_rare_and_codes(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), (None, 3.0), ("b", 5.0)], "c string, x double")
     assert [tuple(x) for x in f.impute(df, ["x"], ["c"]).collect()] == [("a", 1.0), ("a", 3.0), ("a", 3.0), ("b", 5.0)]
     assert sorted(x.c for x in f.rare_and_missing(df, "c", 2).collect()) == ["LESS", "UNK", "a", "a"]
-    assert [x[0] for x in spark.range(1).select(*f.binary_code(F.lit(5), 3)).select(F.array("bit0", "bit1", "bit2")).collect()] == [[1, 0, 1]]
+    assert [x[0] for x in spark.range(1).select(f.binary_code(F.lit(5), F.lit(5)).alias("b")).collect()] == [[1, 0, 1]]
 
 
 def test_unknown_category_is_all_zeros(spark):

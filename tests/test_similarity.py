@@ -62,7 +62,7 @@ def test_constant_ratings_give_no_pearson(spark):
     assert s.pearson(df, "item_id", "user_id").count() == 0
 
 
-def test_recommendations_leave_seen_items_out(ratings):
+def test_suggestions_leave_seen_items_out(ratings):
     near = s.neighbours(s.co_occurrence(ratings, "user_id", "item_id", "decay"), 5)
     out = s.item_based(ratings, near, 3, [F.desc("ts"), F.col("item_id")]).collect()
     assert [(r.user_id, r.item_id) for r in out] == [("Alice", "E")]

@@ -92,6 +92,33 @@ def test_leaf_search_is_exact_when_all_leaves_are_searched(vecs):
     assert recall.recall > 0.99 and recall.queries == 90
 
 
+def test_long_titles_that_round_to_100_are_not_exact(spark):
+    long = "ab" * 125
+    titles = spark.createDataFrame([(long + "x",), ("other",)], "t string")
+    asked = spark.createDataFrame([(long + "y",), ("OTHER",)], "a string")
+    got = {x.typed: (x.score, x.exact) for x in c.closest_titles(asked, "a", titles, "t").collect()}
+    assert got == {long + "y": (100.0, False), "OTHER": (100.0, True)}
+
+
+def test_ratio_of_common_letters(spark):
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = old[j] + 1 if x == y else max(row[j], old[j + 1])
+        return row[-1]
+
+    names = ["Golden Eye", "goldeneye", "Heat", "The Heat", "Eye"]
+    asked = ["GoldenEye", "heat", "he Heat!", "Eye"]
+    titles = spark.createDataFrame([(n,) for n in names], "t string")
+    frame = spark.createDataFrame([(a,) for a in asked], "a string")
+    got = {x.typed: (x.closest, x.score, x.exact) for x in c.closest_titles(frame, "a", titles, "t", "ratio").collect()}
+    for a in asked:
+        best = max(sorted(names), key=lambda n: round(200 * common(a, n) / (len(a) + len(n))))
+        assert got[a] == (best, float(round(200 * common(a, best) / (len(a) + len(best)))), a in names)
+
+
 def test_closest_titles(spark):
     asked = spark.createDataFrame([("toy storry",), ("Heat",), ("zzz",)], "a string")
     titles = spark.createDataFrame([("Toy Story",), ("heat",), ("Casino",)], "t string")
