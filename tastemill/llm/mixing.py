@@ -93,14 +93,17 @@ def hash_bounds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     belong to the prefix while that brings its sum nearer to ``rest``. Rounds of bucket counts narrow the place down,
     so that no task sorts a pattern; result: pattern, part, bound (-1 for an empty prefix).
     """
-    found = wanted.select("pattern", "part", "rest", F.lit(0).cast("long").alias("head"))
+    found = written(wanted.select("pattern", "part", "rest", F.lit(0).cast("long").alias("head")), "mix-wanted")
     shift = ORDER_BITS
-    for _ in range(2):
+    for turn in range(2):
         shift -= ROUND_BITS
-        heads = found.select(F.col("pattern").alias("p"), F.col("head").alias("hd")).distinct()
-        inside = rows.join(
-            heads, (rows["pattern"] == heads["p"]) & (F.shiftright("h", shift + ROUND_BITS) == heads["hd"])
-        )
+        if turn:
+            heads = found.select(F.col("pattern").alias("p"), F.col("head").alias("hd")).distinct()
+            inside = rows.join(
+                heads, (rows["pattern"] == heads["p"]) & (F.shiftright("h", shift + ROUND_BITS) == heads["hd"])
+            )
+        else:  # every row lies below head 0; counted without a join, which would gather a hot pattern
+            inside = rows.withColumn("hd", F.lit(0).cast("long"))
         sums = inside.groupBy("pattern", "hd", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("s"))
         running = sums.withColumn(
             "upto", F.sum("s").over(Window.partitionBy("pattern", "hd").orderBy("bucket"))
@@ -110,12 +113,12 @@ def hash_bounds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             F.min(F.when(F.col("upto") > F.col("rest"), F.struct("bucket", (F.col("upto") - F.col("s")).alias("b")))).alias("hit"),
             F.max(F.struct("bucket", (F.col("upto") - F.col("s")).alias("b"))).alias("last"),
         )
-        place = F.coalesce("hit", "last")
+        at = F.coalesce("hit", "last")
         found = narrowed.select(
             "pattern",
             "part",
-            (F.col("rest") - F.coalesce(place["b"], F.lit(0))).alias("rest"),
-            F.coalesce(place["bucket"], F.lit(0)).alias("head"),
+            (F.col("rest") - F.coalesce(at["b"], F.lit(0))).alias("rest"),
+            F.coalesce(at["bucket"], F.lit(0)).alias("head"),
         )
         found = written(found, "mix-heads")
     heads = found.select(F.col("pattern").alias("p"), F.col("head").alias("hd")).distinct()
