@@ -4,8 +4,10 @@ Every window of 200 bytes names an anchor: the 32-byte gram in it with the least
 anchors, so a window whose anchor's gram occurs nowhere else cannot repeat; that settles most of a corpus with a few
 rows per document. Neighbouring windows of one anchor form a stretch. If all stretches of a gram are equal, all their
 windows repeat. The stretches of the other grams (the borders of repeated passages) are dealt out by gram into shards,
-one of each text; a shard's suffixes are put in order by external induced sorting, which carries their common
-prefixes, and windows that share 200 bytes with a neighbour in that order repeat. Grams with very many different
+one of each text. A stretch is trimmed to the windows that can repeat at all: what lies before and after the gram has
+its longest match in the gram's other stretches next to it in sorted order, once from the gram on and once backwards.
+The shard's suffixes are then put in order by external induced sorting, which carries their common prefixes, and
+windows that share 200 bytes with a neighbour in that order repeat. Grams with very many different
 stretches are settled window by window in a grouped count instead, so no shard grows with a gram.
 """
 
@@ -30,7 +32,7 @@ PIECE = 1 << 20
 #: A shard is closed at the end of the gram that brings it to so many bytes.
 SHARD_BYTES = 4 << 20
 #: Grams with more different stretches are counted window by window.
-HOT_STRETCHES = 4_096
+HOT_STRETCHES = 1_024
 
 _BASE, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _PLACE_BITS = 21
@@ -86,7 +88,8 @@ def _pieces(lengths: list[int]) -> Iterator[list[tuple[int, int, int]]]:
 
 
 def stretches(texts: list[bytes], window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, first window, last window, hash of the anchor's gram, hash of the stretch's bytes) of all windows."""
+    """(text, first window, last window, hash of the anchor's gram, hash of the stretch's bytes, place of the gram
+    behind the first window's start) of all windows."""
     import xxhash
 
     for group in _pieces([len(t) for t in texts]):
@@ -112,10 +115,10 @@ def stretches(texts: list[bytes], window: int = WINDOW) -> Iterator[tuple[np.nda
         )
         text = np.array([g[0] for g in group])[owner]
         shift = np.array([g[1] for g in group])[owner] - starts[owner]
-        yield text, first + shift, last + shift, h[a[head]].view(np.int64), content.view(np.int64)
+        yield text, first + shift, last + shift, h[a[head]].view(np.int64), content.view(np.int64), a[head] - first
 
 
-STRETCH = "doc binary, first int, last int, gram long, content long"
+STRETCH = "doc binary, first int, last int, gram long, content long, at int"
 
 
 def stretch_rows(bodies: DataFrame) -> DataFrame:
@@ -124,7 +127,7 @@ def stretch_rows(bodies: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = batch.column(0)
-            for text, first, last, gram, content in stretches(batch.column(1).to_pylist()):
+            for text, first, last, gram, content, at in stretches(batch.column(1).to_pylist()):
                 yield pa.RecordBatch.from_arrays(
                     [
                         docs.take(pa.array(text)),
@@ -132,8 +135,9 @@ def stretch_rows(bodies: DataFrame) -> DataFrame:
                         pa.array(last.astype(np.int32)),
                         pa.array(gram),
                         pa.array(content),
+                        pa.array(at.astype(np.int32)),
                     ],
-                    names=["doc", "first", "last", "gram", "content"],
+                    names=["doc", "first", "last", "gram", "content", "at"],
                 )
 
     return bodies.mapInArrow(run, STRETCH)
@@ -179,21 +183,56 @@ def shard_repeats(contents: list[bytes], window: int = WINDOW) -> list[np.ndarra
     return [places[a:b] - start for a, b, start in zip(cut[:-1], cut[1:], starts, strict=True)]
 
 
+def possible_windows(grams: list[int], places: list[int], contents: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each content that can occur in another content of its gram; first > last for none.
+
+    ``places`` says where the gram lies in a content. A window reaches to the left and to the right of the gram; either
+    part has to be there in some other content.
+    """
+    n = len(contents)
+    group = np.unique(np.array(grams), return_inverse=True)[1]
+    size, at = np.array([len(c) for c in contents]), np.array(places)
+    reach = []
+    for backwards in (True, False):
+        table = np.zeros((n, 4 + window), np.uint8)
+        table[:, :4] = group.astype(">u4").view(np.uint8).reshape(n, 4)
+        for i, (c, p) in enumerate(zip(contents, places, strict=True)):
+            side = c[:p][::-1][:window] if backwards else c[p : p + window]
+            table[i, 4 : 4 + len(side)] = np.frombuffer(side, np.uint8)
+        there = np.minimum(at if backwards else size - at, window)
+        order = np.argsort(table.view(f"S{table.shape[1]}").ravel(), kind="stable")
+        i, j = order[:-1], order[1:]
+        alike = group[i] == group[j]
+        i, j = i[alike], j[alike]
+        differ = table[i, 4:] != table[j, 4:]
+        common = np.where(differ.any(axis=1), differ.argmax(axis=1), window)
+        common = np.minimum(common, np.minimum(there[i], there[j]))
+        longest = np.zeros(n, np.int64)
+        np.maximum.at(longest, i, common)
+        np.maximum.at(longest, j, common)
+        reach.append(longest)
+    left, right = reach
+    return np.maximum(at - left, 0), np.minimum(at + right, size) - window
+
+
 SPANS = "array<struct<a:int,b:int>>"
 
 
 def _sorted_shards(rows: DataFrame) -> DataFrame:
-    """(gram, content, body), dealt by gram and sorted -> (gram, content, spans of repeated windows)."""
+    """(gram, content, at, body), dealt by gram and sorted -> (gram, content, spans of repeated windows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: list[int] = []
         keys: list[int] = []
         bodies: list[bytes] = []
+        places: list[int] = []
         size = 0
 
         def closed() -> pa.RecordBatch:
-            found = shard_repeats(bodies)
-            out = [(g, k, _spans(f)) for g, k, f in zip(grams, keys, found, strict=True) if len(f)]
+            first, last = possible_windows(grams, places, bodies)
+            some = np.nonzero(first <= last)[0].tolist()
+            found = shard_repeats([bodies[i][first[i] : last[i] + WINDOW] for i in some]) if some else []
+            out = [(grams[i], keys[i], _spans(f + first[i])) for i, f in zip(some, found, strict=True) if len(f)]
             kinds = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], kinds)],
@@ -201,19 +240,20 @@ def _sorted_shards(rows: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for gram, key, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for gram, key, place, body in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if size >= SHARD_BYTES and gram != grams[-1]:
                     yield closed()
-                    grams, keys, bodies, size = [], [], [], 0
+                    grams, keys, bodies, places, size = [], [], [], [], 0
                 grams.append(gram)
                 keys.append(key)
                 bodies.append(body)
+                places.append(place)
                 size += len(body)
         if bodies:
             yield closed()
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("gram", "content", "body").repartition(parts, "gram").sortWithinPartitions("gram")
+    dealt = rows.select("gram", "content", "at", "body").repartition(parts, "gram").sortWithinPartitions("gram")
     return dealt.mapInArrow(run, f"gram long, content long, spans {SPANS}")
 
 
@@ -268,15 +308,15 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT_STRETCH
     border = rows.where("differ")
 
     # one stretch of each text that is left
-    kinds = border.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc", "first", "last")).alias("at"))
-    kinds = written(kinds.select("gram", "content", "n", "at.*"), "stretch-kinds")
+    kinds = border.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc", "first", "last", "at")).alias("where"))
+    kinds = written(kinds.select("gram", "content", "n", "where.*"), "stretch-kinds")
     many = kinds.groupBy(F.col("gram").alias("g")).agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot).select("g")
     many = written(many, "hot-grams")
     wanted = written(kinds.select(F.col("doc").alias("k")).distinct(), "stretch-docs")
     sources = maybe_listed(bodies, F.col("doc"), wanted, "k").select(F.col("doc").alias("d"), "body")
     cut = (
         kinds.join(sources, F.col("doc") == F.col("d"))
-        .select("gram", "content", F.substring("body", F.col("first") + 1, F.col("last") - F.col("first") + WINDOW).alias("body"))
+        .select("gram", "content", "at", F.substring("body", F.col("first") + 1, F.col("last") - F.col("first") + WINDOW).alias("body"))
         .dropDuplicates(["gram", "content"])
     )
     cut = written(cut, "stretch-bodies")

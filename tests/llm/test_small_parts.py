@@ -57,7 +57,8 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
     b = b"y" * 333 + passage + rng.integers(97, 123, 400, dtype=np.uint8).tobytes()
     monkeypatch.setattr(suffix_dedup, "PIECE", 1000)  # long texts go in parts
     grams: list[dict[int, int]] = [{}, {}]
-    for text, first, last, gram, _ in suffix_dedup.stretches([a, b]):
+    for text, first, last, gram, _, at in suffix_dedup.stretches([a, b]):
+        assert (at >= 0).all() and (first + at + suffix_dedup.GRAM <= last + 200).all()
         for t, lo, hi, g in zip(text, first, last, gram, strict=True):
             for w in range(lo, hi + 1):
                 grams[t][w] = g
@@ -65,6 +66,34 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
     assert [grams[0][900 + i] for i in range(501)] == [grams[1][333 + i] for i in range(501)]
 
 
+def test_no_repeated_window_is_trimmed():
+    rng = random.Random(8)
+    window, gram = 12, b"GRAM"
+    for _ in range(40):
+        sides = [bytes(rng.choices(b"ab", k=9)) for _ in range(3)]
+        contents, places, grams = [], [], []
+        for _ in range(rng.randint(2, 9)):
+            left = rng.choice(sides)[-rng.randint(0, 8) :] if rng.random() < 0.9 else b""
+            right = rng.choice(sides)[: rng.randint(0, 9)]
+            body = left + gram + right
+            if len(body) >= window:
+                contents.append(body)
+                places.append(len(left))
+                grams.append(rng.randint(1, 2))
+        if not contents:
+            continue
+        first, last = suffix_dedup.possible_windows(grams, places, contents, window)
+        for i, (g, p, c) in enumerate(zip(grams, places, contents, strict=True)):
+            for s in range(len(c) - window + 1):
+                if not s <= p <= s + window - len(gram):
+                    continue  # windows hold their gram
+                repeats = any(
+                    j != i and g == h and c[s : s + window] == d[q - p + s : q - p + s + window] and q - p + s >= 0
+                    for j, (h, q, d) in enumerate(zip(grams, places, contents, strict=True))
+                )
+                assert not repeats or first[i] <= s <= last[i]
+
+
 def test_runs_join_where_they_touch():
     spans = [{"first": 0, "last": 0}, {"first": 200, "last": 210}, {"first": 500, "last": 500}]
     runs = suffix_dedup.removed_runs(spans)
