@@ -115,6 +115,18 @@ def log_loss(rows: DataFrame, label: str, probability: str, eps: float = 1e-15)
     return rows.agg(fx.tidy(-F.avg(y * F.log(p) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - p))).alias("log_loss"))
 
 
+def against_base_rate(rows: DataFrame, by: Sequence[str], label: str, probability: str, eps: float = 1e-15) -> DataFrame:
+    """Rows, positives and whether the log loss is below that of the share of positives, per group of ``by``."""
+    p = F.least(F.greatest(F.col(probability), F.lit(eps)), F.lit(1.0 - eps))
+    y = F.col(label).cast("double")
+    share = F.least(F.greatest(F.avg(y), F.lit(eps)), F.lit(1.0 - eps))
+    loss = -F.avg(y * F.log(p) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - p))
+    base = -(share * F.log(share) + (F.lit(1.0) - share) * F.log(F.lit(1.0) - share))
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("positives"), (loss < base).alias("better")
+    )
+
+
 def auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve by rank sums, ties at their mean rank.
 

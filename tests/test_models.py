@@ -123,5 +123,24 @@ def test_machine_and_its_vectors(spark, tastes):
 
 
 def test_sequence_embeddings(tastes):
-    model = fa.sequence_embeddings(tastes.withColumn("ts", F.lit(0)), ["ts", "item_id"], size=4)
-    assert model.getVectors().count() == 30
+    cells = fa.sequence_embeddings(tastes.withColumn("ts", F.lit(0)).filter("label = 1"), ["ts", "item_id"], size=64).collect()
+    vectors: dict[int, dict[int, float]] = {}
+    for c in cells:
+        vectors.setdefault(c.item_id % 10**12, {})[c.dim] = c.x
+    assert sorted(vectors) == list(range(30)) and all(len(v) == 64 for v in vectors.values())
+
+    def cosine(a, b):
+        dot = sum(vectors[a][d] * vectors[b][d] for d in range(64))
+        return dot / (sum(x * x for x in vectors[a].values()) * sum(x * x for x in vectors[b].values())) ** 0.5
+
+    own = [cosine(a, b) for a in range(30) for b in range(a) if (a - b) % 2 == 0]
+    other = [cosine(a, b) for a in range(30) for b in range(a) if (a - b) % 2]
+    assert sum(own) / len(own) > 0.2 + sum(other) / len(other)  # met by the same users
+
+
+def test_hashed_features_hold_both_ids(spark):
+    rows = spark.createDataFrame([(1, "a", 0.0), (2, "b", 1.0), (1, "b", 1.0)], "user_id long, item_id string, label double")
+    out = fa.hashed_features(rows, ["user_id", "item_id"], 97).collect()
+    for r in out:
+        width = int(max(x.user_id_idx for x in out)) + 1
+        assert r.features.indices.tolist() == [int(r.user_id_idx), width + int(r.item_id_idx)]

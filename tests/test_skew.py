@@ -10,9 +10,9 @@ import os
 
 import duckdb
 import pytest
-from check import TABLES, compare, connect
+from check import TABLES, compare, connect, rows_of
 
-from __spark_entry__ import oracle_sql
+from __spark_entry__ import oracle_sql, queries
 from tastemill.operators import graph, ordering, pairs, sequences, similarity, tiles
 
 # Queries over the skewed columns with a SQL twin; fitted models are left out.
@@ -72,3 +72,44 @@ def test_all_ways_of_similarity_agree(spark, skewed, duck, monkeypatch, way, nam
         monkeypatch.setattr(similarity, "BIG_GROUP", 25)
     ok, message, _, _ = compare(spark, duck, name, skewed)
     assert ok, message
+
+
+@pytest.mark.parametrize("name", ["A11_sequence_examples", "A12_list_with_context", "D4_item_category_bag", "D11_items_per_user", "D12_users_per_item", "X1_user_timelines"])
+def test_long_lists_go_on_in_the_next_part(spark, skewed, duck, name, monkeypatch):
+    """Lists of five: a hot group has many parts, and every row is in one of them."""
+    monkeypatch.setattr(ordering, "LIST_LIMIT", 5)
+    df = queries()[name](spark, skewed)
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    res = duck.execute(oracle_sql()[name].replace("1000", "5"))
+    assert got == rows_of([d[0] for d in res.description], res.fetchall())
+    assert name == "D4_item_category_bag" or df.filter("part > 1").count() > 0
+
+
+def test_padded_lists_have_one_row_per_group(spark, skewed, duck, monkeypatch):
+    monkeypatch.setattr(ordering, "LIST_LIMIT", 2)
+    ok, message, _, _ = compare(spark, duck, "X7_padded_lists", skewed)
+    assert ok, message
+
+
+def test_hot_keys_are_split_before_the_next_step(spark, skewed):
+    """A join whose result is aggregated by the same key: the hot key's rows go to several tasks."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    orders = spark.read.parquet(f"{skewed}/orders.parquet").repartition(6).selectExpr("o_custkey AS k", "o_totalprice AS v")
+    sides = spark.read.parquet(f"{skewed}/customer.parquet").selectExpr("c_custkey AS k", "c_acctbal AS b")
+    was = {k: spark.conf.get(k) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        out = orders.join(sides, "k").groupBy("k").sum("v")
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
