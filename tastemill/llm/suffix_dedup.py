@@ -30,9 +30,11 @@ GRAM = 32
 #: Bytes of text hashed at once.
 PIECE = 1 << 20
 #: A shard is closed at the end of the gram that brings it to so many bytes.
-SHARD_BYTES = 4 << 20
-#: Grams with more different stretches are counted window by window.
-HOT_STRETCHES = 1_024
+SHARD_BYTES = 2 << 20
+#: Grams with more different stretches than a shard holds are counted window by window.
+HOT_STRETCHES = 8_192
+#: Windows written at once by that count.
+WINDOW_ROWS = 20_000
 
 _BASE, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _PLACE_BITS = 21
@@ -261,15 +263,24 @@ def _window_counts(rows: DataFrame) -> DataFrame:
     """The same for grams with very many stretches: every window is a row, equal ones are counted."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "content", "place", "digest"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        rows: list[tuple] = []
+
+        def full() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["gram", "content", "place", "digest"])
+
         for batch in batches:
-            for gram, key, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                n = len(body) - WINDOW + 1
-                digests = [hashlib.blake2b(body[i : i + WINDOW], digest_size=16).digest() for i in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([gram] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary())],
-                    names=names,
+            for gram, key, body in zip(*(batch.column(i) for i in range(3)), strict=True):
+                g, k, text = gram.as_py(), key.as_py(), body.as_py()
+                rows.extend(
+                    (g, k, i, hashlib.blake2b(text[i : i + WINDOW], digest_size=16).digest()) for i in range(len(text) - WINDOW + 1)
                 )
+                if len(rows) >= WINDOW_ROWS:
+                    yield full()
+        if rows:
+            yield full()
 
     each = rows.select("gram", "content", "body").mapInArrow(cut, "gram long, content long, place int, digest binary")
     each = written(each, "hot-windows")
