@@ -43,11 +43,15 @@ def transition_weights(edges: DataFrame, decimals: int | None = 3) -> DataFrame:
 class WalkGraph:
     """The weighted graph with numbered nodes, cut into tiles for the walks.
 
+    Walks start at items only: a user's walk is the mean of the walks of the
+    user's items one step later, so the (many) users cost one join at the end.
     Nodes carry dense numbers while the walks run. Sources are hashed into
     blocks of about EDGES edges, and the edges of a source with more than FAN of
     them are spread over several fans, so no tile holds a hot node whole. Roots
     are hashed into blocks of about ROOTS. One task moves one block of walks
     along one tile of edges and hands on the sums, not the single products.
+    A graph of one block of edges is walked to the end in one task per block
+    of roots.
     """
 
     def __init__(self, df: DataFrame, user: str, item: str, decimals: int | None, roots: DataFrame | None = None):
@@ -59,22 +63,54 @@ class WalkGraph:
             transition_weights(edges, decimals)
             .join(number.withColumnsRenamed({"node": "src", "nid": "sid"}), "src")
             .join(number.withColumnsRenamed({"node": "dst", "nid": "did"}), "dst")
-            .select("sid", "did", "weight")
+            .select("sid", "did", "weight", F.col("src.kind").alias("kind"), F.col("src.id").alias("id"))
         )
         fans = numbered.groupBy("sid").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("_fans"))
         self.fans = cut_lineage(fans)
-        wanted = number.filter(F.col("node.kind") == "user")
-        if roots is not None:
-            wanted = wanted.join(roots.select(F.col(user).alias("_u")).distinct(), F.col("node.id") == F.col("_u"), "left_semi")
-        self.roots = cut_lineage(wanted.select(F.col("nid").alias("root")))
+        self.roots = cut_lineage(number.filter(F.col("node.kind") == "item").select(F.col("nid").alias("root")))
         self.root_blocks = max(1, -(-self.roots.count() // ROOTS))
         tagged = numbered.join(self.fans, "sid").withColumn("_fan", F.pmod(F.xxhash64("did"), F.col("_fans")).cast("int"))
         tagged = cut_lineage(tagged.drop("_fans"))
         self.source_blocks = max(1, -(-tagged.count() // EDGES))
+        first = tagged.filter("kind = 'user'")
+        if roots is not None:
+            first = first.join(roots.select(F.col(user).alias("_u")).distinct(), F.col("id") == F.col("_u"), "left_semi")
+        self.first_steps = first.select(F.col("sid").alias("user_node"), F.col("did").alias("root"), "weight")
         self.edges = tagged.withColumn("_sb", self._source_block()).select(
             "sid", "did", "weight", "_fan", "_sb", F.explode(F.sequence(F.lit(0), F.lit(self.root_blocks - 1))).alias("_rb")
         )
 
+    def series(self, share: float, tolerance: float, max_rounds: int) -> DataFrame:
+        """(root, nid, mass): all returns to items of walks from each item, of 0, 2, 4 ... steps, each step times ``share``.
+
+        Terms are added until the largest is below ``tolerance``.
+        """
+        if self.source_blocks == 1:
+            blocks = self.start().withColumn("_rb", F.pmod(F.xxhash64("root"), F.lit(self.root_blocks)).cast("int"))
+            whole = _series(share * share, tolerance, max_rounds)
+            return (
+                by_tile(blocks, ["_rb"], self.root_blocks)
+                .groupBy("_rb")
+                .cogroup(by_tile(self.edges, ["_rb"], self.root_blocks).groupBy("_rb"))
+                .applyInPandas(whole, "root long, nid long, mass double")
+            )
+        term = total = self.start()
+        for _ in range(max_rounds):
+            half = cut_lineage(_summed(self.step(term).withColumn("mass", F.col("mass") * share)))
+            term = cut_lineage(_summed(self.step(half).withColumn("mass", F.col("mass") * share)))
+            total = total.unionByName(term)  # written terms, added up once at the end
+            largest = term.agg(F.max("mass")).first()[0]
+            if largest is None or largest < tolerance:
+                break
+        return _summed(total)
+
+    def from_users(self, series: DataFrame, share: float) -> DataFrame:
+        """(root, nid, mass) of the walks of users: one step to the user's items, then theirs."""
+        joined = self.first_steps.join(series, "root")
+        return joined.groupBy(F.col("user_node").alias("root"), "nid").agg(
+            F.sum(F.col("weight") * F.col("mass") * F.lit(share)).alias("mass")
+        )
+
     def _source_block(self) -> Column:
         return F.pmod(F.xxhash64("sid"), F.lit(self.source_blocks)).cast("int")
 
@@ -117,10 +153,29 @@ class WalkGraph:
         return top_k(fresh, [self.user], [F.desc("score"), self.item], k)
 
 
+def _times(mass: np.ndarray, s: np.ndarray, d: np.ndarray, w: np.ndarray, targets: int) -> np.ndarray:
+    """Rows of masses at sources times the edges (s, d, w): masses at targets. Edges are sorted by d."""
+    if mass.shape[1] * targets <= DENSE:
+        table = np.zeros((mass.shape[1], targets))
+        table[s, d] = w
+        return mass @ table
+    out = np.zeros((len(mass), targets))
+    step = max(1, DENSE // len(mass))
+    for i in range(0, len(w), step):
+        cut = slice(i, i + step)
+        firsts = np.flatnonzero(np.r_[True, d[cut][1:] != d[cut][:-1]])
+        out[:, d[cut][firsts]] += np.add.reduceat(mass[:, s[cut]] * w[cut], firsts, axis=1)
+    return out
+
+
+NO_ROWS = {"root": [], "nid": [], "mass": []}
+
+
 def _move(walks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
     """Masses of one block of walks times one tile of edge weights."""
     if walks.empty or edges.empty:
-        return pd.DataFrame({"root": [], "nid": [], "mass": []})
+        return pd.DataFrame(NO_ROWS)
+    edges = edges.sort_values("did", kind="stable")
     roots, r = np.unique(walks["root"].to_numpy(), return_inverse=True)
     sources, s = np.unique(edges["sid"].to_numpy(), return_inverse=True)
     targets, d = np.unique(edges["did"].to_numpy(), return_inverse=True)
@@ -129,44 +184,53 @@ def _move(walks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
     known = sources[at_ok] == walks["sid"].to_numpy()
     mass = np.zeros((len(roots), len(sources)))
     mass[r[known], at_ok[known]] = walks["mass"].to_numpy()[known]
-    w = edges["weight"].to_numpy()
-    if len(sources) * len(targets) <= DENSE:
-        table = np.zeros((len(sources), len(targets)))
-        table[s, d] = w
-        out = mass @ table
-    else:
-        out = np.zeros((len(roots), len(targets)))
-        order = np.argsort(d, kind="stable")
-        s, d, w = s[order], d[order], w[order]
-        step = max(1, DENSE // len(roots))
-        for i in range(0, len(w), step):
-            cut = slice(i, i + step)
-            firsts = np.flatnonzero(np.r_[True, d[cut][1:] != d[cut][:-1]])
-            out[:, d[cut][firsts]] += np.add.reduceat(mass[:, s[cut]] * w[cut], firsts, axis=1)
+    out = _times(mass, s, d, edges["weight"].to_numpy(), len(targets))
     a, b = np.nonzero(out)
     return pd.DataFrame({"root": roots[a], "nid": targets[b], "mass": out[a, b]})
 
 
+def _series(share: float, tolerance: float, max_rounds: int):
+    """All terms of the walks of one block of roots over the whole graph."""
+
+    def run(walks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        if walks.empty:
+            return pd.DataFrame(NO_ROWS)
+        edges = edges.sort_values("did", kind="stable")
+        roots, n = np.sort(walks["root"].to_numpy()), len(edges)
+        nodes, at = np.unique(np.concatenate([edges["sid"], edges["did"], roots]), return_inverse=True)
+        s, d, w = at[:n], at[n : 2 * n], edges["weight"].to_numpy()
+        term = np.zeros((len(roots), len(nodes)))
+        term[np.arange(len(roots)), at[2 * n :]] = 1.0
+        total = term.copy()
+        for _ in range(max_rounds):
+            term = share * _times(_times(term, s, d, w, len(nodes)), s, d, w, len(nodes))
+            total += term
+            if term.max(initial=0.0) < tolerance:
+                break
+        a, b = np.nonzero(total)
+        return pd.DataFrame({"root": roots[a], "nid": nodes[b], "mass": total[a, b]})
+
+    return run
+
+
 def personal_rank(
     df: DataFrame,
     alpha: float = 0.6,
-    rounds: int = 10,
     k: int = 10,
+    tolerance: float = 1e-15,
+    max_rounds: int = 1000,
     user: str = "user_id",
     item: str = "item_id",
     roots: DataFrame | None = None,
 ) -> DataFrame:
     """Personalised PageRank from every user, or from ``roots``: best k unseen items (K2).
 
-    rank' = alpha * (rank moved along the edges) + (1 - alpha) at the root, once
-    per round; ``rounds`` rounds from all mass at the root.
+    rank = alpha * (rank moved along the edges) + (1 - alpha) at the root, where
+    nothing changes any more: (1 - alpha) times the sum of alpha^t x walks of t
+    steps, added until the largest new term is below ``tolerance``.
     """
     graph = WalkGraph(df, user, item, None, roots)
-    home = graph.start().withColumn("mass", F.lit(1.0 - alpha))
-    rank = graph.start()
-    for _ in range(rounds):
-        moved = graph.step(rank).withColumn("mass", F.col("mass") * alpha)
-        rank = cut_lineage(_summed(moved.unionByName(home)))
+    rank = graph.from_users(graph.series(alpha, tolerance, max_rounds), alpha * (1.0 - alpha))
     return graph.unseen_items(rank, df, k)
 
 
@@ -174,8 +238,8 @@ def rank_by_linear_system(
     df: DataFrame,
     alpha: float = 0.6,
     k: int = 10,
-    tolerance: float = 1e-8,
-    max_rounds: int = 100,
+    tolerance: float = 1e-15,
+    max_rounds: int = 1000,
     user: str = "user_id",
     item: str = "item_id",
     roots: DataFrame | None = None,
@@ -187,15 +251,8 @@ def rank_by_linear_system(
     Scores lack the factor 1 - alpha, the order is that of K2.
     """
     graph = WalkGraph(df, user, item, 3, roots)
-    term = graph.start()
-    total = term
-    for _ in range(max_rounds):
-        term = cut_lineage(_summed(graph.step(term).withColumn("mass", F.col("mass") * alpha)))
-        total = total.unionByName(term)  # written terms, added up once at the end
-        largest = term.agg(F.max("mass")).first()[0]
-        if largest is None or largest < tolerance:
-            break
-    return graph.unseen_items(_summed(total), df, k)
+    rank = graph.from_users(graph.series(alpha, tolerance, max_rounds), alpha)
+    return graph.unseen_items(rank, df, k)
 
 
 def _summed(rank: DataFrame) -> DataFrame:

@@ -14,16 +14,19 @@ edge AS (SELECT 'u' || user_id AS src, 'i' || item_id AS dst FROM clicks
 deg AS (SELECT src, count(*) AS d FROM edge GROUP BY 1)"""
 
 
-def _rounds_sql(rounds: int) -> str:
-    out = EDGE_SQL + ", e AS (SELECT src, dst, 1.0::DOUBLE / d AS w FROM edge JOIN deg USING (src)),\n"
-    out += "roots AS (SELECT DISTINCT user_id AS root, 'u' || user_id AS node FROM clicks),\n"
-    out += "r0 AS (SELECT root, node, 1.0::DOUBLE AS m FROM roots)"
-    for i in range(1, rounds + 1):
+def _series_sql(weight: str, factor: float, terms: int = 45) -> str:
+    """Walks from items over two steps at a time, all terms above the last bit of a double; then one step from the users."""
+    out = EDGE_SQL + f", e AS (SELECT src, dst, {weight} AS w FROM edge JOIN deg USING (src)),\n"
+    out += """q AS MATERIALIZED (SELECT a.src AS i, b.dst AS j, sum(0.6::DOUBLE * 0.6::DOUBLE * a.w * b.w) AS w FROM e a JOIN e b ON b.src = a.dst
+  WHERE a.src LIKE 'i%' GROUP BY 1, 2),
+p0 AS MATERIALIZED (SELECT DISTINCT src AS i, src AS j, 1.0::DOUBLE AS m FROM e WHERE src LIKE 'i%')"""
+    for k in range(1, terms + 1):
         out += f""",
-r{i} AS (SELECT root, node, sum(m) AS m FROM (
-  SELECT root, dst AS node, 0.6::DOUBLE * m * w AS m FROM r{i - 1} JOIN e ON e.src = node
-  UNION ALL SELECT root, node, 0.4::DOUBLE FROM roots) GROUP BY 1, 2)"""
-    return out
+p{k} AS MATERIALIZED (SELECT p.i, q.j, sum(p.m * q.w) AS m FROM p{k - 1} p JOIN q ON q.i = p.j GROUP BY 1, 2)"""
+    out += ",\ntot AS (SELECT i, j, sum(m) AS m FROM (" + " UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(terms + 1)) + ") GROUP BY 1, 2)"
+    return out + f""",
+last AS (SELECT CAST(substr(e.src, 2) AS BIGINT) AS root, tot.j AS node, sum({factor!r}::DOUBLE * e.w * tot.m) AS m
+  FROM e JOIN tot ON tot.i = e.dst WHERE e.src LIKE 'u%' GROUP BY 1, 2)"""
 
 
 TAIL_SQL = """, sc AS (SELECT root AS user_id, CAST(substr(node, 2) AS BIGINT) AS item_id, round_even(m, 6) AS score
@@ -41,26 +44,14 @@ def bipartite_graph(spark, sf):
     return e.groupBy(kind.alias("kind"), F.col("src.id").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
 
 
-@query("K2_personal_rank", "WITH " + _rounds_sql(5) + TAIL_SQL.format(last="r5"))
+@query("K2_personal_rank", "WITH " + _series_sql("1.0::DOUBLE / d", 0.6 * (1.0 - 0.6)) + TAIL_SQL.format(last="last"))
 def personal_rank(spark, sf):
-    return g.personal_rank(t.clicks(spark, sf), alpha=0.6, rounds=5, k=10)
+    return g.personal_rank(t.clicks(spark, sf), alpha=0.6, k=10)
 
 
-def _series_sql(rounds: int) -> str:
-    out = EDGE_SQL + ", e AS (SELECT src, dst, round_even(1.0::DOUBLE / d, 3)::DOUBLE AS w FROM edge JOIN deg USING (src)),\n"
-    out += "p0 AS (SELECT DISTINCT user_id AS root, 'u' || user_id AS node, 1.0::DOUBLE AS m FROM clicks)"
-    for i in range(1, rounds + 1):
-        out += f""",
-p{i} AS (SELECT root, dst AS node, sum(0.6::DOUBLE * m * w) AS m FROM p{i - 1} JOIN e ON e.src = node GROUP BY 1, 2)"""
-    out += ",\ntot AS (SELECT root, node, sum(m) AS m FROM ("
-    out += " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(rounds + 1)) + ") GROUP BY 1, 2)"
-    return out
-
-
-@query("K3_rank_linear_system", "WITH " + _series_sql(12) + TAIL_SQL.format(last="tot"))
+@query("K3_rank_linear_system", "WITH " + _series_sql("round_even(1.0::DOUBLE / d, 3)::DOUBLE", 0.6) + TAIL_SQL.format(last="last"))
 def rank_linear_system(spark, sf):
-    """The first twelve terms of the series, as in the SQL."""
-    return g.rank_by_linear_system(t.clicks(spark, sf), alpha=0.6, k=10, tolerance=0.0, max_rounds=12)
+    return g.rank_by_linear_system(t.clicks(spark, sf), alpha=0.6, k=10)
 
 
 @query("K4_transition_weights", "WITH " + EDGE_SQL + """

@@ -49,7 +49,6 @@ def small_limits(monkeypatch):
     monkeypatch.setattr(tiles, "BLOCK", 60)
     monkeypatch.setattr(tiles, "CELLS", 5000)
     monkeypatch.setattr(graph, "FAN", 12)
-    monkeypatch.setattr(graph, "EDGES", 150)
     monkeypatch.setattr(graph, "ROOTS", 10)
     monkeypatch.setattr(sequences, "RANGE_CHUNK", 30)
 
