@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
+from tastemill.operators import ordering
 from tastemill.operators.ordering import running
 
 
@@ -71,8 +72,17 @@ def list_mle(rows: DataFrame, group: Sequence[str], label: str, score: str, tie:
     """Mean over lists of -ln P(order by label | scores) (O5): sum of ln(sum of exp of the rest) - score.
 
     The rest of a list is a running sum from its end, so a long list is summed
-    in chunks like any other group.
+    in chunks like any other group; where no list is that long, one shuffle by
+    list gives its maximum and the sums.
     """
+    if ordering.largest_group(rows, group) <= ordering.GROUP_LIMIT:
+        whole = Window.partitionBy(*group)
+        shifted = rows.withColumn("_m", F.max(score).over(whole)).withColumn("_e", F.exp(F.col(score) - F.col("_m")))
+        rest = whole.orderBy(F.asc(label), F.desc(tie)).rowsBetween(Window.unboundedPreceding, 0)
+        loss = F.log(F.sum("_e").over(rest)) + F.col("_m") - F.col(score)
+        return shifted.withColumn("_l", loss).groupBy(*group).agg(F.sum("_l").alias("_l")).agg(
+            fx.tidy(F.avg("_l")).alias("list_mle")
+        )
     top = rows.groupBy(*group).agg(F.max(score).alias("_m"))
     shifted = rows.join(top, list(group)).withColumn("_e", F.exp(F.col(score) - F.col("_m")))
     from_end = running(shifted, group, [F.asc(label), F.desc(tie)], {"_after": F.col("_e")})

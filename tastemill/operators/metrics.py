@@ -194,16 +194,16 @@ def list_ndcg(rows: DataFrame, group: Sequence[str], label: str, score: str, tie
     deepest = max(cuts)
     gain = F.pow(F.lit(2.0), F.col(label)) - 1.0
 
-    def dcg(order: list, prefix: str) -> DataFrame:
+    def places(order: list, ideal: bool) -> DataFrame:
         top = top_k(real, group, order, deepest, "_r")
-        return top.groupBy(*group).agg(
-            *[
-                F.sum(F.when(F.col("_r") <= k, gain / F.log2(F.col("_r") + 1.0)).otherwise(0.0)).alias(f"{prefix}{k}")
-                for k in cuts
-            ]
-        )
-
-    got = dcg([F.desc(score), tie], "_d")
-    ideal = dcg([F.desc(label), tie], "_i")
-    joined = got.join(ideal, list(group)).filter(F.col(f"_i{deepest}") > 0)
-    return joined.agg(*[fx.tidy(F.avg(F.try_divide(F.col(f"_d{k}"), F.col(f"_i{k}")))).alias(f"ndcg_{k}") for k in cuts])
+        return top.select(*group, "_r", gain.alias("_g"), F.lit(ideal).alias("_ideal"))
+
+    both = places([F.desc(score), tie], False).unionAll(places([F.desc(label), tie], True))
+    worth = F.col("_g") / F.log2(F.col("_r") + 1.0)
+    sums = [
+        F.sum(F.when((F.col("_ideal") == ideal) & (F.col("_r") <= k), worth).otherwise(0.0)).alias(f"{prefix}{k}")
+        for prefix, ideal in (("_d", False), ("_i", True))
+        for k in cuts
+    ]
+    lists = both.groupBy(*group).agg(*sums).filter(F.col(f"_i{deepest}") > 0)
+    return lists.agg(*[fx.tidy(F.avg(F.try_divide(F.col(f"_d{k}"), F.col(f"_i{k}")))).alias(f"ndcg_{k}") for k in cuts])
