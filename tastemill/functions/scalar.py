@@ -174,8 +174,3 @@ def point_part(point: Column | str, index: int) -> Column:
 def pad_list(values: Column, length: int, filler: Column) -> Column:
     """List cut or right-padded to ``length``."""
     return F.slice(F.concat(values, F.array_repeat(filler, length)), 1, length)
-
-
-def first_seen(values: Column) -> Column:
-    """List without repeats, first place kept (S3)."""
-    return F.array_distinct(values)

@@ -36,12 +36,6 @@ def squared_distance(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)))
 
 
-def unit(a: Column) -> Column:
-    """Vector scaled to length 1; a zero vector stays zero."""
-    n = norm(a)
-    return F.when(n == 0, a).otherwise(F.transform(a, lambda x: F.try_divide(x, n)))
-
-
 def weighted_sum(values: Column, weights: Column) -> Column:
     return dot(values, weights)
 

@@ -8,37 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
-from tastemill.operators.cleaning import log_actions
+from tastemill.operators.cleaning import LogColumns, log_actions
 from tastemill.operators.ordering import list_parts
 
-USER = "_token_associate_id"
-ITEM = "click_object_id"
-TITLE = "click_details_caption"
-
-
-def clicks_per_pair(log: DataFrame, with_time: bool = False) -> DataFrame:
+def clicks_per_pair(log: DataFrame, with_time: bool = False, names: LogColumns = LogColumns()) -> DataFrame:
     """Sum of clicks per (user, item), or per (user, item, second)."""
-    keys = [F.col(USER).alias("user_id"), F.col(ITEM).alias("item_id")]
+    keys = [F.col(names.user).alias("user_id"), F.col(names.item).alias("item_id")]
     if with_time:
-        keys.append(fx.parse_epoch("time_stamp").alias("unix_time_stamp"))
-    return log_actions(log).groupBy(*keys).agg(F.sum("click").alias("rating"))
+        keys.append(fx.parse_epoch(names.time).alias("unix_time_stamp"))
+    return log_actions(log, names).groupBy(*keys).agg(F.sum(names.click).alias("rating"))
 
 
-def item_catalogue(log: DataFrame) -> DataFrame:
+def item_catalogue(log: DataFrame, names: LogColumns = LogColumns()) -> DataFrame:
     """Distinct (item, title) (D3)."""
-    return log_actions(log).select(F.col(ITEM).alias("item_id"), F.col(TITLE).alias("title")).distinct()
+    return log_actions(log, names).select(F.col(names.item).alias("item_id"), F.col(names.title).alias("title")).distinct()
 
 
-def item_category_bag(log: DataFrame, category: str = "client_id") -> DataFrame:
+def item_category_bag(log: DataFrame, category: str = "client_id", names: LogColumns = LogColumns()) -> DataFrame:
     """Distinct categories of an item joined by bars, in sorted order (D4); long bags go on in the next part."""
-    rows = log_actions(log).select(F.col(ITEM).alias("item_id"), F.col(TITLE).alias("title"), category).distinct()
+    kept = log_actions(log, names)
+    rows = kept.select(F.col(names.item).alias("item_id"), F.col(names.title).alias("title"), category).distinct()
     bags = list_parts(rows, ["item_id", "title"], [F.col(category).asc_nulls_first()], {"categories": F.col(category)})
     return bags.withColumn("categories", F.concat_ws("|", "categories"))
 
 
-def deepest_click(log: DataFrame, trace: str = "traceId", pos: str = "resPos") -> DataFrame:
+def deepest_click(log: DataFrame, trace: str, pos: str, names: LogColumns = LogColumns()) -> DataFrame:
     """Greatest clicked position per trace."""
-    return log.filter(F.col(ITEM).isNotNull()).groupBy(trace).agg(F.max(pos).alias("max_resPos"))
+    return log.filter(F.col(names.item).isNotNull()).groupBy(trace).agg(F.max(pos).alias(f"max_{pos}"))
 
 
 def composed_pair_counts(df: DataFrame, left: Sequence[str], right: Sequence[str], flag: Column) -> DataFrame:
@@ -56,17 +52,17 @@ def with_latest(df: DataFrame, ts: str, name: str = "max_timestamp") -> DataFram
     return df.withColumn(name, df.agg(F.max(ts)).scalar())
 
 
-def trending(log: DataFrame) -> DataFrame:
+def trending(log: DataFrame, names: LogColumns = LogColumns()) -> DataFrame:
     """Time-decayed clicks per (client, item, title).
 
     Rows are counted per second first, then each count is divided by
     1 + age in days / 100.
     """
-    rows = log_actions(log).select(
-        "client_id",
-        F.col(ITEM).alias("item_id"),
-        F.col(TITLE).alias("title"),
-        fx.parse_epoch("time_stamp").alias("unix_timestamp"),
+    rows = log_actions(log, names).select(
+        F.col(names.client).alias("client_id"),
+        F.col(names.item).alias("item_id"),
+        F.col(names.title).alias("title"),
+        fx.parse_epoch(names.time).alias("unix_timestamp"),
     )
     counted = rows.groupBy("client_id", "item_id", "title", "unix_timestamp").agg(F.count(F.lit(1)).alias("clicks"))
     weight = fx.recency(F.col("max_timestamp"), F.col("unix_timestamp"), decimals=None)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,23 @@ def at_least(df: DataFrame, threshold: float, rating: str = "rating") -> DataFra
     return df.filter(F.col(rating) >= threshold)
 
 
-def log_actions(log: DataFrame) -> DataFrame:
-    """Log rows with an object and the action ``actions`` (B2)."""
-    return log.filter(F.col("click_object_id").isNotNull() & (F.col("action") == "actions"))
+@dataclass(frozen=True)
+class LogColumns:
+    """Names of the columns of a search and click log, and the action that marks rows to use."""
+
+    user: str = "user_id"
+    item: str = "item_id"
+    title: str = "title"
+    time: str = "time"
+    click: str = "click"
+    client: str = "client_id"
+    action: str = "action"
+    used_action: str = "actions"
+
+
+def log_actions(log: DataFrame, names: LogColumns = LogColumns()) -> DataFrame:
+    """Log rows with an object and the used action (B2)."""
+    return log.filter(F.col(names.item).isNotNull() & (F.col(names.action) == names.used_action))
 
 
 def frequent(df: DataFrame, key: str, least: int) -> DataFrame:

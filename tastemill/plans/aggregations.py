@@ -17,20 +17,20 @@ ACTIONS = "click_object_id IS NOT NULL AND action = 'actions'"
 SELECT _token_associate_id AS user_id, click_object_id AS item_id, CAST(sum(click) AS BIGINT) AS rating
 FROM log WHERE {ACTIONS} GROUP BY 1, 2""")
 def clicks_per_user_item(spark, sf):
-    return a.clicks_per_pair(t.click_log(spark, sf))
+    return a.clicks_per_pair(t.click_log(spark, sf), names=t.LOG)
 
 
 @query("D2_clicks_per_user_item_second", f"""WITH {t.LOG_SQL}
 SELECT _token_associate_id AS user_id, click_object_id AS item_id, sec AS unix_time_stamp,
        CAST(sum(click) AS BIGINT) AS rating FROM log WHERE {ACTIONS} GROUP BY 1, 2, 3""")
 def clicks_per_user_item_second(spark, sf):
-    return a.clicks_per_pair(t.click_log(spark, sf), with_time=True)
+    return a.clicks_per_pair(t.click_log(spark, sf), with_time=True, names=t.LOG)
 
 
 @query("D3_item_catalogue", f"""WITH {t.LOG_SQL}
 SELECT DISTINCT click_object_id AS item_id, click_details_caption AS title FROM log WHERE {ACTIONS}""")
 def item_catalogue(spark, sf):
-    return a.item_catalogue(t.click_log(spark, sf))
+    return a.item_catalogue(t.click_log(spark, sf), t.LOG)
 
 
 @query("D4_item_category_bag", f"""WITH {t.LOG_SQL}
@@ -39,13 +39,13 @@ SELECT item_id, title, (rn - 1) // 1000 AS part, string_agg(user_agent, '|' ORDE
     SELECT DISTINCT click_object_id AS item_id, click_details_caption AS title, user_agent FROM log WHERE {ACTIONS}))
 GROUP BY 1, 2, 3""")
 def item_category_bag(spark, sf):
-    return a.item_category_bag(t.click_log(spark, sf), "user_agent")
+    return a.item_category_bag(t.click_log(spark, sf), "user_agent", t.LOG)
 
 
 @query("D5_deepest_click", f"""WITH {t.LOG_SQL}
 SELECT "traceId", max("resPos") AS "max_resPos" FROM log WHERE click_object_id IS NOT NULL GROUP BY 1""")
 def deepest_click(spark, sf):
-    return a.deepest_click(t.click_log(spark, sf, with_position=True))
+    return a.deepest_click(t.click_log(spark, sf, with_position=True), "traceId", "resPos", t.LOG)
 
 
 @query("D6_composed_pair_counts", f"""WITH {t.LOG_SQL}
@@ -70,7 +70,7 @@ FROM cl GROUP BY 1, 2, 3)"""
 
 @query("D7_trending", TRENDING_SQL + " SELECT * FROM trend")
 def trending(spark, sf):
-    return a.trending(t.click_log(spark, sf))
+    return a.trending(t.click_log(spark, sf), t.LOG)
 
 
 @query("D8_mean_rating", "WITH " + t.RAW_SQL + " SELECT item_id, round_even(avg(rating), 3)::DOUBLE AS score FROM raw GROUP BY 1")

@@ -18,7 +18,7 @@ def rating_threshold(spark, sf):
 @query("B2_log_filter", "WITH " + t.LOG_SQL + """
 SELECT _id, click_object_id FROM log WHERE click_object_id IS NOT NULL AND action = 'actions'""")
 def log_filter(spark, sf):
-    return c.log_actions(t.click_log(spark, sf)).select("_id", "click_object_id")
+    return c.log_actions(t.click_log(spark, sf), t.LOG).select("_id", "click_object_id")
 
 
 @query("B3_drop_nulls", "WITH " + t.LOG_SQL + """

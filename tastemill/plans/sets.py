@@ -18,7 +18,7 @@ SELECT *, row_number() OVER (ORDER BY client_id, weighted_clicks DESC, item_id)
 def order_by_client_score(spark, sf):
     """Global order by client, score descending, made visible as the place of each row."""
     order = ["client_id", F.desc("weighted_clicks"), "item_id"]
-    return position(a.trending(t.click_log(spark, sf)), [], order, "place").orderBy("place")
+    return position(a.trending(t.click_log(spark, sf), t.LOG), [], order, "place").orderBy("place")
 
 
 @query("S2_global_top_n", """

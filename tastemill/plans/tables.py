@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.functions.scalar import epoch_seconds
+from tastemill.operators.cleaning import LogColumns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +74,12 @@ log AS (
   FROM log0)"""
 
 
+#: The log's input schema has these column names.
+LOG = LogColumns(
+    user="_token_associate_id", item="click_object_id", title="click_details_caption", time="time_stamp"
+)
+
+
 def click_log(spark: SparkSession, sf_dir: str, with_position: bool = False) -> DataFrame:
     """``events`` as the search/click log; ``resPos`` (a window) only where it is read."""
     k = F.get_json_object("props", "$.k")

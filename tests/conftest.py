@@ -31,7 +31,7 @@ def sf():
 
 @pytest.fixture(scope="session")
 def ratings(spark):
-    """The 5 x 5 table of the worked example; Alice has not rated E."""
+    """The 5 x 5 table of the worked example; Alice has not rated E. The golden results need them."""
     table = {
         "Alice": {"A": 5, "B": 3, "C": 4, "D": 4},
         "user1": {"A": 3, "B": 1, "C": 2, "D": 3, "E": 3},

@@ -62,6 +62,7 @@ def test_vector_edges(spark):
 
 
 def test_history_summary_of_the_worked_example(spark):
+    # fixed values of the worked example
     hist = spark.createDataFrame([("u", 1, "a"), ("u", 2, "b"), ("u", 3, "c")], "user_id string, pos int, item_id string")
     items = spark.createDataFrame(
         [("a", [1.0, 2.0]), ("b", [3.0, 4.0]), ("c", [-1.0, 0.0])], "item_id string, v array<double>"
