@@ -93,7 +93,7 @@ def _place(name: str, rest: str, around: int, in_header: bool) -> tuple[int, boo
             if not (name == "article" and not names & {"comment", "teaser", "related", "ad", "sponsored", "promo"}):
                 return -1, in_header
         if "header" in names and around == 0 and name not in ("html", "body"):
-            in_header = True
+            in_header = not names & {"article", "post", "entry", "story"}  # an article's own header belongs to it
         inside |= bool(names & INSIDE_NAMES) and name not in ("html", "body") and not in_header
     if inside:
         return 1, False

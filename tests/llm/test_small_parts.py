@@ -278,6 +278,15 @@ PAGES = [
         "<div id=nav><a>x</a></div><article>Text <b>bold<br>next</b> line<p>Second one.<ul><li>a point</ul></article><div class='ad'>Buy now.</div>",
         "Text bold next line\nSecond one.\na point",
     ),
+    (
+        "<body><div id='header'>Site of many words here.</div><div class='menu'><a>a</a> <a>b</a></div><div class='page'>"
+        "<div class='entry-header'><h1>A title</h1></div><div class='entry-content'><p>One paragraph, of a few words.</p>"
+        "<div class='advert'><p>Buy this thing today.</p></div><p>Another one</p><blockquote>Said by someone.</blockquote>"
+        "<table><tr><td>cell one</td><td>cell two</td></tr></table></div><div id='comments'><article><p>I liked it a lot.</p>"
+        "</article></div></div><div class='sidebar'><p>Some other text that is long enough to be read as text.</p></div>"
+        "<form><p>Leave your address with us today.</p></form><div id='footer'>Made by us.</div></body>",
+        "A title\nOne paragraph, of a few words.\nAnother one\nSaid by someone.\ncell one\ncell two",
+    ),
     ("", ""),
     ("plain words only, a whole sentence of them.", "plain words only, a whole sentence of them."),
     ("<article><p>broken <b>markup <i>here.<p>and &lt;more&gt; &#233; text.", "broken markup here.\nand <more> é text."),
