@@ -20,8 +20,8 @@ from .common import table, words, written
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
-#: Quantiles of the labelled rows that conditions may use.
-QUANTILES = [0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.925, 0.95, 0.98, 0.99, 0.995]
+#: Quantiles of the labelled rows, and of the bad ones among them, that conditions may use as cut points.
+QUANTILES = [0.005, *(k / 100 for k in range(1, 100)), 0.995]
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RATIOS = ["symbol_share", "repeat_share", "dup_line_share", "upper_share", "mark_share", "mean_word", "digit_share"]
@@ -154,12 +154,18 @@ def learn(
     ``min_cover`` of the pruning part's uncovered bad rows are covered and ``min_precision`` of what it covers is bad;
     the first that fails ends the list.
     """
-    cuts_row = labelled.agg(*[F.percentile_approx(n, QUANTILES, 10_000).alias(n) for n in names]).first()
-    cuts = {n: sorted(set(cuts_row[n] or [])) for n in names}
-    # interval k lies above the first k cuts
-    interval = [sum((F.col(n) >= float(v)).cast("int") for v in cuts[n]) if cuts[n] else F.lit(0) for n in names]
-    interval = [(F.lit(0) + c).alias(n) for c, n in zip(interval, names, strict=True)]
-    binned = labelled.select("bad", (F.pmod(F.xxhash64("key"), F.lit(3)) == 0).alias("prune"), *interval)
+    cuts_row = labelled.agg(
+        *[F.percentile_approx(n, QUANTILES, 10_000).alias(n) for n in names],
+        *[F.percentile_approx(F.when(F.col("bad"), F.col(n)), QUANTILES, 10_000).alias(f"bad_{n}") for n in names],
+    ).first()
+    cuts = {n: sorted({*(cuts_row[n] or []), *(cuts_row[f"bad_{n}"] or [])}) for n in names}
+
+    def interval(name: str) -> Column:
+        """Number of cuts that a value reaches: interval k lies above the first k."""
+        values = F.array(*[F.lit(float(v)) for v in cuts[name]]).cast("array<double>")
+        return F.size(F.filter(values, lambda v: F.col(name) >= v)).alias(name)
+
+    binned = labelled.select("bad", (F.pmod(F.xxhash64("key"), F.lit(3)) == 0).alias("prune"), *map(interval, names))
     binned = written(binned.groupBy("bad", "prune", *names).agg(F.count("*").alias("rows")), "quality-cells")
     rules: list[Rule] = []
     while len(rules) < max_rules:
