@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -145,17 +145,27 @@ def mix(
     one id and size are taken alike, so repeated rows get the same answer. Documents of no source, and of size 0, are
     not taken; an empty table gives an empty result.
     """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    rows = written(
-        docs.select(
-            F.col(key).alias("doc_id"),
-            F.col(size).cast("long").alias("size"),
-            *also,
-            F.to_json(F.sort_array(F.array_distinct(F.col(sources))), {"ignoreNullFields": "false"}).alias("pattern"),
-            F.conv(F.substring(digest, 1, ORDER_BITS // 4), 16, 10).cast("long").alias("h"),
-        ),
-        "mix-rows",
+    pattern, h = _pattern(F.col(sources)), _order(F.col(key), seed)
+    rows = docs.select(
+        F.col(key).alias("doc_id"), F.col(size).cast("long").alias("size"), *also, pattern.alias("pattern"), h.alias("h")
     )
+    rows = written(rows, "mix-rows")
+    return _taken(rows, _ends(rows, quotas, max_repeats)).select("doc_id", "size", *also, "copies", "taken", "serves")
+
+
+def _pattern(sources: Column) -> Column:
+    """The set of sources as JSON."""
+    return F.to_json(F.sort_array(F.array_distinct(sources)), {"ignoreNullFields": "false"})
+
+
+def _order(key: Column, seed: int) -> Column:
+    """Place of an id in the seeded order."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null"))))
+    return F.conv(F.substring(digest, 1, ORDER_BITS // 4), 16, 10).cast("long")
+
+
+def _ends(rows: DataFrame, quotas: dict, max_repeats: int) -> DataFrame:
+    """(p, ends): for each pattern where the parts that serve its sources end; one row per pattern."""
     # one row per set of sources
     sizes = {r["pattern"]: r["s"] for r in rows.where("pattern is not null").groupBy("pattern").agg(F.sum("size").alias("s")).collect()}
     parts, wanted = [], []
@@ -167,7 +177,7 @@ def mix(
                 epoch, rest = divmod(at, whole)
                 parts.append((pattern, part, source, epoch))
                 wanted.append((pattern, part, rest))
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     bounds = hash_bounds(
         rows.select("pattern", "h", "size"), spark.createDataFrame(wanted, "pattern string, part int, rest long")
     )
@@ -175,8 +185,15 @@ def mix(
     ends = part_rows.join(bounds, ["pattern", "part"]).groupBy("pattern").agg(
         F.sort_array(F.collect_list(F.struct("part", "epoch", "bound", "source"))).alias("ends")
     )
-    ends = written(ends, "mix-ends").select(F.col("pattern").alias("p"), "ends")
-    joined = rows.join(ends, F.col("pattern") == F.col("p"), "left")
+    return written(ends, "mix-ends").select(F.col("pattern").alias("p"), "ends")
+
+
+def _taken(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """The rows (with pattern, h and size) with copies, taken and serves.
+
+    ``ends`` has a row per pattern; the driver has routed these, so they are few enough to broadcast.
+    """
+    joined = rows.join(F.broadcast(ends), F.col("pattern") == F.col("p"), "left")
     # copies of a document that lie before the end of each part
     upto = F.transform(
         "ends", lambda e: e["epoch"] + F.when(F.col("h") <= e["bound"], F.lit(1)).otherwise(F.lit(0))
@@ -192,9 +209,7 @@ def mix(
         )
     )
     return joined.select(
-        "doc_id",
-        "size",
-        *also,
+        *rows.columns,
         copies.alias("copies"),
         (F.col("size") * copies).alias("taken"),
         F.when(copies > 0, serves).otherwise(F.array().cast("array<string>")).alias("serves"),
@@ -239,24 +254,21 @@ def mixed_documents(docs: DataFrame, seed: int = 42, max_repeats: int = 3) -> tu
 
 
 def repeated_documents(docs: DataFrame, seed: int = 42, max_repeats: int = 3) -> DataFrame:
-    """The rows, each as often as the mix takes it; columns stay as they are.
+    """The rows, each as often as the mix takes it; columns stay as they are. Texts don't move.
 
-    Rows of one id have one answer of the mix for each size, so an id that stands for several texts is mixed by the
-    copies of its rows of that size.
+    Null and repeated ids are rows like any other; rows of one id and source are taken alike.
     """
-    mixed, _, _ = mixed_documents(docs, seed, max_repeats)
-    answers = written(
-        mixed.where("copies > 0").select(F.col("doc_id").alias("m_id"), F.col("size").alias("m_size"), F.col("source").alias("m_source"), "copies").distinct(),
-        "mix-answers",
+    size, pattern, h = word_count(F.col("text")), _pattern(F.array("source")), _order(F.col("doc_id"), seed)
+    measured = written(
+        docs.select("source", size.alias("size"), pattern.alias("pattern"), h.alias("h")), "mix-sizes"
     )
+    sizes = {r["source"]: r["s"] for r in measured.groupBy("source").agg(F.sum("size").alias("s")).collect()}
+    quotas = {s: round(t) for s, t in contract_targets(sizes).items()}
+    ends = _ends(measured, quotas, max_repeats)
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row_")
-    rows = docs.select(row, F.col("doc_id").alias("id_"), F.col("source").alias("source_"), word_count(F.col("text")).alias("size_"))
-    taken = rows.join(
-        answers,
-        F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("size_") == F.col("m_size")) & F.col("source_").eqNullSafe(F.col("m_source")),
-    )
-    each = taken.select("row_", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    rows = docs.select(row, size.alias("size"), pattern.alias("pattern"), h.alias("h"))
+    each = _taken(rows, ends).where("copies > 0").select("row_", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return each.select(*[F.col("row_")[f"c{i}"].alias(c) for i, c in enumerate(names)])
 
 

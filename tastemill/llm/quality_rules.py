@@ -254,6 +254,11 @@ def judged(
     """
     kept = docs.columns if keep is None else keep
     measured = written(statistics(docs, text).select(*[F.col(f"`{c}`") for c in kept], "stats"), "quality-stats")
+    return _verdicts(measured, rules_from(measured, labels, key))
+
+
+def rules_from(measured: DataFrame, labels: DataFrame, key: str = "doc_id") -> list[Rule]:
+    """The list learned from all rows of (key, stats) that the base rules pass and ``labels`` names."""
     known = labels.where("quality is not null").groupBy(F.col("doc_id").alias("label_id")).agg(
         (F.min("quality") == 0).alias("bad")
     )
@@ -261,13 +266,31 @@ def judged(
     labelled = measured.where(~base_failed(stats)).select(F.col(f"`{key}`").alias("key"), "stats").join(
         known, F.col("key") == F.col("label_id")
     ).select("key", "bad", *[stats[n].cast("double").alias(n) for n in RATIOS])
-    rules = learn(labelled)
+    return learn(labelled)
+
+
+def _verdicts(measured: DataFrame, rules: list[Rule]) -> DataFrame:
+    stats = F.col("stats")
     rule = F.when(~base_failed(stats), decide(rules, stats))
     return measured.withColumn("base_failed", base_failed(stats)).withColumn("rule", rule).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull()
     )
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that the base rules and the learned list keep, with their columns.
+
+    Statistics are computed twice, to learn and to decide, so that no text is written in between.
+    """
+    names = docs.columns
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
+    measured = written(statistics(docs.select(key, text), text).select(key, "stats"), "quality-stats")
+    rules = rules_from(measured, labels, key)
+    rows = docs.select(row, F.col(f"`{text}`").alias("text"))
+    kept = _verdicts(statistics(rows, "text"), rules).where("kept")
+    return kept.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(names)])
+
+
 def query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = judged(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])

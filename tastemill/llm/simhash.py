@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
-from .url_filter import maybe_listed
+from .url_filter import bloom_table, flag_listed, maybe_listed
 
 SEED = 42
 #: Flips that keys of nearest codewords on one side are sure to find.
@@ -384,15 +384,28 @@ def one_of_each(
     """
     member = classes(docs, key, text, shingle, seeds, most, resembling).select("doc_id", "digest", "part")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.coalesce("digest", F.lit(b"")).alias("digest"))
-    kept = written(member.groupBy("part").agg(F.min(order).alias("k")).select("k.doc_id", "k.digest"), "simhash-kept")
-    kept = kept.select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))
+    member = written(member.select("part", order.alias("k")), "simhash-members")
+    first = member.groupBy(F.col("part").alias("p")).agg(F.min("k").alias("first"))
+    # rows to look at: those that go, and those of one id and text of which one stays
+    same = member.groupBy("part", "k").agg(F.count("*").alias("n")).join(first, F.col("part") == F.col("p"))
+    checked = same.where("n > 1 or k <> first").select(
+        F.col("k.doc_id").alias("k_id"), F.col("k.digest").alias("k_digest"), (F.col("k") == F.col("first")).alias("stays")
+    )
+    checked = written(checked.withColumn("k_hash", F.xxhash64("k_digest", "k_id")), "simhash-checked")
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row_")
     rows = docs.select(
         row, F.col(f"`{key}`").alias("id_"), F.coalesce(F.unhex(F.md5(F.col(f"`{text}`"))), F.lit(b"")).alias("digest_")
     )
-    left = rows.join(kept, (F.col("digest_") == F.col("k_digest")) & F.col("id_").eqNullSafe(F.col("k_id")), "left_semi")
-    once = left.dropDuplicates(["digest_", "id_"])
+    hashes = written(checked.select("k_hash").distinct(), "simhash-hashes")
+    rows = rows.withColumn("hash_", F.xxhash64("digest_", "id_"))
+    bloom, blocks = bloom_table(hashes, "k_hash")
+    flagged = flag_listed(rows, F.col("hash_"), bloom, blocks, "may_")
+    here = (F.col("digest_") == F.col("k_digest")) & F.col("id_").eqNullSafe(F.col("k_id"))
+    looked = flagged.where("may_").join(checked, here, "left").where("stays or stays is null")
+    once = flagged.where("not may_").select("row_").unionAll(
+        looked.where("stays is null").select("row_")
+    ).unionAll(looked.where("stays").dropDuplicates(["digest_", "id_"]).select("row_"))
     return once.select(*[F.col("row_")[f"c{i}"].alias(c) for i, c in enumerate(names)])
 
 

@@ -87,6 +87,18 @@ def bloom_table(listed: DataFrame, key: str, bits_per_key: int = 16) -> tuple[Da
     return merged, blocks
 
 
+def flag_listed(rows: DataFrame, key: Column, bloom: DataFrame, blocks: int, name: str) -> DataFrame:
+    """The rows with a flag that is true for every listed key and few others; for all where the filter is too large."""
+    if blocks * BYTES_PER_BLOCK > BROADCAST_BYTES:
+        return rows.withColumn(name, F.lit(True))
+    block, bits = _place(key, blocks)
+    possible = F.lit(True)
+    for j, bit in enumerate(bits):
+        possible = possible & (F.col(f"bf_{j}").bitwiseAND(bit) != 0)
+    joined = rows.join(F.broadcast(bloom), block == F.col("bf_block"), "left")
+    return joined.select(*[rows[c] for c in rows.columns], F.coalesce(possible, F.lit(False)).alias(name))
+
+
 def maybe_listed(rows: DataFrame, key: Column, listed: DataFrame, listed_key: str) -> DataFrame:
     """The rows whose key may be among ``listed`` (distinct, written): none that is goes missing, few others stay.
 
