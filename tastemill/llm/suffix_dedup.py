@@ -30,7 +30,7 @@ GRAM = 32
 #: Bytes of text hashed at once.
 PIECE = 1 << 20
 #: A shard is closed at the end of the gram that brings it to so many bytes.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 8 << 20
 #: Grams with more different stretches than a shard holds are counted window by window.
 HOT_STRETCHES = 8_192
 #: Windows written at once by that count.
