@@ -277,20 +277,6 @@ def _verdicts(measured: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that the base rules and the learned list keep, with their columns.
-
-    Statistics are computed twice, to learn and to decide, so that no text is written in between.
-    """
-    names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
-    measured = written(statistics(docs.select(key, text), text).select(key, "stats"), "quality-stats")
-    rules = rules_from(measured, labels, key)
-    rows = docs.select(row, F.col(f"`{text}`").alias("text"))
-    kept = _verdicts(statistics(rows, "text"), rules).where("kept")
-    return kept.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(names)])
-
-
 def query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = judged(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
