@@ -372,6 +372,24 @@ def test_near_copies_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(frame).collect()) == list(range(60))
 
 
+def own_words(rng, n):
+    return ["".join(rng.choices("abcdefghij", k=9)) for _ in range(n)]
+
+
+def test_pairs_just_above_the_bound_are_found(spark):
+    import random
+
+    rng = random.Random(11)
+    docs = []
+    for i in range(300):
+        shared, own = own_words(rng, 304), rng.randint(27, 36)
+        for k in (0, 1000):
+            docs.append((i + k, " ".join(shared + own_words(rng, own))))
+        assert 0.8 <= simhash.resemblance(docs[-2][1], docs[-1][1], 5) < 0.85
+    kept = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)] + [(500, k) for k in range(501, 700)]
