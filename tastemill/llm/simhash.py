@@ -5,7 +5,9 @@ three flips of exactly one codeword, and words two flips apart have a codeword w
 keys are the indices of the codewords within four flips: one, or six. Of three segments with three flips among them
 two have one flip at most, so keys of two segments together find every such pair (one side then needs the nearest
 codeword only); with all keys on both sides pairs of five flips are certain and many beyond are found. Pairs meet by
-key, are verified by counting bits, and leave a task as a spanning forest, never as all pairs of a group.
+key, are verified by counting bits, and leave a task as a spanning forest, never as all pairs of a group. Where links need
+common shingles as well, a forest's edge may fail; what it connected is then compared again, in rounds that let more pairs
+out, until no pair of different parts is left untested.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ SIDE_ROWS = 2_048
 PAIR_BLOCK = 1 << 21
 #: Fingerprints that travel with a key, so that its pairs can be compared.
 COMPARED = 3
+#: Pairs of each part that the second round lets out of a task and a key, and by how many times every round lets out more.
+SECOND_ROUND = 8
 
 #: Generator polynomial of the binary Golay code, word and message length.
 GENERATOR, WORD_BITS, MESSAGE_BITS = 0b101011100011, 23, 12
@@ -179,6 +183,11 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def closest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The edges of a spanning forest of least weights: every part takes its lightest way out until none is left."""
+    edge = _forest_edges(a, b, weight)
+    return a[edge], b[edge]
+
+
+def _forest_edges(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
     nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
     i, j = where[: len(a)], where[len(a) :]
     order = weight.astype(np.int64) * len(a) + np.arange(len(a))  # no two alike
@@ -197,12 +206,27 @@ def closest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np
         to = np.arange(len(nodes))
         to[v] = u
         label = to[label]
-    edge = np.concatenate(taken) if taken else np.zeros(0, np.int64)
-    return a[edge], b[edge]
+    return np.concatenate(taken) if taken else np.zeros(0, np.int64)
 
 
-def _linked(most: int, closest: bool):
-    """Kernel over rows sorted by (key, deal, side): L rows (side 1, 3) of a key against its R rows (3, 2)."""
+def lightest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, many: int) -> np.ndarray:
+    """The edges that are among the ``many`` lightest of one of their ends, and a spanning forest."""
+    order = np.argsort(weight, kind="stable")
+    end, edge = np.concatenate([a[order], b[order]]), np.concatenate([order, order])
+    place = np.tile(np.arange(len(order)), 2)
+    by_end = np.lexsort((place, end))
+    fresh = np.ones(len(end), bool)
+    fresh[1:] = end[by_end][1:] != end[by_end][:-1]
+    start = np.nonzero(fresh)[0]
+    rank = np.arange(len(end)) - np.repeat(start, np.diff(np.append(start, len(end))))
+    return np.unique(np.concatenate([edge[by_end][rank < many], _forest_edges(a, b, weight)]))
+
+
+def _linked(words: int, most: int, closest: bool, many: int):
+    """Kernel over rows sorted by (key, deal, side): L rows (side 1, 3) of a key against its R rows (3, 2).
+
+    With ``closest`` rows end in the part they belong to; ``more`` says that links of different parts stayed here.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -213,7 +237,8 @@ def _linked(most: int, closest: bool):
             if held is not None and held[0][0] == cols[0][0] and held[1][0] == cols[1][0]:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
             key, deal, side = cols[:3]
-            prints = [c.view(np.uint64) for c in cols[3:]]
+            prints = [c.view(np.uint64) for c in cols[3 : 3 + words]]
+            part = cols[-1] if closest else cols[3]
             fresh = np.ones(len(key), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (deal[1:] != deal[:-1])
             group, start = np.cumsum(fresh) - 1, np.nonzero(fresh)[0]
@@ -232,11 +257,18 @@ def _linked(most: int, closest: bool):
                 differ = np.zeros(len(l_), np.uint16)
                 for p in prints:
                     differ += np.bitwise_count(p[l_] ^ p[r_])
-                ok = (differ <= most) & (prints[0][l_] != prints[0][r_])
+                ok = (differ <= most) & (part[l_] != part[r_])
                 if ok.any():
-                    a, b = cols[3][l_[ok]], cols[3][r_[ok]]
-                    a, b = closest_forest(a, b, differ[ok]) if closest else forest(a, b)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    l_, r_, differ = l_[ok], r_[ok], differ[ok]
+                    a, b = cols[3][l_], cols[3][r_]
+                    if closest:
+                        edge = lightest(part[l_], part[r_], differ, many)
+                        more = np.full(len(edge), len(edge) < len(a))
+                        a, b = np.minimum(a, b)[edge], np.maximum(a, b)[edge]
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more)], names=["a", "b", "more"])
+                    else:
+                        a, b = forest(a, b)
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 at = to
             last = np.nonzero((group == group[-1]) & (side != 2))[0]
             held = [c[last].copy() for c in cols]
@@ -256,17 +288,20 @@ def compared(table: int, tables: int) -> list[int]:
     return [0, *((own - 1 + k) % (tables - 1) + 1 for k in range(COMPARED - 1))]
 
 
-def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = False) -> DataFrame:
+def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = False, many: int = 0) -> DataFrame:
     """Distinct (fp_0, ...) rows -> edges (a, b) of fp_0 that connect all found fingerprints ``most`` flips apart.
 
     With ``most`` <= 3 and one table every link is found; flips are counted over ``COMPARED`` tables, all if there are
-    no more. With ``closest`` the edges are those of fewest flips that connect, so that they can be verified afterwards.
+    no more. With ``closest`` rows have a ``part`` too, and edges (a < b, more) are those of fewest flips that connect
+    different parts, so that they can be verified afterwards, with the ``many`` of fewest flips of each part; ``more`` says
+    that a task left out others.
     """
     spark = prints.sparkSession
     one_sided = most <= SURE_ONE_SIDED and tables == 1
     held_tables = [f"fp_{i}" for i in range(tables)]
-    names = held_tables[:COMPARED]
+    names = [*held_tables[:COMPARED], *["part"][: int(closest)]]
     longs = ", ".join(f"{n} long" for n in names)
+    parts_of_rows = [tables] if closest else []
 
     def emit(sides: tuple[tuple[int, bool], ...]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,12 +316,12 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
                                 [
                                     pa.array(key.astype(np.int32)),
                                     pa.array(np.full(len(row), side, np.int8)),
-                                    *(pa.array(cols[k][lo : lo + 2_000][row]) for k in compared(t, tables)),
+                                    *(pa.array(cols[k][lo : lo + 2_000][row]) for k in compared(t, tables) + parts_of_rows),
                                 ],
                                 names=["key", "side", *names],
                             )
 
-        return prints.select(*held_tables).mapInArrow(run, f"key int, side byte, {longs}")
+        return prints.select(*held_tables, *names[COMPARED if tables > COMPARED else tables :]).mapInArrow(run, f"key int, side byte, {longs}")
 
     sides = ((1, False), (2, True)) if one_sided else ((3, True),)
     rows = emit(sides)
@@ -313,7 +348,8 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
     placed = dealt.select("key", "deal", "side", *names).repartition(parts, "key", "deal").sortWithinPartitions(
         "key", "deal", order
     )
-    return placed.mapInArrow(_linked(most, closest), "a long, b long")
+    words = len(names) - len(parts_of_rows)
+    return placed.mapInArrow(_linked(words, most, closest, many), "a long, b long" + ", more boolean" * closest)
 
 
 def resemblance(a: str, b: str, shingle: int) -> float:
@@ -330,7 +366,7 @@ def resemblance(a: str, b: str, shingle: int) -> float:
 def _verified(edges: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, shingle: int, least: float) -> DataFrame:
     """The edges (of nodes' fp_0) whose texts resemble each other; ``nodes`` has the digest of a text of each."""
     digest = nodes.select(F.col("fp_0").alias("f"), "digest")
-    both = edges.distinct().join(digest, F.col("a") == F.col("f")).select("a", "b", F.col("digest").alias("da"))
+    both = edges.join(digest, F.col("a") == F.col("f")).select("a", "b", F.col("digest").alias("da"))
     both = written(
         both.join(digest, F.col("b") == F.col("f")).select("a", "b", "da", F.col("digest").alias("db")), "simhash-candidates"
     )
@@ -349,6 +385,39 @@ def _verified(edges: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, sh
     return pairs.mapInArrow(check, "a long, b long")
 
 
+def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shingle: int, most: int, least: float) -> DataFrame:
+    """Edges of ``links`` that hold, enough of them to connect whatever any pair under a key connects.
+
+    The first round tests a forest. Groups of it that still have several parts, and of which a task left out a pair,
+    are compared again; every round lets out more pairs of each part, so that it ends with all pairs of different parts
+    tested.
+    """
+    names = [f"fp_{i}" for i in range(tables)]
+    nodes = firsts.select("fp_0", "digest")
+    found = written(links(firsts.select(*names, F.col("fp_0").alias("part")), tables, most, True), "simhash-links")
+    tested = written(found.select("a", "b").distinct(), "simhash-tested")
+    true = written(_verified(tested, nodes, docs, text, shingle, least), "simhash-verified")
+    group = written(components(tested).withColumnRenamed("component", "group"), "simhash-groups")
+    many = SECOND_ROUND
+    while True:
+        reach = components(true).select(F.col("node").alias("n"), F.col("component"))
+        label = written(
+            group.join(reach, F.col("node") == F.col("n"), "left").select("node", "group", F.coalesce("component", "node").alias("part")),
+            "simhash-labels",
+        )
+        several = label.groupBy("group").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
+        cut = found.where("more").select(F.col("a").alias("n")).distinct().join(group, F.col("n") == F.col("node"))
+        again = written(several.join(cut.select("group").distinct(), "group").select("group"), "simhash-again")
+        if again.isEmpty():
+            return true
+        active = label.join(again, "group").join(firsts.select(*names), F.col("node") == F.col("fp_0")).select(*names, "part")
+        found = written(links(written(active, "simhash-active"), tables, most, True, many), "simhash-links")
+        fresh = written(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "simhash-fresh")
+        true = written(true.unionAll(_verified(fresh, nodes, docs, text, shingle, least)), "simhash-verified")
+        tested = written(tested.unionAll(fresh), "simhash-tested")
+        many *= SECOND_ROUND
+
+
 def classes(
     docs: DataFrame, key: str, text: str, shingle: int, seeds: tuple[int, ...], most: int, resembling: float | None
 ) -> DataFrame:
@@ -358,9 +427,10 @@ def classes(
     firsts = written(
         printed.groupBy("fp_0").agg(F.min("digest").alias("digest"), *[F.min(n).alias(n) for n in names[1:]]), "simhash-distinct"
     )
-    edges = written(links(firsts.select(*names), len(seeds), most, resembling is not None), "simhash-links")
-    if resembling is not None:
-        edges = written(_verified(edges, firsts.select("fp_0", "digest"), docs, text, shingle, resembling), "simhash-verified")
+    if resembling is None:
+        edges = written(links(firsts.select(*names), len(seeds), most), "simhash-links")
+    else:
+        edges = _resembling(firsts, docs, text, len(seeds), shingle, most, resembling)
     reach = components(edges)
     part = firsts.join(reach, F.col("fp_0") == F.col("node"), "left").select(
         F.col("fp_0").alias("f"), F.coalesce("component", "fp_0").alias("part")

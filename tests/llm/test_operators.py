@@ -390,6 +390,27 @@ def test_pairs_just_above_the_bound_are_found(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
 
 
+def test_families_around_the_bound_keep_every_link(spark):
+    import random
+
+    rng = random.Random(5)
+    docs, shingles = [], []
+    for _ in range(24):
+        template = own_words(rng, 304)
+        for _ in range(14):
+            docs.append((len(docs), " ".join(template + own_words(rng, rng.randint(24, 59)))))
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in docs)]
+    edges = []
+    for a in range(len(docs)):
+        for b in range(a - a % 14, a):
+            common = len(shingles[a] & shingles[b])
+            if common >= 0.8 * (len(shingles[a]) + len(shingles[b]) - common):
+                edges.append((a, b))
+    part = parts_of(range(len(docs)), edges)
+    kept = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(part.values()))
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)] + [(500, k) for k in range(501, 700)]
