@@ -110,6 +110,47 @@ PAGES = [
         "</div><div class='newsletter'><p>{20}</p></div><footer>[8]</footer></body>",
         "0 1 1 1 1 0 0 0 0",
     ),
+    # wrappers whose names tell of what else they hold, forms round a page, names that only set a style
+    (
+        "<body><nav><a>[1]</a></nav><div class='content-sidebar-wrap'><main><h1>[4]</h1><p>{30}</p><p>{22}</p></main>"
+        "<div class='sidebar'><p>{25}</p></div></div><footer>[8]</footer></body>",
+        "0 1 1 1 0 0",
+    ),
+    (
+        "<body><div class='layout has-sidebar'><div><h1>[4]</h1><p>{33}</p><p>{24}</p><p>{18}</p></div><div class='sidebar'><p>{28}</p>"
+        "</div></div></body>",
+        "1 1 1 1 0",
+    ),
+    (
+        "<body><nav><a>[1]</a></nav><div class='post no-comments'><h1>[5]</h1><p>{36}</p><p>{4}</p><p>{21}</p></div>"
+        "<div class='related'><p>{30}</p></div></body>",
+        "0 1 1 1 1 0",
+    ),
+    (
+        "<body><form id='form'><nav><a>[2]</a></nav><div><h1>[5]</h1><p>{42}</p><p>{26}</p><p>{31}</p></div><div class='search'>{3}</div>"
+        "<div>[4]</div></form></body>",
+        "0 1 1 1 1 0 0",
+    ),
+    (
+        "<body><nav><a>[1]</a></nav><p class='text-center'>{3}</p><div><h1>[4]</h1><p>{40}</p><p>{27}</p><p>{25}</p></div>"
+        "<div class='text-muted'>[4]</div></body>",
+        "0 0 1 1 1 1 0",
+    ),
+    (
+        "<body><div><h1>[4]</h1><p>{34}</p><p>{29}</p><p>{38}</p></div><div class='comments'><p>{24}</p><p>{55}</p><p>{19}</p></div>"
+        "<div class='sidebar widget'><p>{48}</p></div></body>",
+        "1 1 1 1 0 0 0 0",
+    ),
+    (
+        "<body><div><h1>[4]</h1><p>{37}</p><p>{28}</p><p>{33}</p></div><div class='text-muted'>[4]</div><div class='sidebar'>"
+        "<p>{24}</p></div></body>",
+        "1 1 1 1 0 0",
+    ),
+    (
+        "<body><nav><a>[1]</a></nav><div><h1>[3]</h1><p>{26}</p><p>{39}</p></div><div class='text-small'>[3]</div><div class='widget'>"
+        "<p>{17}</p></div></body>",
+        "0 1 1 1 0 0",
+    ),
 ]
 
 

@@ -37,19 +37,27 @@ INLINE = frozenset(
 )
 #: Opening one of these ends an open element of the same kind.
 SELF_ENDING = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
-#: Elements, roles and name parts of what is not the article; they count for everything inside them.
+#: Elements and roles of what is not the article; they count for everything inside them.
 OUTSIDE = frozenset(
-    "nav footer aside form head title select button template svg math canvas object audio video dialog menu fieldset label "
+    "nav footer aside head title select button template svg math canvas object audio video dialog menu fieldset label "
     "option datalist legend".split()
 )
-OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
+#: Name parts that hint at it: an article or main inside wins its place back, and nearly all of a page is not outside.
 OUTSIDE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
+    "header ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside rail widget footer foot masthead topbar toolbar cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus "
     "replies reply respond discussion share sharing social related recommended recommendations teaser teasers pager "
     "pagination skip copyright legal tagcloud hidden search form".split()
 )
+#: Those whose own parts may be articles.
+OF_ARTICLES = frozenset("comment comments commentlist disqus replies reply respond teaser teasers related ad sponsored promo".split())
+#: A name with one of these tells of something elsewhere, or not there; with one of the others and a part of INSIDE_NAMES it holds both.
+ELSEWHERE = frozenset("has no not without with hide".split())
+WRAPPERS = frozenset("wrap wrapper layout container grid".split())
+#: Share and number of the page's plain words from which an element with a hint is a wrapper of the page.
+WRAPPER_SHARE, WRAPPER_WORDS = 0.9, 40
 INSIDE = frozenset(("article", "main"))
 INSIDE_ROLES = frozenset(("main", "article"))
 INSIDE_NAMES = frozenset("article articlebody content main post entry story body text".split())
@@ -64,56 +72,81 @@ class Block:
     #: -1 in something that is not the article, 1 in the article, 0 unknown
     place: int
     heading: bool
-
-
-def _place(name: str, rest: str, around: int, in_header: bool) -> tuple[int, bool]:
-    """(place, in a page header) of an element inside another."""
-    if around < 0 or name in OUTSIDE:
-        return -1, in_header
-    inside = name in INSIDE
-    if name == "header" and around == 0:
-        in_header = True
+    #: elements around with a hint at something else, by number, and whether one hints at the article
+    hints: tuple[int, ...] = ()
+    named: bool = False
+
+
+@dataclass(frozen=True)
+class _Around:
+    place: int = 0
+    hints: tuple[int, ...] = ()
+    of_articles: bool = False
+    named: bool = False
+
+
+def _hints(value: str) -> set[str]:
+    """Parts of class names or an id that hint at something that is not the article."""
+    found: set[str] = set()
+    for name in value.split():
+        parts = set(_NAME_PART.findall(name))
+        if not (parts & ELSEWHERE or parts & WRAPPERS and parts & INSIDE_NAMES):
+            found |= parts & OUTSIDE_NAMES
+    return found
+
+
+def _place(name: str, rest: str, around: _Around, number: int) -> _Around:
+    """What an element inside another says of its text."""
+    if around.place < 0 or name in OUTSIDE:
+        return _Around(-1)
+    inside, names, hints = name in INSIDE, set(), set()
     if rest.strip():
-        names: set[str] = set()
         for m in _ATTRIBUTE.finditer(rest):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key in ("class", "id"):
                 names.update(_NAME_PART.findall(value))
+                hints |= _hints(value)
             elif key == "role":
                 if value in OUTSIDE_ROLES:
-                    return -1, in_header
+                    return _Around(-1)
                 inside |= value in INSIDE_ROLES
+                hints |= {value} & {"form"}
             elif key == "itemprop":
                 inside |= value == "articlebody"
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-                return -1, in_header
+                return _Around(-1)
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return -1, in_header
-        if names & OUTSIDE_NAMES and name not in ("html", "body", "main"):
-            if not (name == "article" and not names & {"comment", "teaser", "related", "ad", "sponsored", "promo"}):
-                return -1, in_header
-        if "header" in names and around == 0 and name not in ("html", "body"):
-            in_header = not names & {"article", "post", "entry", "story"}  # an article's own header belongs to it
-        inside |= bool(names & INSIDE_NAMES) and name not in ("html", "body") and not in_header
-    if inside:
-        return 1, False
-    return (-1 if in_header else around), in_header
+                return _Around(-1)
+    own = names & {"article", "post", "entry", "story"}
+    if name == "header" and around.place == 0 and not around.named and not own:
+        return _Around(-1)
+    if "header" in hints and (own or around.place == 1 or around.named):
+        hints.discard("header")  # an article's own header belongs to it
+    if name == "form":
+        hints.add("form")
+    if name in ("html", "body", "main") or name == "article" and not hints & OF_ARTICLES:
+        hints.clear()
+    of_articles = around.of_articles or bool(hints & OF_ARTICLES)
+    named = around.named or bool(names & INSIDE_NAMES) and name not in ("html", "body")
+    if inside and not of_articles:
+        return _Around(1, (number,) if hints else (), False, named)
+    return _Around(around.place, (*around.hints, number) if hints else around.hints, of_articles, named)
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order. Never fails: what is not markup is text, what stays open ends with the page."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # element, place, in header
+    stack: list[tuple[str, _Around]] = []
     pieces: list[tuple[str, bool]] = []
-    links = heading = 0
-    place, in_header = 0, False
+    links = heading = number = 0
+    around = _Around()
 
     def close_block() -> None:
         if pieces:
             text = " ".join(html.unescape("".join(p for p, _ in pieces)).split())
             if text:
                 linked = sum(len(html.unescape(p).split()) for p, is_link in pieces if is_link)
-                out.append(Block(text, len(text.split()), linked, place, heading > 0))
+                out.append(Block(text, len(text.split()), linked, around.place, heading > 0, around.hints, around.named))
             pieces.clear()
 
     at = 0
@@ -157,11 +190,11 @@ def blocks(page: str) -> list[Block]:
                 continue
             if name in VOID or m["rest"].rstrip().endswith("/") and name not in INLINE | INSIDE and name != "div":
                 continue
-            around, header = (stack[-1][1], stack[-1][2]) if stack else (0, False)
-            if name == "a" or name in INLINE:
-                stack.append((name, around, header))
-            else:
-                stack.append((name, *_place(name, m["rest"], around, header)))
+            inner = stack[-1][1] if stack else _Around()
+            if name not in INLINE:
+                number += 1
+                inner = _place(name, m["rest"], inner, number)
+            stack.append((name, inner))
             links += name == "a"
             heading += name in HEADINGS
         else:
@@ -175,31 +208,51 @@ def blocks(page: str) -> list[Block]:
                     break
                 if name in INLINE and stack[k][0] not in INLINE:
                     break
-        place, in_header = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        around = stack[-1][1] if stack else _Around()
     close_block()
     return out
 
 
 #: What the tree sees of a block.
 FEATURES = (
-    "words", "link_density", "place", "heading", "words_before", "link_density_before", "words_after",
+    "words", "link_density", "place", "name", "heading", "words_before", "link_density_before", "words_after",
     "link_density_after", "sentence_end", "words_of_longest_near",
 )
 
 
+def _places(found: list[Block], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place (-1 outside, 0 beside a marked article, 0.5 on a page that marks none, 1 in it) and name (-1, 0, 1) of blocks.
+
+    Plain words decide what names are worth: an element that holds nearly all of them is a wrapper whatever it is
+    called, and names mark an article only where more than half of them stand.
+    """
+    place = np.array([b.place for b in found], float)
+    plain = plain * (place >= 0)
+    held: dict[int, float] = {}
+    for b, w in zip(found, plain.tolist(), strict=True):
+        for h in b.hints:
+            held[h] = held.get(h, 0.0) + w
+    bound = max(WRAPPER_WORDS, WRAPPER_SHARE * plain.sum())
+    other = np.array([any(held[h] < bound for h in b.hints) for b in found], bool)
+    named = np.array([b.named for b in found], bool) & ~other & (place >= 0)
+    name = np.where(other, -1.0, named)
+    if 2 * (plain * named).sum() > (plain * ~other).sum():
+        place[named] = 1
+    if not ((place == 1) & ~other).any():
+        place[place == 0] = 0.5
+    return place, name
+
+
 def features(found: list[Block]) -> np.ndarray:
     n = len(found)
     words = np.array([b.words for b in found], float)
     density = np.array([min(1.0, b.linked / b.words) for b in found])
-    # outside, beside a marked article, on a page that marks none, in the article
-    place = np.array([b.place for b in found], float)
-    if not (place == 1).any():
-        place[place == 0] = 0.5
-    plain = np.pad(words * (density < 0.5) * (place >= 0), 3)
+    place, name = _places(found, words * (density < 0.5))
+    plain = np.pad(words * (density < 0.5) * (place >= 0) * (name >= 0), 3)
     near = np.max([plain[k : k + n] for k in range(7)], axis=0) if n else words
     return np.column_stack(
         [
-            words, density, place, [b.heading for b in found],
+            words, density, place, name, [b.heading for b in found],
             np.append(0.0, words[:-1]), np.append(0.0, density[:-1]), np.append(words[1:], 0.0), np.append(density[1:], 0.0),
             [b.text[-1] in ".!?:;\"'”»…)" for b in found], near,
         ]

@@ -308,3 +308,29 @@ def test_tree_agrees_with_most_of_its_table():
         right += sum(int(k) == n for k, n in zip(kept, labels, strict=True))
         all_ += len(labels)
     assert right / all_ > 0.95
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='content-sidebar-wrap'><main>{article}</main><div class='sidebar'>{beside}</div></div>",
+        "<div class='ads-enabled sidebar-right'><article>{article}</article><div class='sidebar'>{beside}</div></div>",
+        "<div class='layout has-sidebar'><div>{article}</div><div class='sidebar'>{beside}</div></div>",
+        "<div class='post no-comments'>{article}</div><div class='related'>{beside}</div>",
+        "<form id='aspnetForm'><div>{article}</div><div class='comments'>{beside}</div></form>",
+        "<form id='aspnetForm'><nav><a>x</a></nav><div class='content'>{article}</div><div class='sidebar'>{beside}</div></form>",
+        "<p class='text-center'>Three words.</p><div>{article}</div><div class='sidebar'>{beside}</div>",
+        "<div>{article}</div><div class='text-muted'>Some three words</div><div class='sidebar'>{beside}</div>",
+        "<article>{article}</article><section id='comments'><article>{beside}</article></section>",
+        "<article>{article}<div class='share'>{beside}</div></article>",
+    ],
+)
+def test_names_do_not_decide_alone(page):
+    def sentence(n):
+        return " ".join(["word"] * (n - 1)) + " end."
+
+    parts = ["A title of words", sentence(44), sentence(31), sentence(23)]
+    article = f"<h1>{parts[0]}</h1>" + "".join(f"<p>{p}</p>" for p in parts[1:])
+    body = f"<body><nav><a>x</a> <a>y</a></nav>{page.format(article=article, beside='<p>' + sentence(20) + '</p>')}<footer>{sentence(12)}</footer></body>"
+    found = html_text.main_text(body, html_text.trained()).split("\n")
+    assert [x for x in found if len(x.split()) > 3] == parts  # a line of three words beside it may stay or go
