@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -144,3 +145,19 @@ def test_hashed_features_hold_both_ids(spark):
     for r in out:
         width = int(max(x.user_id_idx for x in out)) + 1
         assert r.features.indices.tolist() == [int(r.user_id_idx), width + int(r.item_id_idx)]
+
+
+def test_indexed_features_part_all_ids(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    rows = spark.range(1500).select(F.concat(F.lit("u"), "id").alias("user_id"), (F.col("id") % 700).alias("item_id"))
+    out = fa.indexed_features(rows.unionAll(spark.createDataFrame([(None, 1)], "user_id string, item_id long")), ["user_id", "item_id"])
+    assert out.count() == 1501
+    assert out.select("user_id_idx").distinct().count() == 1501 and out.select("item_id_idx").distinct().count() == 700
+    r = out.filter("user_id = 'u7'").first()
+    assert r.features.size == 1501 + 701 and r.features.indices.tolist() == [int(r.user_id_idx), 1501 + int(r.item_id_idx)]
+    monkeypatch.setattr(fa, "FACTOR_ROWS", 3)
+    x = np.arange(14.0).reshape(7, 2)
+    model = SimpleNamespace(factors=SimpleNamespace(toArray=lambda: x), linear=SimpleNamespace(toArray=lambda: x[:, 0] * 2))
+    found = fa.factor_table(model, spark).orderBy("feature").collect()
+    assert [(t.feature, t.w, t.f) for t in found] == [(i, 4.0 * i, [2.0 * i, 2.0 * i + 1]) for i in range(7)]
