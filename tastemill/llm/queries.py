@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embedding_dedup, html_text, mixing, quality_rules, sharding, simhash, suffix_dedup, token_files, url_filter
+from . import (
+    byte_bpe,
+    embedding_dedup,
+    filter_audit,
+    html_text,
+    mixing,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_files,
+    url_filter,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_best_fit_shards": sharding.query,
     "op9_simhash_golay": simhash.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op13_filter_audit": filter_audit.query,
 }
 
 ORACLE_SQL = {
@@ -22,4 +35,5 @@ ORACLE_SQL = {
     "op5_url_filter": url_filter.ORACLE,
     "op7_embedding_dedup": embedding_dedup.ORACLE,
     "op10_suffix_dedup": suffix_dedup.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
