@@ -14,6 +14,7 @@ from . import (
     suffix_dedup,
     token_files,
     url_filter,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_best_fit_shards": sharding.query,
     "op9_simhash_golay": simhash.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_embedding_whitening": whitening.query,
     "op13_filter_audit": filter_audit.query,
 }
 
