@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (
+    best_fit_packing,
     byte_bpe,
     embedding_dedup,
     filter_audit,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_simhash_golay": simhash.query,
     "op10_suffix_dedup": suffix_dedup.query,
     "op11_embedding_whitening": whitening.query,
+    "op12_best_fit_packing": best_fit_packing.query,
     "op13_filter_audit": filter_audit.query,
 }
 
