@@ -2,7 +2,8 @@
 
 A long text is cut into chunks of ``CHUNK`` characters that overlap by ``OVERLAP``, each a row of its own. Where two
 neighbouring chunks put a pre-token boundary at the same place, both go on alike from there (the pattern never looks
-back), so the text can be cut there without changing a pre-token. Chunks that share no boundary within the overlap
+back), so the text can be cut there without changing a pre-token, unless the piece before it would end in white space:
+what a run of white space is split into depends on what follows. Chunks that share no boundary within the overlap
 (one endless run of letters, say) stay joined in one piece. Pieces are encoded by themselves; decoding concatenates
 the bytes of the ids. Shorter texts are one chunk and never leave their task.
 """
@@ -26,6 +27,8 @@ CHUNK = 32_768
 OVERLAP = 1_024
 #: A boundary is certain if this many characters after it are seen: the pattern looks at most three ahead of a match.
 MARGIN = 4
+#: Information separators, white space to some libraries only.
+SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
 
 
 class Codec:
@@ -50,9 +53,13 @@ class Codec:
         return b"".join(map(self.piece.__getitem__, ids))
 
     def boundaries(self, text: str, whole: bool) -> list[int]:
-        """Ends of pre-tokens; unless ``whole``, only those that no later text can move."""
+        """Ends of pre-tokens after which the text can be cut; unless ``whole``, only those that no later text can move.
+
+        White space does not end a piece, and neither do separators that libraries do not all count as white space.
+        """
         last = len(text) if whole else len(text) - MARGIN
-        return [e for m in self.pattern.finditer(text) if (e := m.end()) <= last]
+        ends = (m.end() for m in self.pattern.finditer(text))
+        return [e for e in ends if e <= last and not text[e - 1].isspace() and not SEPARATORS.intersection(text[e : e + 2])]
 
 
 @lru_cache(maxsize=2)

@@ -250,11 +250,27 @@ def judged(
 
     Rules are learned from all documents that ``labels`` (doc_id, quality) names and the base rules pass; a document
     with several labels is bad if one says so, null labels say nothing. Without labels of both kinds only the base
-    rules decide. Statistics are written once, with the rows. An empty table gives an empty result.
+    rules decide. Statistics are written once, with the rows. An empty table gives an empty result. Own columns of the
+    four names are left out, as the verdict has them; ``passing`` keeps every column.
     """
-    kept = docs.columns if keep is None else keep
-    measured = written(statistics(docs, text).select(*[F.col(f"`{c}`") for c in kept], "stats"), "quality-stats")
-    return _verdicts(measured, rules_from(measured, labels, key))
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("stats", "base_failed", "rule", "kept")]
+    rows = _measured(docs, labels, key, text, kept)
+    return rows.select(*[F.col("row_")[f"c{i}"].alias(c) for i, c in enumerate(kept)], "stats", "base_failed", "rule", "kept")
+
+
+def passing(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that are kept, with all their columns, whatever their names."""
+    names = docs.columns
+    rows = _measured(docs, labels, key, text, names).where("kept")
+    return rows.select(*[F.col("row_")[f"c{i}"].alias(c) for i, c in enumerate(names)])
+
+
+def _measured(docs: DataFrame, labels: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
+    """row_ (struct of the columns to keep), stats, base_failed, rule, kept."""
+    row = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
+    plain = docs.select(row.alias("row_"), F.col(f"`{key}`").alias("key_"), F.col(f"`{text}`").alias("text_"))
+    measured = written(statistics(plain, "text_").select("row_", "key_", "stats"), "quality-stats")
+    return _verdicts(measured, rules_from(measured, labels, "key_")).drop("key_")
 
 
 def rules_from(measured: DataFrame, labels: DataFrame, key: str = "doc_id") -> list[Rule]:

@@ -31,8 +31,8 @@ SURE_ONE_SIDED = 3
 SIDE_ROWS = 2_048
 #: Pairs compared at once.
 PAIR_BLOCK = 1 << 21
-#: Fingerprints that travel with a key, so that its pairs can be compared.
-COMPARED = 3
+#: Fingerprints that travel with a key, so that its pairs can be compared; fewer where texts are compared afterwards.
+COMPARED, COMPARED_FIRST = 3, 2
 #: Pairs of each part that the second round lets out of a task and a key, and by how many times every round lets out more.
 SECOND_ROUND = 8
 
@@ -90,28 +90,35 @@ class Golay:
         return np.concatenate([own, np.where(flips < 0, -1, near)], axis=1)
 
 
-#: First bit and bits of the three segments of 64.
-SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: First bit and bits of the segments of 64, and the pairs of them that are keys. Three find every link of few flips;
+#: quarters with a partner each find more of the links of many flips for as many keys.
+Scheme = tuple[tuple[tuple[int, int], ...], tuple[tuple[int, int], ...]]
+THIRDS: Scheme = ((0, 22), (22, 21), (43, 21)), tuple(combinations(range(3), 2))
+QUARTERS: Scheme = ((0, 16), (16, 16), (32, 16), (48, 16)), ((0, 1), (2, 3))
 
 
-def pair_keys(prints: np.ndarray, table: int, all_near: bool, code: Golay) -> tuple[np.ndarray, np.ndarray]:
+def pair_keys(prints: np.ndarray, table: int, all_near: bool, code: Golay, scheme: Scheme = THIRDS) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of all keys of 64-bit fingerprints: table, pair of segments, codeword index of either."""
+    segments, pairs = scheme
     ids = [
         code.keys(((prints >> np.uint64(start)) & np.uint64((1 << bits) - 1)).astype(np.uint32), all_near)
-        for start, bits in SEGMENTS
+        for start, bits in segments
     ]
     rows, keys = [], []
-    for k, (a, b) in enumerate(combinations(range(len(SEGMENTS)), 2)):
+    for k, (a, b) in enumerate(pairs):
         both = (ids[a][:, :, None] << MESSAGE_BITS) | ids[b][:, None, :]
         there = (ids[a][:, :, None] >= 0) & (ids[b][:, None, :] >= 0)
         row = np.broadcast_to(np.arange(len(prints))[:, None, None], there.shape)
         rows.append(row[there])
-        keys.append(both[there] | ((3 * table + k) << (2 * MESSAGE_BITS)))
+        keys.append(both[there] | ((len(pairs) * table + k) << (2 * MESSAGE_BITS)))
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...]) -> list[int]:
-    """64-bit fingerprints of a text: a bit is set if more than half of the shingles' hashes have it."""
+def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...], once: bool = False) -> list[int]:
+    """64-bit fingerprints of a text: a bit is set if more than half of the shingles' hashes have it.
+
+    With ``once`` repeated shingles count once, so that no shingle decides alone.
+    """
     import xxhash
 
     found = text.lower().split()  # A-Z and ASCII white space only
@@ -123,6 +130,9 @@ def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...]) -> list[int]:
     n = max(1, len(found) - shingle + 1)
     end = (begin + sizes)[min(shingle, len(found)) - 1 :]
     pieces = [line[b:e] for b, e in zip(begin[:n].tolist(), end.tolist(), strict=True)]
+    if once:
+        pieces = list(dict.fromkeys(pieces))
+        n = len(pieces)
     out = []
     for seed in seeds:
         counts = np.zeros(64, np.int64)
@@ -139,7 +149,8 @@ def _signed(x: int) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (SEED,)
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (SEED,),
+    once: bool = False,
 ) -> DataFrame:
     """doc_id, digest (of the text, null for null), fp_0, fp_1, ... as signed longs, a row per row.
 
@@ -150,7 +161,7 @@ def fingerprints(
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py() or b"", shingle, seeds) for t in batch.column(1)]
+            found = [fingerprint(t.as_py() or b"", shingle, seeds, once) for t in batch.column(1)]
             columns = [pa.array([_signed(f[i]) for f in found], pa.int64()) for i in range(len(seeds))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["doc_id", "digest", *names])
 
@@ -237,7 +248,7 @@ def _linked(words: int, most: int, closest: bool, many: int):
             if held is not None and held[0][0] == cols[0][0] and held[1][0] == cols[1][0]:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
             key, deal, side = cols[:3]
-            prints = [c.view(np.uint64) for c in cols[3 : 3 + words]]
+            prints = [c.view(np.uint64) for c in cols[3 + closest : 3 + closest + words]]
             part = cols[-1] if closest else cols[3]
             fresh = np.ones(len(key), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (deal[1:] != deal[:-1])
@@ -280,8 +291,10 @@ def _linked(words: int, most: int, closest: bool, many: int):
     return run
 
 
-def compared(table: int, tables: int) -> list[int]:
-    """Tables whose fingerprints are compared under the keys of one: the first, which names the row, its own and the next."""
+def compared(table: int, tables: int, closest: bool) -> list[int]:
+    """Tables whose fingerprints are compared under the keys of one: its own and the next, before them the first if it names the row."""
+    if closest:
+        return list(dict.fromkeys((table + k) % tables for k in range(COMPARED_FIRST)))
     if tables <= COMPARED:
         return list(range(tables))
     own = max(table, 1)
@@ -292,18 +305,19 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
     """Distinct (fp_0, ...) rows -> edges (a, b) of fp_0 that connect all found fingerprints ``most`` flips apart.
 
     With ``most`` <= 3 and one table every link is found; flips are counted over ``COMPARED`` tables, all if there are
-    no more. With ``closest`` rows have a ``part`` too, and edges (a < b, more) are those of fewest flips that connect
-    different parts, so that they can be verified afterwards, with the ``many`` of fewest flips of each part; ``more`` says
-    that a task left out others.
+    no more. With ``closest`` rows have a ``node``, which names them, and a ``part``; edges (a < b, more) of nodes are
+    those of fewest flips (over ``COMPARED_FIRST`` tables) that connect different parts, so that they can be verified
+    afterwards, with the ``many`` of fewest flips of each part; ``more`` says that a task left out others.
     """
     spark = prints.sparkSession
     one_sided = most <= SURE_ONE_SIDED and tables == 1
+    scheme = QUARTERS if closest else THIRDS
     held_tables = [f"fp_{i}" for i in range(tables)]
-    names = [*held_tables[:COMPARED], *["part"][: int(closest)]]
+    words = len(compared(0, tables, closest))
+    names = ["node", *(f"print_{i}" for i in range(words)), "part"] if closest else held_tables[:words]
     longs = ", ".join(f"{n} long" for n in names)
-    parts_of_rows = [tables] if closest else []
 
-    def emit(sides: tuple[tuple[int, bool], ...]):
+    def emit(sides: tuple[tuple[int, bool], ...], key_only: bool = False):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             code = Golay()
             for batch in batches:
@@ -311,32 +325,32 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
                 for side, all_near in sides:
                     for t in range(tables):
                         for lo in range(0, len(cols[0]), 2_000):
-                            row, key = pair_keys(cols[t][lo : lo + 2_000].view(np.uint64), t, all_near, code)
+                            row, key = pair_keys(cols[t][lo : lo + 2_000].view(np.uint64), t, all_near, code, scheme)
+                            sent = compared(t, tables, closest)
+                            sent = [] if key_only else [tables, *sent, tables + 1] if closest else sent
                             yield pa.RecordBatch.from_arrays(
                                 [
                                     pa.array(key.astype(np.int32)),
                                     pa.array(np.full(len(row), side, np.int8)),
-                                    *(pa.array(cols[k][lo : lo + 2_000][row]) for k in compared(t, tables) + parts_of_rows),
+                                    *(pa.array(cols[k][lo : lo + 2_000][row]) for k in sent),
                                 ],
-                                names=["key", "side", *names],
+                                names=["key", "side", *([] if key_only else names)],
                             )
 
-        return prints.select(*held_tables, *names[COMPARED if tables > COMPARED else tables :]).mapInArrow(run, f"key int, side byte, {longs}")
+        rows = prints.select(*held_tables, *["node", "part"] * closest)
+        return rows.mapInArrow(run, "key int, side byte" + ("" if key_only else f", {longs}"))
 
-    sides = ((1, False), (2, True)) if one_sided else ((3, True),)
-    rows = emit(sides)
-    held = emit(((1, False),)) if one_sided else rows
+    rows = emit(((1, False), (2, True)) if one_sided else ((3, True),))
     hot = written(
-        held.groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n")).where(F.col("n") > SIDE_ROWS).select(
-            "hot_key", F.ceil(F.col("n") / SIDE_ROWS).cast("int").alias("deals")
-        ),
+        emit(((1, not one_sided),), True).groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n"))
+        .where(F.col("n") > SIDE_ROWS).select("hot_key", F.ceil(F.col("n") / SIDE_ROWS).cast("int").alias("deals")),
         "simhash-hot",
     )
     if hot.isEmpty():
         dealt = rows.withColumn("deal", F.lit(0))
     else:
         met = rows.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("deals", F.coalesce("deals", F.lit(1)))
-        own = F.pmod(F.xxhash64("fp_0"), F.col("deals")).cast("int")
+        own = F.pmod(F.xxhash64(names[0]), F.col("deals")).cast("int")
         everywhere = F.sequence(F.lit(0), F.col("deals") - 1)
         dealt = met.withColumn("own", own).withColumn(
             "deal", F.explode(F.when(F.col("side") == 1, F.array("own")).otherwise(everywhere))
@@ -348,7 +362,6 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
     placed = dealt.select("key", "deal", "side", *names).repartition(parts, "key", "deal").sortWithinPartitions(
         "key", "deal", order
     )
-    words = len(names) - len(parts_of_rows)
     return placed.mapInArrow(_linked(words, most, closest, many), "a long, b long" + ", more boolean" * closest)
 
 
@@ -364,14 +377,15 @@ def resemblance(a: str, b: str, shingle: int) -> float:
 
 
 def _verified(edges: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, shingle: int, least: float) -> DataFrame:
-    """The edges (of nodes' fp_0) whose texts resemble each other; ``nodes`` has the digest of a text of each."""
-    digest = nodes.select(F.col("fp_0").alias("f"), "digest")
+    """The edges (of nodes, which have the digest of a text each) whose texts resemble each other."""
+    digest = nodes.select(F.col("node").alias("f"), "digest")
     both = edges.join(digest, F.col("a") == F.col("f")).select("a", "b", F.col("digest").alias("da"))
     both = written(
         both.join(digest, F.col("b") == F.col("f")).select("a", "b", "da", F.col("digest").alias("db")), "simhash-candidates"
     )
     wanted = written(both.select(F.explode(F.array("da", "db")).alias("k")).distinct(), "simhash-wanted")
-    body = docs.select(F.unhex(F.md5(F.col(text))).alias("d"), F.col(text).alias("body")).where("d is not null")
+    plain = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    body = docs.select(F.unhex(F.md5(plain)).alias("d"), plain.alias("body"))
     texts = maybe_listed(body, F.col("d"), wanted, "k").join(wanted, F.col("d") == F.col("k"), "left_semi")
     texts = written(texts.dropDuplicates(["d"]), "simhash-texts")
     left = both.join(texts, F.col("da") == F.col("d")).select("a", "b", "db", F.col("body").alias("left"))
@@ -393,8 +407,8 @@ def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shin
     tested.
     """
     names = [f"fp_{i}" for i in range(tables)]
-    nodes = firsts.select("fp_0", "digest")
-    found = written(links(firsts.select(*names, F.col("fp_0").alias("part")), tables, most, True), "simhash-links")
+    nodes = firsts.select("node", "digest")
+    found = written(links(firsts.select(*names, "node", F.col("node").alias("part")), tables, most, True), "simhash-links")
     tested = written(found.select("a", "b").distinct(), "simhash-tested")
     true = written(_verified(tested, nodes, docs, text, shingle, least), "simhash-verified")
     group = written(components(tested).withColumnRenamed("component", "group"), "simhash-groups")
@@ -402,7 +416,9 @@ def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shin
     while True:
         reach = components(true).select(F.col("node").alias("n"), F.col("component"))
         label = written(
-            group.join(reach, F.col("node") == F.col("n"), "left").select("node", "group", F.coalesce("component", "node").alias("part")),
+            group.join(reach, F.col("node") == F.col("n"), "left").select(
+                F.col("node").alias("l"), "group", F.coalesce("component", "node").alias("part")
+            ),
             "simhash-labels",
         )
         several = label.groupBy("group").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
@@ -410,7 +426,7 @@ def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shin
         again = written(several.join(cut.select("group").distinct(), "group").select("group"), "simhash-again")
         if again.isEmpty():
             return true
-        active = label.join(again, "group").join(firsts.select(*names), F.col("node") == F.col("fp_0")).select(*names, "part")
+        active = label.join(again, "group").join(firsts.select(*names, "node"), F.col("l") == F.col("node")).select(*names, "node", "part")
         found = written(links(written(active, "simhash-active"), tables, most, True, many), "simhash-links")
         fresh = written(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "simhash-fresh")
         true = written(true.unionAll(_verified(fresh, nodes, docs, text, shingle, least)), "simhash-verified")
@@ -421,21 +437,27 @@ def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shin
 def classes(
     docs: DataFrame, key: str, text: str, shingle: int, seeds: tuple[int, ...], most: int, resembling: float | None
 ) -> DataFrame:
-    """doc_id, digest (of the text, null for null), fp_0, ..., part: rows of one part are near-duplicates."""
+    """doc_id, digest (of the text, null for null), fp_0, ..., part: rows of one part are near-duplicates.
+
+    With ``resembling`` a node is a text and two texts are of one part only through links whose shingles were compared;
+    a null text is the empty one there. Without, a node is a fingerprint.
+    """
     names = [f"fp_{i}" for i in range(len(seeds))]
-    printed = written(fingerprints(docs, key, text, shingle, seeds), "simhash-prints")
-    firsts = written(
-        printed.groupBy("fp_0").agg(F.min("digest").alias("digest"), *[F.min(n).alias(n) for n in names[1:]]), "simhash-distinct"
-    )
+    printed = written(fingerprints(docs, key, text, shingle, seeds, once=resembling is not None), "simhash-prints")
     if resembling is None:
+        firsts = written(printed.groupBy("fp_0").agg(F.count("*").alias("rows"), *[F.min(n).alias(n) for n in names[1:]]), "simhash-distinct")
         edges = written(links(firsts.select(*names), len(seeds), most), "simhash-links")
+        own, of = F.col("fp_0"), F.col("fp_0")
     else:
+        own = F.coalesce("digest", F.unhex(F.md5(F.lit(""))))
+        texts = printed.groupBy(own.alias("digest")).agg(*[F.min(n).alias(n) for n in names])
+        firsts = written(texts.withColumn("node", F.monotonically_increasing_id()), "simhash-distinct")
         edges = _resembling(firsts, docs, text, len(seeds), shingle, most, resembling)
-    reach = components(edges)
-    part = firsts.join(reach, F.col("fp_0") == F.col("node"), "left").select(
-        F.col("fp_0").alias("f"), F.coalesce("component", "fp_0").alias("part")
-    )
-    return printed.join(written(part, "simhash-parts"), F.col("fp_0") == F.col("f")).drop("f")
+        of = F.col("digest")
+    reach = components(edges).select(F.col("node").alias("n"), "component")
+    name = F.col("fp_0" if resembling is None else "node")
+    part = firsts.join(reach, name == F.col("n"), "left").select(of.alias("f"), F.coalesce(F.col("component"), name).alias("part"))
+    return printed.join(written(part, "simhash-parts"), own == F.col("f")).drop("f")
 
 
 def near_duplicates(
@@ -456,14 +478,15 @@ def near_duplicates(
 
 def one_of_each(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
-    seeds: tuple[int, ...] = tuple(range(SEED, SEED + 6)), most: int = 50, resembling: float = 0.8,
+    seeds: tuple[int, ...] = tuple(range(SEED, SEED + 5)), most: int = 37, resembling: float = 0.8,
 ) -> DataFrame:
     """The rows without near-duplicates: of each group the one with the least id (then digest of the text) stays.
 
-    Six fingerprints of 64 bits by default: documents that share a key and differ in ``most`` bits of the three that
-    are compared under it are compared by their shingles. Texts of equal size that have 0.8 of their shingles in common
-    differ in 29 of 192 bits, standard deviation 5, and share no key of one fingerprint in 27 % of cases, of six in
-    0.04 %. Other columns stay as they are; rows equal in id and text are one row.
+    Five fingerprints of 64 bits by default, each of two keys: texts that share a key and differ in at most ``most`` bits
+    of the two fingerprints that are compared under it are compared by their shingles, those of equal fingerprints too.
+    Texts of equal size that have 0.8 of their shingles in common differ in 19 of 128 bits, standard deviation 4, and
+    share no key of one fingerprint in 13 to 15 % of cases, of five in 0.01 %. Null texts are empty, and one of the empty and blank
+    texts stays. Other columns stay as they are, whatever their names; rows equal in id and text are one row.
     """
     member = classes(docs, key, text, shingle, seeds, most, resembling).select("doc_id", "digest", "part")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.coalesce("digest", F.lit(b"")).alias("digest"))

@@ -424,7 +424,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with repeated passages cut from ``text``; halves of characters that a cut leaves go too.
 
-    Other columns stay as they are, texts without a repeat and null texts too.
+    Other columns stay as they are, whatever their names, and so do texts without a repeat and null texts.
     """
     names = docs.columns
     cut = cut_texts(docs, text).select(
@@ -432,7 +432,8 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     cut = written(cut.select("c_doc", F.coalesce("plain", F.make_valid_utf8("kept_")).alias("kept_text")), "cut-documents")
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row_")
-    keyed = bodies_of(docs, text).select(row, "doc")
+    body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    keyed = docs.select(row, F.unhex(F.md5(body)).alias("doc"))
     joined = keyed.join(cut, F.col("doc") == F.col("c_doc"), "left")
     place = names.index(text)
     return joined.select(

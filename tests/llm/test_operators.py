@@ -86,9 +86,9 @@ def test_learned_rules_find_planted_junk(spark):
             labels.append((i, 0 if bad else 1, 0))
     docs = spark.createDataFrame(rows, "doc_id long, text string, stats int")
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r.kept for r in quality_rules.judged(docs.drop("stats"), known).collect()}
+    got = {r.doc_id: r.kept for r in quality_rules.judged(docs, known).collect()}
     assert got == {i: i % 4 != 0 for i in range(240)}
-    none = quality_rules.judged(docs.drop("stats"), known.where("quality = 1"))
+    none = quality_rules.judged(docs, known.where("quality = 1"))
     assert none.where("not kept").isEmpty() and none.where("rule is not null").isEmpty()
 
 
@@ -372,6 +372,26 @@ def test_near_copies_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(frame).collect()) == list(range(60))
 
 
+def test_texts_of_equal_fingerprints_are_compared(spark, monkeypatch):
+    """Unlike texts that share a ruler stay, also where their fingerprints are all the same."""
+    import random
+
+    rng = random.Random(1)
+    docs = [(i, " ".join(["x"] * 45 + own_words(rng, 120))) for i in range(20)]
+    docs += [(100, docs[3][1] + " end"), (101, None), (102, ""), (103, " \n")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.one_of_each(frame).collect())
+    assert kept == [*range(20), 101]
+
+
+    def alike(docs, key, text, shingle, seeds, once):
+        digest = F.unhex(F.md5(F.col(text))).alias("digest")
+        return docs.select(F.col(key).alias("doc_id"), digest, *[F.lit(7).cast("long").alias(f"fp_{i}") for i in range(len(seeds))])
+
+    monkeypatch.setattr(simhash, "fingerprints", alike)
+    assert sorted(r.doc_id for r in simhash.one_of_each(frame).collect()) == kept
+
+
 def own_words(rng, n):
     return ["".join(rng.choices("abcdefghij", k=9)) for _ in range(n)]
 
@@ -492,15 +512,43 @@ def test_repeats_query_and_documents(spark, edge_docs, no_docs):
 def test_pipeline_stages_take_edge_cases(spark, sf, edge_docs, no_docs):
     import corpus_pipeline
 
+    own = "stats base_failed rule kept row_ key_ text_ w_ body doc digest node part fp_0 group d k n size pattern source_ id".split()
     for name, stage in corpus_pipeline.STAGES:
-        for docs in (edge_docs.drop("size", "pattern"), no_docs.drop("size", "pattern")):
+        for docs in (edge_docs, no_docs):
+            docs = docs.drop("size", "pattern").select("*", *[F.lit(f"own {c}").alias(c) for c in own])
             out = stage(spark, docs, sf)
-            rows = out.count()
+            rows = out.collect()
             if name != "token ids":
                 assert out.columns == docs.columns
-            assert rows == 0 if docs.isEmpty() else rows > 0
+                assert all(r[c] == f"own {c}" for r in rows for c in own)
+            assert len(rows) == 0 if docs.isEmpty() else len(rows) > 0
 
 
 def test_registered_queries():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in queries.QUERIES) == 1
+
+
+def test_long_texts_are_cut_beside_white_space(spark):
+    """Every kind of white space on every side of a cut, at small sizes and at the default ones."""
+    import random
+
+    import tiktoken
+
+    rng = random.Random(8)
+    blanks = [" ", " ", "\t", "\n", "\r\n", "\u00a0", "\u0085", "\u3000", "\u2028", "\x1c", "\x1f", "\x0b"]
+    rows = []
+    for i in range(1500):
+        rows.append((i, "".join(rng.choice(blanks) if rng.random() < 0.5 else rng.choice(["ab", "7", "é", "'s", "!", "日"]) for _ in range(90))))
+    size = byte_bpe.CHUNK
+    for i, middle in enumerate(["  \u00a07", "  \u00857", " \u3000\t\n 7", "\n\n  x", "  \x1c 7"]):
+        for shift in range(-3, 3):
+            rows.append((5000 + 10 * i + shift, ("word " * size)[: size + shift] + middle + " tail" * 1500))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = byte_bpe.codec(RANKS, public_tokenizers.PATTERN).merges
+    assert isinstance(plain, tiktoken.Encoding)
+    want = {i: plain.encode_ordinary(t) for i, t in rows}
+    short = byte_bpe.encode_texts(frame.where("doc_id < 4000"), RANKS, public_tokenizers.PATTERN, chunk=40, overlap=8)
+    long = byte_bpe.encode_texts(frame.where("doc_id >= 4000"), RANKS, public_tokenizers.PATTERN)
+    for r in short.unionAll(long).collect():
+        assert list(r.ids) == want[r.doc_id], r.doc_id
