@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -41,14 +41,20 @@ def with_vectors(matches: DataFrame, candidates: DataFrame, key: str) -> DataFra
     return matches.join(candidates.select(F.col(key).alias("match_key"), F.col("v").alias("match_vector")), "match_key")
 
 
-def nearest_unseen(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, n: int) -> DataFrame:
+def nearest_unseen(
+    users: DataFrame, items: DataFrame, seen: DataFrame | Callable[[DataFrame], DataFrame], k: int, n: int
+) -> DataFrame:
     """k best items by inner product, seen ones dropped, the first n kept (L4).
 
-    ``users`` (user_id, v), ``items`` (item_id, v).
+    ``users`` (user_id, v), ``items`` (item_id, v). ``seen`` is a table (user_id, item_id), or tells which of the rows
+    found are in it, where that table would be far larger than what is found.
     """
     found = best_matches(
         users.withColumnRenamed("user_id", "key"), items.withColumnRenamed("item_id", "key"), "key", k, "dot"
     ).select(F.col("query_key").alias("user_id"), F.col("match_key").alias("item_id"), "score")
+    if not isinstance(seen, DataFrame):
+        found = cut_lineage(found)  # read for the rows and for what is seen of them
+        seen = seen(found).select("user_id", "item_id")
     return top_k(drop_seen(found, seen), ["user_id"], [F.desc("score"), "item_id"], n)
 
 

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tastemill.operators import factors as fa
+from tastemill.operators import machines as fm
 from tastemill.operators import features as f
 from tastemill.operators import learning as g
 from tastemill.operators import metrics as m
@@ -88,13 +89,14 @@ def tastes(spark):
 
 
 def test_bias_model(tastes):
-    r = fa.dense_ids(tastes)
-    model = fa.BiasModel(r).fit_factors(r, rank=4, rounds=8)
-    fitted = m.rating_errors(model.predict(r)).first().rmse
-    base = m.rating_errors(model.baseline(r).withColumnRenamed("baseline", "prediction")).first().rmse
+    model = fa.BiasModel(tastes)
+    machine = fm.fit(tastes, ["user_id", "item_id"], "rating", rank=4, rounds=8)
+    fitted = m.rating_errors(machine.score(tastes)).first().rmse
+    base = m.rating_errors(model.baseline(tastes).withColumnRenamed("baseline", "prediction")).first().rmse
     assert fitted < 0.5 * base
-    unknown = model.baseline(r.sparkSession.createDataFrame([("nobody", 1)], "user_id string, item_id long")).first()
-    assert unknown.baseline == pytest.approx(tastes.agg(F.avg("rating")).first()[0])
+    nobody = tastes.sparkSession.createDataFrame([("nobody", 1)], "user_id string, item_id long")
+    mean = pytest.approx(tastes.agg(F.avg("rating")).first()[0])
+    assert model.baseline(nobody).first().baseline == mean and machine.score(nobody).first().prediction == mean
 
 
 def test_implicit_factors_find_the_own_half(tastes):
@@ -104,23 +106,64 @@ def test_implicit_factors_find_the_own_half(tastes):
     assert right / len(out) > 0.9
 
 
-def test_machine_and_its_vectors(spark, tastes):
-    e = tastes.select(F.col("user_id").alias("u"), F.col("item_id").cast("string").alias("i"), "label")
-    enc = f.fit_encoder(e, [], ["u", "i"]).transform(e)
-    model = fa.factorisation_machine(enc, "features", "label", rounds=60, step=0.1)
-    scored = model.transform(enc).withColumn("p", F.round(vector_to_array("probability")[1], 6))
+def plain_machine(rows, columns, rank, rounds, reg, decay, start):
+    """Round by round with dictionaries; rows are (ids, target)."""
+    mu = sum(y for _, y in rows) / len(rows)
+    tables = [{i: np.concatenate([[w], v]) for i, w, v in start(c)} for c in columns]
+    for n in range(rounds):
+        for k in range(len(columns)):
+            a, b = {}, {}
+            for ids, y in rows:
+                sides = [tables[o][ids[o]] for o in range(len(columns)) if o != k]
+                z = np.concatenate([[1.0], sum(s[1:] for s in sides)])
+                pairs = sum(sides[p][1:] @ sides[q][1:] for p in range(len(sides)) for q in range(p))
+                r = y - mu - sum(s[0] for s in sides) - pairs
+                a[ids[k]] = a.get(ids[k], reg * np.eye(rank + 1)) + np.outer(z, z)
+                b[ids[k]] = b.get(ids[k], 0) + r * z
+            tables[k] = {i: t + decay**n * (np.linalg.solve(a[i], b[i]) - t) for i, t in tables[k].items()}
+    return mu, tables
+
+
+def test_machine_of_three_columns_with_a_hot_id_and_nulls(spark):
+    rnd = random.Random(4)
+    data = [("hot" if rnd.random() < 0.4 else rnd.choice(["a", "b", None]), rnd.choice([*range(9), None]), rnd.choice("xyz")) for _ in range(400)]
+    data = [(*d, float(rnd.gauss((d[1] or 0) * 0.3, 1))) for d in data]
+    rows = spark.createDataFrame(data, "u string, i long, c string, y double")
+    columns = ["u", "i", "c"]
+    model = fm.fit(rows.repartition(5), columns, "y", rank=3, rounds=3, reg=0.5, decay=0.8)
+
+    def start(c):
+        return [(r.id, r.w, r.v) for r in fm.first_factors(rows, c, 3, 42).collect()]
+
+    mu, tables = plain_machine([(d[:3], d[3]) for d in data], columns, 3, 3, 0.5, 0.8, start)
+    assert model.mu == pytest.approx(mu)
+    for c, want in zip(columns, tables, strict=True):
+        got = {r.id: [r.w, *r.v] for r in model.tables[c].collect()}
+        assert got.keys() == want.keys()
+        for k, t in want.items():
+            assert got[k] == pytest.approx(t.tolist(), abs=1e-9)
+    scored = model.score(rows.withColumn("w_0", F.lit(1)).drop("w_0")).collect()
+    for r in scored[:40]:
+        t = [tables[k][r[c]] for k, c in enumerate(columns)]
+        pairs = sum(t[p][1:] @ t[q][1:] for p in range(3) for q in range(p))
+        assert r.prediction == pytest.approx(mu + sum(x[0] for x in t) + pairs, abs=1e-9)
+
+
+def test_machine_of_rank_fifty_and_its_vectors(tastes):
+    e = tastes.withColumn("y", F.col("label"))
+    model = fm.fit(e, ["user_id", "item_id"], "y", rank=50, rounds=4, reg=1.0)
+    scored = model.score(e, "p").withColumn("p", F.round("p", 6))
     assert area(scored) > 0.9
-    width = enc.agg(F.max("u_idx")).first()[0] + 1
-    users = fa.fm_vectors(model, enc.select("u", F.col("u_idx").alias("f")).distinct(), "u", "f", False)
-    items = fa.fm_vectors(model, enc.select("i", (F.col("i_idx") + width).alias("f")).distinct(), "i", "f", True)
-    raw = {(x.u, x.i): x.s for x in model.transform(enc).select("u", "i", vector_to_array("rawPrediction")[1].alias("s")).collect()}
-    w = model.linear.toArray()
-    idx = {x.u: int(x.u_idx) for x in enc.select("u", "u_idx").distinct().collect()}
-    uv = {x.u: x.v for x in users.collect()}
-    iv = {x.i: x.v for x in items.collect()}
-    for (u, i), s in list(raw.items())[:50]:
-        product = sum(a * b for a, b in zip(uv[u], iv[i]))
-        assert product + w[idx[u]] + model.intercept == pytest.approx(s, abs=1e-5)
+    uv = {r.key: r.v for r in model.vectors("user_id", False).collect()}
+    iv = {r.key: r.v for r in model.vectors("item_id", True).collect()}
+    weight = {r.id: r.w for r in model.tables["user_id"].collect()}
+    for r in model.score(e, "p").limit(50).collect():
+        assert sum(a * b for a, b in zip(uv[r.user_id], iv[r.item_id])) + weight[r.user_id] + model.mu == pytest.approx(r.p, abs=1e-9)
+
+
+def test_machine_without_rows(tastes):
+    none = fm.fit(tastes.where("false"), ["user_id", "item_id"], "rating", rank=2, rounds=1)
+    assert none.mu == 0.0 and none.score(tastes.limit(3)).select("prediction").distinct().collect()[0][0] == 0.0
 
 
 def test_sequence_embeddings(tastes):
@@ -137,27 +180,3 @@ def test_sequence_embeddings(tastes):
     own = [cosine(a, b) for a in range(30) for b in range(a) if (a - b) % 2 == 0]
     other = [cosine(a, b) for a in range(30) for b in range(a) if (a - b) % 2]
     assert sum(own) / len(own) > 0.2 + sum(other) / len(other)  # met by the same users
-
-
-def test_hashed_features_hold_both_ids(spark):
-    rows = spark.createDataFrame([(1, "a", 0.0), (2, "b", 1.0), (1, "b", 1.0)], "user_id long, item_id string, label double")
-    out = fa.hashed_features(rows, ["user_id", "item_id"], 97).collect()
-    for r in out:
-        width = int(max(x.user_id_idx for x in out)) + 1
-        assert r.features.indices.tolist() == [int(r.user_id_idx), width + int(r.item_id_idx)]
-
-
-def test_indexed_features_part_all_ids(spark, monkeypatch):
-    from types import SimpleNamespace
-
-    rows = spark.range(1500).select(F.concat(F.lit("u"), "id").alias("user_id"), (F.col("id") % 700).alias("item_id"))
-    out = fa.indexed_features(rows.unionAll(spark.createDataFrame([(None, 1)], "user_id string, item_id long")), ["user_id", "item_id"])
-    assert out.count() == 1501
-    assert out.select("user_id_idx").distinct().count() == 1501 and out.select("item_id_idx").distinct().count() == 700
-    r = out.filter("user_id = 'u7'").first()
-    assert r.features.size == 1501 + 701 and r.features.indices.tolist() == [int(r.user_id_idx), 1501 + int(r.item_id_idx)]
-    monkeypatch.setattr(fa, "FACTOR_ROWS", 3)
-    x = np.arange(14.0).reshape(7, 2)
-    model = SimpleNamespace(factors=SimpleNamespace(toArray=lambda: x), linear=SimpleNamespace(toArray=lambda: x[:, 0] * 2))
-    found = fa.factor_table(model, spark).orderBy("feature").collect()
-    assert [(t.feature, t.w, t.f) for t in found] == [(i, 4.0 * i, [2.0 * i, 2.0 * i + 1]) for i in range(7)]
