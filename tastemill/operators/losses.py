@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
+from tastemill.functions.vector import dot
 from tastemill.operators import ordering
 from tastemill.operators.ordering import running
+from tastemill.session import cut_lineage
 
 
 def _log_sigmoid(x: Column) -> Column:
@@ -37,24 +39,45 @@ def top1(rows: DataFrame, pos: str, neg: str) -> DataFrame:
     return rows.agg(fx.tidy(F.avg(fx.sigmoid(n - F.col(pos)) + fx.sigmoid(n * n))).alias("top1"))
 
 
-def in_batch_softmax(rows: DataFrame, batch: str, user: str, item: str, weight: str) -> DataFrame:
+#: Rows on either side of a tile of a batch's score matrix.
+TILE_ROWS = 4_096
+
+
+def in_batch_softmax(rows: DataFrame, batch: str, user: str, item: str, weight: str, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Cross entropy of each row's own item against the items of its batch, weighted, averaged.
 
-    A batch is one training step, bounded by the caller; its score matrix lives
-    inside one task and one loss per row leaves it.
+    A batch's score matrix is cut into tiles, a task holds one of them. A tile leaves the greatest score of each of its
+    rows and the sum of exponentials below it; these are put together row by row, so a batch may have any size.
     """
-
-    def losses(pdf: pd.DataFrame) -> pd.DataFrame:
-        u = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[user]])
-        i = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[item]])
-        z = u @ i.T
+    numbered = cut_lineage(
+        rows.select(
+            F.col(batch).alias("_batch"), F.col(user).cast("array<double>").alias("_u"), F.col(item).cast("array<double>").alias("_i"),
+            F.col(weight).alias("_w"), F.monotonically_increasing_id().alias("_row"),
+        )
+    )
+    blocks = numbered.groupBy(F.col("_batch").alias("_of")).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(tile_rows))).cast("int").alias("_n"))
+    placed = numbered.join(blocks, F.col("_batch").eqNullSafe(F.col("_of")))
+    own = F.pmod(F.xxhash64("_row"), F.col("_n")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+    left = placed.select("_batch", own.alias("_a"), every.alias("_b"), "_row", F.col("_u").alias("_v"))
+    right = placed.select("_batch", every.alias("_a"), own.alias("_b"), F.lit(None).cast("long").alias("_row"), F.col("_i").alias("_v"))
+
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        mine = pdf["_row"].notna().to_numpy()
+        if mine.all() or not mine.any():
+            return pd.DataFrame({"_row": np.zeros(0, np.int64), "top": np.zeros(0), "total": np.zeros(0)})
+        z = np.stack(pdf["_v"][mine].to_list()) @ np.stack(pdf["_v"][~mine].to_list()).T
         top = z.max(axis=1)
-        norm = top + np.log(np.exp(z - top[:, None]).sum(axis=1))
-        return pd.DataFrame({batch: pdf[batch], "loss": (norm - np.diag(z)) * pdf[weight].to_numpy()})
+        return pd.DataFrame({"_row": pdf["_row"][mine].astype(np.int64), "top": top, "total": np.exp(z - top[:, None]).sum(axis=1)})
 
-    schema = f"{batch} {rows.schema[batch].dataType.simpleString()}, loss double"
-    per = rows.select(batch, user, item, weight).groupBy(batch).applyInPandas(losses, schema)
-    return per.groupBy(batch).agg(fx.tidy(F.avg("loss")).alias("loss"))
+    tiles = left.unionAll(right).groupBy("_batch", "_a", "_b").applyInPandas(tile, "_row long, top double, total double")
+    tops = tiles.groupBy(F.col("_row").alias("_r")).agg(
+        F.max("top").alias("_top"), F.collect_list(F.struct("top", "total")).alias("_parts")  # one for each block of items
+    )
+    total = F.aggregate("_parts", F.lit(0.0), lambda done, p: done + p["total"] * F.exp(p["top"] - F.col("_top")))
+    loss = (F.col("_top") + F.log(total) - dot(F.col("_u"), F.col("_i"))) * F.col("_w")
+    per = numbered.join(tops, F.col("_row") == F.col("_r"))
+    return per.groupBy(F.col("_batch").alias(batch)).agg(fx.tidy(F.avg(loss)).alias("loss"))
 
 
 def listwise_softmax(rows: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:

@@ -13,6 +13,7 @@ from tastemill.operators import factors as fa
 from tastemill.operators import machines as fm
 from tastemill.operators import features as f
 from tastemill.operators import learning as g
+from tastemill.operators import losses
 from tastemill.operators import metrics as m
 
 
@@ -180,3 +181,17 @@ def test_sequence_embeddings(tastes):
     own = [cosine(a, b) for a in range(30) for b in range(a) if (a - b) % 2 == 0]
     other = [cosine(a, b) for a in range(30) for b in range(a) if (a - b) % 2]
     assert sum(own) / len(own) > 0.2 + sum(other) / len(other)  # met by the same users
+
+
+@pytest.mark.parametrize("tile_rows", [7, 4_096])
+def test_in_batch_softmax_in_tiles(spark, tile_rows):
+    rng = np.random.default_rng(3)
+    u, i, w = rng.normal(size=(60, 5)) * 4, rng.normal(size=(60, 5)) * 4, rng.random(60)
+    batch = [None if k < 20 else 1 for k in range(60)]
+    data = [(b, x.tolist(), y.tolist(), float(z)) for b, x, y, z in zip(batch, u, i, w, strict=True)]
+    rows = spark.createDataFrame(data, "b int, u array<double>, i array<double>, w double")
+    got = {r.b: r.loss for r in losses.in_batch_softmax(rows, "b", "u", "i", "w", tile_rows).collect()}
+    for b, at in ((None, slice(0, 20)), (1, slice(20, 60))):
+        z = u[at] @ i[at].T
+        want = ((np.log(np.exp(z).sum(axis=1)) - np.diag(z)) * w[at]).mean()
+        assert got[b] == pytest.approx(want, abs=1e-6)
