@@ -34,7 +34,7 @@ PAIR_BLOCK = 1 << 21
 #: Fingerprints that travel with a key, so that its pairs can be compared; fewer where texts are compared afterwards.
 COMPARED, COMPARED_FIRST = 3, 2
 #: Pairs of each part that the second round lets out of a task and a key, and by how many times every round lets out more.
-SECOND_ROUND = 8
+SECOND_ROUND = 32
 
 #: Generator polynomial of the binary Golay code, word and message length.
 GENERATOR, WORD_BITS, MESSAGE_BITS = 0b101011100011, 23, 12
@@ -114,10 +114,24 @@ def pair_keys(prints: np.ndarray, table: int, all_near: bool, code: Golay, schem
     return np.concatenate(rows), np.concatenate(keys)
 
 
+#: An odd step and the shifts and multipliers of a well-known 64-bit mixing function.
+MIX_STEP, MIX_LAST = 0x9E3779B97F4A7C15, 31
+MIX = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
+
+
+def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """Other hashes of the same pieces, from their first: odd multiples and shifts, so that every bit reaches every other."""
+    x = hashes + np.uint64((2 * seed + 1) * MIX_STEP % (1 << 64))
+    for shift, factor in MIX:
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(MIX_LAST))).astype("<u8")
+
+
 def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...], once: bool = False) -> list[int]:
     """64-bit fingerprints of a text: a bit is set if more than half of the shingles' hashes have it.
 
-    With ``once`` repeated shingles count once, so that no shingle decides alone.
+    With ``once`` repeated shingles count once, so that no shingle decides alone. Pieces are hashed with the first seed;
+    the hashes of the others follow from that one.
     """
     import xxhash
 
@@ -134,9 +148,10 @@ def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...], once: bool =
         pieces = list(dict.fromkeys(pieces))
         n = len(pieces)
     out = []
+    first = np.array([xxhash.xxh64_intdigest(p, seeds[0]) for p in pieces], "<u8")
     for seed in seeds:
         counts = np.zeros(64, np.int64)
-        hashes = np.array([xxhash.xxh64_intdigest(p, seed) for p in pieces], "<u8")
+        hashes = first if seed == seeds[0] else _mixed(first, seed)
         for at in range(0, n, 1 << 15):
             bits = np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             counts += bits.sum(axis=0, dtype=np.uint32)
