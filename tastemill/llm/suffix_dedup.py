@@ -6,7 +6,7 @@ rows per document. Neighbouring windows of one anchor form a stretch. If all str
 windows repeat. The stretches of the other grams (the borders of repeated passages) are dealt out by gram into shards,
 one of each text. A stretch is trimmed to the windows that can repeat at all: what lies before and after the gram has
 its longest match in the gram's other stretches next to it in sorted order, once from the gram on and once backwards.
-The shard's suffixes are then put in order by external induced sorting, which carries their common prefixes, and
+Stretches that are equal after that repeat whole and one of them stands for all. The shard's suffixes are then put in order by external induced sorting, which carries their common prefixes, and
 windows that share 200 bytes with a neighbour in that order repeat. Grams with very many different
 stretches are settled window by window in a grouped count instead, so no shard grows with a gram.
 """
@@ -185,6 +185,28 @@ def shard_repeats(contents: list[bytes], window: int = WINDOW) -> list[np.ndarra
     return [places[a:b] - start for a, b, start in zip(cut[:-1], cut[1:], starts, strict=True)]
 
 
+def alike_and_sorted(grams: list[int], pieces: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
+    """Places in each trimmed stretch whose window occurs in another stretch of its gram.
+
+    Stretches that trimming made equal repeat whole, and one of them stands for all in the sort. A gram that is left
+    with one content needs no sort: the windows of a stretch hold its gram at different places, so none equals another.
+    """
+    copies: dict[tuple[int, bytes], int] = {}
+    for each in zip(grams, pieces, strict=True):
+        copies[each] = copies.get(each, 0) + 1
+    contents: dict[int, int] = {}
+    for gram, _ in copies:
+        contents[gram] = contents.get(gram, 0) + 1
+    # contents of one gram stay side by side
+    open_ = [each for each in copies if contents[each[0]] > 1]
+    places = dict(zip(open_, shard_repeats([piece for _, piece in open_], window), strict=True)) if open_ else {}
+    nothing = np.zeros(0, np.int64)
+    return [
+        np.arange(len(each[1]) - window + 1) if copies[each] > 1 else places.get(each, nothing)
+        for each in zip(grams, pieces, strict=True)
+    ]
+
+
 def possible_windows(grams: list[int], places: list[int], contents: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """First and last window of each content that can occur in another content of its gram; first > last for none.
 
@@ -233,7 +255,7 @@ def _sorted_shards(rows: DataFrame) -> DataFrame:
         def closed() -> pa.RecordBatch:
             first, last = possible_windows(grams, places, bodies)
             some = np.nonzero(first <= last)[0].tolist()
-            found = shard_repeats([bodies[i][first[i] : last[i] + WINDOW] for i in some]) if some else []
+            found = alike_and_sorted([grams[i] for i in some], [bodies[i][first[i] : last[i] + WINDOW] for i in some])
             out = [(grams[i], keys[i], _spans(f + first[i])) for i, f in zip(some, found, strict=True) if len(f)]
             kinds = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             return pa.RecordBatch.from_arrays(
