@@ -208,6 +208,25 @@ class _Gaps:
         return out
 
 
+def _equal_before(text: np.ndarray) -> np.ndarray:
+    """How many symbols right before each place equal the one there."""
+    place = np.arange(len(text))
+    starts = np.where(np.append(True, text[1:] != text[:-1]), place, 0)
+    return place - np.maximum.accumulate(starts)
+
+
+def _bucket(queue: Queue, symbol_key: int, want: int, at_most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """All tuples of the least key and the runs they are from; None if they are more than ``at_most``."""
+    while True:
+        found, source = queue.least(want)
+        n = int(np.searchsorted(found["key"], symbol_key, side="right"))
+        if n > at_most:
+            return None
+        if n < len(found) or queue.complete:
+            return found[:n], source[:n]
+        want *= 2
+
+
 def _induce(
     text: np.ndarray, is_s: np.ndarray, given: Iterator[np.ndarray], down: bool, folder: Folder, in_memory: int, most: int
 ) -> Sequence:
@@ -224,6 +243,7 @@ def _induce(
     ask = 256
     last_at, last_key, last_given = -1, NEVER, False
     nothing = np.zeros(0, TUPLE)
+    alike = None if most else _equal_before(text)
 
     while queue.runs or head is not None:
         queued, source = queue.least(ask) if queue.runs else (nothing, np.zeros(0, np.int64))
@@ -248,6 +268,24 @@ def _induce(
         order = np.argsort(2 * both["key"] + is_given, kind="stable")
         both, is_given = both[order], is_given[order]
         key, at = both["key"], both["at"]
+        if alike is not None and not is_given[0] and alike[at[: np.searchsorted(key, key[0], side="right")]].any():
+            # a run of one symbol induces itself place by place: all its places at once, the ends of all runs first
+            whole = _bucket(queue, int(key[0]), ask, in_memory)
+            if whole is not None:
+                heads, source = whole
+                queue.drop(source)
+                many = alike[heads["at"]] + 1
+                which = np.repeat(np.arange(len(heads)), many)
+                back = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+                order = np.argsort(back, kind="stable")
+                row = np.zeros(len(which), TUPLE)
+                row["key"], row["at"] = key[0], (heads["at"][which] - back)[order]
+                out.add(row)
+                before = row["at"][(back == many[which] - 1)[order]] - 1
+                before = before[before >= 0]
+                before = before[is_s[before] == down]
+                queue.push(turn * text[before].astype(np.int64), before, np.zeros(len(before), np.uint16))
+                continue
         before = at - 1
         ok = before >= 0
         ok[ok] = is_s[before[ok]] == down

@@ -29,8 +29,12 @@ WINDOW = 200
 GRAM = 32
 #: Bytes of text hashed at once.
 PIECE = 1 << 20
-#: A shard is closed at the end of the gram that brings it to so many bytes.
-SHARD_BYTES = 8 << 20
+#: Stretches are trimmed at the end of the gram that brings them to so many bytes.
+TRIM_BYTES = 4 << 20
+#: A shard is sorted when what trimming left of it has so many bytes.
+SHARD_BYTES = 2 << 20
+#: Bytes of stretches that are worth a task of their own.
+TASK_BYTES = 8 << 20
 #: Grams with more different stretches than a shard holds are counted window by window.
 HOT_STRETCHES = 8_192
 #: Windows written at once by that count.
@@ -185,26 +189,44 @@ def shard_repeats(contents: list[bytes], window: int = WINDOW) -> list[np.ndarra
     return [places[a:b] - start for a, b, start in zip(cut[:-1], cut[1:], starts, strict=True)]
 
 
-def alike_and_sorted(grams: list[int], pieces: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
-    """Places in each trimmed stretch whose window occurs in another stretch of its gram.
+class Shard:
+    """Trimmed stretches of one task, gram by gram, and the contents that are still to be sorted.
 
     Stretches that trimming made equal repeat whole, and one of them stands for all in the sort. A gram that is left
     with one content needs no sort: the windows of a stretch hold its gram at different places, so none equals another.
     """
-    copies: dict[tuple[int, bytes], int] = {}
-    for each in zip(grams, pieces, strict=True):
-        copies[each] = copies.get(each, 0) + 1
-    contents: dict[int, int] = {}
-    for gram, _ in copies:
-        contents[gram] = contents.get(gram, 0) + 1
-    # contents of one gram stay side by side
-    open_ = [each for each in copies if contents[each[0]] > 1]
-    places = dict(zip(open_, shard_repeats([piece for _, piece in open_], window), strict=True)) if open_ else {}
-    nothing = np.zeros(0, np.int64)
-    return [
-        np.arange(len(each[1]) - window + 1) if copies[each] > 1 else places.get(each, nothing)
-        for each in zip(grams, pieces, strict=True)
-    ]
+
+    def __init__(self, window: int = WINDOW):
+        self.window = window
+        self.open: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+        self.size = 0
+
+    def add(self, grams: list[int], keys: list[int], places: list[int], bodies: list[bytes]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Takes all stretches of some grams; (gram, content, places of repeated windows) of those that are settled."""
+        if not bodies:
+            return
+        first, last = possible_windows(grams, places, bodies, self.window)
+        same: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+        for i in np.nonzero(first <= last)[0].tolist():
+            same.setdefault((grams[i], bodies[i][first[i] : last[i] + self.window]), []).append((keys[i], int(first[i])))
+        contents: dict[int, int] = {}
+        for gram, _ in same:
+            contents[gram] = contents.get(gram, 0) + 1
+        for (gram, piece), users in same.items():
+            if len(users) > 1:
+                whole = np.arange(len(piece) - self.window + 1)
+                yield from ((gram, key, whole + start) for key, start in users)
+            if contents[gram] > 1:
+                self.open[gram, piece] = users if len(users) == 1 else []
+                self.size += len(piece)
+
+    def sort(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """The same of the contents that waited for the sort; the shard is empty after it."""
+        if self.open:
+            found = shard_repeats([piece for _, piece in self.open], self.window)
+            for ((gram, _), users), at in zip(self.open.items(), found, strict=True):
+                yield from ((gram, key, at + start) for key, start in users if len(at))
+        self.open, self.size = {}, 0
 
 
 def possible_windows(grams: list[int], places: list[int], contents: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -242,41 +264,38 @@ def possible_windows(grams: list[int], places: list[int], contents: list[bytes],
 SPANS = "array<struct<a:int,b:int>>"
 
 
-def _sorted_shards(rows: DataFrame) -> DataFrame:
-    """(gram, content, at, body), dealt by gram and sorted -> (gram, content, spans of repeated windows)."""
+def _sorted_shards(rows: DataFrame, size: int) -> DataFrame:
+    """(gram, content, at, body), dealt by gram and sorted -> (gram, content, spans of repeated windows).
+
+    ``size`` is the bytes of all bodies: it says how few tasks are worth while, the session's setting says how many at most.
+    """
+    kinds = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams: list[int] = []
-        keys: list[int] = []
-        bodies: list[bytes] = []
-        places: list[int] = []
+        held: tuple[list, list, list, list] = ([], [], [], [])
         size = 0
+        shard = Shard()
 
-        def closed() -> pa.RecordBatch:
-            first, last = possible_windows(grams, places, bodies)
-            some = np.nonzero(first <= last)[0].tolist()
-            found = alike_and_sorted([grams[i] for i in some], [bodies[i][first[i] : last[i] + WINDOW] for i in some])
-            out = [(grams[i], keys[i], _spans(f + first[i])) for i, f in zip(some, found, strict=True) if len(f)]
-            kinds = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], kinds)],
-                names=["gram", "content", "spans"],
-            )
+        def told(found: Iterator[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+            out = [(gram, key, _spans(at)) for gram, key, at in found]
+            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), kinds))]
+            return pa.RecordBatch.from_arrays(columns, names=["gram", "content", "spans"])
 
         for batch in batches:
-            for gram, key, place, body in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if size >= SHARD_BYTES and gram != grams[-1]:
-                    yield closed()
-                    grams, keys, bodies, places, size = [], [], [], [], 0
-                grams.append(gram)
-                keys.append(key)
-                bodies.append(body)
-                places.append(place)
-                size += len(body)
-        if bodies:
-            yield closed()
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if size >= TRIM_BYTES and row[0] != held[0][-1]:
+                    yield told(shard.add(*held))
+                    held, size = ([], [], [], []), 0
+                    if shard.size >= SHARD_BYTES:
+                        yield told(shard.sort())
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
+                size += len(row[3])
+        yield told(shard.add(*held))
+        yield told(shard.sort())
+
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(most, -(-size // TASK_BYTES)))
     dealt = rows.select("gram", "content", "at", "body").repartition(parts, "gram").sortWithinPartitions("gram")
     return dealt.mapInArrow(run, f"gram long, content long, spans {SPANS}")
 
@@ -353,10 +372,11 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT_STRETCH
         .dropDuplicates(["gram", "content"])
     )
     cut = written(cut, "stretch-bodies")
+    size = kinds.agg(F.coalesce(F.sum((F.col("last") - F.col("first") + WINDOW).cast("long")), F.lit(0))).first()[0]
     if many.isEmpty():
-        found = _sorted_shards(cut)
+        found = _sorted_shards(cut, size)
     else:
-        found = _sorted_shards(cut.join(many, F.col("gram") == F.col("g"), "left_anti")).unionAll(
+        found = _sorted_shards(cut.join(many, F.col("gram") == F.col("g"), "left_anti"), size).unionAll(
             _window_counts(cut.join(many, F.col("gram") == F.col("g"), "left_semi"))
         )
     several = kinds.where("n > 1").select(

@@ -479,6 +479,7 @@ def planted(spark):
 @pytest.mark.parametrize("shard", [suffix_dedup.SHARD_BYTES, 500])
 def test_repeats(spark, monkeypatch, hot, shard):
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffix_dedup, "TRIM_BYTES", shard)
     docs = planted(spark)
     rows = docs.collect()
     marks = {bytes(r.doc): r.spans for r in suffix_dedup.repeated_windows(docs, hot=hot).collect()}

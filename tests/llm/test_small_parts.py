@@ -36,6 +36,55 @@ def test_suffix_order_and_common_prefixes(in_memory):
         assert rows["common"].tolist() == [0] + [shared(a, b) for a, b in zip(falling, falling[1:], strict=False)]
 
 
+@pytest.mark.parametrize("in_memory", [3, 1 << 20])
+@pytest.mark.parametrize("most", [0, 5])
+def test_suffix_order_of_long_runs_and_periods(in_memory, most):
+    rng = np.random.default_rng(11)
+    for trial in range(40):
+        pieces = []
+        for _ in range(int(rng.integers(1, 6))):
+            period = rng.integers(1, 4, int(rng.integers(1, 7)))
+            pieces.append(np.tile(period, int(rng.integers(1, 25))))
+            pieces.append(rng.integers(1, 5, int(rng.integers(0, 4))))
+        text = np.append(np.concatenate(pieces), 0)
+        folder = induced_sort.Folder()
+        at = np.concatenate([p["at"] for p in induced_sort.suffix_order(text, folder, in_memory, most)])
+        folder.close()
+        t = text.tolist()
+        assert at.tolist() == sorted(range(len(t)), key=lambda i: t[i:], reverse=True)
+
+
+def test_shard_settles_equal_stretches_like_brute_force():
+    rng = random.Random(12)
+    window, gram = 12, b"GRAM"
+    for _ in range(60):
+        sides = [bytes(rng.choices(b"ab", k=10)) for _ in range(3)]
+        stretches = {}
+        for key in range(rng.randint(2, 12)):
+            # a stretch is all windows around its gram, so it reaches at most a window less the gram to either side
+            left = rng.choice(sides)[-rng.randint(1, 8) :]
+            body = left + gram + rng.choice(sides)[: rng.randint(0, 8)]
+            if len(body) >= window:
+                stretches[rng.randint(1, 2), body] = (key, len(left))
+        rows = sorted((g, key, at, body) for (g, body), (key, at) in stretches.items())
+        shard = suffix_dedup.Shard(window)
+        found = list(shard.add(*([r[k] for r in rows] for k in range(4)))) + list(shard.sort())
+        assert shard.size == 0 and not shard.open
+        got = {}
+        for g, key, places in found:
+            got.setdefault((g, key), set()).update(places.tolist())
+        want = {}
+        for g, key, at, body in rows:
+            for s in range(len(body) - window + 1):
+                same = [
+                    1 for h, other, _, text in rows for r in range(len(text) - window + 1)
+                    if g == h and (key, s) != (other, r) and body[s : s + window] == text[r : r + window]
+                ]
+                if same:
+                    want.setdefault((g, key), set()).add(s)
+        assert got == want
+
+
 def test_shards_repeats_by_brute_force():
     rng = random.Random(5)
     words = [bytes(rng.choices(b"abc", k=rng.randint(1, 9))) for _ in range(12)]
