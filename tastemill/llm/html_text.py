@@ -24,6 +24,12 @@ _TAG = re.compile(
       | </?[A-Za-z][^>]*(?:>|\Z)""",
     re.S | re.X,
 )
+_TAG_BROKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z) | <!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z) | <[!?][^>]*(?:>|\Z)
+      | <(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>[^>]*)>
+      | </?[A-Za-z][^>]*\Z""",
+    re.S | re.X,
+)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_PART = re.compile(r"[a-z]+")
 
@@ -42,6 +48,10 @@ OUTSIDE = frozenset(
     "nav footer aside head title select button template svg math canvas object audio video dialog menu fieldset label "
     "option datalist legend".split()
 )
+#: Those that stay inside the block where they stand in the middle of a paragraph.
+FLOWING = frozenset(("label", "button", "option"))
+PARAGRAPHS = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
+LISTS = frozenset(("ul", "ol", "dl"))
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 #: Name parts that hint at it: an article or main inside wins its place back, and nearly all of a page is not outside.
 OUTSIDE_NAMES = frozenset(
@@ -64,6 +74,15 @@ INSIDE_NAMES = frozenset("article articlebody content main post entry story body
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
+class Hinted:
+    """An element with a hint at something else, the next such element around it, and the plain words it holds."""
+
+    __slots__ = ("around", "number", "words")
+
+    def __init__(self, number: int, around: Hinted | None):
+        self.number, self.around, self.words = number, around, 0.0
+
+
 @dataclass
 class Block:
     text: str
@@ -72,17 +91,31 @@ class Block:
     #: -1 in something that is not the article, 1 in the article, 0 unknown
     place: int
     heading: bool
-    #: elements around with a hint at something else, by number, and whether one hints at the article
-    hints: tuple[int, ...] = ()
+    #: nearest element around with a hint at something else, and whether one hints at the article
+    hint: Hinted | None = None
     named: bool = False
+    #: number of the outermost list around, 0 for none
+    list_: int = 0
 
 
 @dataclass(frozen=True)
 class _Around:
     place: int = 0
-    hints: tuple[int, ...] = ()
+    hint: Hinted | None = None
     of_articles: bool = False
     named: bool = False
+    list_: int = 0
+
+
+@dataclass(frozen=True)
+class _Open:
+    """An open element: what it says of its text, links and headings open with it, whether it stays in its block."""
+
+    name: str
+    around: _Around
+    links: int
+    headings: int
+    inline: bool
 
 
 def _hints(value: str) -> set[str]:
@@ -90,6 +123,8 @@ def _hints(value: str) -> set[str]:
     found: set[str] = set()
     for name in value.split():
         parts = set(_NAME_PART.findall(name))
+        if name != "hidden":  # a name of its own; "hidden-gems" are not hidden
+            parts.discard("hidden")
         if not (parts & ELSEWHERE or parts & WRAPPERS and parts & INSIDE_NAMES):
             found |= parts & OUTSIDE_NAMES
     return found
@@ -128,87 +163,134 @@ def _place(name: str, rest: str, around: _Around, number: int) -> _Around:
         hints.clear()
     of_articles = around.of_articles or bool(hints & OF_ARTICLES)
     named = around.named or bool(names & INSIDE_NAMES) and name not in ("html", "body")
+    list_ = around.list_ or (number if name in LISTS else 0)
     if inside and not of_articles:
-        return _Around(1, (number,) if hints else (), False, named)
-    return _Around(around.place, (*around.hints, number) if hints else around.hints, of_articles, named)
+        return _Around(1, Hinted(number, None) if hints else None, False, named, list_)
+    return _Around(around.place, Hinted(number, around.hint) if hints else around.hint, of_articles, named, list_)
+
+
+class _Elements:
+    """Open elements of a page. Every step takes the same time however deep they are nested."""
+
+    def __init__(self) -> None:
+        self.stack: list[_Open] = []
+        self.at: dict[str, list[int]] = {}  # places of each name, and of what isn't inline
+        self.outer: list[int] = []
+
+    @property
+    def around(self) -> _Around:
+        return self.stack[-1].around if self.stack else _Around()
+
+    @property
+    def links(self) -> int:
+        return self.stack[-1].links if self.stack else 0
+
+    @property
+    def headings(self) -> int:
+        return self.stack[-1].headings if self.stack else 0
+
+    def block_name(self) -> str:
+        """Name of the nearest element that isn't inline."""
+        return self.stack[self.outer[-1]].name if self.outer else ""
+
+    def open(self, name: str, around: _Around, inline: bool) -> None:
+        self.at.setdefault(name, []).append(len(self.stack))
+        if not inline:
+            self.outer.append(len(self.stack))
+        self.stack.append(_Open(name, around, self.links + (name == "a"), self.headings + (name in HEADINGS), inline))
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from a depth on."""
+        while len(self.stack) > depth:
+            last = self.stack.pop()
+            self.at[last.name].pop()
+            if not last.inline:
+                self.outer.pop()
+
+    def close(self, name: str) -> None:
+        """Close the last element of a name, inline names only within their block."""
+        places = self.at.get(name)
+        if places and not (name in INLINE and self.outer and self.outer[-1] > places[-1]):
+            self.cut(places[-1])
+
+    def end_same(self, name: str) -> None:
+        """Close an element of the same kind that the new one ends."""
+        for k in range(len(self.stack) - 1, max(-1, len(self.stack) - 5), -1):
+            now = self.stack[k].name
+            if now == name:
+                self.cut(k)
+                return
+            if now not in INLINE and name == "p" or now in LISTS or now == "table":
+                return
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order. Never fails: what is not markup is text, what stays open ends with the page."""
     out: list[Block] = []
-    stack: list[tuple[str, _Around]] = []
+    elements = _Elements()
     pieces: list[tuple[str, bool]] = []
-    links = heading = number = 0
-    around = _Around()
+    number = 0
+    around, headings = _Around(), 0
+    tag = _TAG
 
     def close_block() -> None:
         if pieces:
             text = " ".join(html.unescape("".join(p for p, _ in pieces)).split())
             if text:
                 linked = sum(len(html.unescape(p).split()) for p, is_link in pieces if is_link)
-                out.append(Block(text, len(text.split()), linked, around.place, heading > 0, around.hints, around.named))
+                out.append(
+                    Block(text, len(text.split()), linked, around.place, headings > 0, around.hint, around.named, around.list_)
+                )
             pieces.clear()
 
     at = 0
     end_of_page = len(page)
     while at < end_of_page:
-        m = _TAG.search(page, at)
+        m = tag.search(page, at)
         if m is None:
-            pieces.append((page[at:], links > 0))
+            pieces.append((page[at:], elements.links > 0))
             break
         if m.start() > at:
-            pieces.append((page[at : m.start()], links > 0))
+            pieces.append((page[at : m.start()], elements.links > 0))
         at = m.end()
         if m["data"] is not None:
-            pieces.append((html.escape(m["data"], quote=False), links > 0))
+            pieces.append((html.escape(m["data"], quote=False), elements.links > 0))
         if m["name"] is None:
+            if page[m.start() + 1 : m.start() + 2] not in ("!", "?"):
+                tag = _TAG_BROKEN  # a quote that never ends: looking for its end once is enough
             continue
         name = m["name"].lower()
         if not m["end"]:
             if name in RAW:
                 if name not in ("title", "noscript"):
-                    pieces.append((" ", links > 0))
+                    pieces.append((" ", elements.links > 0))
                 found = RAW[name].search(page, at)
                 at = found.end() if found else end_of_page
                 continue
-            if name not in INLINE:
+            inline = name in INLINE or name in FLOWING and elements.block_name() in PARAGRAPHS
+            if not inline:
                 close_block()
                 if name in SELF_ENDING:
-                    for k in range(len(stack) - 1, max(-1, len(stack) - 5), -1):
-                        if stack[k][0] == name:
-                            del stack[k:]
-                            links = sum(x[0] == "a" for x in stack)
-                            heading = sum(x[0] in HEADINGS for x in stack)
-                            break
-                        if stack[k][0] not in INLINE and name == "p":
-                            break
-                        if stack[k][0] in ("ul", "ol", "dl", "table"):
-                            break
+                    elements.end_same(name)
             elif name in ("br", "img", "wbr"):
                 if name != "wbr":
-                    pieces.append((" ", links > 0))
+                    pieces.append((" ", elements.links > 0))
                 continue
             if name in VOID or m["rest"].rstrip().endswith("/") and name not in INLINE | INSIDE and name != "div":
                 continue
-            inner = stack[-1][1] if stack else _Around()
-            if name not in INLINE:
+            inner = elements.around
+            if not inline:
                 number += 1
                 inner = _place(name, m["rest"], inner, number)
-            stack.append((name, inner))
-            links += name == "a"
-            heading += name in HEADINGS
+            elements.open(name, inner, inline)
+        elif name in INLINE:
+            elements.close(name)
         else:
-            if name not in INLINE:
+            places = elements.at.get(name)
+            if not (places and elements.stack[places[-1]].inline):
                 close_block()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    links = sum(x[0] == "a" for x in stack)
-                    heading = sum(x[0] in HEADINGS for x in stack)
-                    break
-                if name in INLINE and stack[k][0] not in INLINE:
-                    break
-        around = stack[-1][1] if stack else _Around()
+            elements.close(name)
+        around, headings = elements.around, elements.headings
     close_block()
     return out
 
@@ -228,12 +310,21 @@ def _places(found: list[Block], plain: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """
     place = np.array([b.place for b in found], float)
     plain = plain * (place >= 0)
-    held: dict[int, float] = {}
+    held: dict[int, Hinted] = {}
     for b, w in zip(found, plain.tolist(), strict=True):
-        for h in b.hints:
-            held[h] = held.get(h, 0.0) + w
+        h = b.hint
+        while h is not None and h.number not in held:
+            h.words, held[h.number] = 0.0, h
+            h = h.around
+        if b.hint is not None:
+            b.hint.words += w
+    for number in sorted(held, reverse=True):  # inner elements have the greater numbers
+        h = held[number]
+        if h.around is not None:
+            h.around.words += h.words
     bound = max(WRAPPER_WORDS, WRAPPER_SHARE * plain.sum())
-    other = np.array([any(held[h] < bound for h in b.hints) for b in found], bool)
+    # the innermost holds the least of those around a block
+    other = np.array([b.hint is not None and b.hint.words < bound for b in found], bool)
     named = np.array([b.named for b in found], bool) & ~other & (place >= 0)
     name = np.where(other, -1.0, named)
     if 2 * (plain * named).sum() > (plain * ~other).sum():
@@ -319,7 +410,18 @@ def trained() -> Tree:
 
 def main_text(page: str | None, tree: Tree) -> str:
     found = blocks(page) if page else []
-    keep = tree.predict(features(found)) if found else []
+    if not found:
+        return ""
+    x = features(found)
+    keep = tree.predict(x).astype(bool)
+    # a list in a marked article stays or goes as a whole, as most of its words do
+    items = (x[:, FEATURES.index("place")] == 1) & (x[:, FEATURES.index("name")] >= 0)
+    lists = np.array([b.list_ for b in found]) * items
+    if lists.any():
+        number, where = np.unique(lists, return_inverse=True)
+        words = x[:, FEATURES.index("words")]
+        kept = np.bincount(where, weights=words * keep)
+        keep = np.where(lists > 0, (2 * kept >= np.bincount(where, weights=words))[where], keep)
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 

@@ -383,3 +383,40 @@ def test_names_do_not_decide_alone(page):
     body = f"<body><nav><a>x</a> <a>y</a></nav>{page.format(article=article, beside='<p>' + sentence(20) + '</p>')}<footer>{sentence(12)}</footer></body>"
     found = html_text.main_text(body, html_text.trained()).split("\n")
     assert [x for x in found if len(x.split()) > 3] == parts  # a line of three words beside it may stay or go
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (
+            "<article><p>Words before a <label>note</label> more text here.</p><p>Press <button>Go</button> to start it now.</p></article>",
+            "Words before a note more text here.\nPress Go to start it now.",
+        ),
+        (
+            "<article><p>A first paragraph of some plain words, long enough to be read.</p><div class='hidden-gems'><h2>Short title</h2>"
+            "<p>A short paragraph here.</p></div></article>",
+            "A first paragraph of some plain words, long enough to be read.\nShort title\nA short paragraph here.",
+        ),
+        ("<article><p>Some text <a href='x>y.</p><p>and more", "Some text y.\nand more"),
+    ],
+)
+def test_inline_labels_names_and_broken_quotes(page, text):
+    assert html_text.main_text(page, html_text.trained()) == text
+
+
+def test_a_list_of_an_article_stays_or_goes_whole():
+    six, seven = ("<li><a href=x>" + " ".join(["word"] * n) + "</a></li>" for n in (6, 7))
+    page = f"<article><p>A paragraph of plain words that is long enough to be one.</p><ul>{six}{seven}</ul></article>"
+    assert len(html_text.main_text(page, html_text.trained()).split("\n")) in (1, 3)
+
+
+@pytest.mark.parametrize(
+    "piece", ["<b>x</i>", "<i><div><b>x</i>", "<div class='ad'>word ", "<a \">\" ", "<h2><a>x", "<p><label>x", "</p></u>x<span>"]
+)
+def test_time_does_not_grow_with_nesting(piece):
+    import time
+
+    page = piece * (2_000_000 // len(piece))
+    start = time.monotonic()
+    html_text.main_text(page, html_text.trained())
+    assert time.monotonic() - start < 60
