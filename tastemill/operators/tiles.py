@@ -34,14 +34,16 @@ Scored = tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]
 Kernel = Callable[[pd.DataFrame, pd.DataFrame], Scored]
 
 
-def _stack(column: pd.Series) -> np.ndarray:
+def stack(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _by_rows(q: pd.DataFrame, c: pd.DataFrame, scores: Callable[..., np.ndarray], prepare=lambda m: m) -> Scored:
-    """Kernel of one vector per row."""
+def by_rows(
+    q: pd.DataFrame, c: pd.DataFrame, scores: Callable[..., np.ndarray], asked: Callable = stack, offered: Callable | None = None
+) -> Scored:
+    """Kernel of one vector per row; ``asked`` and ``offered`` make a matrix of either column."""
     c = c.sort_values("key", kind="stable")
-    a, b = prepare(_stack(q["v"])), prepare(_stack(c["v"]))
+    a, b = asked(q["v"]), (offered or asked)(c["v"])
     step = max(1, CELLS // max(1, len(b)))
     return q["key"].to_numpy(), c["key"].to_numpy(), (scores(a[i : i + step], b) for i in range(0, len(a), step))
 
@@ -52,11 +54,11 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 
 def _dot(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
-    return _by_rows(q, c, lambda a, b: a @ b.T)
+    return by_rows(q, c, lambda a, b: a @ b.T)
 
 
 def _cosine(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
-    return _by_rows(q, c, lambda a, b: a @ b.T, _unit)
+    return by_rows(q, c, lambda a, b: a @ b.T, lambda v: _unit(stack(v)))
 
 
 def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
@@ -64,7 +66,7 @@ def _negative_l2(q: pd.DataFrame, c: pd.DataFrame) -> Scored:
         aa, bb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
         return -np.maximum(aa[:, None] + bb[None, :] - 2.0 * (a @ b.T), 0.0)
 
-    return _by_rows(q, c, scores)
+    return by_rows(q, c, scores)
 
 
 def _postings(
@@ -254,13 +256,13 @@ def by_tile(df: DataFrame, keys: list[str], tiles: int) -> DataFrame:
 
 
 def matcher(
-    kernel: str, k: int, drop_self: bool = False, positive_only: bool = False
+    kernel: str | Kernel, k: int, drop_self: bool = False, positive_only: bool = False
 ) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     """Function of one tile: queries and candidates (``key`` and payload) to the k best of each query.
 
     ``positive_only`` keeps only pairs whose score is above 0 before rounding.
     """
-    fn = KERNELS[kernel]
+    fn = KERNELS[kernel] if isinstance(kernel, str) else kernel
     best = _best_of_positive if positive_only else _best_of_all
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -12,6 +12,7 @@ from tastemill.operators import content as c
 from tastemill.operators import graph as g
 from tastemill.operators import retrieval as r
 from tastemill.operators import tiles
+from tastemill.operators.quantised import QuantisedIndex, decoded
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +200,48 @@ def test_weights_sum_to_one_before_rounding(clicks):
     _, df = clicks
     w = g.transition_weights(g.bipartite_graph(df), None).groupBy("src").agg(F.sum("weight").alias("w"))
     assert all(abs(x.w - 1) < 1e-9 for x in w.collect())
+
+
+# ---- quantised search
+
+
+def test_quantised_index_against_numpy(spark, vecs):
+    m, df = vecs
+    index = QuantisedIndex(df, "id", leaves=5, parts=3, codes=4, rounds=1, slice_rows=7)
+    placed = {x.key: (x.leaf, np.frombuffer(x.v, np.uint8)) for x in index.placed.collect()}
+    assert sorted(placed) == list(range(90))
+    flat = np.stack([decoded(index.centres, placed[i][1][None, :])[0] for i in range(90)])
+    near = np.round(((m[:, None, :] - index.leaf_centres[None]) ** 2).sum(axis=2), 9)
+    assert [placed[i][0] for i in range(90)] == near.argmin(axis=1).tolist()
+    probed = np.argsort(near, axis=1, kind="stable")[:, :3]
+    approx, exact = np.round(m @ flat.T, 6) + 0.0, np.round(m @ m.T, 6) + 0.0
+    got = sorted((x.query_key, x["rank"], x.match_key, x.score) for x in index.search(df, 4, 3, 9, drop_self=True).collect())
+    want = []
+    for i in range(90):
+        open_ = [j for j in range(90) if j != i and placed[j][0] in probed[i]]
+        first = sorted(open_, key=lambda j: (-approx[i, j], j))[:9]
+        want += [(i, n + 1, j, exact[i, j]) for n, j in enumerate(sorted(first, key=lambda j: (-exact[i, j], j))[:4])]
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert [x[3] for x in got] == pytest.approx([x[3] for x in want], abs=2e-6)
+
+
+def test_quantised_index_reads_everything_when_asked_to(vecs):
+    _, df = vecs
+    index = QuantisedIndex(df, "id", leaves=3, parts=2, codes=4)
+    exact = r.nearest(df, df, "id", 5, "dot", drop_self=True)
+    assert r.recall_against(exact, index.search(df, 5, 3, 90, drop_self=True), 5).first().recall == 1.0
+
+
+def test_quantised_index_of_hot_leaves_nulls_and_nothing(spark, vecs):
+    _, df = vecs
+    same = spark.range(400).select((F.col("id") + 1000).alias("id"), F.array(*[F.lit(0.5)] * 6).alias("v"))
+    none = spark.createDataFrame([(5000, None)], df.schema)
+    all_ = df.unionAll(same).unionAll(none)
+    index = QuantisedIndex(all_, "id", leaves=4, parts=2, codes=4, slice_rows=50)
+    got = index.search(all_, 3, 2, 20, drop_self=True)
+    assert got.where("query_key = 5000 or match_key = 5000").isEmpty()
+    twins = got.where("query_key >= 1000").groupBy("query_key").agg(F.min("score").alias("s"), F.count("*").alias("n"))
+    assert twins.count() == 400 and twins.where("n <> 3 or s < 1.5").isEmpty()
+    empty = QuantisedIndex(all_.where("false"), "id", leaves=4, parts=2)
+    assert empty.search(all_, 3, 2, 20).isEmpty()
+    assert index.search(all_.where("false"), 3, 2, 20).isEmpty()
