@@ -8,6 +8,7 @@ itself and an offset, summed over the chunks before it, is added.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,8 @@ from tastemill.session import cut_lineage
 GROUP_LIMIT = 1_000_000
 #: Longest list a result row may hold; longer groups give several rows.
 LIST_LIMIT = 1000
+#: Rows a task is to hold, on average, where their number tells more than their bytes.
+TASK_ROWS = 200_000
 
 _CHUNK = "_chunk"
 _ONE = "_all"
@@ -38,6 +41,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+def by_rows(df: DataFrame, rows: float, *keys: str) -> DataFrame:
+    """The rows brought together by ``keys``, in tasks of about TASK_ROWS of the ``rows`` they stand for.
+
+    Partitions are merged by their compressed bytes; rows that shrink well, or grow later in the stage, would put
+    millions on one task. A number of partitions that is set here is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, math.ceil(rows / TASK_ROWS)), *keys)
+
+
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of every group; ``order`` must be total."""
     w = Window.partitionBy(*group).orderBy(*order_cols(order))

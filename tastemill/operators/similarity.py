@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.operators import listed
-from tastemill.operators.ordering import top_k
+from tastemill.operators.ordering import LIST_LIMIT, by_rows, top_k
 from tastemill.operators.pairs import degrees, mirrored, pair_sums, shared_pairs
 from tastemill.operators.tiles import best_matches, block_count
 from tastemill.session import cut_lineage
@@ -226,16 +226,37 @@ def user_based(
     return drop_seen(scored, df) if remove_seen else scored
 
 
+def _held_lists(df: DataFrame) -> DataFrame:
+    """(user_id, items, nulls): the items of each user in lists of about LIST_LIMIT, rows without item counted."""
+    sizes = degrees(df, "user_id", "_n").select(F.col("user_id").alias("_u"), F.ceil(F.col("_n") / LIST_LIMIT).alias("_parts"))
+    parts = F.pmod(F.xxhash64("item_id"), F.col("_parts")).alias("_part")
+    lists = df.join(sizes, F.col("user_id").eqNullSafe(F.col("_u"))).groupBy("user_id", parts).agg(
+        F.sort_array(F.collect_list("item_id")).alias("items"), F.count_if(F.col("item_id").isNull()).cast("int").alias("nulls")
+    )
+    return lists.drop("_part")
+
+
 def user_top_n(df: DataFrame, k: int, n: int) -> DataFrame:
-    """User CF: sum of the similarities of the k nearest users who took the item, unseen only."""
+    """User CF: sum of the similarities of the k nearest users who took the item, unseen only.
+
+    A neighbour's items travel as lists and meet the user's own ones at the user: a row for every user, neighbour and
+    item exists within a task only.
+    """
+    df = cut_lineage(df.select("user_id", "item_id"))
     near = most_similar(df, "item_id", "user_id", k)
-    scored = (
-        near.select(F.col("a").alias("user_id"), F.col("b").alias("_v"), "score")
-        .join(df.select(F.col("user_id").alias("_v"), "item_id"), "_v")
-        .groupBy("user_id", "item_id")
-        .agg(fx.tidy(F.sum("score"), DECIMALS).alias("score"))
+    held = _held_lists(df)
+    theirs = near.select(F.col("a").alias("user_id"), F.col("b").alias("_v"), "score").join(
+        held.withColumnRenamed("user_id", "_v"), "_v"
     )
-    return top_k(drop_seen(scored, df), ["user_id"], [F.desc("score"), "item_id"], n)
+    own = held.select("user_id", F.lit(None).cast("double").alias("score"), "items", F.lit(0).alias("nulls"))
+    lists = by_rows(theirs.drop("_v").unionByName(own), (k + 1) * df.count(), "user_id")
+    nothing = F.array_repeat(F.lit(None).cast(df.schema["item_id"].dataType), F.col("nulls"))
+    cells = lists.select("user_id", "score", F.explode(F.concat("items", nothing)).alias("item_id"))
+    scored = cells.groupBy("user_id", "item_id").agg(
+        fx.tidy(F.sum("score"), DECIMALS).alias("score"), F.count_if(F.col("score").isNull()).alias("_own")
+    )
+    unseen = scored.filter(F.col("_own") == 0).drop("_own")
+    return top_k(unseen, ["user_id"], [F.desc("score"), "item_id"], n)
 
 
 def item_top_n(df: DataFrame, k: int, n: int) -> DataFrame:
