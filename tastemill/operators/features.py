@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
 from tastemill.operators.joins import lookup
-from tastemill.operators.ordering import position, running, top_k
+from tastemill.operators.ordering import by_rows, position, running, top_k
+
+#: Dimensions of a vector that are summed in one row.
+PIECE = 64
+#: Vectors of at most so many bytes go to every task.
+BROADCAST_BYTES = 32_000_000
 
 
 def index_column(df: DataFrame, vocabulary: DataFrame, column: str, name: str, unknown: int = 0) -> DataFrame:
@@ -108,10 +113,31 @@ def mean_token_vectors(tok: DataFrame, key: str, vectors: DataFrame) -> DataFram
     """Mean of the token vectors of each text, (key, dim, x) rows.
 
     ``tok`` (key, token, tf), ``vectors`` (token, v). The counts weight the
-    mean, so a text's repeated tokens are joined once.
+    mean, so a text's repeated tokens are joined once. A text is one row of
+    sums for every PIECE dimensions and becomes a row per dimension at the end.
     """
-    cells = tok.join(vectors, "token").select(key, "tf", F.posexplode("v").alias("dim", "x"))
-    return cells.groupBy(key, "dim").agg(fx.tidy(F.sum(F.col("tf") * F.col("x")) / F.sum("tf")).alias("x"))
+    at = F.sequence(F.lit(0), F.ceil(F.size("v") / PIECE).cast("int") - 1)
+    pieces = vectors.filter(F.size("v") > 0).select(
+        "token", F.posexplode(F.transform(at, lambda i: F.slice("v", i * PIECE + 1, PIECE))).alias("_piece", "v")
+    )
+    counts = dict(tuple(r) for r in pieces.groupBy(F.size("v")).count().collect())  # at most PIECE lengths
+    lengths = sorted(counts) or [1]
+    if sum(n * 8 * c for n, c in counts.items()) <= BROADCAST_BYTES:
+        pieces = F.broadcast(pieces)
+    tf = F.col("tf")
+    totals = [F.sum(F.when(F.size("v") >= n, tf)).alias(f"_n{n}") for n in lengths]
+    sums = [F.sum(tf * F.get("v", F.lit(d))).alias(f"_s{d}") for d in range(lengths[-1])]
+    rows = by_rows(tok, tok.count(), key).join(pieces, "token").groupBy(key, "_piece").agg(*totals, *sums)
+    cells = [
+        F.struct(
+            (F.col("_piece") * PIECE + d).alias("dim"),
+            F.col(f"_s{d}").alias("s"),
+            F.col(f"_n{next(n for n in lengths if n > d)}").alias("n"),
+        )
+        for d in range(lengths[-1])
+    ]
+    out = rows.select(key, F.explode(F.array(*cells)).alias("c")).filter(F.col("c.n").isNotNull())
+    return out.select(key, "c.dim", fx.tidy(F.col("c.s") / F.col("c.n")).alias("x"))
 
 
 def dense_and_sparse(df: DataFrame, dense: Sequence[str], sparse: Sequence[str]) -> DataFrame:

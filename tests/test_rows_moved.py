@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from tastemill.operators import features
 from tastemill.operators import similarity as s
 
 
@@ -48,3 +49,31 @@ def test_items_of_neighbours_travel_as_lists(monkeypatch, spark, length):
     got = {(r.user_id, r["rank"]): (r.item_id, r.score) for r in out.collect()}
     assert {x: y[0] for x, y in got.items()} == {x: y[0] for x, y in want.items()}
     assert [got[x][1] for x in want] == pytest.approx([y[1] for y in want.values()], abs=1.01e-6)
+
+
+# --- H15_mean_token_vectors ------------------------------------------------------
+
+
+@pytest.mark.parametrize(("piece", "limit"), [(64, 10**9), (2, 0)])
+def test_mean_vectors_are_summed_in_a_row_a_text(monkeypatch, spark, piece, limit):
+    monkeypatch.setattr(features, "PIECE", piece)
+    monkeypatch.setattr(features, "BROADCAST_BYTES", limit)
+    vectors = {"a": [1.0, 2.0, 3.0, 4.0, 5.0], "b": [2.0, None, -1.0], "c": [], "d": None, "e": [None, 0.5]}
+    tok = [(1, "a", 1), (1, "b", 2), (2, "b", 1), (2, "c", 3), (3, "d", 1), (4, "x", 1), (None, "a", 2), (None, "e", 1), (5, "e", 2)]
+    out = features.mean_token_vectors(
+        spark.createDataFrame(tok, "k long, token string, tf long"), "k", spark.createDataFrame(list(vectors.items()), "token string, v array<double>")
+    )
+    assert "k, dim" not in exchanged(out) and "keys=[k" in plan(out) and ", dim#" not in "".join(re.findall(r"keys=\[[^\]]*\]", plan(out)))
+    sums = {}
+    for k, token, tf in tok:
+        for d, x in enumerate(vectors.get(token) or []):
+            n, s_ = sums.get((k, d), (0, None))
+            sums[(k, d)] = n + tf, s_ if x is None else (s_ or 0.0) + tf * x
+    want = {x: None if v is None else round(v / n, 6) for x, (n, v) in sums.items()}
+    assert {(r.k, r.dim): r.x for r in out.collect()} == want
+
+
+def test_mean_vectors_of_no_vector(spark):
+    tok = spark.createDataFrame([(1, "a", 1)], "k long, token string, tf long")
+    out = features.mean_token_vectors(tok, "k", spark.createDataFrame([("a", [])], "token string, v array<double>"))
+    assert out.collect() == [] and out.columns == ["k", "dim", "x"]
