@@ -58,10 +58,15 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k:
     return kept.withColumn(rank, F.col(rank).cast("long"))
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group; counts are combined before the shuffle."""
+def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all; counts are combined before the shuffle."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")) if group else df.agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return tuple(x or 0 for x in sizes.agg(F.max("n"), F.sum("n")).first())
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group."""
+    return group_sizes(df, group)[0]
 
 
 def running(

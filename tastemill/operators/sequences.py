@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.functions import scalar as fx
-from tastemill.operators.ordering import list_parts, order_cols, position, previous_rows, top_k
+from tastemill.operators import ordering
+from tastemill.operators.ordering import by_rows, group_sizes, list_parts, order_cols, position, previous_rows, top_k
 
 #: Numbers one generated row holds before it is spread out again.
 RANGE_CHUNK = 10_000
@@ -157,16 +158,24 @@ def borrowed_negatives(df: DataFrame, key: Sequence[str], k: int, seed: int = 42
 def balanced_labels(df: DataFrame, threshold: float, order: Sequence[str]) -> DataFrame:
     """Per user as many positives as negatives.
 
-    Positives in ``order``, negatives by falling mean rating of the item.
+    Positives in ``order``, negatives by falling mean rating of the item. Users
+    that fit a task are brought together once, for their counts and places.
     """
     means = df.groupBy("item_id").agg(fx.half_even(F.avg("rating"), 3).alias("_mean"))
     rows = df.join(means, "item_id").withColumn("label", (F.col("rating") >= threshold).cast("int"))
-    sizes = rows.groupBy("user_id").agg(
-        F.least(F.sum("label"), F.sum(1 - F.col("label"))).alias("_take")
-    ).filter(F.col("_take") > 0)
+    take = F.least(F.sum("label"), F.sum(1 - F.col("label")))
     by = [F.when(F.col("label") == 0, -F.col("_mean")).otherwise(F.lit(0.0)), *order_cols(order)]
-    placed = position(rows, ["user_id", "label"], by, "_pos")
-    return placed.join(sizes, "user_id").filter(F.col("_pos") <= F.col("_take")).select("user_id", "item_id", "label")
+    largest, n = group_sizes(df, ["user_id"])
+    if largest <= ordering.GROUP_LIMIT:
+        rows = by_rows(rows.filter(F.col("user_id").isNotNull()), n, "user_id")
+        place = F.row_number().over(Window.partitionBy("user_id", "label").orderBy(*by))
+        per_user = Window.partitionBy("user_id")
+        sums = F.least(F.sum("label").over(per_user), F.sum(1 - F.col("label")).over(per_user))
+        placed = rows.withColumn("_pos", place).withColumn("_take", sums)
+    else:
+        sizes = rows.groupBy("user_id").agg(take.alias("_take")).filter(F.col("_take") > 0)
+        placed = position(rows, ["user_id", "label"], by, "_pos").join(sizes, "user_id")
+    return placed.filter(F.col("_pos") <= F.col("_take")).select("user_id", "item_id", "label")
 
 
 # --- splits ---------------------------------------------------------------------

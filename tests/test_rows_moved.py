@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from tastemill.operators import features
+from tastemill.operators import features, ordering, sequences
 from tastemill.operators import similarity as s
 
 
@@ -77,3 +77,28 @@ def test_mean_vectors_of_no_vector(spark):
     tok = spark.createDataFrame([(1, "a", 1)], "k long, token string, tf long")
     out = features.mean_token_vectors(tok, "k", spark.createDataFrame([("a", [])], "token string, v array<double>"))
     assert out.collect() == [] and out.columns == ["k", "dim", "x"]
+
+
+# --- X10_balanced_labels ---------------------------------------------------------
+
+
+@pytest.mark.parametrize("limit", [10**6, 3])
+def test_balanced_labels_meet_once_a_user(monkeypatch, spark, limit):
+    monkeypatch.setattr(ordering, "GROUP_LIMIT", limit)
+    rnd = random.Random(3)
+    rows = [(u, i, float(rnd.randint(1, 9)), rnd.randint(0, 99)) for u in range(12) for i in rnd.sample(range(20), rnd.randint(1, 9))]
+    df = spark.createDataFrame([*rows, (None, 1, 9.0, 1), (None, 2, 1.0, 1)], "user_id long, item_id long, rating double, ts long")
+    out = sequences.balanced_labels(df, 5.0, ["ts", "item_id"])
+    if limit > 3:  # the items' means, the rows that get them, one exchange of users
+        assert [x for x in exchanged(out) if "user_id" in x] == ["user_id"]
+    ratings = {}
+    for _, i, x, _ in [*rows, (None, 1, 9.0, 1), (None, 2, 1.0, 1)]:
+        ratings.setdefault(i, []).append(x)
+    mean = {i: round(sum(x) / len(x), 3) for i, x in ratings.items()}
+    want = set()
+    for u in range(12):
+        liked = sorted((ts, i) for w, i, x, ts in rows if w == u and x >= 5)
+        rest = sorted((-mean[i], ts, i) for w, i, x, ts in rows if w == u and x < 5)
+        take = min(len(liked), len(rest))
+        want |= {(u, x[-1], 1) for x in liked[:take]} | {(u, x[-1], 0) for x in rest[:take]}
+    assert {tuple(r) for r in out.collect()} == want
