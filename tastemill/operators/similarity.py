@@ -15,6 +15,8 @@ from tastemill.operators.tiles import best_matches, block_count
 from tastemill.session import cut_lineage
 
 DECIMALS = 6
+#: Rows of a table of similar items that is handed to every task.
+FEW_SIMILARITIES = 500_000
 
 
 def _weighted(
@@ -382,29 +384,28 @@ def sar(
     ).scalar()
     own = taken.select(F.col("item_id").alias("a")).distinct()
     sims = mirrored(jaccard(taken)).unionByName(own.select("a", F.col("a").alias("b"), F.lit(1.0).alias("score")))
-    raw = (
-        taken.select("user_id", F.col("item_id").alias("a"), "affinity")
-        .join(sims, "a")
-        .groupBy("user_id", F.col("b").alias("item_id"))
-        .agg(F.sum(F.col("affinity") * F.col("score")).alias("_raw"), F.sum("score").alias("_unit"))
+    sims = cut_lineage(sims)
+    few, kept = sims.count(), taken.select("user_id", F.col("item_id").alias("a"), "affinity")
+    if few <= FEW_SIMILARITIES:
+        # every task gets the table, and a user's sums are final where the user's rows are
+        sims = F.broadcast(sims)
+        kept = by_rows(kept, taken.count() * few / max(1, own.count()), "user_id")
+    # a user took an item that is reached from itself; rows without user are never seen
+    met = F.coalesce(F.max((F.col("a") == F.col("b")) & F.col("user_id").isNotNull()), F.lit(False))
+    raw = kept.join(sims, "a").groupBy("user_id", F.col("b").alias("item_id")).agg(
+        F.sum(F.col("affinity") * F.col("score")).alias("_raw"), F.sum("score").alias("_unit"), met.alias("_seen")
     )
     if normalise:
-        ends = raw.groupBy("user_id").agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_unit").alias("_mn"), F.max("_unit").alias("_mx")
-        )
-        ends = ends.withColumn("_s", scale).withColumns(
-            {"_lo": F.col("_s.lo"), "_hi": F.col("_s.hi"), "_items": F.col("_s.n")}
-        )
-        ends = ends.select(
-            "user_id",
-            "_lo",
-            "_hi",
-            (F.when(F.col("_n") < F.col("_items"), F.lit(0.0)).otherwise(F.col("_mn")) * F.col("_lo")).alias("_from"),
-            (F.col("_mx") * F.col("_hi")).alias("_to"),
-        )
-        place = F.try_divide(F.col("_raw") - F.col("_from"), F.col("_to") - F.col("_from"))
-        raw = raw.join(ends, "user_id").withColumn("_raw", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * place)
-    scored = drop_seen(raw, taken).select("user_id", "item_id", fx.tidy(F.col("_raw"), DECIMALS).alias("score"))
+        per_user = Window.partitionBy("user_id")
+        raw = raw.withColumns({
+            "_n": F.count(F.lit(1)).over(per_user), "_mn": F.min("_unit").over(per_user), "_mx": F.max("_unit").over(per_user),
+        }).filter(F.col("user_id").isNotNull())
+        raw = raw.withColumn("_s", scale)
+        low, high = F.col("_s.lo"), F.col("_s.hi")
+        start = F.when(F.col("_n") < F.col("_s.n"), F.lit(0.0)).otherwise(F.col("_mn")) * low
+        place = F.try_divide(F.col("_raw") - start, F.col("_mx") * high - start)
+        raw = raw.withColumn("_raw", low + (high - low) * place)
+    scored = raw.filter(~F.col("_seen")).select("user_id", "item_id", fx.tidy(F.col("_raw"), DECIMALS).alias("score"))
     return top_k(scored, ["user_id"], [F.desc("score"), "item_id"], k)
 
 

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tastemill.operators import features, ordering, sequences
 from tastemill.operators import similarity as s
@@ -102,3 +103,49 @@ def test_balanced_labels_meet_once_a_user(monkeypatch, spark, limit):
         take = min(len(liked), len(rest))
         want |= {(u, x[-1], 1) for x in liked[:take]} | {(u, x[-1], 0) for x in rest[:take]}
     assert {tuple(r) for r in out.collect()} == want
+
+
+# --- I11_sar_top_k ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+@pytest.mark.parametrize("normalise", [True, False])
+def test_scores_of_a_user_are_summed_where_the_user_is(monkeypatch, spark, few, normalise):
+    monkeypatch.setattr(s, "FEW_SIMILARITIES", few)
+    rnd = random.Random(2)
+    rows = [(rnd.randint(0, 20), rnd.randint(0, 12), 86400 * rnd.randint(0, 60), rnd.choice([1.0, 3.0])) for _ in range(90)]
+    rows += [(None, 3, 0, 1.0), (None, 4, 0, 3.0), (5, None, 0, 1.0)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, ts long, w double")
+    out = s.sar(df, F.col("w"), 30, normalise=normalise)
+    if few:
+        assert exchanged(out).count("user_id, item_id") == 1  # of the events; neither the sums nor the items taken
+    latest = max(r[2] for r in rows)
+    taken, users = {}, {}
+    for u, i, ts, w in rows:
+        taken[(u, i)] = taken.get((u, i), 0.0) + w * 2 ** (-(latest - ts) / 86400 / 30)
+    for u, i in taken:
+        users.setdefault(i, set()).add(u)
+    like = {}
+    for a in filter(lambda i: i is not None, users):
+        for b in filter(lambda i: i is not None, users):
+            both = len({u for u in users[a] & users[b] if u is not None})
+            if a == b or both:
+                like[(a, b)] = 1.0 if a == b else both / (len(users[a]) + len(users[b]) - both)
+    raw = {}
+    for (u, a), x in taken.items():
+        for (c, b), y in like.items():
+            if a == c:
+                r, unit = raw.get((u, b), (0.0, 0.0))
+                raw[(u, b)] = r + x * y, unit + y
+    items = len({i for _, i, _, _ in rows})
+    want = {}
+    for (u, b), (r, unit) in raw.items():
+        units = [y for (v, _), (_, y) in raw.items() if v == u]
+        if normalise:
+            start, end = (0.0 if len(units) < items else min(units)) * 1.0, max(units) * 3.0
+            r = 1.0 + 2.0 * (r - start) / (end - start)
+        if u is None and not normalise or u is not None and (u, b) not in taken:
+            want[(u, b)] = r
+    got = {(r.user_id, r.item_id): r.score for r in out.collect()}
+    assert got.keys() == want.keys()
+    assert [got[x] for x in want] == pytest.approx(list(want.values()), abs=1.01e-6)
