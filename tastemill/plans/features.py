@@ -164,8 +164,9 @@ def binary_code(spark, sf):
     + " SELECT k AS doc_id, token, round_even(weight, 6) AS weight FROM wt")
 def tf_idf(spark, sf):
     docs = t.table(spark, sf, "documents").select("doc_id", "text")
-    tok = c.tokens(docs, "doc_id", "text", STOP_WORDS)
-    out = c.tf_idf(tok, "doc_id", docs.agg(F.count(F.lit(1))).scalar())
+    tasks = c.text_tasks(docs, "doc_id", "text")
+    tok = c.tokens(docs, "doc_id", "text", STOP_WORDS, tasks)
+    out = c.tf_idf(tok, "doc_id", docs.agg(F.count(F.lit(1))).scalar(), tasks)
     return out.select("doc_id", "token", fx.tidy(F.col("weight")).alias("weight"))
 
 

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tastemill.operators import features, ordering, sequences
+from tastemill.operators import content, features, ordering, sequences
 from tastemill.operators import similarity as s
 
 
@@ -149,3 +149,22 @@ def test_scores_of_a_user_are_summed_where_the_user_is(monkeypatch, spark, few,
     got = {(r.user_id, r.item_id): r.score for r in out.collect()}
     assert got.keys() == want.keys()
     assert [got[x] for x in want] == pytest.approx(list(want.values()), abs=1.01e-6)
+
+
+# --- H13_tf_idf ------------------------------------------------------------------
+
+
+def test_words_are_counted_where_their_text_is(monkeypatch, spark):
+    texts = [(1, "red red blue sky"), (2, "red sea"), (2, "sea blue"), (3, None), (None, "red sky"), (None, "rare red"), (4, "a b"), (5, "rare red")]
+    df = spark.createDataFrame(texts, "k long, text string")
+    tasks = content.text_tasks(df, "k", "text")
+    counted = content.tokens(df, "k", "text", ["sky"], tasks)
+    assert exchanged(counted) == ["k"]
+    monkeypatch.setattr(content, "COMMON_WORDS", 1)
+    got = content.tf_idf(counted, "k", 8, tasks)
+    assert "k, token" not in exchanged(got)
+    plain = content.tf_idf(content.tokens(df, "k", "text", ["sky"]), "k", 8)
+    want = sorted((str(r.k), r.token, round(r.weight, 9)) for r in plain.collect())
+    assert sorted((str(r.k), r.token, round(r.weight, 9)) for r in got.collect()) == want and len(want) == 9
+    monkeypatch.setattr(content, "TASK_CHARS", 3)
+    assert content.text_tasks(df, "k", "text") is None  # one key has more than a task's
