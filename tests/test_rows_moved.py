@@ -168,3 +168,21 @@ def test_words_are_counted_where_their_text_is(monkeypatch, spark):
     assert sorted((str(r.k), r.token, round(r.weight, 9)) for r in got.collect()) == want and len(want) == 9
     monkeypatch.setattr(content, "TASK_CHARS", 3)
     assert content.text_tasks(df, "k", "text") is None  # one key has more than a task's
+
+
+# --- J4_profile_recommend, X3_context_features: rows in tasks by their number ------
+
+
+@pytest.mark.parametrize("users", [None, 3])
+def test_profile_lists_in_tasks_by_users(monkeypatch, spark, users):
+    monkeypatch.setattr(ordering, "TASK_ROWS", 2)
+    profile = spark.createDataFrame(
+        [(1, "x", 1, 0.5), (1, "y", 2, 0.5), (2, "y", 1, 1.0), (None, "x", 1, 1.0)], "user_id long, category string, rank long, ratio double"
+    )
+    top = spark.createDataFrame([("x", 7, 1), ("x", 8, 2), ("x", 9, 3), ("y", 8, 1), ("y", 6, 2)], "category string, item_id long, rank long")
+    out = content.recommend_from_profile(profile, top, 3, users)
+    got = sorted((str(r.user_id), r["rank"], r.item_id) for r in out.collect())
+    assert got == [("1", 1, 7), ("1", 2, 8), ("1", 3, 6), ("2", 1, 8), ("2", 2, 6), ("None", 1, 7), ("None", 2, 8), ("None", 3, 9)]
+    if users:
+        assert "hashpartitioning(user_id" in plan(out) and "user_id, item_id" not in exchanged(out)
+        assert max(map(int, re.findall(r"hashpartitioning\(user_id#\d+L?, (\d+)\)", plan(out)))) == 9  # 2 x 3 rows of 3 users
