@@ -152,11 +152,20 @@ def previous_rows(
 ) -> DataFrame:
     """The up to ``n`` rows before each row of its group, oldest first, one list per field.
 
-    Long groups are framed chunk by chunk; the last ``n`` rows of a chunk are
-    copied into the next one, so no frame is cut.
+    Groups that fit a task are ordered once. Long groups are framed chunk by
+    chunk; the last ``n`` rows of a chunk are copied into the next one, so no
+    frame is cut.
     """
     limit = limit or GROUP_LIMIT
     tagged = df.select("*", *[v.alias(f"_f_{f}") for f, v in fields.items()])
+    largest, rows = group_sizes(df, group)
+    if group and largest <= limit:
+        w = Window.partitionBy(*group).orderBy(*order_cols(order))
+        return by_rows(tagged, rows, *group).select(
+            *df.columns,
+            F.row_number().over(w).cast("long").alias(place),
+            *[F.collect_list(f"_f_{f}").over(w.rowsBetween(-n, -1)).alias(f) for f in fields],
+        )
     placed = position(tagged, group, order, place, limit)
     chunk = F.floor((F.col(place) - 1) / limit)
     copies = F.when(

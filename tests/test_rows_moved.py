@@ -186,3 +186,20 @@ def test_profile_lists_in_tasks_by_users(monkeypatch, spark, users):
     if users:
         assert "hashpartitioning(user_id" in plan(out) and "user_id, item_id" not in exchanged(out)
         assert max(map(int, re.findall(r"hashpartitioning\(user_id#\d+L?, (\d+)\)", plan(out)))) == 9  # 2 x 3 rows of 3 users
+
+
+@pytest.mark.parametrize("limit", [10**6, 20])
+def test_frames_in_tasks_by_rows(monkeypatch, spark, limit):
+    monkeypatch.setattr(ordering, "TASK_ROWS", 10)
+    rnd = random.Random(4)
+    some = [None] if limit > 20 else []  # chunks are joined by their group
+    rows = [(rnd.choice([*some, "hot", "hot", *"abcdef"]), rnd.randint(0, 9), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, t int, id int")
+    out = ordering.previous_rows(df, ["g"], ["t", "id"], 3, {"before": F.col("id")}, limit=limit)
+    if limit > 20:
+        assert re.findall(r"hashpartitioning\(g#\d+, (\d+)\)", plan(out)) == ["20"] and plan(out).count("Sort [") == 1
+    groups = {}
+    for g, ts, i in sorted(rows, key=lambda r: r[1:]):
+        groups.setdefault(g, []).append(i)
+    want = {i: (n + 1, held[max(0, n - 3) : n]) for held in groups.values() for n, i in enumerate(held)}
+    assert {r.id: (r.pos, r.before) for r in out.collect()} == want
