@@ -24,7 +24,7 @@ MOST_TASKS = 20_000
 #: Rows of a block, on either side.
 BLOCK = 8192
 #: Cells of the score table a kernel holds at a time.
-CELLS = 4_000_000
+CELLS = 1_000_000
 #: A token held by more than one in DENSE_SHARE candidates of a tile is common.
 DENSE_SHARE = 8
 DECIMALS = 6

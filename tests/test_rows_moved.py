@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tastemill.operators import content, features, ordering, sequences
+from tastemill.operators import content, features, ordering, sequences, tiles
 from tastemill.operators import similarity as s
 
 
@@ -203,3 +206,17 @@ def test_frames_in_tasks_by_rows(monkeypatch, spark, limit):
         groups.setdefault(g, []).append(i)
     want = {i: (n + 1, held[max(0, n - 3) : n]) for held in groups.values() for n, i in enumerate(held)}
     assert {r.id: (r.pos, r.before) for r in out.collect()} == want
+
+
+# --- L2_cosine_top_k, L3_l2_neighbours -------------------------------------------
+
+
+@pytest.mark.parametrize("kernel", ["cosine", "l2"])
+def test_a_tile_of_full_blocks_takes_little_memory(kernel):
+    rng = np.random.default_rng(1)
+    side = [pd.DataFrame({"key": np.arange(tiles.BLOCK), "v": list(rng.normal(size=(tiles.BLOCK, 64)))}) for _ in range(2)]
+    tracemalloc.start()
+    found = tiles.matcher(kernel, 10)(*side)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 10 * tiles.BLOCK and peak < 80e6
