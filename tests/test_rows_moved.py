@@ -220,3 +220,27 @@ def test_a_tile_of_full_blocks_takes_little_memory(kernel):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found) == 10 * tiles.BLOCK and peak < 80e6
+
+
+# --- I8_user_pearson_predict -----------------------------------------------------
+
+
+def test_nearest_raters_leave_tiles_of_users(monkeypatch, spark):
+    monkeypatch.setattr(s, "RATER_CELLS", 40)
+    monkeypatch.setattr(s, "RATER_ITEMS", 3)
+    monkeypatch.setattr(s, "block_count", lambda *_: 3)
+    rnd = random.Random(6)
+    rows = [(u, i, None if rnd.random() < 0.1 else float(rnd.randint(1, 9))) for u in range(25) for i in rnd.sample(range(10), rnd.randint(1, 7))]
+    df = spark.createDataFrame([*rows, (None, 1, 2.0), (3, None, 4.0)], "user_id long, item_id long, rating double")
+    want = s.predict_from_users(df, s.pearson(df, "item_id", "user_id"), df, 2)
+
+    def pairs(*_args, **_kw):
+        raise AssertionError("a row for every pair of members")
+
+    monkeypatch.setattr(s, "shared_pairs", pairs)
+    monkeypatch.setattr(s, "pair_sums", pairs)
+    near = s.nearest_raters(df, df, 2)
+    got = {(r.user_id, r.item_id): r.prediction for r in s.predict_from_raters(df, near).collect()}
+    want = {(r.user_id, r.item_id): r.prediction for r in want.collect()}
+    assert got.keys() == want.keys() and len(got) > 50
+    assert all(got[x] is None and y is None or abs(got[x] - y) < 1.5e-5 for x, y in want.items())
