@@ -4,6 +4,10 @@ Queries and candidates are hashed into blocks; one task compares one block with
 one block and hands on only the k best candidates of each query, so neither a
 cross join nor a table of all pairs exists, no side is broadcast, and the
 memory of a task is bounded by the block sizes. The kernels run on numpy.
+
+Cosines of few dimensions need not compare all blocks: candidates lie in cells
+of directions, the k best of a query's own cell bound what another cell must
+reach, and the query goes to no cell that cannot.
 """
 
 from __future__ import annotations
@@ -13,11 +17,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastemill.operators.ordering import top_k
+from tastemill.session import cut_lineage
 
 #: Most tasks of one tile stage; beyond it a task takes several tiles.
 MOST_TASKS = 20_000
@@ -28,6 +34,14 @@ CELLS = 1_000_000
 #: A token held by more than one in DENSE_SHARE candidates of a tile is common.
 DENSE_SHARE = 8
 DECIMALS = 6
+#: Dimensions up to which directions are cut into cells, candidates of a cell on average, most cells.
+FEW_DIMENSIONS = 6
+CELL_ROWS = 2048
+MOST_CELLS = 4096
+#: Cells there must be, so that leaving some out is worth two rounds.
+FEWEST_CELLS = 16
+#: What angles and rounded scores may be off.
+SLACK = 1e-6
 
 #: Keys of the queries, sorted keys of the candidates, and the score rows a few queries at a time.
 Scored = tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]
@@ -299,6 +313,118 @@ def match_schema(query_key: T.DataType, match_key: T.DataType) -> T.StructType:
     )
 
 
+def _vectors(df: DataFrame, key: str) -> DataFrame:
+    return cut_lineage(df.select(F.col(key).alias("key"), F.col("v").cast("array<double>").alias("v")))
+
+
+def _widths(vectors: DataFrame) -> tuple[int, int] | None:
+    """Least and greatest number of dimensions; None where a vector or number is null or not finite."""
+    sound = F.forall("v", lambda x: F.coalesce(F.abs(x) < F.lit(math.inf), F.lit(False)))
+    least, most, fine = vectors.agg(F.min(F.size("v")), F.max(F.size("v")), F.every(F.coalesce(sound, F.lit(False)))).first()
+    return (least, most) if fine else None
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+    return _unit(flat.reshape(batch.num_rows, -1))
+
+
+def _nearest(m: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre of each row and the angle to it."""
+    cell, angle = np.zeros(len(m), np.int32), np.zeros(len(m))
+    step = max(1, CELLS // len(centres))
+    for i in range(0, len(m), step):
+        near = m[i : i + step] @ centres.T
+        cell[i : i + step] = near.argmax(axis=1)
+        angle[i : i + step] = np.arccos(np.clip(near.max(axis=1), -1.0, 1.0))
+    return cell, angle
+
+
+def _by_direction(
+    queries: DataFrame, candidates: DataFrame, key: str, k: int, drop_self: bool, positive_only: bool, offered: int
+) -> DataFrame | None:
+    """(query_key, match_key, score) with the k best by cosine of every query; None where vectors are not fit for cells.
+
+    Centres are candidates in hash order, a cell is what lies nearest to one. A first round finds the k best of a
+    query's own cell; the second takes the query to the cells that may hold as good ones, by the angle to the centre
+    and the greatest angle in the cell. Candidates without direction have a cell that scores 0. Cells and their
+    queries are cut into slices of BLOCK rows.
+    """
+    kinds = match_schema(queries.schema[key].dataType, candidates.schema[key].dataType)
+    queries, candidates = _vectors(queries, key), _vectors(candidates, key)
+    widths = _widths(queries), _widths(candidates)
+    if widths[0] is None or widths[0] != widths[1] or not 0 < widths[0][0] == widths[0][1] <= FEW_DIMENSIONS:
+        return None
+    some = candidates.orderBy(F.xxhash64("key"), "key").limit(min(MOST_CELLS, -(-offered // CELL_ROWS))).collect()
+    centres = np.unique(_unit(np.array([r.v for r in some])), axis=0)
+    centres = centres[(centres != 0).any(axis=1)]
+    if not len(centres):
+        return None
+    none = len(centres)  # the cell of candidates without direction
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = _matrix(batch)
+            cell, angle = _nearest(m, centres)
+            cell[~m.any(axis=1)] = none
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(angle)], ["key", "v", "cell", "angle"])
+
+    plain = T.StructType([candidates.schema["key"], candidates.schema["v"]]).add("cell", "integer")
+    offers = cut_lineage(candidates.mapInArrow(placed, T.StructType(plain.fields).add("angle", "double")))
+    widest = np.full(none + 1, -1.0)  # a cell without rows stays below 0
+    for r in offers.groupBy("cell").agg(F.max("angle").alias("angle")).collect():
+        widest[r.cell] = r.angle
+
+    def slices(rows: DataFrame, name: str) -> DataFrame:
+        return F.broadcast(rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name)))
+
+    held = cut_lineage(offers.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_nc")))
+
+    def met(asked: DataFrame) -> DataFrame:
+        def sliced(rows: DataFrame, own: str, other: str) -> DataFrame:
+            both = rows.join(slices(asked, "_nq"), "cell").join(F.broadcast(held), "cell")
+            part = F.pmod(F.xxhash64("key"), F.col(f"_n{own}")).cast("int").alias(f"_{own}")
+            every = F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1)).alias(f"_{other}")
+            return by_tile(both.select("key", "v", "cell", part, every), tile, -(-none // 4)).groupBy(*tile)
+
+        tile = ["cell", "_q", "_c"]
+        fn = matcher("cosine", k, drop_self, positive_only)
+        return sliced(asked, "q", "c").cogroup(sliced(offers.drop("angle"), "c", "q")).applyInPandas(fn, kinds)
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, _ = _nearest(_matrix(batch), centres)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["key", "v", "cell"])
+
+    def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = _matrix(batch)
+            goal = batch.column("least").to_numpy(zero_copy_only=False)
+            step = max(1, CELLS // none)
+            for i in range(0, len(whole), step):
+                m = whole[i : i + step]
+                near = m @ centres.T
+                apart = np.arccos(np.clip(near, -1.0, 1.0)) - widest[:none] - SLACK
+                best = np.zeros((len(m), none + 1))
+                best[:, :none] = np.where(m.any(axis=1)[:, None], np.cos(np.maximum(apart, 0.0)), 0.0)
+                open_ = (best >= goal[i : i + step, None] - SLACK) & (widest >= 0.0)
+                open_[np.arange(len(m)), near.argmax(axis=1)] = False
+                row, cell = np.nonzero(open_)
+                at = pa.array(row + i)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").take(at), batch.column("v").take(at), pa.array(cell.astype(np.int32))], ["key", "v", "cell"]
+                )
+
+    asks = T.StructType([queries.schema["key"], queries.schema["v"]]).add("cell", "integer")
+    first = top_k(met(cut_lineage(queries.mapInArrow(home, asks))), ["query_key"], [F.desc("score"), "match_key"], k)
+    first = cut_lineage(first.drop("rank"))
+    full = first.groupBy("query_key").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
+    goals = queries.join(full, F.col("key").eqNullSafe(F.col("query_key")), "left").select(
+        "key", "v", F.coalesce("least", F.lit(-math.inf)).alias("least")
+    )
+    return first.unionByName(met(cut_lineage(goals.mapInArrow(elsewhere, asks))))
+
+
 def best_matches(
     queries: DataFrame,
     candidates: DataFrame,
@@ -322,6 +448,10 @@ def best_matches(
         parallel = queries.sparkSession.sparkContext.defaultParallelism
         asked, offered = sizes or (queries.count(), candidates.count())
         blocks = block_count(asked, parallel), block_count(offered, parallel)
+        if kernel == "cosine" and offered > FEWEST_CELLS * CELL_ROWS:
+            found = _by_direction(queries, candidates, key, k, drop_self, positive_only, offered)
+            if found is not None:
+                return top_k(found, ["query_key"], [F.desc("score"), "match_key"], k)
     nq, nc = blocks
     every_c = F.explode(F.sequence(F.lit(0), F.lit(nc - 1))).alias("_c")
     every_q = F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("_q")

@@ -178,6 +178,28 @@ def test_personal_rank(monkeypatch, clicks, dense, edges):
     assert got == pytest.approx(want, abs=2e-6)
 
 
+@pytest.mark.parametrize("drop_self", [False, True])
+def test_cosines_by_direction_are_those_of_all_blocks(spark, monkeypatch, drop_self):
+    rnd = np.random.default_rng(3)
+    m = rnd.normal(size=(400, 3)).round(1)
+    m[:30] = m[30]  # equal directions, more than a slice
+    m[[40, 41, 77]] = 0.0
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "id long, v array<double>")
+    asked = df if drop_self else df.where("id % 3 = 0").unionByName(spark.createDataFrame([(None, [1.0, 0.0, 2.0])], df.schema))
+    monkeypatch.setattr(tiles, "BLOCK", 25)
+
+    def found():
+        rows = tiles.best_matches(asked, df, "id", 4, "cosine", drop_self=drop_self).collect()
+        return {(r.query_key, r["rank"]): (r.match_key, r.score) for r in rows}
+
+    want = found()
+    monkeypatch.setattr(tiles, "CELL_ROWS", 12)
+    moved, matched = [], tiles._by_direction
+    monkeypatch.setattr(tiles, "_by_direction", lambda *a: moved.append(matched(*a)) or moved[0])
+    assert found() == want and len(want) == 4 * asked.count()
+    assert moved[0] is not None
+
+
 @pytest.mark.parametrize("edges", [40, 150])
 @pytest.mark.parametrize("few", [0, 10**6])
 def test_walks_over_item_pairs_are_those_over_users(monkeypatch, clicks, edges, few):
