@@ -195,3 +195,19 @@ def test_in_batch_softmax_in_tiles(spark, tile_rows):
         z = u[at] @ i[at].T
         want = ((np.log(np.exp(z).sum(axis=1)) - np.diag(z)) * w[at]).mean()
         assert got[b] == pytest.approx(want, abs=1e-6)
+
+
+@pytest.mark.parametrize("products", [0, 10**6])
+def test_ids_that_fit_a_task_are_solved_like_ranged_ones(spark, monkeypatch, products):
+    monkeypatch.setattr(fm, "PRODUCTS", products)
+    rnd = np.random.default_rng(5)
+    ids = [None if x == 0 else f"id_{x}" for x in rnd.integers(0, 9, 300).tolist()]
+    z, r = rnd.normal(size=(300, 3)), rnd.normal(size=300)
+    rows = spark.createDataFrame(list(zip(ids, z.tolist(), r.tolist(), strict=True)), "id string, z array<double>, r double")
+    for whole in (True, False):
+        found = fm.solved(rows, 3, 0.5, whole).collect()
+        assert len(found) == len(set(ids))
+        for x in found:
+            mine = np.array([i == x.id for i in ids])
+            want = np.linalg.solve(z[mine].T @ z[mine] + 0.5 * np.eye(3), r[mine] @ z[mine])
+            assert x.theta == pytest.approx(want.tolist())
