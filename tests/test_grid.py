@@ -5,9 +5,12 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import re
 
+import numpy as np
 import pytest
 
+from tastemill.operators import content, tiles
 from tastemill.operators import similarity as s
 
 
@@ -15,6 +18,11 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def exchanged(df):
+    """Columns by which the plan brings rows together, without their numbers."""
+    return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\((.*), \d+\)", plan(df))]
+
+
 # --- I8_user_pearson -------------------------------------------------------------
 
 
@@ -63,3 +71,45 @@ def test_pearson_of_ratings_without_end_is_joined(monkeypatch, spark):
     joined = sorted(map(str, s.pearson(df, "item_id", "user_id").collect()))
     monkeypatch.setattr(s, "TILED_MEMBERS", 2)
     assert sorted(map(str, s.pearson(df, "item_id", "user_id").collect())) == joined
+
+
+# --- J5_content_neighbours -------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", [int, str])
+def test_blocks_of_texts_meet_without_copies(monkeypatch, spark, kind):
+    rnd = random.Random(8)
+    texts = [(kind(i), " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", f"w{rnd.randint(0, 30)}"]) for _ in range(rnd.randint(1, 6)))) for i in range(30)]
+    texts += [(kind(90), "alone"), (kind(91), "x"), (None, "alpha beta"), (None, "gamma")]
+    df = spark.createDataFrame(texts, f"doc_id {'long' if kind is int else 'string'}, text string")
+    tok = content.tokens(df, "doc_id", "text")
+    whole = content.content_neighbours(tok, "doc_id", len(texts), 4).collect()
+    monkeypatch.setattr(content, "block_count", lambda *_: 5)
+    out = content.content_neighbours(tok, "doc_id", len(texts), 4)
+    assert "CartesianProduct" in plan(out) and not any("_q" in x or "_c" in x for x in exchanged(out))
+    weights = {r.key: {} for r in content.tf_idf(tok.withColumnRenamed("doc_id", "key"), "key", len(texts)).collect()}
+    for r in content.tf_idf(tok.withColumnRenamed("doc_id", "key"), "key", len(texts)).collect():
+        weights[r.key][r.token] = r.weight
+    want = {}
+    for a in weights:
+        found = [(-round(sum(x * weights[b].get(w, 0.0) for w, x in weights[a].items()), 6), b) for b in weights if a != b]
+        want |= {(a, n + 1): (b, -x) for n, (x, b) in enumerate(sorted((x, b) for x, b in found if x < 0 and b is not None)[:4]) if a is not None}
+    got = {(r.query_key, r["rank"]): (r.match_key, r.score) for r in out.collect() if r.query_key is not None and r.match_key is not None}
+    assert sorted(map(str, whole)) == sorted(map(str, out.collect()))
+    for x, (b, score) in want.items():
+        assert got[x][1] == pytest.approx(score, abs=2e-6)
+
+
+def test_best_of_many_positive_scores_as_of_few(monkeypatch):
+    rnd = np.random.default_rng(4)
+    for share in (0.0, 0.3, 1.0):
+        scores = np.round(rnd.random((20, 50)) * (rnd.random((20, 50)) < share), 2) - 0.1 * (rnd.random((20, 50)) < 0.1)
+        scores[0] = -1.0
+        scores[1, :3] = 1e-9
+        same = np.arange(20), np.arange(20)
+        found = []
+        for few in (16, 0):
+            monkeypatch.setattr(tiles, "FEW_SHARE", few)
+            found.append(tiles._best_of_positive(scores.copy(), 7, same))
+        for x, y in zip(*found):
+            assert (x == y).all()
