@@ -35,6 +35,10 @@ PAIR_BLOCK = 1 << 21
 COMPARED, COMPARED_FIRST = 3, 2
 #: Pairs of each part that the second round lets out of a task and a key, and by how many times every round lets out more.
 SECOND_ROUND = 32
+#: Bytes of a sketch, each the number of shingles whose hash is in one of as many ranges; the last value stands for more.
+SKETCH, SKETCH_FULL = 32, 255
+#: Rows of one codeword that a task looks at together, rows it holds at most; of more each key goes out by itself.
+WORD_ROWS, MOST_WORD_ROWS = 100_000, 1_000_000
 
 #: Generator polynomial of the binary Golay code, word and message length.
 GENERATOR, WORD_BITS, MESSAGE_BITS = 0b101011100011, 23, 12
@@ -127,17 +131,39 @@ def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(MIX_LAST))).astype("<u8")
 
 
+def sketched(hashes: np.ndarray) -> np.ndarray:
+    """Number of hashes in each of SKETCH ranges, as bytes."""
+    shift = np.uint64(64 - (SKETCH - 1).bit_length())
+    return np.minimum(np.bincount((hashes >> shift).astype(np.int64), minlength=SKETCH), SKETCH_FULL).astype(np.uint8)
+
+
+def may_resemble(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, least: float) -> np.ndarray:
+    """Whether texts of these sketches (a row each) and sum of sizes can have ``least`` of their shingles in common.
+
+    Common shingles are in the same range, so they are at most the sum of the lesser numbers.
+    """
+    common = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    full = ((a == SKETCH_FULL) & (b == SKETCH_FULL)).any(axis=1)
+    either = sizes - common
+    return full | (either <= 0) | (common / np.maximum(either, 1) >= least)
+
+
 def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...], once: bool = False) -> list[int]:
     """64-bit fingerprints of a text: a bit is set if more than half of the shingles' hashes have it.
 
     With ``once`` repeated shingles count once, so that no shingle decides alone. Pieces are hashed with the first seed;
     the hashes of the others follow from that one.
     """
+    return _described(text, shingle, seeds, once)[0]
+
+
+def _described(text: bytes, shingle: int, seeds: tuple[int, ...], once: bool) -> tuple[list[int], int, np.ndarray]:
+    """The fingerprints, the number of shingles and their sketch."""
     import xxhash
 
     found = text.lower().split()  # A-Z and ASCII white space only
     if not found:
-        return [0] * len(seeds)
+        return [0] * len(seeds), 0, np.zeros(SKETCH, np.uint8)
     line = b" ".join(found)
     sizes = np.fromiter(map(len, found), np.int64, len(found))
     begin = np.cumsum(sizes + 1) - sizes - 1
@@ -156,28 +182,35 @@ def fingerprint(text: bytes, shingle: int, seeds: tuple[int, ...], once: bool =
             bits = np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             counts += bits.sum(axis=0, dtype=np.uint32)
         out.append(int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little"))
-    return out
+    return out, n, sketched(first)
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+#: Columns of a text's sketch.
+SKETCHED = ["size", *(f"sk_{i}" for i in range(SKETCH // 8))]
+
+
 def fingerprints(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (SEED,),
     once: bool = False,
 ) -> DataFrame:
     """doc_id, digest (of the text, null for null), fp_0, fp_1, ... as signed longs, a row per row.
 
-    Null and blank texts have fingerprint 0.
+    Null and blank texts have fingerprint 0. With ``once`` also the number of shingles and their sketch (size, sk_0, ...).
     """
     kind = docs.schema[key].dataType.simpleString()
-    names = [f"fp_{i}" for i in range(len(seeds))]
+    names = [f"fp_{i}" for i in range(len(seeds))] + SKETCHED * once
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py() or b"", shingle, seeds, once) for t in batch.column(1)]
-            columns = [pa.array([_signed(f[i]) for f in found], pa.int64()) for i in range(len(seeds))]
+            found = [_described(t.as_py() or b"", shingle, seeds, once) for t in batch.column(1)]
+            columns = [pa.array([_signed(f[0][i]) for f in found], pa.int64()) for i in range(len(seeds))]
+            if once:
+                sketch = np.array([f[2] for f in found], np.uint8).reshape(-1, SKETCH).view("<i8")
+                columns += [pa.array([f[1] for f in found], pa.int64()), *(pa.array(sketch[:, i]) for i in range(SKETCH // 8))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["doc_id", "digest", *names])
 
     body = F.col(f"`{text}`")
@@ -248,10 +281,187 @@ def lightest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, many: int) -> np.
     return np.unique(np.concatenate([edge[by_end][rank < many], _forest_edges(a, b, weight)]))
 
 
-def _linked(words: int, most: int, closest: bool, many: int):
+def _near(l_: np.ndarray, r_: np.ndarray, prints: list[np.ndarray], part: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of different parts are ``most`` flips apart, and the flips of all."""
+    differ = np.zeros(len(l_), np.uint16)
+    for p in prints:
+        differ += np.bitwise_count(p[l_] ^ p[r_])
+    return (differ <= most) & (part[l_] != part[r_]), differ
+
+
+def _out(nodes: np.ndarray, part: np.ndarray, sketch: list[np.ndarray], l_: np.ndarray, r_: np.ndarray, differ: np.ndarray, many: int, least: float):
+    """(a, b, more) of the pairs that can resemble each other, as few as ``lightest`` lets out; None where there are none."""
+    bytes_ = np.stack(sketch[1:], axis=1).view(np.uint8) if len(l_) else None
+    if len(l_):
+        ok = may_resemble(bytes_[l_], bytes_[r_], sketch[0][l_] + sketch[0][r_], least)
+        l_, r_, differ = l_[ok], r_[ok], differ[ok]
+    if not len(l_):
+        return None
+    a, b = nodes[l_], nodes[r_]
+    edge = lightest(part[l_], part[r_], differ, many)
+    return np.minimum(a, b)[edge], np.maximum(a, b)[edge], np.full(len(edge), len(edge) < len(a))
+
+
+def _worded(tables: int, most: int, many: int, least: float, slices: int):
+    """Kernel over rows sorted by (word, slice): the pairs of a codeword that share the codeword of the other segment too.
+
+    A row is (word, slice, node, prints, sketch, part). Out come edges (a, b, more), and the rows of keys that have more
+    than SIDE_ROWS, or of words that have more than MOST_WORD_ROWS, with their ``key``.
+    """
+    segments, pairs = QUARTERS
+    starts = np.array([segments[b][0] for _, b in pairs], np.uint64)
+    bits = np.uint64((1 << segments[0][1]) - 1)
+
+    def keyed(cols: list[np.ndarray], code: Golay) -> tuple[np.ndarray, np.ndarray]:
+        word, slice_, first = cols[0], cols[1], cols[3].view(np.uint64)
+        other = (first >> starts[(word >> MESSAGE_BITS) % len(pairs)]) & bits
+        ids = code.keys(other.astype(np.uint32), True)
+        row, place = np.nonzero((ids >= 0) & (ids % slices == slice_[:, None]))
+        key = (word[row].astype(np.int64) << MESSAGE_BITS) | ids[row, place]
+        order = np.argsort(key, kind="stable")
+        return row[order], key[order]
+
+    names = ["a", "b", "more", "key", *_carried()]
+
+    def deferred(cols: list[np.ndarray], row: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        nothing = pa.nulls(len(row), pa.int64())
+        rows = [pa.array(c[row]) for c in cols[2:]]
+        return pa.RecordBatch.from_arrays([nothing, nothing, pa.nulls(len(row), pa.bool_()), pa.array(key.astype(np.int32)), *rows], names)
+
+    def edges(a: np.ndarray, b: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        rest = [pa.nulls(len(a), pa.int32()), *[pa.nulls(len(a), pa.int64()) for _ in _carried()]]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more), *rest], names)
+
+    def pairs_of(cols: list[np.ndarray], code: Golay) -> Iterator[pa.RecordBatch]:
+        row, key = keyed(cols, code)
+        start = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+        sizes = np.diff(np.append(start, len(key)))
+        hot = np.repeat(sizes > SIDE_ROWS, sizes)
+        if hot.any():
+            yield deferred(cols, row[hot], key[hot])
+        end = np.repeat(start + sizes, sizes)
+        later = np.where(hot, 0, end - np.arange(len(key)) - 1)
+        at_, total = np.nonzero(later)[0], np.cumsum(later[later > 0])
+        node, prints, sketch, part = cols[2], [c.view(np.uint64) for c in cols[3 : 3 + COMPARED_FIRST]], cols[3 + COMPARED_FIRST : -1], cols[-1]
+        at = 0
+        while at < len(at_):
+            done = total[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(total, done + PAIR_BLOCK)))
+            p, c = at_[at:to], later[at_[at:to]]
+            ramp = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
+            l_, r_ = row[np.repeat(p, c)], row[np.repeat(p + 1, c) + ramp]
+            ok, differ = _near(l_, r_, prints, part, most)
+            found = _out(node, part, sketch, l_[ok], r_[ok], differ[ok], many, least) if ok.any() else None
+            if found is not None:
+                yield edges(*found)
+            at = to
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Golay()
+        held: list[list[np.ndarray]] = []
+        rows, wanted, passed = 0, WORD_ROWS, None  # rows held, rows to look at, word that is too long
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            rows += batch.num_rows
+            if rows < wanted:
+                continue
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            fresh = np.nonzero(np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])))[0]
+            if passed is not None and (cols[0][0], cols[1][0]) == passed:
+                until = fresh[1] if len(fresh) > 1 else rows
+                yield deferred([c[:until] for c in cols], *keyed([c[:until] for c in cols], code))
+                cols, fresh = [c[until:] for c in cols], fresh[1:] - until
+            cut = int(fresh[-1]) if len(fresh) else 0
+            if cut:
+                yield from pairs_of([c[:cut] for c in cols], code)
+            cols = [c[cut:] for c in cols]
+            rows = len(cols[0])
+            held, wanted = [cols] if rows else [], max(WORD_ROWS, min(2 * rows, MOST_WORD_ROWS))
+            if rows >= MOST_WORD_ROWS:
+                passed = cols[0][0], cols[1][0]
+                yield deferred(cols, *keyed(cols, code))
+                held, rows, wanted = [], 0, 1
+            elif rows:
+                wanted = wanted if passed is None or (cols[0][0], cols[1][0]) != passed else 1
+        if rows:
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            mine = (cols[0] == passed[0]) & (cols[1] == passed[1]) if passed is not None else np.zeros(rows, bool)
+            if mine.any():
+                rest = [c[mine] for c in cols]
+                yield deferred(rest, *keyed(rest, code))
+                cols = [c[~mine] for c in cols]
+            if len(cols[0]):
+                yield from pairs_of(cols, code)
+
+    return run
+
+
+def _carried() -> list[str]:
+    return ["node", *(f"print_{i}" for i in range(COMPARED_FIRST)), *SKETCHED, "part"]
+
+
+def resembling_links(prints: DataFrame, tables: int, most: int, least: float, many: int = 0) -> DataFrame:
+    """Edges (a < b, more) of nodes as by ``links`` with ``closest``, of pairs that can have ``least`` of their shingles in common.
+
+    ``prints`` has fp_0, ..., node, part and the sketch. A row goes to the codewords of one segment of each pair of
+    segments, with the other segment's only where words have many rows; keys are made and counted where rows meet.
+    """
+    spark = prints.sparkSession
+    held_tables = [f"fp_{i}" for i in range(tables)]
+    segments, pairs = QUARTERS
+    rows = prints.select(*held_tables, "node", *SKETCHED, "part")
+    near = 6  # codewords of a segment, at most
+    need = prints.count() * near / (1 << MESSAGE_BITS) / WORD_ROWS
+    slices = 1
+    while slices < need and slices < 1 << MESSAGE_BITS:
+        slices *= 2
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Golay()
+
+        def words(column: np.ndarray, at: int) -> np.ndarray:
+            start, bits = segments[at]
+            return code.keys(((column.view(np.uint64) >> np.uint64(start)) & np.uint64((1 << bits) - 1)).astype(np.uint32), True)
+
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            for t in range(tables):
+                sent = [tables, *compared(t, tables, True), *range(tables + 1, len(cols))]
+                for k, (a, b) in enumerate(pairs):
+                    ids = words(cols[t], a)
+                    row, place = np.nonzero(ids >= 0)
+                    word = ids[row, place]
+                    slice_ = np.zeros(len(row), np.int64)
+                    if slices > 1:
+                        others = words(cols[t], b)[row]
+                        one = np.unique(np.where(others >= 0, np.arange(len(row))[:, None] * slices + others % slices, -1))
+                        one = one[one >= 0]
+                        row, word, slice_ = row[one // slices], word[one // slices], one % slices
+                    word = word | ((len(pairs) * t + k) << MESSAGE_BITS)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word.astype(np.int32)), pa.array(slice_.astype(np.int32)), *(pa.array(cols[i][row]) for i in sent)],
+                        names=["word", "slice", *_carried()],
+                    )
+
+    longs = ", ".join(f"{n} long" for n in _carried())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.mapInArrow(emit, f"word int, slice int, {longs}").repartition(parts, "word", "slice").sortWithinPartitions("word", "slice")
+    found = placed.mapInArrow(_worded(tables, most, many, least, slices), f"a long, b long, more boolean, key int, {longs}")
+    found = written(found, "simhash-met")
+    edges = found.where("key is null").select("a", "b", "more")
+    hot = found.where("key is not null").select("key", F.lit(3).cast("byte").alias("side"), *_carried())
+    if hot.isEmpty():
+        return edges
+    return edges.unionAll(_dealt(hot, _carried(), COMPARED_FIRST, most, True, many, least))
+
+
+def _linked(words: int, most: int, closest: bool, many: int, least: float = 0.0):
     """Kernel over rows sorted by (key, deal, side): L rows (side 1, 3) of a key against its R rows (3, 2).
 
-    With ``closest`` rows end in the part they belong to; ``more`` says that links of different parts stayed here.
+    With ``closest`` rows end in their sketch and the part they belong to; ``more`` says that links of different parts
+    stayed here.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,20 +490,15 @@ def _linked(words: int, most: int, closest: bool, many: int):
                 r, c = right[at:to], count[at:to]
                 ramp = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
                 l_, r_ = np.repeat(start[group[r]], c) + ramp, np.repeat(r, c)
-                differ = np.zeros(len(l_), np.uint16)
-                for p in prints:
-                    differ += np.bitwise_count(p[l_] ^ p[r_])
-                ok = (differ <= most) & (part[l_] != part[r_])
+                ok, differ = _near(l_, r_, prints, part, most)
                 if ok.any():
                     l_, r_, differ = l_[ok], r_[ok], differ[ok]
-                    a, b = cols[3][l_], cols[3][r_]
                     if closest:
-                        edge = lightest(part[l_], part[r_], differ, many)
-                        more = np.full(len(edge), len(edge) < len(a))
-                        a, b = np.minimum(a, b)[edge], np.maximum(a, b)[edge]
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more)], names=["a", "b", "more"])
+                        found = _out(cols[3], part, cols[-1 - len(SKETCHED) : -1], l_, r_, differ, many, least)
+                        if found is not None:
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "more"])
                     else:
-                        a, b = forest(a, b)
+                        a, b = forest(cols[3][l_], cols[3][r_])
                         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 at = to
             last = np.nonzero((group == group[-1]) & (side != 2))[0]
@@ -316,20 +521,16 @@ def compared(table: int, tables: int, closest: bool) -> list[int]:
     return [0, *((own - 1 + k) % (tables - 1) + 1 for k in range(COMPARED - 1))]
 
 
-def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = False, many: int = 0) -> DataFrame:
+def links(prints: DataFrame, tables: int = 1, most: int = 3) -> DataFrame:
     """Distinct (fp_0, ...) rows -> edges (a, b) of fp_0 that connect all found fingerprints ``most`` flips apart.
 
     With ``most`` <= 3 and one table every link is found; flips are counted over ``COMPARED`` tables, all if there are
-    no more. With ``closest`` rows have a ``node``, which names them, and a ``part``; edges (a < b, more) of nodes are
-    those of fewest flips (over ``COMPARED_FIRST`` tables) that connect different parts, so that they can be verified
-    afterwards, with the ``many`` of fewest flips of each part; ``more`` says that a task left out others.
+    no more.
     """
-    spark = prints.sparkSession
     one_sided = most <= SURE_ONE_SIDED and tables == 1
-    scheme = QUARTERS if closest else THIRDS
     held_tables = [f"fp_{i}" for i in range(tables)]
-    words = len(compared(0, tables, closest))
-    names = ["node", *(f"print_{i}" for i in range(words)), "part"] if closest else held_tables[:words]
+    words = len(compared(0, tables, False))
+    names = held_tables[:words]
     longs = ", ".join(f"{n} long" for n in names)
 
     def emit(sides: tuple[tuple[int, bool], ...], key_only: bool = False):
@@ -340,9 +541,8 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
                 for side, all_near in sides:
                     for t in range(tables):
                         for lo in range(0, len(cols[0]), 2_000):
-                            row, key = pair_keys(cols[t][lo : lo + 2_000].view(np.uint64), t, all_near, code, scheme)
-                            sent = compared(t, tables, closest)
-                            sent = [] if key_only else [tables, *sent, tables + 1] if closest else sent
+                            row, key = pair_keys(cols[t][lo : lo + 2_000].view(np.uint64), t, all_near, code)
+                            sent = [] if key_only else compared(t, tables, False)
                             yield pa.RecordBatch.from_arrays(
                                 [
                                     pa.array(key.astype(np.int32)),
@@ -352,12 +552,21 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
                                 names=["key", "side", *([] if key_only else names)],
                             )
 
-        rows = prints.select(*held_tables, *["node", "part"] * closest)
+        rows = prints.select(*held_tables)
         return rows.mapInArrow(run, "key int, side byte" + ("" if key_only else f", {longs}"))
 
     rows = emit(((1, False), (2, True)) if one_sided else ((3, True),))
+    return _dealt(rows, names, words, most, False, counted=emit(((1, not one_sided),), True))
+
+
+def _dealt(
+    rows: DataFrame, names: list[str], words: int, most: int, closest: bool, many: int = 0, least: float = 0.0,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Edges of rows (key, side, names) that share a key; keys of more than SIDE_ROWS rows, as ``counted``, are dealt out."""
+    spark = rows.sparkSession
     hot = written(
-        emit(((1, not one_sided),), True).groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n"))
+        (rows if counted is None else counted).groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n"))
         .where(F.col("n") > SIDE_ROWS).select("hot_key", F.ceil(F.col("n") / SIDE_ROWS).cast("int").alias("deals")),
         "simhash-hot",
     )
@@ -377,7 +586,7 @@ def links(prints: DataFrame, tables: int = 1, most: int = 3, closest: bool = Fal
     placed = dealt.select("key", "deal", "side", *names).repartition(parts, "key", "deal").sortWithinPartitions(
         "key", "deal", order
     )
-    return placed.mapInArrow(_linked(words, most, closest, many), "a long, b long" + ", more boolean" * closest)
+    return placed.mapInArrow(_linked(words, most, closest, many, least), "a long, b long" + ", more boolean" * closest)
 
 
 def resemblance(a: str, b: str, shingle: int) -> float:
@@ -415,7 +624,7 @@ def _verified(edges: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, sh
 
 
 def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shingle: int, most: int, least: float) -> DataFrame:
-    """Edges of ``links`` that hold, enough of them to connect whatever any pair under a key connects.
+    """Edges of ``resembling_links`` that hold, enough of them to connect whatever any pair under a key connects.
 
     The first round tests a forest. Groups of it that still have several parts, and of which a task left out a pair,
     are compared again; every round lets out more pairs of each part, so that it ends with all pairs of different parts
@@ -423,7 +632,7 @@ def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shin
     """
     names = [f"fp_{i}" for i in range(tables)]
     nodes = firsts.select("node", "digest")
-    found = written(links(firsts.select(*names, "node", F.col("node").alias("part")), tables, most, True), "simhash-links")
+    found = written(resembling_links(firsts.withColumn("part", F.col("node")), tables, most, least), "simhash-links")
     tested = written(found.select("a", "b").distinct(), "simhash-tested")
     true = written(_verified(tested, nodes, docs, text, shingle, least), "simhash-verified")
     group = written(components(tested).withColumnRenamed("component", "group"), "simhash-groups")
@@ -441,8 +650,8 @@ def _resembling(firsts: DataFrame, docs: DataFrame, text: str, tables: int, shin
         again = written(several.join(cut.select("group").distinct(), "group").select("group"), "simhash-again")
         if again.isEmpty():
             return true
-        active = label.join(again, "group").join(firsts.select(*names, "node"), F.col("l") == F.col("node")).select(*names, "node", "part")
-        found = written(links(written(active, "simhash-active"), tables, most, True, many), "simhash-links")
+        active = label.join(again, "group").join(firsts.drop("digest"), F.col("l") == F.col("node")).select(*names, "node", *SKETCHED, "part")
+        found = written(resembling_links(written(active, "simhash-active"), tables, most, least, many), "simhash-links")
         fresh = written(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "simhash-fresh")
         true = written(true.unionAll(_verified(fresh, nodes, docs, text, shingle, least)), "simhash-verified")
         tested = written(tested.unionAll(fresh), "simhash-tested")
@@ -465,14 +674,16 @@ def classes(
         own, of = F.col("fp_0"), F.col("fp_0")
     else:
         own = F.coalesce("digest", F.unhex(F.md5(F.lit(""))))
-        texts = printed.groupBy(own.alias("digest")).agg(*[F.min(n).alias(n) for n in names])
+        # prints without sketches can be of any shingles
+        printed = printed.withColumns({c: F.lit(-1).cast("long") for c in SKETCHED if c not in printed.columns})
+        texts = printed.groupBy(own.alias("digest")).agg(*[F.min(n).alias(n) for n in [*names, *SKETCHED]])
         firsts = written(texts.withColumn("node", F.monotonically_increasing_id()), "simhash-distinct")
         edges = _resembling(firsts, docs, text, len(seeds), shingle, most, resembling)
         of = F.col("digest")
     reach = components(edges).select(F.col("node").alias("n"), "component")
     name = F.col("fp_0" if resembling is None else "node")
     part = firsts.join(reach, name == F.col("n"), "left").select(of.alias("f"), F.coalesce(F.col("component"), name).alias("part"))
-    return printed.join(written(part, "simhash-parts"), own == F.col("f")).drop("f")
+    return printed.select("doc_id", "digest", *names).join(written(part, "simhash-parts"), own == F.col("f")).drop("f")
 
 
 def near_duplicates(
