@@ -113,3 +113,19 @@ def test_best_of_many_positive_scores_as_of_few(monkeypatch):
             found.append(tiles._best_of_positive(scores.copy(), 7, same))
         for x, y in zip(*found):
             assert (x == y).all()
+
+
+# --- I7_item_cf_top_n ------------------------------------------------------------
+
+
+def test_lists_of_items_go_once_to_their_users(monkeypatch, spark):
+    rnd = random.Random(9)
+    rows = [(u, rnd.randint(0, 12)) for u in range(25) for _ in range(rnd.randint(1, 5))]  # some rows twice
+    df = spark.createDataFrame([*rows, (None, 4), (None, 5), (3, None), (40, None), (41, 99)], "user_id long, item_id long")
+    out = s.item_top_n(df, 4, 5)
+    assert "user_id, item_id" not in exchanged(out)
+    monkeypatch.setattr(s, "USER_CELLS", 0)
+    by_item = s.item_top_n(df, 4, 5)
+    assert "user_id, item_id" in exchanged(by_item)
+    assert sorted(map(str, out.collect())) == sorted(map(str, by_item.collect()))
+    assert out.count() > 20
